@@ -11,7 +11,7 @@ from ledgerlake.plans.fixtures import Fixtures, duckdb_sql
 
 QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
-PARTS = ("lake", "features")
+PARTS = ("lake", "features", "gold", "history", "privacy", "models", "operations", "streams")
 
 
 def query(name: str, sql: str | None = None):

@@ -12,8 +12,9 @@ LAGGED = """
     WITH p AS (
       SELECT *, lag(latitude) OVER w AS lat0, lag(longitude) OVER w AS lon0
       FROM {tx_events} WINDOW w AS (PARTITION BY customer_id ORDER BY event_time, event_id))"""
-GEO = """round(coalesce(2 * 6371 * asin(sqrt(least(1.0, pow(sin(radians(latitude - lat0) / 2), 2)
-    + cos(radians(lat0)) * cos(radians(latitude)) * pow(sin(radians(longitude - lon0) / 2), 2)))), 0.0), 6)"""
+HALF_CHORD = """(pow(sin(radians(latitude - lat0) / 2), 2)
+    + cos(radians(lat0)) * cos(radians(latitude)) * pow(sin(radians(longitude - lon0) / 2), 2))"""
+GEO = f"""round(coalesce(2 * 6371 * asin(sqrt(CASE WHEN {HALF_CHORD} > 1 THEN 1 ELSE {HALF_CHORD} END)), 0.0), 6)"""
 ENTROPY = """round(entropy(coalesce(device_id, '')) OVER (PARTITION BY customer_id ORDER BY event_time, event_id
     ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6)"""
 HISTORY = """array_to_string(list(repayment_status) OVER (PARTITION BY account_id ORDER BY snapshot_date, seq

@@ -19,7 +19,7 @@ def raw_stream(fx):
     """tx_raw as the stream delivers it: base64 payload, sequence number, arrival time."""
     return fx("tx_raw").select(
         "seq",
-        F.base64(F.encode("raw", F.lit("UTF-8"))).alias("data"),
+        F.base64(F.encode("raw", "UTF-8")).alias("data"),
         F.col("seq").cast("string").alias("sequence"),
         F.unix_seconds("arrival_time").cast("double").alias("arrival"),
     )
