@@ -26,7 +26,8 @@ def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
         lambda acc, k: acc + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * lam * lam),
     )
     # below 0.2 the probability is 1 to more than 12 digits and the series converges slowly
-    return F.when(lam < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * series)))
+    p = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * series))
+    return F.when(lam < 0.2, 1.0).when(lam.isNotNull(), p)
 
 
 def clean_double(c: Column) -> Column:
