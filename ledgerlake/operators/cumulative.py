@@ -18,7 +18,8 @@ ONE_TASK = 100_000  # distinct values of a group that one task may sort
 def running_totals(
     df: DataFrame, value: str, sums: list[str], group: str, one_task: int = ONE_TASK
 ) -> DataFrame:
-    """Add ``cum_<s>`` = sum of s over the group's rows with a value up to and including this one.
+    """Add ``cum_<s>`` = sum of s over the group's rows with a value up to and including this one,
+    and ``total_<s>`` = sum of s over the group.
 
     ``df`` must hold one row per (group, value): aggregate first, which also folds a value that
     holds a large share of the rows into a single row. The groups are few (columns of a table).
@@ -26,22 +27,25 @@ def running_totals(
     probs = [i / RANGES for i in range(1, RANGES)]
     found = (
         df.groupBy(group)
-        .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(value, probs, 10_000).alias("cuts"))
-        .collect()
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.percentile_approx(value, probs, 10_000).alias("cuts"),
+            *[F.sum(s).cast("bigint").alias(f"total_{s}") for s in sums],
+        )
+        .collect()  # one row per group
+    )
+    totals = [f"total_{s}" for s in sums]
+    key = f"`{group}` {df.schema[group].dataType.simpleString()}"
+    per_group = df.sparkSession.createDataFrame(
+        [(r[group], sorted({float(c) for c in r["cuts"]}), *[r[t] for t in totals]) for r in found],
+        ", ".join([key, "__cuts array<double>", *[f"{t} bigint" for t in totals]]),
     )
+    df = df.join(F.broadcast(per_group), group)
     if all(r["n"] <= one_task for r in found):
         upto = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({f"cum_{s}": F.sum(s).over(upto) for s in sums})
+        return df.drop("__cuts").withColumns({f"cum_{s}": F.sum(s).over(upto) for s in sums})
 
-    schema = f"`{group}` {df.schema[group].dataType.simpleString()}, __cuts array<double>"
-    cuts = df.sparkSession.createDataFrame(
-        [(r[group], sorted({float(c) for c in r["cuts"]})) for r in found], schema
-    )
-    ranged = (
-        df.join(F.broadcast(cuts), group)  # one row per group
-        .withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col(value))))
-        .drop("__cuts")
-    )
+    ranged = df.withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
     earlier = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(group, "__range")

@@ -90,12 +90,9 @@ def drift_ks(reference: DataFrame, current: DataFrame, cols: list[str] | None =
     both = union_all(_value_counts(reference, cols, "ref"), _value_counts(current, cols, "cur"))
     per_value = both.groupBy("column", "v").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     ranked = running_totals(per_value, "v", ["n_ref", "n_cur"], "column", one_task)
-    sizes = per_value.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
-    gap = F.abs(F.try_divide("cum_n_ref", "t_ref") - F.try_divide("cum_n_cur", "t_cur"))
-    worst = (
-        ranked.join(F.broadcast(sizes), "column")  # one row per column
-        .groupBy("column")
-        .agg(F.max(gap).alias("statistic"), F.first("t_ref").alias("t_ref"), F.first("t_cur").alias("t_cur"))
+    gap = F.abs(F.try_divide("cum_n_ref", "total_n_ref") - F.try_divide("cum_n_cur", "total_n_cur"))
+    worst = ranked.groupBy("column").agg(
+        F.max(gap).alias("statistic"), F.max("total_n_ref").alias("t_ref"), F.max("total_n_cur").alias("t_cur")
     )
     p = ks_p_value(F.col("statistic"), F.col("t_ref").cast("double"), F.col("t_cur").cast("double"))
     return worst.withColumn("p_value", p).select(

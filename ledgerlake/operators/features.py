@@ -9,6 +9,8 @@ thousands of events within a minute.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -34,40 +36,106 @@ def _epoch_day(day: str) -> Column:
     return F.unix_date(F.col(day).cast("date"))
 
 
-# --- window expressions -----------------------------------------------------------------
+# --- windows and what is derived from them ----------------------------------------------
 
+Columns = dict[str, Column]
 
-def velocity(w: WindowSpec, seconds: int = VELOCITY_SECONDS) -> Column:
+
+@dataclass(frozen=True)
+class Feature:
+    """One output column: the windows it needs (by temporary name) and its value from them."""
+
+    name: str
+    windows: Callable[[WindowSpec], Columns]
+    value: Callable[[], Column]
+
+
+def combined(features: list[Feature]) -> dict[str, Callable]:
+    """``build`` and ``derive`` for several features computed in one pass."""
+    return {
+        "build": lambda w: {name: c for f in features for name, c in f.windows(w).items()},
+        "derive": lambda: {f.name: f.value() for f in features},
+    }
+
+
+def velocity(seconds: int = VELOCITY_SECONDS) -> Feature:
     """Events in (t - seconds, t], events at the same instant included."""
-    w = w.orderBy("__pos")
-    upto = F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, 0))
-    expired = F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, -seconds * MICROS))
-    return upto - expired
 
+    def windows(w: WindowSpec) -> Columns:
+        w = w.orderBy("__pos")
+        return {
+            "__upto": F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, 0)),
+            "__expired": F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, -seconds * MICROS)),
+        }
+
+    return Feature("tx_velocity_1m", windows, lambda: F.col("__upto") - F.col("__expired"))
 
-def geo_distance(w: WindowSpec, lat: str = "latitude", lon: str = "longitude") -> Column:
+
+def geo_distance(lat: str = "latitude", lon: str = "longitude") -> Feature:
     """Distance to the entity's previous row; 0 where either end is unknown."""
-    km = haversine_km(F.lag(lat).over(w), F.lag(lon).over(w), F.col(lat), F.col(lon))
-    return F.coalesce(km, F.lit(0.0))
+    km = haversine_km(F.col("__lat"), F.col("__lon"), F.col(lat), F.col(lon))
+    return Feature(
+        "geo_distance_km",
+        lambda w: {"__lat": F.lag(lat).over(w), "__lon": F.lag(lon).over(w)},
+        lambda: F.coalesce(km, F.lit(0.0)),
+    )
 
 
-def device_entropy(w: WindowSpec, rows: int = DEVICE_ROWS, device: str = "device_id") -> Column:
-    recent = F.collect_list(F.coalesce(F.col(device), F.lit(""))).over(w.rowsBetween(1 - rows, 0))
-    return entropy_bits(recent)
+def device_entropy(rows: int = DEVICE_ROWS, device: str = "device_id") -> Feature:
+    used = F.coalesce(F.col(device), F.lit(""))
+    return Feature(
+        "device_entropy",
+        lambda w: {"__devices": F.collect_list(used).over(w.rowsBetween(1 - rows, 0))},
+        lambda: entropy_bits(F.col("__devices")),
+    )
+
+
+def repayment_history(rows: int = REPAYMENT_ROWS, status: str = "repayment_status") -> Feature:
+    return Feature(
+        "repayment_history",
+        lambda w: {"__history": F.collect_list(status).over(w.rowsBetween(1 - rows, 0))},
+        lambda: F.col("__history"),
+    )
 
 
-def repayment_history(w: WindowSpec, rows: int = REPAYMENT_ROWS, status: str = "repayment_status") -> Column:
-    return F.collect_list(status).over(w.rowsBetween(1 - rows, 0))
+def _share(name: str, column: str, value: str, rows: int) -> Feature:
+    """Share of the last ``rows`` rows that have the value."""
+    hit = F.when(F.col(column) == value, 1.0).otherwise(0.0)
+    return Feature(name, lambda w: {f"__{name}": F.avg(hit).over(w.rowsBetween(1 - rows, 0))}, lambda: F.col(f"__{name}"))
 
 
-def delinquency(w: WindowSpec, rows: int = REPAYMENT_ROWS, status: str = "repayment_status") -> Column:
-    missed = F.when(F.col(status) == "missed", 1.0).otherwise(0.0)
-    return F.avg(missed).over(w.rowsBetween(1 - rows, 0))
+def delinquency(rows: int = REPAYMENT_ROWS) -> Feature:
+    return _share("delinquency_trends", "repayment_status", "missed", rows)
 
 
-def complaint_frequency(w: WindowSpec, rows: int = COMPLAINT_ROWS, kind: str = "event_type") -> Column:
-    complaint = F.when(F.col(kind) == "complaint", 1.0).otherwise(0.0)
-    return F.avg(complaint).over(w.rowsBetween(1 - rows, 0))
+def complaint_frequency(rows: int = COMPLAINT_ROWS) -> Feature:
+    return _share("complaint_frequency", "event_type", "complaint", rows)
+
+
+def balance_volatility(balance: str = "balance", days: int = VOLATILITY_DAYS) -> Feature:
+    return Feature(
+        "balance_volatility",
+        lambda w: {"__dev": F.stddev_samp(F.col(balance).cast("double")).over(w.orderBy("__pos").rangeBetween(1 - days, 0))},
+        lambda: F.col("__dev"),
+    )
+
+
+def _whole(w: WindowSpec) -> WindowSpec:
+    return w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def transaction_decay() -> Feature:
+    return Feature(
+        "transaction_decay", lambda w: {"__n": F.count(F.lit(1)).over(_whole(w))}, lambda: decay_of(F.col("__n"))
+    )
+
+
+def login_inactivity(ts: str) -> Feature:
+    return Feature(
+        "login_inactivity",
+        lambda w: {"__last": F.max(ts).over(_whole(w))},
+        lambda: whole_days(F.col("__last"), F.col(ts)),
+    )
 
 
 def decay_of(n: Column, rate: float = DECAY) -> Column:
@@ -87,7 +155,7 @@ def feat_tx_velocity(events, *, entity="customer_id", ts="event_time", tie="even
                      seconds=VELOCITY_SECONDS, hot_rows=HOT_ROWS) -> DataFrame:
     return over_entity(
         events, key=entity, pos=_micros(ts), seq=tie, span=seconds * MICROS, cell=seconds * MICROS,
-        hot_rows=hot_rows, build=lambda w: {"tx_velocity_1m": velocity(w, seconds)},
+        hot_rows=hot_rows, **combined([velocity(seconds)]),
     )
 
 
@@ -95,7 +163,7 @@ def feat_geo_distance(events, *, entity="customer_id", ts="event_time", tie="eve
                       hot_rows=HOT_ROWS) -> DataFrame:
     return over_entity(
         events, key=entity, pos=_micros(ts), seq=tie, tail=1, hot_rows=hot_rows,
-        build=lambda w: {"geo_distance_km": geo_distance(w)},
+        **combined([geo_distance()]),
     )
 
 
@@ -103,7 +171,7 @@ def feat_device_entropy(events, *, entity="customer_id", ts="event_time", tie="e
                         rows=DEVICE_ROWS, hot_rows=HOT_ROWS) -> DataFrame:
     return over_entity(
         events, key=entity, pos=_micros(ts), seq=tie, tail=rows - 1, hot_rows=hot_rows,
-        build=lambda w: {"device_entropy": device_entropy(w, rows)},
+        **combined([device_entropy(rows)]),
     )
 
 
@@ -113,11 +181,8 @@ def fraud_features(events, *, entity="customer_id", ts="event_time", tie="event_
     return over_entity(
         events, key=entity, pos=_micros(ts), seq=tie, tail=DEVICE_ROWS - 1,
         span=VELOCITY_SECONDS * MICROS, cell=VELOCITY_SECONDS * MICROS, hot_rows=hot_rows,
-        build=lambda w: {
-            "tx_velocity_1m": velocity(w),
-            "geo_distance_km": geo_distance(w),
-            "device_entropy": device_entropy(w),
-        },
+        # the windows with the longer order first: their sort also serves the velocity
+        **combined([geo_distance(), device_entropy(), velocity()]),
     )
 
 
@@ -128,7 +193,7 @@ def feat_repayment_history(snapshots, *, entity="account_id", ts="snapshot_date"
                            rows=REPAYMENT_ROWS, hot_rows=HOT_ROWS) -> DataFrame:
     return over_entity(
         snapshots, key=entity, pos=_epoch_day(ts), seq=tie, tail=rows - 1, cell=1, hot_rows=hot_rows,
-        build=lambda w: {"repayment_history": repayment_history(w, rows)},
+        **combined([repayment_history(rows)]),
     )
 
 
@@ -136,7 +201,7 @@ def feat_delinquency(snapshots, *, entity="account_id", ts="snapshot_date", tie=
                      rows=REPAYMENT_ROWS, hot_rows=HOT_ROWS) -> DataFrame:
     return over_entity(
         snapshots, key=entity, pos=_epoch_day(ts), seq=tie, tail=rows - 1, cell=1, hot_rows=hot_rows,
-        build=lambda w: {"delinquency_trends": delinquency(w, rows)},
+        **combined([delinquency(rows)]),
     )
 
 
@@ -184,11 +249,8 @@ def feat_balance_volatility(snapshots, *, entity="account_id", ts="snapshot_date
     found, limit = hot_entities(snapshots, entity, hot_rows)
     calm, busy = split_hot(snapshots, entity, found)
 
-    def build(w: WindowSpec) -> dict[str, Column]:
-        recent = w.orderBy("__pos").rangeBetween(1 - days, 0)
-        return {"balance_volatility": F.stddev_samp(F.col(balance).cast("double")).over(recent)}
-
-    out = over_entity(calm, key=entity, pos=_epoch_day(ts), seq=tie, build=build, hot=(None, limit))
+    out = over_entity(calm, key=entity, pos=_epoch_day(ts), seq=tie, hot=(None, limit),
+                      **combined([balance_volatility(balance, days)]))
     if busy is None:
         return out
     busy_out = _join_daily_volatility(busy, entity, ts, balance, days)
@@ -201,20 +263,14 @@ def credit_features(snapshots, *, entity="account_id", ts="snapshot_date", tie="
     found, limit = hot_entities(snapshots, entity, hot_rows)
     calm, busy = split_hot(snapshots, entity, found)
 
-    def row_windows(w: WindowSpec) -> dict[str, Column]:
-        return {"repayment_history": repayment_history(w), "delinquency_trends": delinquency(w)}
-
-    def all_windows(w: WindowSpec) -> dict[str, Column]:
-        recent = w.orderBy("__pos").rangeBetween(1 - VOLATILITY_DAYS, 0)
-        deviation = F.stddev_samp(F.col(balance).cast("double")).over(recent)
-        return {**row_windows(w), "balance_volatility": deviation}
-
+    by_rows = [repayment_history(), delinquency()]
     day = _epoch_day(ts)
-    out = over_entity(calm, key=entity, pos=day, seq=tie, build=all_windows, hot=(None, limit))
+    out = over_entity(calm, key=entity, pos=day, seq=tie, hot=(None, limit),
+                      **combined([*by_rows, balance_volatility(balance)]))
     if busy is None:
         return out
-    rows = over_entity(busy, key=entity, pos=day, seq=tie, tail=REPAYMENT_ROWS - 1, cell=1,
-                       build=row_windows, hot=(found, limit))
+    rows = over_entity(busy, key=entity, pos=day, seq=tie, tail=REPAYMENT_ROWS - 1, cell=1, hot=(found, limit),
+                       **combined(by_rows))
     busy_out = _join_daily_volatility(rows, entity, ts, balance, VOLATILITY_DAYS)
     return out.unionByName(busy_out)
 
@@ -222,50 +278,38 @@ def credit_features(snapshots, *, entity="account_id", ts="snapshot_date", tie="
 # --- churn ------------------------------------------------------------------------------
 
 
-def _from_totals(n: Column, last: Column, ts: str) -> dict[str, Column]:
-    return {"transaction_decay": decay_of(n), "login_inactivity": whole_days(last, F.col(ts))}
-
-
-def _hot_totals(rows: DataFrame, entity: str, ts: str, names: list[str]) -> DataFrame:
+def _hot_totals(rows: DataFrame, entity: str, ts: str, wanted: list[Feature]) -> DataFrame:
     """Hot entities: a partial aggregate, broadcast back (at most MAX_SLICES rows)."""
     totals = rows.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"), F.max(ts).alias("__last"))
-    columns = _from_totals(F.col("__n"), F.col("__last"), ts)
-    return (
-        rows.join(F.broadcast(totals), entity)
-        .withColumns({n: columns[n] for n in names})
-        .drop("__n", "__last")
-    )
+    columns = {f.name: f.value() for f in wanted}
+    return rows.join(F.broadcast(totals), entity).withColumns(columns).drop("__n", "__last")
 
 
-def _whole_entity(events: DataFrame, entity: str, ts: str, hot_rows: int, name: str) -> DataFrame:
+def _whole_entity(events: DataFrame, entity: str, ts: str, hot_rows: int, wanted: Feature) -> DataFrame:
     """A column that needs the entity's count or latest event."""
     found, _ = hot_entities(events, entity, hot_rows)
     calm, busy = split_hot(events, entity, found)
     lone = F.when(F.col(entity).isNull(), F.rand(0))  # spreads the rows without an entity
-    w = Window.partitionBy(entity, "__lone")
-    column = _from_totals(F.count(F.lit(1)).over(w), F.max(ts).over(w), ts)[name]
-    out = (
-        calm.withColumn("__lone", lone)
-        .withColumn(name, F.when(F.col(entity).isNotNull(), column))
-        .drop("__lone")
-    )
-    return out if busy is None else out.unionByName(_hot_totals(busy, entity, ts, [name]))
+    windows = wanted.windows(Window.partitionBy(entity, "__lone"))
+    value = F.when(F.col(entity).isNotNull(), wanted.value())
+    out = calm.withColumn("__lone", lone).withColumns(windows).withColumn(wanted.name, value).drop("__lone", *windows)
+    return out if busy is None else out.unionByName(_hot_totals(busy, entity, ts, [wanted]))
 
 
 def feat_tx_decay(events, *, entity="customer_id", ts="event_time", hot_rows=HOT_ROWS) -> DataFrame:
     """Decayed count over all of the entity's events (the 90 days named in prose are not applied)."""
-    return _whole_entity(events, entity, ts, hot_rows, "transaction_decay")
+    return _whole_entity(events, entity, ts, hot_rows, transaction_decay())
 
 
 def feat_login_inactivity(events, *, entity="customer_id", ts="event_time", hot_rows=HOT_ROWS) -> DataFrame:
-    return _whole_entity(events, entity, ts, hot_rows, "login_inactivity")
+    return _whole_entity(events, entity, ts, hot_rows, login_inactivity(ts))
 
 
 def feat_complaint_freq(events, *, entity="customer_id", ts="event_time", tie="seq",
                         rows=COMPLAINT_ROWS, hot_rows=HOT_ROWS) -> DataFrame:
     return over_entity(
         events, key=entity, pos=_micros(ts), seq=tie, tail=rows - 1, hot_rows=hot_rows,
-        build=lambda w: {"complaint_frequency": complaint_frequency(w, rows)},
+        **combined([complaint_frequency(rows)]),
     )
 
 
@@ -274,20 +318,14 @@ def churn_features(events, *, entity="customer_id", ts="event_time", tie="seq",
     found, limit = hot_entities(events, entity, hot_rows)
     calm, busy = split_hot(events, entity, found)
 
-    def complaints(w: WindowSpec) -> dict[str, Column]:
-        return {"complaint_frequency": complaint_frequency(w)}
-
-    def all_windows(w: WindowSpec) -> dict[str, Column]:
-        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        totals = _from_totals(F.count(F.lit(1)).over(whole), F.max(ts).over(whole), ts)
-        return {**complaints(w), **totals}
-
-    out = over_entity(calm, key=entity, pos=_micros(ts), seq=tie, build=all_windows, hot=(None, limit))
+    totals = [transaction_decay(), login_inactivity(ts)]
+    out = over_entity(calm, key=entity, pos=_micros(ts), seq=tie, hot=(None, limit),
+                      **combined([complaint_frequency(), *totals]))
     if busy is None:
         return out
-    rows = over_entity(busy, key=entity, pos=_micros(ts), seq=tie, tail=COMPLAINT_ROWS - 1,
-                       build=complaints, hot=(found, limit))
-    busy_out = _hot_totals(rows, entity, ts, ["transaction_decay", "login_inactivity"])
+    rows = over_entity(busy, key=entity, pos=_micros(ts), seq=tie, tail=COMPLAINT_ROWS - 1, hot=(found, limit),
+                       **combined([complaint_frequency()]))
+    busy_out = _hot_totals(rows, entity, ts, totals)
     return out.unionByName(busy_out)
 
 

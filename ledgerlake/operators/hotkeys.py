@@ -122,13 +122,17 @@ def over_entity(
     pos: Column,
     seq: str,
     build: Callable[[WindowSpec], dict[str, Column]],
+    derive: Callable[[], dict[str, Column]],
     tail: int = 0,
     span: int = 0,
     cell: int = 60_000_000,
     hot_rows: int = HOT_ROWS,
     hot: tuple[DataFrame | None, int] | None = None,
 ) -> DataFrame:
-    """Add ``build(window)`` columns computed per entity in order of ``(pos, seq)``.
+    """Add ``derive()`` columns computed per entity in order of ``(pos, seq)``.
+
+    ``build(window)`` names the window columns they are derived from. These are evaluated once
+    each and dropped again: a window inside a larger expression would be computed once per mention.
 
     ``pos`` is a whole-number position (microseconds, days). The frames ``build`` uses may look
     back at most ``tail`` rows or ``span`` units of ``pos``, and never ahead. ``cell`` is the
@@ -138,16 +142,19 @@ def over_entity(
     found, limit = hot if hot is not None else hot_entities(df, key, hot_rows)
     calm, busy = split_hot(df.withColumn(_POS, pos.cast("bigint")), key, found)
 
-    def computed(*partition) -> list[Column]:
+    def computed(rows: DataFrame, *partition: str) -> DataFrame:
         # Rows without an entity belong to no group: their columns stay null, and each is its
         # own partition so that many of them do not meet in one task.
         lone = F.when(F.col(key).isNull(), F.col(seq))
-        columns = build(Window.partitionBy(key, lone, *partition).orderBy(_POS, seq))
-        return [F.when(F.col(key).isNotNull(), c).alias(name) for name, c in columns.items()]
+        windows = build(Window.partitionBy(key, lone, *partition).orderBy(_POS, seq))
+        known = F.col(key).isNotNull()
+        return rows.select("*", *[c.alias(name) for name, c in windows.items()]).select(
+            *rows.columns, *[F.when(known, c).alias(name) for name, c in derive().items()]
+        )
 
-    out = calm.select("*", *computed()).drop(_POS)
+    out = computed(calm).drop(_POS)
     if busy is None:
         return out
     sliced = _with_halo(busy, key, seq, tail, span, cell, limit)
-    busy_out = sliced.select("*", *computed(_SLICE)).where(~F.col(_HALO)).drop(_POS, _SLICE, _HALO)
+    busy_out = computed(sliced, _SLICE).where(~F.col(_HALO)).drop(_POS, _SLICE, _HALO)
     return out.unionByName(busy_out)

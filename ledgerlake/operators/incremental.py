@@ -83,13 +83,14 @@ def touched_rows(fact: DataFrame, watermark: datetime, bucket: Callable[[Column]
                  ) -> DataFrame:
     """All rows of the buckets that received a row after the watermark.
 
-    The lower bound is a literal, so it prunes partitions and row groups before the semi join,
-    which then only decides about the bucket the watermark falls into.
+    Later buckets hold new rows only, so no join is needed: it is enough to know whether the bucket
+    the watermark falls into received any. The lower bound is a literal and prunes partitions and
+    row groups.
     """
     wm = F.lit(watermark).cast("timestamp")
-    touched = fact.where(F.col(col) > wm).select(bucket(F.col(col)).alias("__bucket")).distinct()
-    candidates = fact.where(F.col(col) >= bucket(wm)).withColumn("__bucket", bucket(F.col(col)))
-    return candidates.join(touched, "__bucket", "left_semi").drop("__bucket")
+    at, first = F.col(col), bucket(wm)
+    reopened = fact.where((at > wm) & (bucket(at) == first)).agg((F.count(F.lit(1)) > 0).alias("any"))
+    return fact.where((at >= first) & ((bucket(at) > first) | reopened.scalar()))
 
 
 def refresh_gold(

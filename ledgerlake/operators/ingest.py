@@ -26,9 +26,12 @@ def parse_events(raw: DataFrame, data: str = "data") -> DataFrame:
     """
     text = F.try_to_binary(F.col(data), F.lit("base64")).cast("string")
     doc = F.when(F.is_valid_utf8(text), F.try_parse_json(text))
-    # Parsed once: the projection below reads `doc` several times.
-    parsed = raw.withColumn("__text", text).withColumn("__doc", doc)
-    is_object = F.coalesce(F.startswith(F.schema_of_variant("__doc"), F.lit("OBJECT")), F.lit(False))
+    # One-element explode: the record is decoded and parsed once, where a plain column would be
+    # computed again below every filter that is pushed through the projection.
+    once = F.explode(F.array(F.struct(text.alias("text"), doc.alias("doc"))))
+    parsed = raw.withColumn("__r", once).select(*raw.columns, F.col("__r.text").alias("__text"), F.col("__r.doc").alias("__doc"))
+    # a valid JSON text is an object exactly if it opens with a brace
+    is_object = F.col("__doc").isNotNull() & F.col("__text").rlike(r"^[ \t\r\n]*\{")
     v = F.col("__doc")
     payload = F.try_variant_get(v, "$.payload", "variant")
     return parsed.withColumn("ok", is_object).select(

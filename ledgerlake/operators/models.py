@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.contracts import Contract
@@ -52,8 +52,8 @@ def encode_repayment(df: DataFrame, history: str = "repayment_history") -> DataF
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """``n / (classes * n_class)`` per class; one row per class."""
     per_class = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    totals = per_class.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"))
-    total, classes = totals.select("total").scalar(), totals.select("classes").scalar()
+    every = Window.partitionBy(F.lit(0))  # over the classes, not over the rows
+    total, classes = F.sum("n").over(every), F.count(F.lit(1)).over(every)
     return per_class.select(label, "n", (total / (classes * F.col("n"))).alias("weight"))
 
 

@@ -55,9 +55,12 @@ def validity_rate(df: DataFrame, valid: Column) -> DataFrame:
     return df.agg((F.avg(F.coalesce(valid, F.lit(False)).cast("int")) * 100).alias("validity_rate"))
 
 
-def metric(df: DataFrame, layer: str, name: str, value: str, at: str | None = None) -> DataFrame:
-    """A one-value frame as a ``(layer, metric, value)`` row."""
-    return df.select(F.lit(layer).alias("layer"), F.lit(name).alias("metric"), F.col(value).cast("double").alias("value"))
+def metrics(df: DataFrame, layer: str, **columns: str) -> DataFrame:
+    """A one-row frame as ``(layer, metric, value)`` rows, one per ``metric=column``."""
+    cells = ", ".join(f"'{name}', CAST(`{column}` AS DOUBLE)" for name, column in columns.items())
+    return df.select(
+        F.lit(layer).alias("layer"), F.expr(f"stack({len(columns)}, {cells}) AS (metric, value)")
+    )
 
 
 def metrics_snapshot(*frames: DataFrame) -> DataFrame:
@@ -96,11 +99,10 @@ def windowed_alarms(samples: DataFrame, alarms: DataFrame, ts: str = "ts", value
     period_s, threshold, n)``. An alarm fires in the n-th consecutive breaching period; a period
     without samples does not breach.
     """
-    rules = F.broadcast(alarms)  # one row per alarm
     period = (F.floor(F.unix_seconds(ts) / F.col("period_s")) * F.col("period_s")).cast("bigint")
     v = F.col(value)
     per_period = (
-        samples.join(rules, "metric")
+        samples.join(alarms, "metric")
         .groupBy("alarm", period.alias("period_start"))
         .agg(F.avg(v).alias("Average"), F.max(v).alias("Maximum"), F.sum(v).alias("Sum"))
     )

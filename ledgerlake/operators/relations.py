@@ -35,8 +35,8 @@ def rows_after_watermark(fact: DataFrame, control: DataFrame, table: str, ts: st
 
 
 def join_slo(metrics: DataFrame, slo: DataFrame) -> DataFrame:
-    """Metrics with their objective. The objective table is configuration, a row per metric name."""
-    return metrics.join(F.broadcast(slo), ["layer", "metric"])
+    """Metrics with their objective."""
+    return metrics.join(slo, ["layer", "metric"])
 
 
 def join_semi(fact: DataFrame, touched: DataFrame, key: str | list[str]) -> DataFrame:
@@ -45,17 +45,12 @@ def join_semi(fact: DataFrame, touched: DataFrame, key: str | list[str]) -> Data
 
 def bronze_gaps(events: DataFrame, start, end, ts: str = "event_time") -> DataFrame:
     """Hours of [start, end] without any Bronze row."""
-    hours = events.sparkSession.range(1).select(
-        F.explode(
-            F.sequence(
-                F.date_trunc("hour", F.lit(start).cast("timestamp")),
-                F.date_trunc("hour", F.lit(end).cast("timestamp")),
-                F.expr("INTERVAL 1 HOUR"),
-            )
-        ).alias("hour")
-    )
+    lo = F.date_trunc("hour", F.lit(start).cast("timestamp"))
+    hi = F.date_trunc("hour", F.lit(end).cast("timestamp"))
+    one_hour = F.expr("INTERVAL 1 HOUR")
+    hours = events.sparkSession.range(1).select(F.explode(F.sequence(lo, hi, one_hour)).alias("hour"))
     seen = (
-        events.where(F.col(ts) >= F.date_trunc("hour", F.lit(start).cast("timestamp")))
+        events.where((F.col(ts) >= lo) & (F.col(ts) < hi + one_hour))
         .select(F.date_trunc("hour", ts).alias("hour"))
         .distinct()
     )

@@ -208,6 +208,17 @@ def _(fx):
     f"""SELECT transaction_id, event_time FROM {{tx_scores}} WHERE date_trunc('hour', event_time) IN
           (SELECT date_trunc('hour', event_time) FROM {{tx_scores}} WHERE event_time > {WM_SQL})""",
 )
+def _(fx):
+    scores = fx("tx_scores").withColumn("hour", incremental.hour_bucket(F.col("event_time")))
+    touched = incremental.new_rows(scores, WM).select("hour").distinct()
+    return relations.join_semi(scores, touched, "hour").select("transaction_id", "event_time")
+
+
+@query(
+    "touched_rows",
+    f"""SELECT transaction_id, event_time FROM {{tx_scores}} WHERE date_trunc('hour', event_time) IN
+          (SELECT date_trunc('hour', event_time) FROM {{tx_scores}} WHERE event_time > {WM_SQL})""",
+)
 def _(fx):
     return incremental.touched_rows(fx("tx_scores"), WM, incremental.hour_bucket).select("transaction_id", "event_time")
 

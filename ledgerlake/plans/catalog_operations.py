@@ -4,7 +4,8 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import evaluation, gold, monitoring, operations, quality
+from ledgerlake.contracts import BRONZE_CHURN
+from ledgerlake.operators import evaluation, gold, monitoring, operations, quality, relations
 from ledgerlake.operators.ingest import parse_events, split_valid
 from ledgerlake.plans import refresh, silver
 from ledgerlake.plans.catalog import query
@@ -99,8 +100,6 @@ def snapshot(fx):
         F.max("p99_latency_ms").alias("p99"), (F.sum(F.col("success_rate") * F.col("records")) / F.sum("records")).alias("ok")
     )
     dlq = m.dlq_hourly(dead_letters(fx)).agg(F.max("dlq_count").alias("n"))
-    from ledgerlake.contracts import BRONZE_CHURN
-
     drift = quality.check_contract(fx("crm_text"), BRONZE_CHURN).agg(F.count_if(F.size("violations") > 0).alias("n"))
     validity = m.validity_rate(quality.validate_requests(fx("feature_rows")), F.col("valid"))
     labelled = scores.join(fx("fraud_labels"), "transaction_id")
@@ -108,16 +107,14 @@ def snapshot(fx):
     hours = gold.gold_fraud_hourly(scores)
     costs = m.cost_metrics(fx("billing"), scores, *BILLING_PERIOD)
     return m.metrics_snapshot(
-        m.metric(latency, "streaming_ingestion", "event_latency_p99", "p99"),
-        m.metric(latency, "streaming_ingestion", "delivery_success_rate", "ok"),
-        m.metric(dlq, "streaming_ingestion", "dlq_count", "n"),
-        m.metric(m.freshness(fx("tx_events"), "event_time", NOW), "bronze", "data_freshness", "freshness_minutes"),
-        m.metric(drift, "bronze", "schema_drift_count", "n"),
-        m.metric(validity, "silver", "feature_validity_rate", "validity_rate"),
-        m.metric(accuracy, "ml", "model_accuracy", "model_accuracy"),
-        m.metric(m.freshness(hours, "hour_bucket", NOW), "warehouse", "table_freshness", "freshness_minutes"),
-        m.metric(costs, "cost", "daily_spend", "daily_spend"),
-        m.metric(costs, "cost", "cost_per_prediction", "cost_per_prediction"),
+        m.metrics(latency, "streaming_ingestion", event_latency_p99="p99", delivery_success_rate="ok"),
+        m.metrics(dlq, "streaming_ingestion", dlq_count="n"),
+        m.metrics(m.freshness(fx("tx_events"), "event_time", NOW), "bronze", data_freshness="freshness_minutes"),
+        m.metrics(drift, "bronze", schema_drift_count="n"),
+        m.metrics(validity, "silver", feature_validity_rate="validity_rate"),
+        m.metrics(accuracy, "ml", model_accuracy="model_accuracy"),
+        m.metrics(m.freshness(hours, "hour_bucket", NOW), "warehouse", table_freshness="freshness_minutes"),
+        m.metrics(costs, "cost", daily_spend="daily_spend", cost_per_prediction="cost_per_prediction"),
     )
 
 
@@ -128,9 +125,7 @@ def _(fx):
 
 @query("join_slo", f"SELECT layer, metric, round(value, 4) AS value, slo FROM ({SNAPSHOT_SQL}) s JOIN {{slo_targets}} USING (layer, metric)")
 def _(fx):
-    from ledgerlake.operators.relations import join_slo
-
-    return rounded(join_slo(snapshot(fx), fx("slo_targets")), 4, "value")
+    return rounded(relations.join_slo(snapshot(fx), fx("slo_targets")), 4, "value")
 
 
 LOWER = ", ".join(f"'{m}'" for m in monitoring.LOWER_IS_BETTER)

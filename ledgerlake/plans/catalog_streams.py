@@ -1,5 +1,7 @@
 """Streaming jobs. Each runs over files derived from the given tables until none is left."""
 
+from math import ceil
+
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import models
@@ -22,15 +24,19 @@ def run(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arriving(fx, view: str, build, name: str, arrivals: int = 4):
-    """The view delivered in time order, a quarter of its period at a time.
+ROWS_PER_ARRIVAL = 2_000_000
+
+
+def arriving(fx, view: str, build, name: str):
+    """The view delivered in time order, a fraction of its period at a time.
 
     After each delivery the stream runs until its input is used up and stops; the next run resumes
     from the checkpoint. Returns the sink table.
     """
     spark, df = fx.spark, fx(view)
     src, dst, checkpoint = (shared_dir(spark, d) for d in ("arriving", name, "checkpoint"))
-    first, last = df.agg(F.min("event_time"), F.max("event_time")).first()
+    first, last, n = df.agg(F.min("event_time"), F.max("event_time"), F.count(F.lit(1))).first()
+    arrivals = max(4, ceil(n / ROWS_PER_ARRIVAL))
     step = (last - first) / arrivals
     for i in range(arrivals):
         rows = df if i == 0 else df.where(F.col("event_time") >= F.lit(first + i * step))
@@ -79,7 +85,10 @@ def _(fx):
 
 @query("stream_dedup", "SELECT DISTINCT event_id, event_time FROM {tx_deliveries}")
 def _(fx):
-    return arriving(fx, "tx_deliveries", lambda s: pipelines.stream_dedup(s).select("event_id", "event_time"), "unique")
+    def build(s):
+        return pipelines.stream_dedup(s, spread="seq").select("event_id", "event_time")
+
+    return arriving(fx, "tx_deliveries", build, "unique")
 
 
 @query(

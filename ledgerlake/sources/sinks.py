@@ -18,6 +18,7 @@ from ledgerlake.session import shared_dir
 RESERVED = ("SELECT", "DROP", "DELETE", "INSERT", "UPDATE", "EXEC", "EXECUTE", "ALTER", "CREATE", "TRUNCATE",
             "MERGE", "UNION", "GRANT", "REVOKE")
 MAX_ERRORS = 100
+MAX_LISTED = 5_000  # partition values spelled out in a filter
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # the default would drop microseconds
 
 
@@ -68,6 +69,16 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
     stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def _in_partitions_of(table: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """The partitions of the table that ``rows`` fall into: pruned by a list of values while it is
+    short, else by a semi join."""
+    values = rows.select(column).distinct()
+    found = [r[0] for r in values.limit(MAX_LISTED + 1).collect()]
+    if len(found) <= MAX_LISTED:
+        return table.where(F.col(column).isin([v for v in found if v is not None]) | F.col(column).isNull())
+    return table.join(values, column, "left_semi")
+
+
 def load_table(
     df: DataFrame,
     root: str,
@@ -101,8 +112,7 @@ def load_table(
     else:
         existing = spark.read.parquet(path)
         if partition_by:
-            touched = [r[0] for r in df.select(partition_by).distinct().collect()]  # partition values, few
-            existing = existing.where(F.col(partition_by).isin(touched))
+            existing = _in_partitions_of(existing, good, partition_by)
             merged = upsert_latest(existing.select(*df.columns), good, keys)
             replace_partitions(merged, path, parts)
         else:
