@@ -15,14 +15,17 @@ WM = datetime(2024, 1, 15, 10, 30)
 WM_SQL = "TIMESTAMP '2024-01-15 10:30:00'"
 T0, T1 = "2024-01-15 12:00:00", "2024-02-01 00:00:00"
 
+# Averages of two-digit scores: enough digits that no exact result lies half-way between two of them.
+DIGITS = 10
+
 FRAUD_MEASURES = """count(transaction_id) AS total_transactions, count(*) FILTER (WHERE fraud_score >= 0.7) AS flagged_transactions,
-    count(*) FILTER (WHERE fraud_score >= 0.85) AS high_risk_count, round(avg(fraud_score), 6) AS avg_fraud_score,
-    round(count(*) FILTER (WHERE fraud_score >= 0.7) / count(transaction_id), 6) AS fraud_rate"""
+    count(*) FILTER (WHERE fraud_score >= 0.85) AS high_risk_count, round(avg(fraud_score), 10) AS avg_fraud_score,
+    round(count(*) FILTER (WHERE fraud_score >= 0.7) / count(transaction_id), 10) AS fraud_rate"""
 FRAUD_HOURLY = f"SELECT date_trunc('hour', event_time) AS hour_bucket, {FRAUD_MEASURES} FROM {{tx_scores}} GROUP BY 1"
 
 
 def fraud_hourly(df, **kw):
-    return rounded(gold.gold_fraud_hourly(df, **kw), 6, "avg_fraud_score", "fraud_rate")
+    return rounded(gold.gold_fraud_hourly(df, **kw), DIGITS, "avg_fraud_score", "fraud_rate")
 
 
 @query("gold_fraud_hourly", FRAUD_HOURLY)
@@ -33,11 +36,11 @@ def _(fx):
 @query(
     "gold_risk_daily",
     """SELECT CAST(event_time AS DATE) AS date, risk_band, count(DISTINCT account_id) AS account_count,
-              round(avg(score), 6) AS avg_score, round(sum(score), 6) AS total_exposure
+              round(avg(score), 10) AS avg_score, round(sum(score), 6) AS total_exposure
        FROM {risk_scores} GROUP BY 1, 2""",
 )
 def _(fx):
-    return rounded(gold.gold_risk_daily(fx("risk_scores")), 6, "avg_score", "total_exposure")
+    return rounded(rounded(gold.gold_risk_daily(fx("risk_scores")), DIGITS, "avg_score"), 6, "total_exposure")
 
 
 SEGMENT = "CASE WHEN churn_probability >= 0.7 THEN 'high_risk' WHEN churn_probability >= 0.4 THEN 'medium_risk' ELSE 'low_risk' END"
@@ -46,17 +49,17 @@ SEGMENT = "CASE WHEN churn_probability >= 0.7 THEN 'high_risk' WHEN churn_probab
 @query(
     "gold_churn_weekly",
     f"""SELECT CAST(date_trunc('week', event_time) AS DATE) AS week, {SEGMENT} AS risk_segment,
-               count(DISTINCT customer_id) AS customer_count, round(avg(churn_probability), 6) AS avg_churn_probability,
+               count(DISTINCT customer_id) AS customer_count, round(avg(churn_probability), 10) AS avg_churn_probability,
                count(*) FILTER (WHERE confidence >= 0.8) AS high_confidence_count
         FROM {{churn_scores}} GROUP BY 1, 2""",
 )
 def _(fx):
-    return rounded(gold.gold_churn_weekly(fx("churn_scores")), 6, "avg_churn_probability")
+    return rounded(gold.gold_churn_weekly(fx("churn_scores")), DIGITS, "avg_churn_probability")
 
 
 @query("gold_churn_approx")
 def _(fx):
-    return rounded(gold.gold_churn_approx(fx("churn_scores")), 6, "avg_churn_probability")
+    return rounded(gold.gold_churn_approx(fx("churn_scores")), DIGITS, "avg_churn_probability")
 
 
 PERIOD = ("1995-01-01", "1997-12-31")
@@ -152,7 +155,7 @@ def _(fx):
     old, scores = _old_and_new_gold(fx)
     new = gold.gold_fraud_hourly(incremental.new_rows(scores, WM), batch_ts=T1)
     merged = incremental.upsert_latest(old, new, ["hour_bucket"]).drop("created_at")
-    return rounded(merged, 6, "avg_fraud_score", "fraud_rate")
+    return rounded(merged, DIGITS, "avg_fraud_score", "fraud_rate")
 
 
 @query("gold_incremental", FRAUD_HOURLY)
@@ -162,7 +165,7 @@ def _(fx):
         scores, WM, lambda df: gold.gold_fraud_hourly(df, batch_ts=T1), incremental.hour_bucket
     )
     merged = incremental.merge_buckets(old, refreshed, ["hour_bucket"]).drop("created_at", "updated_at")
-    return rounded(merged, 6, "avg_fraud_score", "fraud_rate")
+    return rounded(merged, DIGITS, "avg_fraud_score", "fraud_rate")
 
 
 @query(

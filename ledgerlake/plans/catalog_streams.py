@@ -8,7 +8,7 @@ from ledgerlake.operators import models
 from ledgerlake.plans import silver
 from ledgerlake.plans.catalog import query
 from ledgerlake.plans.catalog_features import SILVER_FRAUD, rounded
-from ledgerlake.plans.catalog_gold import FRAUD_HOURLY
+from ledgerlake.plans.catalog_gold import DIGITS, FRAUD_HOURLY
 from ledgerlake.plans.catalog_lake import bronze_files, raw_stream
 from ledgerlake.plans.catalog_models import fraud_sets
 from ledgerlake.session import shared_dir
@@ -98,7 +98,7 @@ def _(fx):
 )
 def _(fx):
     """The hours the watermark (one hour behind the newest event) has passed; the rest is still open."""
-    return rounded(arriving(fx, "tx_scores", pipelines.stream_gold_hourly, "hourly"), 6, "avg_fraud_score", "fraud_rate")
+    return rounded(arriving(fx, "tx_scores", pipelines.stream_gold_hourly, "hourly"), DIGITS, "avg_fraud_score", "fraud_rate")
 
 
 @query("stream_velocity", SILVER_FRAUD)
