@@ -37,7 +37,7 @@ def check_contract(df: DataFrame, contract: Contract, mode: str = "split") -> Da
             rules.append((f"{name}:type", F.col(name).isNotNull() & F.col(name).try_cast(dtype).isNull()))
     checked = df.withColumn("violations", _violations(rules))
     if mode == "fail":
-        bad = checked.groupBy(F.explode("violations").alias("rule")).count().collect()  # one row per rule
+        bad = checked.select(F.explode("violations").alias("rule")).groupBy("rule").count().collect()  # one row per rule
         if bad:
             raise QualityError(f"{contract.name}: " + ", ".join(f"{r['rule']}={r['count']}" for r in bad))
         return df

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import sys
+from collections import Counter
 from collections.abc import Iterator
+from math import log2
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ledgerlake.functions.geo import EARTH_RADIUS_KM
 from ledgerlake.operators.features import DEVICE_ROWS, MICROS, VELOCITY_SECONDS
 
+# The processor travels to the executors by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE = "lat double, lon double, devices array<string>, times array<bigint>"
 OUTPUT = (
     "customer_id string, transaction_id string, event_time timestamp, tx_velocity_1m bigint, "
@@ -29,8 +36,8 @@ def _distance_km(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
 
 
 def _entropy(devices: list[str]) -> float:
-    p = np.unique(np.asarray(devices, dtype=object).astype(str), return_counts=True)[1] / len(devices)
-    return float(-(p * np.log2(p)).sum()) + 0.0
+    n = len(devices)
+    return sum(-c / n * log2(c / n) for c in Counter(devices).values()) + 0.0
 
 
 class CustomerState(StatefulProcessor):
@@ -41,7 +48,9 @@ class CustomerState(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         # The rows of one customer in one micro-batch, which the trigger bounds.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["event_time", "event_id"], kind="stable")
+        parts = list(rows)
+        batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        batch = batch.iloc[np.lexsort((batch["event_id"].to_numpy(), batch["event_time"].to_numpy()))]
         lat, lon, devices, times = np.nan, np.nan, [], np.empty(0, dtype="int64")
         if self.seen.exists():
             old_lat, old_lon, old_devices, old_times = self.seen.get()
@@ -58,7 +67,7 @@ class CustomerState(StatefulProcessor):
         lons = np.concatenate([[lon], batch["longitude"].to_numpy("float64", na_value=np.nan)])
         distance = np.nan_to_num(_distance_km(lats, lons), nan=0.0)
 
-        trail = devices + batch["device_id"].fillna("").tolist()
+        trail = devices + [d or "" for d in batch["device_id"].tolist()]
         ends = range(len(devices) + 1, len(trail) + 1)
         entropy = [_entropy(trail[max(0, e - DEVICE_ROWS) : e]) for e in ends]
 
