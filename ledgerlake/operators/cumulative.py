@@ -16,17 +16,20 @@ ONE_TASK = 100_000  # distinct values of a group that one task may sort
 
 
 def running_totals(
-    df: DataFrame, value: str, sums: list[str], group: str, one_task: int = ONE_TASK
+    df: DataFrame, value: str, sums: list[str], group: str | None = None, one_task: int = ONE_TASK
 ) -> DataFrame:
     """Add ``cum_<s>`` = sum of s over the group's rows with a value up to and including this one,
     and ``total_<s>`` = sum of s over the group.
 
     ``df`` must hold one row per (group, value): aggregate first, which also folds a value that
-    holds a large share of the rows into a single row. The groups are few (columns of a table).
+    holds a large share of the rows into a single row. The groups, if any, are few (columns of a
+    table).
     """
+    keys = [group] if group else []
+    totals = [f"total_{s}" for s in sums]
     probs = [i / RANGES for i in range(1, RANGES)]
     found = (
-        df.groupBy(group)
+        df.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.percentile_approx(value, probs, 10_000).alias("cuts"),
@@ -34,31 +37,37 @@ def running_totals(
         )
         .collect()  # one row per group
     )
-    totals = [f"total_{s}" for s in sums]
-    key = f"`{group}` {df.schema[group].dataType.simpleString()}"
-    per_group = df.sparkSession.createDataFrame(
-        [(r[group], sorted({float(c) for c in r["cuts"]}), *[r[t] for t in totals]) for r in found],
-        ", ".join([key, "__cuts array<double>", *[f"{t} bigint" for t in totals]]),
-    )
-    df = df.join(F.broadcast(per_group), group)
-    if all(r["n"] <= one_task for r in found):
-        upto = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    small = all(r["n"] <= one_task for r in found)
+    cuts = [sorted({float(c) for c in (r["cuts"] or [])}) for r in found]
+    if group:
+        per_group = df.sparkSession.createDataFrame(
+            [(r[group], c, *[r[t] for t in totals]) for r, c in zip(found, cuts)],
+            f"`{group}` {df.schema[group].dataType.simpleString()}, __cuts array<double>, "
+            + ", ".join(f"{t} bigint" for t in totals),
+        )
+        df = df.join(F.broadcast(per_group), group)
+    else:
+        df = df.withColumns({t: F.lit(found[0][t]).cast("bigint") for t in totals})
+        df = df.withColumn("__cuts", F.array(*[F.lit(c) for c in cuts[0]]).cast("array<double>"))
+
+    if small:
+        upto = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
         return df.drop("__cuts").withColumns({f"cum_{s}": F.sum(s).over(upto) for s in sums})
 
     ranged = df.withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
-    earlier = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy(group, "__range")
+        ranged.groupBy(*keys, "__range")
         .agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
         .select(
-            group,
+            *keys,
             "__range",
             *[F.coalesce(F.sum(f"__t_{s}").over(earlier), F.lit(0)).alias(f"__o_{s}") for s in sums],
         )
     )
-    inside = Window.partitionBy(group, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        ranged.join(F.broadcast(offsets), [group, "__range"])  # at most RANGES rows per group
+        ranged.join(F.broadcast(offsets), [*keys, "__range"])  # at most RANGES rows per group
         .withColumns({f"cum_{s}": F.sum(s).over(inside) + F.col(f"__o_{s}") for s in sums})
         .drop("__range", *[f"__o_{s}" for s in sums])
     )

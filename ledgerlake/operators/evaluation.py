@@ -25,10 +25,10 @@ def eval_binary(scored: DataFrame, label: str, score: str, threshold: float = 0.
     s, positive = clean_double(F.col(score)), F.col(label).cast("int") == 1
     per_score = (
         scored.where(s.isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.lit(0).alias("g"), s.alias("s"))
+        .groupBy(s.alias("s"))
         .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
     )
-    ranked = running_totals(per_score, "s", ["neg"], "g", one_task)
+    ranked = running_totals(per_score, "s", ["neg"], one_task=one_task)
     hit = F.col("s") > threshold
 
     def total(c: str, when=None):

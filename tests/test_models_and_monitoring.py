@@ -82,12 +82,13 @@ def test_metrics_of_a_silent_model(spark):
     assert (r["precision"], r["recall"], r["f1"], r["auc"]) == (0.0, 0.0, 0.0, 1.0)  # 0.5 is not above 0.5
 
 
-def test_running_totals_over_ranges_equal_a_plain_window(spark):
+@pytest.mark.parametrize("group", ["g", None])
+def test_running_totals_over_ranges_equal_a_plain_window(spark, group):
     rng = random.Random(5)
     values = sorted({rng.choice([rng.gauss(0, 1), float(rng.randrange(5))]) for _ in range(3000)})
     df = spark.createDataFrame([("g", v, i % 7) for i, v in enumerate(values)], "g string, v double, n int")
-    a = running_totals(df, "v", ["n"], "g", one_task=10**6)
-    b = running_totals(df, "v", ["n"], "g", one_task=1)
+    a = running_totals(df, "v", ["n"], group, one_task=10**6)
+    b = running_totals(df, "v", ["n"], group, one_task=1)
     pick = lambda d: sorted((r["v"], r["cum_n"], r["total_n"]) for r in d.collect())
     assert pick(a) == pick(b)
 
