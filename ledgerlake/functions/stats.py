@@ -1,18 +1,28 @@
 """Statistical column expressions."""
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def entropy_bits(values: Column) -> Column:
-    """Shannon entropy (base 2) of a short array."""
-    n = F.size(values)
+def entropy_bits(values: list[Column]) -> Column:
+    """Shannon entropy (base 2) of a few columns, nulls left out.
+
+    With n values of which c equal the i-th, it is log2(n) minus the mean of log2(c) over i. Plain
+    arithmetic on columns stays in generated code, which functions over arrays do not.
+    """
+    def add(parts: list[Column]) -> Column:
+        return reduce(lambda a, b: a + b, parts)
 
-    def term(v: Column) -> Column:
-        p = F.size(F.filter(values, lambda x: x == v)) / n
-        return -p * F.log2(p)
+    def one_if(c: Column) -> Column:
+        return F.coalesce(c, F.lit(False)).cast("int")
 
-    return F.aggregate(F.array_distinct(values), F.lit(0.0), lambda acc, v: acc + term(v))
+    n = add([one_if(v.isNotNull()) for v in values])
+    logs = add([
+        F.when(v.isNotNull(), F.log2(add([one_if(v == other) for other in values]))).otherwise(0.0) for v in values
+    ])
+    return F.log2(n) - logs / n
 
 
 def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:

@@ -98,22 +98,26 @@ def hash_keys(df: DataFrame, columns: list[str], name: str = "surrogate_key") ->
     return df.withColumn(name, F.xxhash64(*columns))
 
 
-def assign_keys(df: DataFrame, order: list[str], start: int = 0, name: str = "surrogate_key", buckets: int = 1024
-                ) -> DataFrame:
+ROWS_PER_BUCKET, MAX_BUCKETS = 1_000_000, 16_384
+
+
+def assign_keys(df: DataFrame, order: list[str], start: int = 0, name: str = "surrogate_key") -> DataFrame:
     """Dense keys ``start + 1 ..`` without a global sort.
 
-    Rows are spread over hash buckets of the (unique) order columns; the bucket sizes, ``buckets``
-    numbers on the driver, give each bucket its offset.
+    Rows are spread over hash buckets of the (unique) order columns; the bucket sizes, at most
+    MAX_BUCKETS numbers on the driver, give each bucket its offset.
     """
+    buckets = min(MAX_BUCKETS, 1 + df.count() // ROWS_PER_BUCKET)
     bucketed = df.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
     sizes = {r["__b"]: r["count"] for r in bucketed.groupBy("__b").count().collect()}
-    offset, total = [], start
-    for b in range(buckets):
-        offset.append(total)
-        total += sizes.get(b, 0)
-    offsets = F.array(*[F.lit(o).cast("bigint") for o in offset])
+    offsets, total = [], start
+    for b in sorted(sizes):
+        offsets.append((b, total))
+        total += sizes[b]
+    table = df.sparkSession.createDataFrame(offsets, "__b int, __offset bigint")
     position = F.row_number().over(Window.partitionBy("__b").orderBy(*order))
-    return bucketed.withColumn(name, F.get(offsets, F.col("__b")) + position).drop("__b")
+    keyed = bucketed.withColumn("__n", position).join(F.broadcast(table), "__b")  # at most MAX_BUCKETS rows
+    return keyed.select(*df.columns, (F.col("__offset") + F.col("__n")).alias(name))
 
 
 def dim_date(spark, first_year: int = 2020, last_year: int = 2030) -> DataFrame:

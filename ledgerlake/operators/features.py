@@ -82,11 +82,13 @@ def geo_distance(lat: str = "latitude", lon: str = "longitude") -> Feature:
 
 
 def device_entropy(rows: int = DEVICE_ROWS, device: str = "device_id") -> Feature:
+    """Entropy of the last few devices; a missing id is a value of its own."""
     used = F.coalesce(F.col(device), F.lit(""))
+    earlier = [f"__device{i}" for i in range(1, rows)]
     return Feature(
         "device_entropy",
-        lambda w: {"__devices": F.collect_list(used).over(w.rowsBetween(1 - rows, 0))},
-        lambda: entropy_bits(F.col("__devices")),
+        lambda w: {name: F.lag(used, i).over(w) for i, name in enumerate(earlier, 1)},
+        lambda: entropy_bits([used, *[F.col(name) for name in earlier]]),
     )
 
 

@@ -4,7 +4,7 @@ A plain ``Window.partitionBy(entity)`` gives every row of an entity to one task.
 entities above a row limit are found with a partial aggregate and cut into consecutive
 *slices* of time; each slice also receives the few earlier rows its windows look back on
 (its *halo*), so a window over ``(entity, slice)`` returns what the window over the whole
-entity would. All other entities take the plain window.
+entity would. All other entities are a single slice.
 
 The cut points are the only thing that reaches the driver. Their number is bounded by
 ``2 * MAX_SLICES`` whatever the data, and because they are held as literals a recomputed
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = 2_000_000  # rows of one entity a single task may sort
 MAX_SLICES = 4096  # upper bound of hot entities, and of cuts per data set
 
-_SLICE, _HALO, _POS, _LAST, _CUTS = "__slice", "__halo", "__pos", "__last", "__cuts"
+_SLICE, _HALO, _POS, _LAST, _CUTS, _TAILS = "__slice", "__halo", "__pos", "__last", "__cuts", "__tails"
 
 
 def hot_entities(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame | None, int]:
@@ -50,69 +50,74 @@ def split_hot(df: DataFrame, key: str, hot: DataFrame | None) -> tuple[DataFrame
     return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")
 
 
-def _cut_table(rows: DataFrame, key: str, cell: int, limit: int) -> DataFrame:
-    """(key, sorted slice starts) from an exact histogram of positions, cell by cell."""
+def _cut_table(rows: DataFrame, key: str, cell: int, limit: int, tail: int) -> DataFrame:
+    """Per hot entity: where its slices start, and from where on each holds its last ``tail`` rows.
+
+    Derived from an exact histogram of positions, so it is the same in every run.
+    """
     cells = rows.groupBy(key, F.floor(F.col(_POS) / cell).alias("c")).agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy(key).orderBy("c")) - F.col("n")
-    starts = (
-        cells.withColumn("s", F.floor(before / limit))
+    sliced = cells.withColumn("s", F.floor(before / limit))
+    after = F.sum("n").over(Window.partitionBy(key, "s").orderBy(F.desc("c"))) - F.col("n")
+    found = (
+        sliced.withColumn("after", after)
         .groupBy(key, "s")
-        .agg((F.min("c") * cell).alias("start"))
-        .collect()
+        .agg((F.min("c") * cell).alias("start"), (F.min(F.when(F.col("after") < tail, F.col("c"))) * cell).alias("tail"))
+        .collect()  # at most 2 * MAX_SLICES rows
     )
-    cuts: dict = {}
-    for r in starts:
-        cuts.setdefault(r[key], []).append((r["s"], r["start"]))
+    per_key: dict = {}
+    for r in sorted(found, key=lambda r: r["s"]):
+        per_key.setdefault(r[key], []).append((r["start"], r["tail"]))
     # The first slice is open to the left, so its start is not a cut.
-    data = [(k, [int(p) for _, p in sorted(v)][1:]) for k, v in cuts.items()]
+    data = [(k, [int(p) for p, _ in v[1:]], [None if t is None else int(t) for _, t in v]) for k, v in per_key.items()]
     key_type = rows.schema[key].dataType.simpleString()
-    return rows.sparkSession.createDataFrame(data, f"`{key}` {key_type}, {_CUTS} array<bigint>")
+    schema = f"`{key}` {key_type}, {_CUTS} array<bigint>, {_TAILS} array<bigint>"
+    return rows.sparkSession.createDataFrame(data, schema)
 
 
 def _slice_of(position: Column) -> Column:
-    return F.size(F.filter(F.col(_CUTS), lambda c: c <= position))
+    """Number of cuts up to a position; 0 for an entity that is not cut."""
+    return F.coalesce(F.size(F.filter(F.col(_CUTS), lambda c: c <= position)), F.lit(0))
 
 
-def _with_halo(rows: DataFrame, key: str, seq: str, tail: int, span: int, cell: int, limit: int) -> DataFrame:
-    cuts = _cut_table(rows, key, cell, limit)
+def _with_halo(rows: DataFrame, key: str, seq: str, tail: int, span: int, cell: int, limit: int, hot: DataFrame
+               ) -> DataFrame:
+    """Rows with their slice, and copies (``__halo``) of the rows each slice has to look back on."""
+    _, busy = split_hot(rows, key, hot)
+    cuts = _cut_table(busy, key, cell, limit, tail)
+    data_cols = rows.columns
     tagged = (
-        rows.join(F.broadcast(cuts), key)
+        rows.join(F.broadcast(cuts), key, "left")  # at most MAX_SLICES rows
+        .select(*data_cols, _CUTS, _TAILS)
         .withColumn(_SLICE, _slice_of(F.col(_POS)))
         .withColumn(_LAST, _slice_of(F.col(_POS) + span))
-        .drop(_CUTS)
     )
-    data_cols = [c for c in tagged.columns if c not in (_SLICE, _LAST)]
-    own = tagged.select(*data_cols, _SLICE, F.lit(False).alias(_HALO))
-    parts = [own]
-    if span:
-        parts.append(
-            tagged.where(F.col(_LAST) > F.col(_SLICE))
-            .withColumn(_SLICE, F.explode(F.sequence(F.col(_SLICE) + 1, F.col(_LAST))))
-            .select(*data_cols, _SLICE, F.lit(True).alias(_HALO))
-        )
-    if tail:
-        # The last `tail` rows before a slice are among the last `tail` rows of each earlier
-        # slice. The rank filter is pruned before the shuffle (WindowGroupLimit), which leaves
-        # at most slices * tail rows per entity here.
-        newest = Window.partitionBy(key, _SLICE).orderBy(F.desc(_POS), F.desc(seq))
-        tails = tagged.withColumn("__r", F.row_number().over(newest)).where(F.col("__r") <= tail)
-        in_order = Window.partitionBy(key).orderBy(_POS, seq)
-        carried = (
-            tails.withColumn("__prev", F.lag(_SLICE).over(in_order))
-            .withColumn(
-                "__carry",
-                F.collect_list(F.struct(*data_cols, _LAST)).over(in_order.rowsBetween(-tail, -1)),
-            )
-            .where(F.col("__prev") < F.col(_SLICE))  # first row of every later slice
-            .select(F.col(_SLICE), F.explode("__carry").alias("h"))
-            # rows within `span` of the slice have already been copied to it
-            .where(F.col(f"h.{_LAST}") < F.col(_SLICE))
-        )
-        parts.append(carried.select(*[F.col(f"h.{c}").alias(c) for c in data_cols], _SLICE, F.lit(True).alias(_HALO)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    reached = F.explode(F.sequence(_SLICE, _LAST)) if span else F.col(_SLICE)
+    out = (
+        tagged.withColumn("__to", reached)
+        .select(*data_cols, F.col("__to").alias(_SLICE), (F.col("__to") > F.col(_SLICE)).alias(_HALO))
+    )
+    if not tail:
+        return out
+    # The last `tail` rows before a slice are among the last `tail` rows of the earlier slices.
+    # The histogram tells where those begin, so few rows are ranked: at most slices * tail remain.
+    newest = Window.partitionBy(key, _SLICE).orderBy(F.desc(_POS), F.desc(seq))
+    tails = (
+        tagged.where(F.col(_CUTS).isNotNull() & (F.col(_POS) >= F.get(F.col(_TAILS), F.col(_SLICE))))
+        .select(*data_cols, _SLICE, _LAST)
+        .withColumn("__r", F.row_number().over(newest))
+        .where(F.col("__r") <= tail)
+    )
+    in_order = Window.partitionBy(key).orderBy(_POS, seq)
+    lookback = F.collect_list(F.struct(*data_cols, _LAST)).over(in_order.rowsBetween(-tail, -1))
+    carried = (
+        tails.withColumns({"__prev": F.lag(_SLICE).over(in_order), "__carry": lookback})
+        .where(F.col("__prev") < F.col(_SLICE))  # first row of every later slice
+        .select(F.col(_SLICE), F.explode("__carry").alias("h"))
+        .where(F.col(f"h.{_LAST}") < F.col(_SLICE))  # the others were copied for their nearness
+        .select(*[F.col(f"h.{c}").alias(c) for c in data_cols], _SLICE, F.lit(True).alias(_HALO))
+    )
+    return out.unionByName(carried)
 
 
 def over_entity(
@@ -140,7 +145,7 @@ def over_entity(
     row is copied at most once.
     """
     found, limit = hot if hot is not None else hot_entities(df, key, hot_rows)
-    calm, busy = split_hot(df.withColumn(_POS, pos.cast("bigint")), key, found)
+    placed = df.withColumn(_POS, pos.cast("bigint"))
 
     def computed(rows: DataFrame, *partition: str) -> DataFrame:
         # Rows without an entity belong to no group: their columns stay null, and each is its
@@ -152,9 +157,7 @@ def over_entity(
             *rows.columns, *[F.when(known, c).alias(name) for name, c in derive().items()]
         )
 
-    out = computed(calm).drop(_POS)
-    if busy is None:
-        return out
-    sliced = _with_halo(busy, key, seq, tail, span, cell, limit)
-    busy_out = computed(sliced, _SLICE).where(~F.col(_HALO)).drop(_POS, _SLICE, _HALO)
-    return out.unionByName(busy_out)
+    if found is None:
+        return computed(placed).drop(_POS)
+    sliced = _with_halo(placed, key, seq, tail, span, cell, limit, found)
+    return computed(sliced, _SLICE).where(~F.col(_HALO)).drop(_POS, _SLICE, _HALO)

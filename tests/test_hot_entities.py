@@ -87,8 +87,9 @@ def test_rows_without_entity_have_no_features(skewed):
 def test_hot_entity_is_cut_into_bounded_slices(skewed):
     found, limit = hotkeys.hot_entities(skewed, "customer_id", HOT)
     assert [r["customer_id"] for r in found.collect()] == ["hot"] and limit == HOT
-    _, busy = hotkeys.split_hot(skewed.withColumn("__pos", F.unix_micros("event_time")), "customer_id", found)
-    sliced = hotkeys._with_halo(busy, "customer_id", "event_id", 4, 60_000_000, 60_000_000, 200)
+    placed = skewed.withColumn("__pos", F.unix_micros("event_time"))
+    sliced = hotkeys._with_halo(placed, "customer_id", "event_id", 4, 60_000_000, 60_000_000, 200, found)
+    sliced = sliced.where("customer_id = 'hot'")
     sizes = [r["count"] for r in sliced.groupBy("__slice").count().collect()]
     assert len(sizes) >= 8
     assert max(sizes) < 400

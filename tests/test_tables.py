@@ -233,3 +233,10 @@ def test_backfill_of_a_day_equals_the_full_build(fx):
 
     full = silver_fraud(fx("tx_events")).where("CAST(event_time AS DATE) = DATE '2024-01-09'")
     assert content(operations.backfill_silver(fx("tx_events"), silver_fraud, "event_time", date(2024, 1, 9))) == content(full)
+
+
+def test_dense_keys_over_many_buckets(fx, monkeypatch):
+    monkeypatch.setattr(dimensions, "ROWS_PER_BUCKET", 10)
+    src = fx("customer_src_v2").select("customer_id")
+    keys = sorted(r["surrogate_key"] for r in dimensions.assign_keys(src, ["customer_id"]).collect())
+    assert keys == list(range(1, len(keys) + 1))
