@@ -6,6 +6,7 @@ from collections.abc import Callable
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.plans.fixtures import Fixtures, duckdb_sql
 
@@ -14,11 +15,18 @@ CHECKS: dict[str, str] = {}
 PARTS = ("lake", "features", "gold", "history", "privacy", "models", "operations", "streams")
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, dates: tuple[str, ...] = ()):
+    """Register a query. ``dates`` are compared as text: the two engines hand dates to Python
+    as different types."""
+
     def register(fn: Callable[[Fixtures], DataFrame]):
-        QUERIES[name] = fn
+        def as_text(fx: Fixtures) -> DataFrame:
+            return fn(fx).withColumns({c: F.col(c).cast("string") for c in dates})
+
+        QUERIES[name] = as_text if dates else fn
         if sql is not None:
-            CHECKS[name] = sql
+            casts = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in dates)
+            CHECKS[name] = f"SELECT * REPLACE ({casts}) FROM ({sql}) q" if dates else sql
         return fn
 
     return register

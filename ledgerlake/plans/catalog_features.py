@@ -85,6 +85,7 @@ def _(fx):
     f"""SELECT seq, account_id, snapshot_date, {HISTORY} AS repayment_history, {VOLATILITY} AS balance_volatility,
                {DELINQUENCY} AS delinquency_trends
         FROM {{account_snapshots}}""",
+    dates=("snapshot_date",),
 )
 def _(fx):
     df = silver.silver_credit(fx("account_snapshots")).withColumn("repayment_history", F.array_join("repayment_history", ","))

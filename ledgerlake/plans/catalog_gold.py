@@ -38,6 +38,7 @@ def _(fx):
     """SELECT CAST(event_time AS DATE) AS date, risk_band, count(DISTINCT account_id) AS account_count,
               round(avg(score), 10) AS avg_score, round(sum(score), 6) AS total_exposure
        FROM {risk_scores} GROUP BY 1, 2""",
+    dates=("date",),
 )
 def _(fx):
     return rounded(rounded(gold.gold_risk_daily(fx("risk_scores")), DIGITS, "avg_score"), 6, "total_exposure")
@@ -52,12 +53,13 @@ SEGMENT = "CASE WHEN churn_probability >= 0.7 THEN 'high_risk' WHEN churn_probab
                count(DISTINCT customer_id) AS customer_count, round(avg(churn_probability), 10) AS avg_churn_probability,
                count(*) FILTER (WHERE confidence >= 0.8) AS high_confidence_count
         FROM {{churn_scores}} GROUP BY 1, 2""",
+    dates=("week",),
 )
 def _(fx):
     return rounded(gold.gold_churn_weekly(fx("churn_scores")), DIGITS, "avg_churn_probability")
 
 
-@query("gold_churn_approx")
+@query("gold_churn_approx", dates=("week",))
 def _(fx):
     return rounded(gold.gold_churn_approx(fx("churn_scores")), DIGITS, "avg_churn_probability")
 
@@ -172,6 +174,7 @@ def _(fx):
     "load_table",
     """SELECT transaction_id, customer_id, fraud_score, event_time, CAST(event_time AS DATE) AS day FROM {dirty_scores}
        WHERE fraud_score IS NOT NULL""",
+    dates=("day",),
 )
 def _(fx):
     """Rows up to the watermark as a full load, then all rows incrementally; keys must not repeat."""

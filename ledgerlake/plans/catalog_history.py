@@ -89,13 +89,14 @@ def _(fx):
          SELECT CAST(unnest(generate_series(CAST(date_trunc('year', min(o_orderdate)) AS TIMESTAMP),
                 CAST(max(o_orderdate) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM {orders}),
        n AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS orders FROM {orders} GROUP BY 1)
-       SELECT CAST(strftime(d.date, '%Y%m%d') AS INT) AS date_key, d.date, year(d.date) AS year, quarter(d.date) AS quarter,
-              month(d.date) AS month, weekofyear(d.date) AS week, day(d.date) AS day_of_month,
-              isodow(d.date) - 1 AS day_of_week, dayname(d.date) AS day_name,
+       SELECT CAST(strftime(d.date, '%Y%m%d') AS INT) AS date_key, d.date, CAST(year(d.date) AS INT) AS year, CAST(quarter(d.date) AS INT) AS quarter,
+              CAST(month(d.date) AS INT) AS month, CAST(weekofyear(d.date) AS INT) AS week, CAST(day(d.date) AS INT) AS day_of_month,
+              CAST(isodow(d.date) - 1 AS INT) AS day_of_week, dayname(d.date) AS day_name,
               CASE WHEN isodow(d.date) >= 6 THEN 1 ELSE 0 END AS is_weekend, 0 AS is_holiday,
-              CASE WHEN month(d.date) >= 7 THEN year(d.date) ELSE year(d.date) - 1 END AS fiscal_year,
-              ((month(d.date) + 5) % 12) // 3 + 1 AS fiscal_quarter, coalesce(n.orders, 0) AS orders
+              CAST(CASE WHEN month(d.date) >= 7 THEN year(d.date) ELSE year(d.date) - 1 END AS INT) AS fiscal_year,
+              CAST(((month(d.date) + 5) % 12) // 3 + 1 AS INT) AS fiscal_quarter, coalesce(n.orders, 0) AS orders
        FROM d LEFT JOIN n ON n.date = d.date""",
+    dates=("date",),
 )
 def _(fx):
     """The calendar over the years of the orders, with the orders of each day."""

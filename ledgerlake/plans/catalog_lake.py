@@ -63,6 +63,7 @@ def _(fx):
     "scan_audit",
     """SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp, action, resource, "user", CAST(ts AS DATE) AS date
        FROM {audit_events} WHERE CAST(ts AS DATE) >= DATE '2024-01-15'""",
+    dates=("date",),
 )
 def _(fx):
     path = shared_dir(fx.spark, "audit")
@@ -138,14 +139,15 @@ def _(fx):
 
 @query(
     "ingest_credit_batch",
-    """SELECT seq, account_id, CAST(snapshot_date AS DATE) AS snapshot_date, CAST(balance AS DECIMAL(18,2)) AS balance,
+    """SELECT seq, account_id, CAST(snapshot_date AS DATE) AS snapshot_date, CAST(CAST(balance AS DECIMAL(18,2)) AS DOUBLE) AS balance,
               repayment_status
        FROM {account_text}
        WHERE try_cast(snapshot_date AS DATE) IS NOT NULL AND try_cast(balance AS DECIMAL(18,2)) IS NOT NULL""",
+    dates=("snapshot_date",),
 )
 def _(fx):
     good, _ = ingest.ingest_batch(fx("account_text"), BRONZE_CREDIT)
-    return good.select("seq", "account_id", "snapshot_date", "balance", "repayment_status")
+    return good.select("seq", "account_id", "snapshot_date", F.col("balance").cast("double").alias("balance"), "repayment_status")
 
 
 # --- contracts and quality --------------------------------------------------------------

@@ -273,6 +273,7 @@ BOUNDARIES = operations.relative_boundaries(date(2024, 1, 31), "DAILY")
               1 + CAST(event_time >= DATE '2024-01-01' AS INT) + CAST(event_time >= DATE '2024-01-24' AS INT)
                 + CAST(event_time >= DATE '2024-01-31' AS INT) AS partition_number
        FROM {tx_scores}""",
+    dates=("month",),
 )
 def _(fx):
     return operations.partition_assign(fx("tx_scores"), "event_time", BOUNDARIES).select(
@@ -292,6 +293,7 @@ def _(fx):
 @query(
     "audit_append",
     """SELECT CAST(ts AS DATE) AS date, action, count(*) AS events FROM {audit_events} GROUP BY 1, 2""",
+    dates=("date",),
 )
 def _(fx):
     path = shared_dir(fx.spark, "audit")

@@ -152,7 +152,7 @@ VIEWS = {
                CASE event_type WHEN 'view' THEN 'CPUUtilization' WHEN 'click' THEN 'MemoryUtilization'
                     WHEN 'error' THEN 'HTTPCode_Target_5XX_Count' WHEN 'purchase' THEN 'IteratorAgeMilliseconds'
                     ELSE 'Errors' END AS metric,
-               CASE event_type WHEN 'purchase' THEN k * 1000.0 WHEN 'error' THEN k / 10.0 ELSE k * 1.0 END AS value
+               CAST(CASE event_type WHEN 'purchase' THEN k * 1000 WHEN 'error' THEN k % 7 ELSE k END AS DOUBLE) AS value
         FROM {events_k}""",
     # scrapes of a counter per kind of event, restarting every day
     "counter_samples": """
