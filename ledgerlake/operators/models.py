@@ -133,24 +133,26 @@ def score_fraud(features: DataFrame, model: PipelineModel, version: str, scored_
 
 
 def band_scores(scores: DataFrame, score: str = "pd_score") -> DataFrame:
-    return scores.withColumn("risk_band", risk_band(clean_double(F.col(score))))
+    """A missing score has no band: it is not a low risk."""
+    s = clean_double(F.col(score))
+    return scores.withColumn("risk_band", F.when(s.isNotNull(), risk_band(s)))
 
 
 def segment_scores(scores: DataFrame, score: str = "churn_probability") -> DataFrame:
-    return scores.withColumn("segment", churn_segment(clean_double(F.col(score))))
+    s = clean_double(F.col(score))
+    return scores.withColumn("segment", F.when(s.isNotNull(), churn_segment(s)))
 
 
 def score_credit(features: DataFrame, model: PipelineModel, version: str, scored_at) -> DataFrame:
-    scored = band_scores(probability(model, encode_repayment(features), CREDIT, "pd_score").where("pd_score IS NOT NULL"))
+    """Every account row is answered; one without a volatility yet has no score."""
+    scored = band_scores(probability(model, encode_repayment(features), CREDIT, "pd_score"))
     return _stamped(scored, version, scored_at).select(
         "account_id", "pd_score", "risk_band", "model_version", "scored_at"
     )
 
 
 def score_churn(features: DataFrame, model: PipelineModel, version: str, scored_at) -> DataFrame:
-    scored = segment_scores(
-        probability(model, features, CHURN, "churn_probability").where("churn_probability IS NOT NULL")
-    )
+    scored = segment_scores(probability(model, features, CHURN, "churn_probability"))
     return _stamped(scored, version, scored_at).select(
         "customer_id", "churn_probability", "segment", "model_version", "scored_at"
     )

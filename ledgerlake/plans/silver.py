@@ -19,7 +19,8 @@ def _seal(df: DataFrame, dataset: str, key: bytes | None) -> DataFrame:
 
 def silver_fraud(tx: DataFrame, bronze_key: bytes | None = None, silver_key: bytes | None = None, *, tie: str = "event_id",
                  hot_rows: int = HOT_ROWS) -> DataFrame:
-    tx = _unseal(tx, "fraud", bronze_key)
+    needed = {tie, "transaction_id", "customer_id", "event_time", "device_id", "latitude", "longitude"}
+    tx = _unseal(tx.select(*sorted(needed)), "fraud", bronze_key)
     out = fraud_features(tx, tie=tie, hot_rows=hot_rows).select(
         "transaction_id", "customer_id", "event_time", "tx_velocity_1m", "geo_distance_km", "device_entropy"
     )
@@ -28,7 +29,8 @@ def silver_fraud(tx: DataFrame, bronze_key: bytes | None = None, silver_key: byt
 
 def silver_credit(snapshots: DataFrame, bronze_key: bytes | None = None, silver_key: bytes | None = None, *,
                   hot_rows: int = HOT_ROWS) -> DataFrame:
-    snapshots = _unseal(snapshots, "credit_risk", bronze_key)
+    needed = ("account_id", "snapshot_date", "seq", "balance", "repayment_status")
+    snapshots = _unseal(snapshots.select(*needed), "credit_risk", bronze_key)
     out = credit_features(snapshots, hot_rows=hot_rows).select(
         "account_id", "snapshot_date", "seq", "repayment_history", "balance_volatility", "delinquency_trends"
     )
@@ -37,7 +39,7 @@ def silver_credit(snapshots: DataFrame, bronze_key: bytes | None = None, silver_
 
 def silver_churn(crm: DataFrame, bronze_key: bytes | None = None, silver_key: bytes | None = None, *,
                  hot_rows: int = HOT_ROWS) -> DataFrame:
-    crm = _unseal(crm, "churn", bronze_key)
+    crm = _unseal(crm.select("customer_id", "event_time", "seq", "event_type"), "churn", bronze_key)
     out = churn_features(crm, hot_rows=hot_rows).select(
         "customer_id", "event_time", "seq", "transaction_decay", "login_inactivity", "complaint_frequency"
     )

@@ -25,10 +25,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(app: str = "ledgerlake", master: str | None = None, **conf: str) -> SparkSession:
+SHUFFLE_BYTES = 1024**3  # of input per shuffle partition
+
+
+def shuffle_partitions(input_bytes: int, least: int = 200) -> int:
+    """Shuffle partitions that keep one task's share in memory: about 100,000 for 100 TB.
+
+    Adaptive execution joins partitions that turn out small, so this is an upper bound. A stream
+    keeps the number it was first started with.
+    """
+    return max(least, -(-input_bytes // SHUFFLE_BYTES))
+
+
+def build_session(app: str = "ledgerlake", master: str | None = None, input_bytes: int | None = None, **conf: str
+                  ) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     for name, value in conf.items():
         builder = builder.config(name, value)
     return configure(builder.getOrCreate())

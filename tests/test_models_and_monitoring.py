@@ -24,9 +24,9 @@ def test_decisions_use_the_unrounded_score_and_fail_open(spark):
 
 
 def test_bands_and_segments(spark):
-    df = spark.createDataFrame([(0.5, 0.7), (0.2, 0.4), (0.1999, 0.3999)], "pd_score double, churn_probability double")
-    assert [r["risk_band"] for r in models.band_scores(df).collect()] == ["high", "medium", "low"]
-    assert [r["segment"] for r in models.segment_scores(df).collect()] == ["high_risk", "medium_risk", "low_risk"]
+    df = spark.createDataFrame([(0.5, 0.7), (0.2, 0.4), (0.1999, 0.3999), (None, None)], "pd_score double, churn_probability double")
+    assert [r["risk_band"] for r in models.band_scores(df).collect()] == ["high", "medium", "low", None]
+    assert [r["segment"] for r in models.segment_scores(df).collect()] == ["high_risk", "medium_risk", "low_risk", None]
 
 
 def test_scores_become_facts(spark):
@@ -50,6 +50,31 @@ def test_training_finds_the_signal_and_scores_every_row(spark):
     assert scored.where("error IS NOT NULL").count() == df.where("tx_velocity_1m <= 90").count()
 
 
+def test_credit_and_churn_scoring_answer_every_row(spark):
+    rng = random.Random(2)
+    credit = spark.createDataFrame(
+        [(f"a{i}", ["missed"] * (i % 3) or None, rng.random() if i % 7 else None, float(i % 2), i % 2) for i in range(400)],
+        "account_id string, repayment_history array<string>, balance_volatility double, delinquency_trends double, is_default int")
+    spec = models.ForestSpec(models.CREDIT.features, "is_default", 5, 5, 3, 0.5)
+    scored = models.score_credit(credit, models.train(models.encode_repayment(credit), spec), "v", T0)
+    assert scored.count() == 400 and scored.where("pd_score IS NULL AND risk_band IS NULL").count() == 58
+    churn = spark.createDataFrame([(f"c{i}", float(i), i % 9, 0.1, int(i > 350)) for i in range(400)],
+                                  "customer_id string, transaction_decay double, login_inactivity int, complaint_frequency double, churned int")
+    spec = models.ForestSpec(models.CHURN.features, "churned", 5, 5, 3, 0.3, balanced=True)
+    model = models.train(churn, spec)
+    got = models.score_churn(churn, model, "v", T0)
+    assert got.count() == 400 and got.where("segment = 'high_risk'").count() >= 40
+
+
+def test_models_survive_a_save(spark, tmp_path):
+    df = spark.createDataFrame([(float(i), 0.0, 0.0, i % 2, f"t{i}") for i in range(50)],
+                               "tx_velocity_1m double, geo_distance_km double, device_entropy double, is_fraud int, transaction_id string")
+    model = models.train(df, models.ForestSpec(models.FRAUD.features, "is_fraud", 3, 1, 3, 0.5))
+    again = models.load_model(models.save_model(model, str(tmp_path), "fraud_v1"))
+    pick = lambda m: [r["fraud_score"] for r in models.score_fraud(df, m, "v", T0).orderBy("transaction_id").collect()]
+    assert pick(model) == pick(again)
+
+
 def test_balanced_training_weights_the_classes(spark):
     df = spark.createDataFrame([(1,)] * 3 + [(0,)] * 9 + [(None,)], "churned int")
     w = {r["churned"]: r["weight"] for r in models.class_weights(df, "churned").collect()}
