@@ -11,7 +11,7 @@ from ledgerlake.plans.catalog_features import SILVER_FRAUD, rounded
 from ledgerlake.plans.catalog_gold import DIGITS, FRAUD_HOURLY
 from ledgerlake.plans.catalog_lake import bronze_files, raw_stream
 from ledgerlake.plans.catalog_models import fraud_sets
-from ledgerlake.session import shared_dir
+from ledgerlake.session import shared_dir, state_partitions
 from ledgerlake.sources import readers
 from ledgerlake.streaming import pipelines, velocity
 
@@ -43,8 +43,9 @@ def arriving(fx, view: str, build, name: str):
         if i < arrivals - 1:
             rows = rows.where(F.col("event_time") < F.lit(first + (i + 1) * step))
         rows.write.mode("append").parquet(src)
-        out = build(readers.stream_events(spark, src, df.schema, max_files=100_000, format="parquet"))
-        pipelines.append_stream(out, dst, checkpoint, once=True).awaitTermination()
+        with state_partitions(spark, n):
+            out = build(readers.stream_events(spark, src, df.schema, max_files=100_000, format="parquet"))
+            pipelines.append_stream(out, dst, checkpoint, once=True).awaitTermination()
     return spark.read.schema(out.schema).parquet(dst)
 
 
