@@ -14,7 +14,7 @@ BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # What one Arrow batch may hold on its way to Python: rows of whole documents are large.
-BATCH_ROWS, BATCH_BYTES = "512", "16m"
+BATCH_ROWS, BATCH_BYTES = "20000", "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -44,7 +44,7 @@ RULES = (
     Rule("mean_word_length", "word_chars", "n_words", 2.0, 12.0),
     Rule("symbols_per_word", "n_symbols", "n_words", None, 0.1),
     Rule("stop_word_ratio", "n_stop_words", "n_words", 0.02, None),
-    Rule("repeated_line_ratio", "n_dup_lines", "n_lines", None, 0.3),
+    Rule("repeated_line_ratio", "n_dup_lines", "n_lines", None, 0.5),
     Rule("bullet_line_ratio", "n_bullet_lines", "n_lines", None, 0.9),
     Rule("ellipsis_line_ratio", "n_ellipsis_lines", "n_lines", None, 0.3),
     Rule("alphabetic_word_ratio", "n_alpha_words", "n_words", 0.6, None),
