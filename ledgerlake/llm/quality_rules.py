@@ -139,3 +139,14 @@ def apply_rules(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "tex
     """``df`` with its measures, ``base_failed`` and ``kept``."""
     return measures(df, text).withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & verdict(rules))
+
+
+def keep(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that the rules keep.
+
+    A filter on ``kept`` would be pushed below the measures and repeat their expressions inside one
+    another; an explode of one element or none keeps the same rows and computes each once.
+    """
+    judged = apply_rules(df, rules, text)
+    return judged.select(*df.columns, F.explode(F.array_repeat(F.lit(True), F.col("kept").cast("int"))).alias("__qr_kept")
+                         ).drop("__qr_kept")
