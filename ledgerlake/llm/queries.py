@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import line_dedup, mixing, packing, quality_rules, simhash
+from ledgerlake.llm import embeddings, line_dedup, mixing, packing, quality_rules, simhash
 from ledgerlake.llm.common import prepare, store, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,27 @@ def op7_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+@query
+def op8_hyperplane_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op8_hyperplane_embeddings"] = """
+WITH RECURSIVE pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b
+    ON a.label = b.label AND a.vec_id <> b.vec_id
+   AND list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.93
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT r.vec_id, p.b FROM reach r JOIN pairs p ON r.other = p.a
+), least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+SELECT l.vec_id, (SELECT count(*) FROM pairs p WHERE p.a = l.vec_id) AS n_links, component_id,
+       l.vec_id = component_id AS kept
+FROM least l
+"""
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
