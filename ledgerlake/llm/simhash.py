@@ -36,8 +36,9 @@ from ledgerlake.llm.common import components, partitions, store
 SHINGLE = 4
 MAX_BITS = 4
 HOT_KEY = 4096  # fingerprints of one key that a cell holds
-SHINGLE_BLOCK = 1 << 20
-PAIR_BLOCK = 1 << 21
+SHINGLE_BLOCK = 1 << 16
+PAIR_BLOCK = 1 << 18
+CHUNK = 60_000  # rows that a task compares at a time, unless one group has more
 
 
 def _bit_counts(hashes: np.ndarray) -> np.ndarray:
@@ -228,7 +229,7 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_key: int = HOT_KEY)
                 cut = len(batch) if same.all() else int(np.argmin(same))
                 held.append(batch.iloc[:cut])
                 batch = batch.iloc[cut:]
-                if len(batch) and sum(map(len, held)) >= 200_000:
+                if len(batch) and sum(map(len, held)) >= CHUNK:
                     yield done(pd.concat(held, ignore_index=True))
                     held = []
             if len(batch):
