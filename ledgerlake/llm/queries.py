@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import embeddings, line_dedup, mixing, packing, quality_rules, simhash
+from ledgerlake.llm import embeddings, html_extract, line_dedup, mixing, packing, quality_rules, simhash, warc
 from ledgerlake.llm.common import prepare, store, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,28 @@ def op1_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
+@query
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(table(spark, sf_dir, "pages")).drop("record_id", "url")
+
+
+SQL["op2_arc_to_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), r AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h, payload_bytes) AS first,
+         list_transform(range(8), lambda i: CAST('0x' || substr(h, CAST(1 + 5 * i AS INT), 5) AS INT)) AS fives
+  FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(1 + (fives[1 + k // 4] >> CAST(15 - 5 * (k % 4) AS INT)) % 32 AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM r
+"""
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -121,6 +143,11 @@ FROM least l
 """
 
 
+@query
+def op9_host_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
