@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import embeddings, html_extract, line_dedup, mixing, packing, quality_rules, simhash, warc
+from ledgerlake.llm import embeddings, html_extract, line_dedup, mixing, packing, quality_rules, simhash, toxicity, warc
 from ledgerlake.llm.common import prepare, store, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,6 +111,15 @@ FROM sized s JOIN part p ON s.source IS NOT DISTINCT FROM p.source
 """
 
 
+@query
+def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # The label columns of the table, in the order of the chain: junk reads unlike prose, insults stand in either.
+    chain = toxicity.fit_chain(docs, table(spark, sf_dir, "labels"),
+                               {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")})
+    return toxicity.score_documents(docs, chain)
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
