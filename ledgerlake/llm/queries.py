@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import embeddings, html_extract, line_dedup, mixing, packing, quality_rules, simhash, toxicity, warc
+from ledgerlake.llm import embeddings, html_extract, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup, toxicity, warc
 from ledgerlake.llm.common import prepare, store, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,11 @@ def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, chain)
 
 
+@query
+def op6_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
