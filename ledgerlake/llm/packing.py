@@ -18,10 +18,10 @@ columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -34,10 +34,14 @@ LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS, BUCKETS = 3, 10, 256
 SEED = 7
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
+LINE_WORDS = 2_000
 
-# A space between two characters that are no white space always begins a new word of the tokenizer.
-_CROWDED = re.compile(r"\s\s|^\s|\s$")
+def crowded(text: str) -> bool:
+    """Whether white space stands at an end or in a run. Elsewhere a space always begins a new word of the
+    tokenizer, so the text may be cut there."""
+    words = text.split()
+    return len(text) - sum(map(len, words)) != len(words) - 1
 
 
 class WordCache:
@@ -50,17 +54,40 @@ class WordCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = id_width(self.tokenizer.get_vocab_size(with_added_tokens=True))
         self.words: dict[str, bytes] = {}
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        # "\u0120" is how byte-level vocabularies write a space.
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, f"<u{self.width}").tobytes() for x in found]
 
+    def _learn(self, new: list[str]) -> None:
+        """Words that begin with their only white space are encoded in long lines, where each begins at a token
+        that begins with a space; one call per word would cost several times as much."""
+        plain = [w for w in new if w[:1] == " " and len(w.split()) == 1]
+        lines = [plain[at: at + LINE_WORDS] for at in range(0, len(plain), LINE_WORDS)]
+        coded = self.tokenizer.encode_batch_fast(["".join(words) for words in lines], add_special_tokens=False)
+        for words, line in zip(lines, coded):
+            ids = np.array(line.ids, f"<u{self.width}")
+            begins = np.flatnonzero(self.spaced[ids])
+            if len(begins) == len(words) and begins[0] == 0:
+                data, ends = ids.tobytes(), (np.append(begins[1:], len(ids)) * self.width).tolist()
+                self.words.update(zip(words, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+            else:  # a special token inside a word, or a vocabulary of another kind
+                self.words.update(zip(words, self._encode(words)))
+        rest = [w for w in new if w not in self.words]
+        self.words.update(zip(rest, self._encode(rest)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        cut = [None if _CROWDED.search(x) else x.replace(" ", "\0 ").split("\0") if "\0" not in x else None for x in texts]
-        new = list({w for ws in cut if ws is not None for w in ws if w not in self.words})
-        self.words.update(zip(new, self._encode(new)))
+        if len(self.words) > CACHE_WORDS:  # words met early are the frequent ones
+            self.words = dict(islice(self.words.items(), CACHE_WORDS // 4))
+        cut = [None if "\0" in x or crowded(x) else x.replace(" ", "\0 ").split("\0") for x in texts]
+        new: set[str] = set()
+        for ws in cut:
+            if ws is not None:
+                new.update(set(ws).difference(self.words))
+        self._learn(sorted(new))
         whole = iter(self._encode([x for x, ws in zip(texts, cut) if ws is None]))
         word = self.words.__getitem__
         return [next(whole) if ws is None else b"".join(map(word, ws)) for ws in cut]
