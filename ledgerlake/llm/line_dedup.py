@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import BLANKS, ascii_lower
+from ledgerlake.llm.common import BLANKS, ascii_lower, store
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -55,8 +55,9 @@ def frequent_lines(keys: DataFrame, min_docs: int) -> DataFrame:
 def dedup_lines(df: DataFrame, text: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``df`` with ``text`` less the dropped lines, ``n_lines`` and ``n_dropped``."""
     keys = keyed_lines(df, text, min_chars)
-    frequent = frequent_lines(keys, min_docs)
-    # A third of all documents may hold one line: this join is one that adaptive execution splits.
+    # A third of all documents may hold one line. As a stored table the frequent lines bring no partitioning
+    # along, so both sides of the join are shuffled for it and adaptive execution can split the hot key.
+    frequent = store(frequent_lines(keys, min_docs), "frequent-lines")
     dropped = (
         keys.join(frequent, ["__ld_k1", "__ld_k2"])
         .where(~F.col("doc_id").eqNullSafe(F.col("__ld_keeper")))
