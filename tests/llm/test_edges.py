@@ -205,7 +205,7 @@ def test_warc(llm):
     out = warc.page_records(df).collect()
     assert len(out) == len(rows)
     kind = {(r.page_id, r.payload_bytes): (r.record_type, r.refers_to) for r in out}
-    assert kind[3, 8] == kind[4, 0] == ("response", None) and kind[5, 8] == kind[None, 8] == ("revisit", 3)
+    assert kind[3, 9] == kind[4, 0] == ("response", None) and kind[5, 9] == kind[None, 9] == ("revisit", 3)
     assert kind[7, 0] == ("revisit", 4) and kind[9, 5] == ("revisit", 8)
     assert {r.payload_digest for r in out if r.payload_bytes == 0} == {"3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"}
     assert warc.page_records(df.where("page_id < 0")).count() == 0
