@@ -1,9 +1,9 @@
 """Running totals in value order without a single-task sort.
 
-The values are cut into ranges at approximate quantiles (a bounded list held on the driver, so a
-recomputed task sees the same ranges). Range totals are summed up over at most ``RANGES`` rows per
-group, and the running total inside a range is added to the total of the ranges before it. The
-result is exact for any choice of cut points.
+Rows are dealt into ranges of (group, value) by Spark's range partitioner, as many as keep a range at a size
+one task can sort, and stored. The total of a range and group is added up over the ranges before it, of which
+there is one row each, and the running total inside a range is added to that. The result is exact for
+any choice of ranges, and stored ranges are the same when a task runs again.
 """
 
 from __future__ import annotations
@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
-ONE_TASK = 100_000  # distinct values of a group that one task may sort
+from ledgerlake.session import stored
+
+RANGE_ROWS = 1_000_000  # distinct values that one task sorts
 
 
 def running_totals(
-    df: DataFrame, value: str, sums: list[str], group: str | None = None, one_task: int = ONE_TASK
+    df: DataFrame, value: str, sums: list[str], group: str | None = None, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """Add ``cum_<s>`` = sum of s over the group's rows with a value up to and including this one,
     and ``total_<s>`` = sum of s over the group.
@@ -26,48 +27,29 @@ def running_totals(
     table).
     """
     keys = [group] if group else []
-    totals = [f"total_{s}" for s in sums]
-    probs = [i / RANGES for i in range(1, RANGES)]
-    found = (
-        df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(value, probs, 10_000).alias("cuts"),
-            *[F.sum(s).cast("bigint").alias(f"total_{s}") for s in sums],
-        )
-        .collect()  # one row per group
-    )
-    small = all(r["n"] <= one_task for r in found)
-    cuts = [sorted({float(c) for c in (r["cuts"] or [])}) for r in found]
-    if group:
-        per_group = df.sparkSession.createDataFrame(
-            [(r[group], c, *[r[t] for t in totals]) for r, c in zip(found, cuts)],
-            f"`{group}` {df.schema[group].dataType.simpleString()}, __cuts array<double>, "
-            + ", ".join(f"{t} bigint" for t in totals),
-        )
-        df = df.join(F.broadcast(per_group), group)
-    else:
-        df = df.withColumns({t: F.lit(found[0][t]).cast("bigint") for t in totals})
-        df = df.withColumn("__cuts", F.array(*[F.lit(c) for c in cuts[0]]).cast("array<double>"))
-
-    if small:
-        upto = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        return df.drop("__cuts").withColumns({f"cum_{s}": F.sum(s).over(upto) for s in sums})
-
-    ranged = df.withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
-    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    values = stored(df, "values")
+    ranges = 1 + values.count() // range_rows
+    ranged = stored(values.repartitionByRange(ranges, *keys, value).withColumn("__range", F.spark_partition_id()), "ranges")
+    same = [F.col(k) for k in keys] or [F.lit(0)]
+    earlier = Window.partitionBy(*same).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*same)
     offsets = (
         ranged.groupBy(*keys, "__range")
         .agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
         .select(
-            *keys,
-            "__range",
+            *[F.col(k).alias(f"__k_{k}") for k in keys],
+            F.col("__range").alias("__r"),
             *[F.coalesce(F.sum(f"__t_{s}").over(earlier), F.lit(0)).alias(f"__o_{s}") for s in sums],
+            *[F.sum(f"__t_{s}").over(whole).cast("bigint").alias(f"total_{s}") for s in sums],
         )
     )
     inside = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    on = F.col("__range") == F.col("__r")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
     return (
-        ranged.join(F.broadcast(offsets), [*keys, "__range"])  # at most RANGES rows per group
-        .withColumns({f"cum_{s}": F.sum(s).over(inside) + F.col(f"__o_{s}") for s in sums})
-        .drop("__range", *[f"__o_{s}" for s in sums])
+        ranged.withColumns({f"cum_{s}": F.sum(s).over(inside) for s in sums})
+        .join(offsets, on)
+        .withColumns({f"cum_{s}": F.col(f"cum_{s}") + F.col(f"__o_{s}") for s in sums})
+        .drop("__range", "__r", *[f"__k_{k}" for k in keys], *[f"__o_{s}" for s in sums])
     )

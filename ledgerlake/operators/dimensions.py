@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.incremental import top1_per_key, union_all
+from ledgerlake.session import instant
 
 HISTORY = ("valid_from", "valid_to", "is_current")
 
@@ -15,7 +16,7 @@ HISTORY = ("valid_from", "valid_to", "is_current")
 def scd2_initial(src: DataFrame, ts, source: str) -> DataFrame:
     return src.select(
         "*",
-        F.lit(ts).cast("timestamp").alias("valid_from"),
+        instant(ts).alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),
         F.lit(True).alias("is_current"),
         F.lit(source).alias("data_source"),
@@ -54,10 +55,14 @@ def scd2_apply(
     the source counts.
     """
     changed = changed if changed is not None else changed_any(tracked or [])
-    now = F.lit(ts).cast("timestamp")
+    now = instant(ts)
     attributes = [c for c in dim.columns if c not in (*HISTORY, "data_source")]
     if order is not None:
         src = top1_per_key(src, [key], [F.desc(order)])
+    else:
+        repeated = src.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
+        if repeated:
+            raise ValueError(f"{key} {repeated[0][0]!r} comes {repeated[0][1]} times; name an order to take the last")
     current = dim.where("is_current")
     pairs = current.alias("d").join(src.alias("s"), F.col(f"d.{key}") == F.col(f"s.{key}"), "full_outer")
     is_new = F.col(f"d.{key}").isNull()
@@ -79,7 +84,7 @@ def scd2_apply(
     )
     versions = F.when(is_new, F.array(opened)).when(is_changed, F.array(old, opened)).otherwise(F.array(old))
     out = pairs.select(F.explode(versions).alias("v")).select("v.*")
-    return union_all(dim.where("NOT is_current").select(*out.columns), out)
+    return union_all(dim.where("NOT coalesce(is_current, false)").select(*out.columns), out)
 
 
 def as_of(fact: DataFrame, dim: DataFrame, key: str, ts: str) -> DataFrame:
@@ -94,29 +99,23 @@ def as_of(fact: DataFrame, dim: DataFrame, key: str, ts: str) -> DataFrame:
     return fact.join(d, (F.col(key) == F.col(f"dim_{key}")) & valid)
 
 
-def hash_keys(df: DataFrame, columns: list[str], name: str = "surrogate_key") -> DataFrame:
-    return df.withColumn(name, F.xxhash64(*columns))
-
-
-ROWS_PER_BUCKET, MAX_BUCKETS = 1_000_000, 16_384
+ROWS_PER_BUCKET = 1_000_000
 
 
 def assign_keys(df: DataFrame, order: list[str], start: int = 0, name: str = "surrogate_key") -> DataFrame:
     """Dense keys ``start + 1 ..`` without a global sort.
 
-    Rows are spread over hash buckets of the (unique) order columns; the bucket sizes, at most
-    MAX_BUCKETS numbers on the driver, give each bucket its offset.
+    Rows are spread over hash buckets of the (unique) order columns, a million rows each however many
+    there are; the running sum of the bucket sizes gives each bucket its offset.
     """
-    buckets = min(MAX_BUCKETS, 1 + df.count() // ROWS_PER_BUCKET)
-    bucketed = df.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    sizes = {r["__b"]: r["count"] for r in bucketed.groupBy("__b").count().collect()}
-    offsets, total = [], start
-    for b in sorted(sizes):
-        offsets.append((b, total))
-        total += sizes[b]
-    table = df.sparkSession.createDataFrame(offsets, "__b int, __offset bigint")
+    buckets = 1 + df.count() // ROWS_PER_BUCKET
+    bucketed = df.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    # One row per million keys.
+    earlier = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = bucketed.groupBy("__b").count().select(
+        "__b", (F.coalesce(F.sum("count").over(earlier), F.lit(0)) + start).alias("__offset"))
     position = F.row_number().over(Window.partitionBy("__b").orderBy(*order))
-    keyed = bucketed.withColumn("__n", position).join(F.broadcast(table), "__b")  # at most MAX_BUCKETS rows
+    keyed = bucketed.withColumn("__n", position).join(offsets, "__b")
     return keyed.select(*df.columns, (F.col("__offset") + F.col("__n")).alias(name))
 
 

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.stats import clean_double, ks_p_value
-from ledgerlake.operators.cumulative import ONE_TASK, running_totals
+from ledgerlake.operators.cumulative import RANGE_ROWS, running_totals
 from ledgerlake.operators.incremental import union_all
 
 ALPHA = 0.05
 
 
-def eval_binary(scored: DataFrame, label: str, score: str, threshold: float = 0.5, one_task: int = ONE_TASK
+def eval_binary(scored: DataFrame, label: str, score: str, threshold: float = 0.5, range_rows: int = RANGE_ROWS
                 ) -> DataFrame:
     """One row: AUC, precision, recall, F1 and the confusion matrix (predicted = score > threshold).
 
@@ -28,7 +28,7 @@ def eval_binary(scored: DataFrame, label: str, score: str, threshold: float = 0.
         .groupBy(s.alias("s"))
         .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
     )
-    ranked = running_totals(per_score, "s", ["neg"], one_task=one_task)
+    ranked = running_totals(per_score, "s", ["neg"], range_rows=range_rows)
     hit = F.col("s") > threshold
 
     def total(c: str, when=None):
@@ -84,12 +84,12 @@ def _value_counts(df: DataFrame, cols: list[str], side: str) -> DataFrame:
 
 
 def drift_ks(reference: DataFrame, current: DataFrame, cols: list[str] | None = None, alpha: float = ALPHA,
-             one_task: int = ONE_TASK) -> DataFrame:
+             range_rows: int = RANGE_ROWS) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov per shared column: ``(column, statistic, p_value, drift_detected)``."""
     cols = cols or [c for c in reference.columns if c in current.columns]
     both = union_all(_value_counts(reference, cols, "ref"), _value_counts(current, cols, "cur"))
     per_value = both.groupBy("column", "v").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
-    ranked = running_totals(per_value, "v", ["n_ref", "n_cur"], "column", one_task)
+    ranked = running_totals(per_value, "v", ["n_ref", "n_cur"], "column", range_rows)
     gap = F.abs(F.try_divide("cum_n_ref", "total_n_ref") - F.try_divide("cum_n_cur", "total_n_cur"))
     worst = ranked.groupBy("column").agg(
         F.max(gap).alias("statistic"), F.max("total_n_ref").alias("t_ref"), F.max("total_n_cur").alias("t_cur")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.geo import haversine_km
 from ledgerlake.functions.stats import entropy_bits
 from ledgerlake.operators.hotkeys import HOT_ROWS, hot_entities, over_entity, split_hot
+from ledgerlake.session import stored
 
 MICROS = 1_000_000
 VELOCITY_SECONDS = 60
@@ -222,10 +223,10 @@ def _join_daily_volatility(rows: DataFrame, entity: str, ts: str, balance: str,
 
 def _daily_volatility(rows: DataFrame, entity: str, ts: str, balance: str, days: int) -> DataFrame:
     """The 90-day deviation per (entity, day), from exact per-day sums of distances to a centre."""
-    centre = rows.groupBy(entity).agg(F.min(balance).alias("__c"))
+    centre = stored(rows.groupBy(entity).agg(F.min(balance).alias("__c")), "centres")
     dist = (F.col(balance) - F.col("__c")).cast("decimal(18,2)")
     daily = (
-        rows.join(F.broadcast(centre), entity)  # only hot entities come here, at most MAX_SLICES
+        rows.join(centre, entity)  # one row per hot entity
         .groupBy(entity, F.col(ts).cast("date").alias("__day"))
         .agg(
             F.count(dist).alias("__n"),
@@ -281,10 +282,10 @@ def credit_features(snapshots, *, entity="account_id", ts="snapshot_date", tie="
 
 
 def _hot_totals(rows: DataFrame, entity: str, ts: str, wanted: list[Feature]) -> DataFrame:
-    """Hot entities: a partial aggregate, broadcast back (at most MAX_SLICES rows)."""
-    totals = rows.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"), F.max(ts).alias("__last"))
+    """Hot entities: a partial aggregate, stored so that the join back can be split."""
+    totals = stored(rows.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"), F.max(ts).alias("__last")), "totals")
     columns = {f.name: f.value() for f in wanted}
-    return rows.join(F.broadcast(totals), entity).withColumns(columns).drop("__n", "__last")
+    return rows.join(totals, entity).withColumns(columns).drop("__n", "__last")
 
 
 def _whole_entity(events: DataFrame, entity: str, ts: str, hot_rows: int, wanted: Feature) -> DataFrame:

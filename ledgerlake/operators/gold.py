@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.stats import clean_double
+from ledgerlake.session import instant
 
 FLAG, HIGH = 0.7, 0.85
 SEGMENT_HIGH, SEGMENT_MEDIUM, CONFIDENT = 0.7, 0.4, 0.8
@@ -15,7 +16,7 @@ SEGMENT_HIGH, SEGMENT_MEDIUM, CONFIDENT = 0.7, 0.4, 0.8
 def _stamp(df: DataFrame, batch_ts) -> DataFrame:
     if batch_ts is None:
         return df
-    ts = F.lit(batch_ts).cast("timestamp")
+    ts = instant(batch_ts)
     return df.withColumns({"created_at": ts, "updated_at": ts})
 
 

@@ -6,96 +6,84 @@ entities above a row limit are found with a partial aggregate and cut into conse
 (its *halo*), so a window over ``(entity, slice)`` returns what the window over the whole
 entity would. All other entities are a single slice.
 
-The cut points are the only thing that reaches the driver. Their number is bounded by
-``2 * MAX_SLICES`` whatever the data, and because they are held as literals a recomputed
+Hot entities and cut points are tables in the shared folder, however many there are: nothing of them
+reaches the driver, the planner knows their sizes and broadcasts small ones only, and a recomputed
 task sees the same slices.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ledgerlake.session import stored
+
 HOT_ROWS = 2_000_000  # rows of one entity a single task may sort
-MAX_SLICES = 4096  # upper bound of hot entities, and of cuts per data set
 
-_SLICE, _HALO, _POS, _LAST, _CUTS, _TAILS = "__slice", "__halo", "__pos", "__last", "__cuts", "__tails"
+_SLICE, _HALO, _POS, _LAST, _NEXT, _TAIL, _CELL = "__slice", "__halo", "__pos", "__last", "__next", "__tail", "__cell"
 
 
 def hot_entities(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame | None, int]:
-    """Entities with more than ``limit`` rows as ``(key, __n)``, or None when there are none.
-
-    ``limit`` is at least total / MAX_SLICES, so there are at most MAX_SLICES hot entities.
-    """
-    total = df.count()
-    limit = max(hot_rows, ceil(total / MAX_SLICES))
-    if total <= limit:
-        return None, limit
+    """Entities with more than ``hot_rows`` rows as ``(key, __n)``, or None when there are none."""
+    if df.count() <= hot_rows:  # then no entity can have more
+        return None, hot_rows
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    rows = counts.where(F.col("__n") > limit).collect()
-    if not rows:
-        return None, limit
-    schema = counts.schema
-    return df.sparkSession.createDataFrame(rows, schema), limit
+    hot = stored(counts.where(F.col("__n") > hot_rows), "hot-entities")
+    return (None if hot.isEmpty() else hot), hot_rows
 
 
 def split_hot(df: DataFrame, key: str, hot: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary entities, rows of hot entities)."""
     if hot is None:
         return df, None
-    keys = F.broadcast(hot.select(key))  # at most MAX_SLICES rows
+    keys = hot.select(key)
     return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")
 
 
 def _cut_table(rows: DataFrame, key: str, cell: int, limit: int, tail: int) -> DataFrame:
-    """Per hot entity: where its slices start, and from where on each holds its last ``tail`` rows.
+    """Per hot entity and cell of time: its slice, the slice of the next cell, and whether the cell holds some of the
+    slice's last ``tail`` rows.
 
     Derived from an exact histogram of positions, so it is the same in every run.
     """
-    cells = rows.groupBy(key, F.floor(F.col(_POS) / cell).alias("c")).agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.partitionBy(key).orderBy("c")) - F.col("n")
-    sliced = cells.withColumn("s", F.floor(before / limit))
-    after = F.sum("n").over(Window.partitionBy(key, "s").orderBy(F.desc("c"))) - F.col("n")
-    found = (
-        sliced.withColumn("after", after)
-        .groupBy(key, "s")
-        .agg((F.min("c") * cell).alias("start"), (F.min(F.when(F.col("after") < tail, F.col("c"))) * cell).alias("tail"))
-        .collect()  # at most 2 * MAX_SLICES rows
-    )
-    per_key: dict = {}
-    for r in sorted(found, key=lambda r: r["s"]):
-        per_key.setdefault(r[key], []).append((r["start"], r["tail"]))
-    # The first slice is open to the left, so its start is not a cut.
-    data = [(k, [int(p) for p, _ in v[1:]], [None if t is None else int(t) for _, t in v]) for k, v in per_key.items()]
-    key_type = rows.schema[key].dataType.simpleString()
-    schema = f"`{key}` {key_type}, {_CUTS} array<bigint>, {_TAILS} array<bigint>"
-    return rows.sparkSession.createDataFrame(data, schema)
-
-
-def _slice_of(position: Column) -> Column:
-    """Number of cuts up to a position; 0 for an entity that is not cut."""
-    return F.coalesce(F.size(F.filter(F.col(_CUTS), lambda c: c <= position)), F.lit(0))
+    cells = rows.groupBy(key, F.floor(F.col(_POS) / cell).alias(_CELL)).agg(F.count(F.lit(1)).alias("n"))
+    in_order = Window.partitionBy(key).orderBy(_CELL)
+    before = F.sum("n").over(in_order) - F.col("n")
+    # Slice numbers follow each other: a cell of more than ``limit`` rows would skip some.
+    raw = cells.withColumn("s", F.floor(before / limit))
+    new = F.coalesce((F.col("s") != F.lag("s").over(in_order)).cast("int"), F.lit(0))
+    sliced = raw.withColumn("new", new).withColumn(_SLICE, F.sum("new").over(in_order).cast("int"))
+    after = F.sum("n").over(Window.partitionBy(key, _SLICE).orderBy(F.desc(_CELL))) - F.col("n")
+    follows = F.lead(_CELL).over(in_order) == F.col(_CELL) + 1
+    placed = sliced.withColumns({
+        _NEXT: F.when(follows, F.lead(_SLICE).over(in_order)).otherwise(F.col(_SLICE)),
+        _TAIL: after < tail,
+    })
+    return stored(placed.select(F.col(key).alias("__entity"), _CELL, _SLICE, _NEXT, _TAIL), "cuts")
 
 
 def _with_halo(rows: DataFrame, key: str, seq: str, tail: int, span: int, cell: int, limit: int, hot: DataFrame
                ) -> DataFrame:
     """Rows with their slice, and copies (``__halo``) of the rows each slice has to look back on."""
-    _, busy = split_hot(rows, key, hot)
+    if span > cell:
+        raise ValueError("a cell must be as long as the windows look back")
+    usual, busy = split_hot(rows, key, hot)
     cuts = _cut_table(busy, key, cell, limit, tail)
     data_cols = rows.columns
+    placed = busy.withColumn("__at", F.floor(F.col(_POS) / cell))
+    ends = F.floor((F.col(_POS) + span) / cell) == F.col("__at")
     tagged = (
-        rows.join(F.broadcast(cuts), key, "left")  # at most MAX_SLICES rows
-        .select(*data_cols, _CUTS, _TAILS)
-        .withColumn(_SLICE, _slice_of(F.col(_POS)))
-        .withColumn(_LAST, _slice_of(F.col(_POS) + span))
+        placed.join(cuts, (F.col(key) == F.col("__entity")) & (F.col("__at") == F.col(_CELL)))
+        .withColumn(_LAST, F.when(ends, F.col(_SLICE)).otherwise(F.col(_NEXT)))
+        .select(*data_cols, _SLICE, _LAST, _TAIL)
     )
     reached = F.explode(F.sequence(_SLICE, _LAST)) if span else F.col(_SLICE)
     out = (
         tagged.withColumn("__to", reached)
         .select(*data_cols, F.col("__to").alias(_SLICE), (F.col("__to") > F.col(_SLICE)).alias(_HALO))
+        .unionByName(usual.withColumns({_SLICE: F.lit(0), _HALO: F.lit(False)}))
     )
     if not tail:
         return out
@@ -103,7 +91,7 @@ def _with_halo(rows: DataFrame, key: str, seq: str, tail: int, span: int, cell:
     # The histogram tells where those begin, so few rows are ranked: at most slices * tail remain.
     newest = Window.partitionBy(key, _SLICE).orderBy(F.desc(_POS), F.desc(seq))
     tails = (
-        tagged.where(F.col(_CUTS).isNotNull() & (F.col(_POS) >= F.get(F.col(_TAILS), F.col(_SLICE))))
+        tagged.where(_TAIL)
         .select(*data_cols, _SLICE, _LAST)
         .withColumn("__r", F.row_number().over(newest))
         .where(F.col("__r") <= tail)

@@ -3,29 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.session import instant
+
 EPOCH = datetime(1970, 1, 1)
 
 
 def watermark_frame(control: DataFrame, table: str) -> DataFrame:
     """The last processed instant of one table as a one-row frame, 1970-01-01 when unknown."""
     return control.where(F.col("table_name") == table).agg(
-        F.coalesce(F.max("last_processed_timestamp"), F.lit(EPOCH).cast("timestamp")).alias("last_processed_timestamp")
+        F.coalesce(F.max("last_processed_timestamp"), instant(EPOCH)).alias("last_processed_timestamp")
     )
 
 
 def get_watermark(control: DataFrame, table: str) -> datetime:
-    """The same as a driver value (one row), so that the filter below is a literal."""
-    return watermark_frame(control, table).first()[0]
+    """The same as a driver value (one row, UTC), so that the filter below is a literal."""
+    micros = watermark_frame(control, table).select(F.unix_micros("last_processed_timestamp")).first()[0]
+    return EPOCH + timedelta(microseconds=micros)
 
 
 def new_rows(df: DataFrame, watermark: datetime, col: str = "event_time") -> DataFrame:
     """Rows strictly after the watermark. A literal comparison reaches the Parquet scan."""
-    return df.where(F.col(col) > F.lit(watermark).cast("timestamp"))
+    return df.where(F.col(col) > instant(watermark))
 
 
 def advance(control: DataFrame, table: str, ts: Column | datetime, rows: int, now) -> DataFrame:
@@ -33,7 +36,7 @@ def advance(control: DataFrame, table: str, ts: Column | datetime, rows: int, no
     spark = control.sparkSession
     update = spark.range(1).select(
         F.lit(table).alias("table_name"),
-        F.lit(ts).cast("timestamp").alias("__ts"),
+        (ts.cast("timestamp") if isinstance(ts, Column) else instant(ts)).alias("__ts"),
         F.lit(rows).cast("bigint").alias("__n"),
     )
     return advance_with(control, update, now)
@@ -41,7 +44,7 @@ def advance(control: DataFrame, table: str, ts: Column | datetime, rows: int, no
 
 def advance_with(control: DataFrame, update: DataFrame, now) -> DataFrame:
     """Upsert ``(table_name, __ts, __n)`` rows into the control table."""
-    now = F.lit(now).cast("timestamp")
+    now = instant(now)
     touched = F.col("__n").isNotNull()
     return control.join(update, "table_name", "full_outer").select(
         "table_name",
@@ -87,7 +90,7 @@ def touched_rows(fact: DataFrame, watermark: datetime, bucket: Callable[[Column]
     the watermark falls into received any. The lower bound is a literal and prunes partitions and
     row groups.
     """
-    wm = F.lit(watermark).cast("timestamp")
+    wm = instant(watermark)
     at, first = F.col(col), bucket(wm)
     reopened = fact.where((at > wm) & (bucket(at) == first)).agg((F.count(F.lit(1)) > 0).alias("any"))
     return fact.where((at >= first) & ((bucket(at) > first) | reopened.scalar()))

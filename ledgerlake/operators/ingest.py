@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.contracts import BRONZE_FRAUD, Contract
 from ledgerlake.operators.quality import check_contract
@@ -86,9 +87,20 @@ def ingest_counts(parsed: DataFrame) -> DataFrame:
 
 
 def dedup_events(df: DataFrame, key: str = "event_id", order: str = "kinesis_sequence") -> DataFrame:
-    """One row per event, the first delivery. Copies are dropped before the shuffle as well."""
-    first = Window.partitionBy(key).orderBy(order)
-    return df.withColumn("__r", F.row_number().over(first)).where(F.col("__r") == 1).drop("__r")
+    """One row per event, the first delivery. Copies are dropped before the shuffle as well.
+
+    Rows without an id are no copies of each other: all of them stay. Sequence numbers held as text are
+    ordered as numbers (up to 38 digits; a longer number is a later one), so 9 comes before 10.
+    """
+    placed: list[Column] = [F.col(order)]
+    if isinstance(df.schema[order].dataType, T.StringType):
+        digits = F.regexp_replace(order, "^0+(?=[0-9])", "")
+        placed = [F.when(F.col(order).rlike("^[0-9]+$"), F.length(digits)), digits, F.col(order)]
+    # One of its own per row where there is no id, so that such rows do not meet in one task.
+    lone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    first = Window.partitionBy(key, "__lone").orderBy(*placed)
+    ranked = df.withColumn("__lone", lone).withColumn("__r", F.row_number().over(first))
+    return ranked.where(F.col("__r") == 1).drop("__r", "__lone")
 
 
 def ingest_batch(raw: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:

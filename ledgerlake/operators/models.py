@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlake.contracts import Contract
 from ledgerlake.functions.stats import clean_double
 from ledgerlake.operators.gold import churn_segment
+from ledgerlake.session import instant
 
 
 @dataclass(frozen=True)
@@ -122,7 +123,7 @@ def decide(scores: DataFrame, score: str = "fraud_score") -> DataFrame:
 
 
 def _stamped(df: DataFrame, version: str, scored_at) -> DataFrame:
-    return df.withColumns({"model_version": F.lit(version), "scored_at": F.lit(scored_at).cast("timestamp")})
+    return df.withColumns({"model_version": F.lit(version), "scored_at": instant(scored_at)})
 
 
 def score_fraud(features: DataFrame, model: PipelineModel, version: str, scored_at) -> DataFrame:

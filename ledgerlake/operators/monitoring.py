@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators.gold import billing_total
 from ledgerlake.operators.incremental import union_all
 from ledgerlake.operators.relations import join_slo
+from ledgerlake.session import instant
 
 # Metrics where a lower value is better, metrics whose breach is always critical,
 # and the deviations from the objective that count as critical and as a warning.
@@ -21,7 +22,7 @@ CRITICAL_DEVIATION, WARNING_DEVIATION = 0.5, 0.2
 
 def freshness(df: DataFrame, ts: str, now) -> DataFrame:
     """Minutes since the newest row; infinity when there is none."""
-    age = (F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(F.max(ts))) / 60_000_000
+    age = (F.unix_micros(instant(now)) - F.unix_micros(F.max(ts))) / 60_000_000
     return df.agg(F.coalesce(age, F.lit(float("inf"))).alias("freshness_minutes"))
 
 
@@ -192,9 +193,12 @@ def rate_limit(requests: DataFrame, rpm: int = 100, client: str = "client_id", m
     keys, by = [client, minute], F.struct(*order)
     first = Window.partitionBy(*keys).orderBy(*order)
     head = requests.select(*keys, *order).withColumn("__r", F.row_number().over(first)).where(F.col("__r") <= rpm)
-    cutoff = head.where(F.col("__r") == rpm).select(*keys, by.alias("__cut"))
-    out = requests.join(cutoff, keys, "left")
-    return out.withColumn("accepted", F.col("__cut").isNull() | (by <= F.col("__cut"))).drop("__cut")
+    cutoff = head.where(F.col("__r") == rpm).select(
+        F.col(client).alias("__client"), F.col(minute).alias("__minute"), by.alias("__cut"))
+    # Requests without a client are limited together, as one: the join is null-safe.
+    same = F.col(client).eqNullSafe(F.col("__client")) & F.col(minute).eqNullSafe(F.col("__minute"))
+    out = requests.join(cutoff, same, "left")
+    return out.withColumn("accepted", F.col("__cut").isNull() | (by <= F.col("__cut"))).drop("__cut", "__client", "__minute")
 
 
 def replay_guard(requests: DataFrame, skew: int = 300, ttl: int = 300, client: str = "client_id", nonce: str = "nonce",

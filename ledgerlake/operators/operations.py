@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -11,7 +12,8 @@ from pyspark.sql import types as T
 
 from ledgerlake.operators.ingest import dedup_events
 from ledgerlake.sources.readers import read_modified
-from ledgerlake.sources.sinks import identifier, write_table
+from ledgerlake.session import instant
+from ledgerlake.sources.sinks import identifier, staged, write_table
 
 # Days a layer stays in the active tables.
 RETENTION_DAYS = {"bronze": 90, "silver": 180, "gold": 90}
@@ -32,10 +34,10 @@ def bronze_replay(spark: SparkSession, path: str, schema: T.StructType, start: d
 
 def day_with_lookback(bronze: DataFrame, ts: str, day: date, lookback: timedelta | None) -> DataFrame:
     """Rows a recomputation of ``day`` needs: the day and the history its windows look back on."""
-    end = F.lit(day + timedelta(days=1)).cast("timestamp")
+    end = instant(datetime.combine(day + timedelta(days=1), datetime.min.time()))
     rows = bronze.where(F.col(ts).cast("timestamp") < end)
     if lookback is not None:
-        start = F.lit(datetime.combine(day, datetime.min.time()) - lookback).cast("timestamp")
+        start = instant(datetime.combine(day, datetime.min.time()) - lookback)
         rows = rows.where(F.col(ts).cast("timestamp") >= start)
     return rows
 
@@ -52,27 +54,46 @@ def backfill_silver(bronze: DataFrame, build: Callable[[DataFrame], DataFrame],
 
 
 def expired(df: DataFrame, ts: str, cutoff) -> DataFrame:
-    return df.where(F.col(ts) < F.lit(cutoff).cast("timestamp"))
+    return df.where(F.col(ts) < instant(cutoff))
 
 
 def retained(df: DataFrame, ts: str, cutoff) -> DataFrame:
-    return df.where((F.col(ts) >= F.lit(cutoff).cast("timestamp")) | F.col(ts).isNull())
+    return df.where((F.col(ts) >= instant(cutoff)) | F.col(ts).isNull())
 
 
-def archive_rows(df: DataFrame, ts: str, cutoff, dst: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
+def _fingerprint(df: DataFrame) -> tuple:
+    """Row count and an order-free sum over all columns."""
+    row = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(row)).first())
+
+
+def archive_rows(df: DataFrame, ts: str, cutoff, dst: str | None = None, partition_by: list[str] | None = None,
+                 run_id: str | None = None) -> DataFrame:
     """Copy rows older than the cutoff to ``dst`` and verify the copy. Returns ``(archived, verified)``.
 
-    A dry run (no ``dst``) only counts. The caller drops the source partitions once verified.
+    Every run has a folder of its own under ``dst`` (``run=<id>``), so a later run never touches
+    what an earlier one has stored. A dry run (no ``dst``) only counts.
     """
     spark, old = df.sparkSession, expired(df, ts, cutoff)
-    n = old.count()
-    if dst is None:
-        return spark.createDataFrame([(n, False)], "archived bigint, verified boolean")
-    write_table(old, dst, partition_by)
-    copied = spark.read.schema(old.schema).parquet(dst).count()
-    if copied != n:
-        raise RuntimeError(f"archive holds {copied} rows, expected {n}")
-    return spark.createDataFrame([(n, True)], "archived bigint, verified boolean")
+    expected = _fingerprint(old)
+    if dst is not None and expected[0]:
+        path = f"{dst.rstrip('/')}/run={identifier(run_id or uuid.uuid4().hex)}"
+        write_table(old, path, partition_by, mode="errorifexists")
+        found = _fingerprint(spark.read.schema(old.schema).parquet(path).select(*old.columns))
+        if found != expected:
+            raise RuntimeError(f"archive {path} holds {found[0]} rows that differ from the {expected[0]} to archive")
+    return spark.createDataFrame([(expected[0], dst is not None)], "archived bigint, verified boolean")
+
+
+def archive_table(spark: SparkSession, path: str, ts: str, cutoff, dst: str, partition_by: list[str] | None = None,
+                  run_id: str | None = None) -> DataFrame:
+    """Move rows older than the cutoff out of the table at ``path``: archive, verify, then remove."""
+    table = spark.read.parquet(path)
+    done = archive_rows(table, ts, cutoff, dst, partition_by, run_id)
+    if done.first()["verified"]:
+        with staged(retained(table, ts, cutoff)) as rest:
+            write_table(rest, path, partition_by)
+    return done
 
 
 def month_cutoff(today: date, months: int = 3) -> date:

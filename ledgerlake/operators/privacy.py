@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.operators.incremental import union_all
-
 MASK = "***MASKED***"
 REDACTED = "***REDACTED***"
 ENCRYPTED = "ENC:"
@@ -98,54 +96,100 @@ def _decrypt(c: Column, key: Column) -> Column:
     return F.when(c.startswith(ENCRYPTED), opened).otherwise(c)
 
 
-def _apply(df: DataFrame, fields, change) -> DataFrame:
+class MissingField(ValueError):
+    """A configured field is not in the table."""
+
+
+def _json_value(text: Column, inner: str) -> Column:
+    return F.get_json_object(text, f"$.{inner}")
+
+
+def _change_json(text: Column, inner: str, change) -> Column:
+    """The JSON object with one field changed and its other fields as they are. A text that is no
+    object, or has no such field or a null there, stays what it is."""
+    value = _json_value(text, inner)
+    fields = F.from_json(text, "map<string,variant>")
+    # The field is taken out of the map and put back as text, so the other values keep their types.
+    others = F.map_filter(F.transform_values(fields, lambda k, v: F.to_json(v)), lambda k, v: k != inner)
+    put = F.map_concat(others, F.create_map(F.lit(inner), F.to_json(F.struct(change(value).alias("v")))))
+    body = F.array_join(F.transform(F.map_entries(put), lambda e: F.concat(
+        F.lit('"'), F.replace(F.replace(e["key"], F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('":'),
+        F.when(e["key"] == inner, F.regexp_extract(e["value"], r'^\{"v":(.*)\}$', 1)).otherwise(e["value"]))), ",")
+    return F.when(value.isNull() | fields.isNull(), text).otherwise(F.concat(F.lit("{"), body, F.lit("}")))
+
+
+def located(df: DataFrame, name: str) -> str:
+    """Where a configured field lies: Bronze events keep their fields in the text of ``payload``."""
+    inside = "payload" in df.columns and isinstance(df.schema["payload"].dataType, T.StringType)
+    return f"payload.{name}" if inside and "." not in name and name not in df.columns else name
+
+
+def field_value(df: DataFrame, name: str) -> Column | None:
+    """A configured field as text: a column, a field of a struct, or a field inside a JSON text."""
+    name = located(df, name)
+    top, _, inner = name.partition(".")
+    if top not in df.columns:
+        return None
+    if inner and isinstance(df.schema[top].dataType, T.StringType):
+        return _json_value(F.col(top), inner)
+    if inner and inner not in df.schema[top].dataType.names:
+        return None
+    return F.col(name).cast("string")
+
+
+def _apply(df: DataFrame, fields, change, strict: bool) -> DataFrame:
     for name in fields:
+        name = located(df, name)
         top, _, inner = name.partition(".")
-        if top not in df.columns:
+        if field_value(df, name) is None:
+            if strict:
+                raise MissingField(f"{name} is to be encrypted, but the table has {df.columns}")
             continue
         if not inner:
             df = df.withColumn(top, change(F.col(top)))
         elif isinstance(df.schema[top].dataType, T.StructType):
             df = df.withColumn(top, F.col(top).withField(inner, change(F.col(name))))
+        else:
+            df = df.withColumn(top, _change_json(F.col(top), inner, change))
     return df
 
 
-def encrypt_fields(df: DataFrame, fields, key: bytes, enabled: bool = True) -> DataFrame:
+def encrypt_fields(df: DataFrame, fields, key: bytes, enabled: bool = True, strict: bool = True) -> DataFrame:
     """AES-256-GCM with a fresh random nonce per value; values already encrypted pass through.
 
-    Nested fields are named with a dot. Only text survives the round trip unchanged in type.
+    Nested fields are named with a dot and lie in a struct or in the text of a JSON object. Only text
+    survives the round trip unchanged in type. A configured field that the table does not have raises, as
+    leaving it out would leave personal data in plain text elsewhere unnoticed.
     """
-    return _apply(df, fields, lambda c: _encrypt(c, F.lit(key))) if enabled else df
+    return _apply(df, fields, lambda c: _encrypt(c, F.lit(key)), strict) if enabled else df
 
 
 def decrypt_fields(df: DataFrame, fields, key: bytes) -> DataFrame:
     """Open encrypted values; plain text passes through, unreadable values become null."""
-    return _apply(df, fields, lambda c: _decrypt(c, F.lit(key)))
+    return _apply(df, fields, lambda c: _decrypt(c, F.lit(key)), strict=False)
 
 
 def undecryptable(df: DataFrame, fields, key: bytes) -> DataFrame:
     """Rows with an encrypted value that cannot be opened, for quarantine."""
     broken = F.lit(False)
     for name in fields:
-        c = F.col(name)
+        c = field_value(df, name)
+        if c is None:
+            continue
         broken = broken | (c.isNotNull() & _decrypt(c, F.lit(key)).isNull())
     return df.where(broken)
 
 
 def encryption_coverage(df: DataFrame, fields: list[str]) -> DataFrame:
     """Rows ``(field, encrypted, total, percentage)`` with an ``__all__`` row for the whole table."""
-    present = [f for f in fields if f.partition(".")[0] in df.columns]
-    exprs = [F.count_if(F.col(f).cast("string").startswith(ENCRYPTED)).alias(f"m{i}") for i, f in enumerate(present)]
-    counted = df.agg(F.count(F.lit(1)).alias("n"), *exprs)
-    cells = ", ".join(f"'{f}', m{i}, n" for i, f in enumerate(present))
-    every = " + ".join(f"m{i}" for i in range(len(present)))
+    values = [field_value(df, f) for f in fields]
+    # A field that is not there is not encrypted: it counts as none of the rows.
+    sealed = [F.lit(False) if v is None else F.coalesce(v.startswith(ENCRYPTED), F.lit(False)) for v in values]
+    counted = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(f"m{i}") for i, c in enumerate(sealed)])
+    cells = "".join(f"'{f}', m{i}, n, " for i, f in enumerate(fields))
+    every = " + ".join(["0L", *[f"m{i}" for i in range(len(fields))]])
     rows = counted.select(
-        F.expr(f"stack({len(present) + 1}, {cells}, '__all__', {every}, n * {len(present)}) AS (field, encrypted, total)")
+        F.expr(f"stack({len(fields) + 1}, {cells}'__all__', {every}, n * {len(fields)}) AS (field, encrypted, total)")
     )
     share = F.coalesce(F.try_divide(F.col("encrypted") * 100.0, F.col("total")), F.lit(0.0))
     return rows.withColumn("percentage", F.round(share, 2))
-
-
-def all_text(df: DataFrame, keep: str, cols: list[str]) -> DataFrame:
-    """Several text columns as rows ``(keep, column, text)``."""
-    return union_all(*[df.select(keep, F.lit(c).alias("column"), F.col(c).alias("text")) for c in cols])

@@ -20,8 +20,9 @@ def _violations(rules: list[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]))
 
 
-def check_contract(df: DataFrame, contract: Contract, mode: str = "split") -> DataFrame:
-    """Add ``violations``: required values that are missing, and values of the wrong type.
+def check_contract(df: DataFrame, contract: Contract, mode: str = "split", values: bool = False) -> DataFrame:
+    """Add ``violations``: required values that are missing, and values of the wrong type; with
+    ``values`` also those outside their range or domain, and texts that are too long.
 
     ``mode='fail'`` raises on the first bad batch instead, naming how often each rule was broken.
     """
@@ -35,6 +36,15 @@ def check_contract(df: DataFrame, contract: Contract, mode: str = "split") -> Da
             rules.append((f"{name}:required", F.col(name).isNull()))
         if df.schema[name].dataType != dtype:
             rules.append((f"{name}:type", F.col(name).isNotNull() & F.col(name).try_cast(dtype).isNull()))
+    if values:
+        for name, (low, high) in contract.ranges.items():
+            if name in df.columns:
+                v = _number(df, name)
+                rules.append((f"{name}:range", (v < low) | (v > high)))
+        rules += [(f"{name}:domain", ~F.col(name).isin(*allowed)) for name, allowed in contract.domains.items()
+                  if name in df.columns]
+        rules += [(f"{name}:max_length", F.length(name) > limit) for name, limit in contract.max_length.items()
+                  if name in df.columns]
     checked = df.withColumn("violations", _violations(rules))
     if mode == "fail":
         bad = checked.select(F.explode("violations").alias("rule")).groupBy("rule").count().collect()  # one row per rule

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.contracts import Contract
+from ledgerlake.session import instant
 
 
 class NotOneToOne(ValueError):
@@ -45,8 +46,8 @@ def join_semi(fact: DataFrame, touched: DataFrame, key: str | list[str]) -> Data
 
 def bronze_gaps(events: DataFrame, start, end, ts: str = "event_time") -> DataFrame:
     """Hours of [start, end] without any Bronze row."""
-    lo = F.date_trunc("hour", F.lit(start).cast("timestamp"))
-    hi = F.date_trunc("hour", F.lit(end).cast("timestamp"))
+    lo = F.date_trunc("hour", instant(start))
+    hi = F.date_trunc("hour", instant(end))
     one_hour = F.expr("INTERVAL 1 HOUR")
     hours = events.sparkSession.range(1).select(F.explode(F.sequence(lo, hi, one_hour)).alias("hour"))
     seen = (
@@ -59,7 +60,7 @@ def bronze_gaps(events: DataFrame, start, end, ts: str = "event_time") -> DataFr
 
 def time_split(df: DataFrame, ts: str, cutoff) -> tuple[DataFrame, DataFrame]:
     """(rows before the cutoff, rows at or after it)."""
-    at = F.lit(cutoff).cast("timestamp")
+    at = instant(cutoff)
     return df.where(F.col(ts) < at), df.where(F.col(ts) >= at)
 
 
@@ -83,7 +84,7 @@ def project_contract(df: DataFrame, contract: Contract) -> DataFrame:
 
 def derive_defaults(df: DataFrame, batch_ts, source: str) -> DataFrame:
     """Load stamps, filled where absent. The batch time is a parameter, so a rerun gives the same rows."""
-    ts = F.lit(batch_ts).cast("timestamp")
+    ts = instant(batch_ts)
 
     def default(name: str, value: Column) -> Column:
         return F.coalesce(F.col(name), value) if name in df.columns else value

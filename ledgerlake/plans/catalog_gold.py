@@ -173,14 +173,18 @@ def _(fx):
 @query(
     "load_table",
     """SELECT transaction_id, customer_id, fraud_score, event_time, CAST(event_time AS DATE) AS day FROM {dirty_scores}
-       WHERE fraud_score IS NOT NULL""",
+       WHERE fraud_score BETWEEN 0 AND 1""",
     dates=("day",),
 )
 def _(fx):
-    """Rows up to the watermark as a full load, then all rows incrementally; keys must not repeat."""
+    """A full load under other days and with repeats, a full load of the rows up to the watermark, then
+    all rows incrementally: nothing of the first is left, keys don't repeat, bad scores stay out."""
     rows = fx("dirty_scores").withColumn("day", F.to_date("event_time"))
     root = shared_dir(fx.spark, "warehouse")
     args = dict(contract=FACT_FRAUD, keys=["transaction_id"], partition_by="day", max_errors=10**12)
+    first = rows.withColumn("day", F.to_date(F.lit("1999-01-01"))).withColumn("fraud_score", F.lit(0.5))
+    doubled = relations.derive_defaults(first.unionByName(first), T0, "fraud_ml_model")
+    sinks.load_table(doubled, root, "fact_fraud_scores", mode="full", **args)
     stamped = relations.derive_defaults(rows, T0, "fraud_ml_model")
     sinks.load_table(stamped.where(F.col("event_time") <= F.lit(WM)), root, "fact_fraud_scores", mode="full", **args)
     again = relations.derive_defaults(rows, T1, "fraud_ml_model")

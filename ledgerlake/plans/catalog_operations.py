@@ -251,17 +251,21 @@ def _(fx):
 
 @query(
     "archive_rows",
-    """SELECT count(*) AS archived, true AS verified, min(event_time) AS first_time, max(event_time) AS last_time
-       FROM {tx_scores} WHERE event_time < TIMESTAMP '2024-01-12 00:00:00'""",
+    """SELECT event_id, fraud_score, event_time, event_time < TIMESTAMP '2024-01-15 00:00:00' AS archived,
+              CASE WHEN event_time < TIMESTAMP '2024-01-12 00:00:00' THEN 'first'
+                   WHEN event_time < TIMESTAMP '2024-01-15 00:00:00' THEN 'second' END AS run
+       FROM {tx_scores}""",
 )
 def _(fx):
-    dst = shared_dir(fx.spark, "archive")
-    scores = fx("tx_scores").withColumn("month", F.to_date(F.date_trunc("month", "event_time")))
-    done = operations.archive_rows(scores, "event_time", "2024-01-12 00:00:00", dst, ["month"])
-    stored = fx.spark.read.schema(scores.schema).parquet(dst)
-    times = stored.agg(F.min("event_time").alias("first_time"), F.max("event_time").alias("last_time"))
-    return done.select("*", times.select("first_time").scalar().alias("first_time"),
-                       times.select("last_time").scalar().alias("last_time"))
+    """Two runs with cut-offs in one month: what each has archived, and what is left in the table."""
+    path, dst = shared_dir(fx.spark, "active"), shared_dir(fx.spark, "archive")
+    fx("tx_scores").withColumn("month", F.to_date(F.date_trunc("month", "event_time"))).write.partitionBy("month").parquet(path)
+    for run, cutoff in (("first", "2024-01-12 00:00:00"), ("second", "2024-01-15 00:00:00")):
+        operations.archive_table(fx.spark, path, "event_time", cutoff, dst, ["month"], run)
+    columns = ["event_id", "fraud_score", "event_time"]
+    stored = fx.spark.read.parquet(dst).select(*columns, F.lit(True).alias("archived"), F.col("run").cast("string"))
+    left = fx.spark.read.parquet(path).select(*columns, F.lit(False).alias("archived"), F.lit(None).cast("string").alias("run"))
+    return stored.unionByName(left)
 
 
 BOUNDARIES = operations.relative_boundaries(date(2024, 1, 31), "DAILY")

@@ -91,6 +91,24 @@ def _(fx):
     return privacy.decrypt_fields(sealed, fields, KEY)
 
 
+@query(
+    "encrypt_bronze_payload",
+    """SELECT seq, d AS device_id, event_id, d IS NOT NULL AS sealed
+       FROM (SELECT event_id AS seq, concat('e', event_id) AS event_id, concat('d', event_id % 4) AS d FROM {events_k}) t""",
+)
+def _(fx):
+    """Bronze fraud keeps its personal data in a JSON text: sealed there, then opened again."""
+    bronze = fx("events_k").select(
+        F.col("event_id").alias("seq"), F.concat(F.lit("e"), "event_id").alias("event_id"),
+        F.to_json(F.struct(F.concat(F.lit("c"), "user_id").alias("customer_id"), F.concat(F.lit("t"), "event_id").alias("transaction_id"),
+                           F.concat(F.lit("d"), F.col("event_id") % 4).alias("device_id"), "value")).alias("payload"))
+    fields = privacy.pii_fields("bronze", "fraud")
+    sealed = privacy.encrypt_fields(bronze, fields, KEY)
+    opened = privacy.decrypt_fields(sealed.withColumn("was", F.get_json_object("payload", "$.device_id")), fields, KEY)
+    return opened.select("seq", F.get_json_object("payload", "$.device_id").alias("device_id"), "event_id",
+                         F.startswith("was", F.lit("ENC:")).alias("sealed"))
+
+
 @query(
     "encryption_coverage",
     """WITH t AS (SELECT count(*) AS total, count(*) FILTER (WHERE fraud_score >= 0.5) AS sealed FROM {tx_scores})

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contracts import AGG_CHURN, AGG_FRAUD, AGG_RISK, CDC_CONTROL, Contract
 from ledgerlake.operators import gold, incremental, quality
-from ledgerlake.session import shared_dir
-from ledgerlake.sources.sinks import exists, load_table, write_table
+from ledgerlake.sources.sinks import exists, load_table, staged, write_table
 
 
 @dataclass(frozen=True)
@@ -69,13 +68,8 @@ def warehouse_refresh(spark: SparkSession, jobs: list[GoldJob], root: str, now:
     progress = [p for p, _ in done if p is not None]
     if progress:
         update = spark.createDataFrame(progress, "table_name string, __ts timestamp, __n bigint")
-        staged = shared_dir(spark, "control")
-        write_table(incremental.advance_with(control, update, now), staged)
-        write_table(spark.read.schema(CDC_CONTROL).parquet(staged), control_path)
+        with staged(incremental.advance_with(control, update, now)) as moved:
+            write_table(moved, control_path)
     stats = [s for _, s in done if s is not None]
     empty = "`table` string, rows_loaded bigint, rows_rejected bigint, load_type string, loaded_at timestamp"
     return incremental.union_all(spark.createDataFrame([], empty), *stats).orderBy("table")
-
-
-def month_column(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumn("month", F.to_date(F.date_trunc("month", ts)))

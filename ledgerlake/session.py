@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
+from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that change results or physical plans. All are runtime settings, so they can
 # be applied to a session somebody else built.
@@ -65,12 +68,37 @@ def build_session(app: str = "ledgerlake", master: str | None = None, input_byte
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder every executor can reach.
+    """A fresh folder every executor can reach, under ``spark.checkpoint.dir``.
 
-    On a cluster it lies under ``spark.checkpoint.dir``. Only where that is unset (local
-    tests) does it fall back to a temporary folder of this machine.
+    Only with a local master, where driver and executors are one process, does an unset folder
+    fall back to a temporary one of this machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="ledgerlake-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read back. Lineage ends there, the planner knows the
+    size, and a join with it shuffles both sides, so that adaptive execution can split a hot key."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever storage it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def instant(value):
+    """A literal instant. A datetime without a zone means UTC, as text and dates do; left to the
+    driver it would be read in the zone of the driver's machine."""
+    if isinstance(value, datetime) and value.tzinfo is None:
+        value = value.replace(tzinfo=timezone.utc)
+    return F.lit(value).cast("timestamp")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.contracts import AUDIT
+from ledgerlake.session import instant
 
 
 class MissingColumns(ValueError):
@@ -36,9 +37,9 @@ def read_labels(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 def _modified_between(df: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
     changed = F.col("_metadata.file_modification_time")
     if start is not None:
-        df = df.where(changed >= F.lit(start).cast("timestamp"))
+        df = df.where(changed >= instant(start))
     if end is not None:
-        df = df.where(changed <= F.lit(end).cast("timestamp"))
+        df = df.where(changed <= instant(end))
     return df
 
 
@@ -63,7 +64,7 @@ def files_older_than(spark: SparkSession, path: str, cutoff: datetime, format: s
     changed = F.col("_metadata.file_modification_time")
     return (
         reader.load(path)
-        .where(changed < F.lit(cutoff).cast("timestamp"))
+        .where(changed < instant(cutoff))
         .groupBy(F.col("_metadata.file_path").alias("file"), changed.alias("modified"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )

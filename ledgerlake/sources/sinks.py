@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import re
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.contracts import AUDIT, Contract
-from ledgerlake.operators.incremental import upsert_latest
+from ledgerlake.operators.incremental import top1_per_key, upsert_latest
 from ledgerlake.operators.quality import QualityError, check_contract
-from ledgerlake.session import shared_dir
+from ledgerlake.session import instant, remove, shared_dir
 
 # Statement keywords that are refused as table names.
 RESERVED = ("SELECT", "DROP", "DELETE", "INSERT", "UPDATE", "EXEC", "EXECUTE", "ALTER", "CREATE", "TRUNCATE",
             "MERGE", "UNION", "GRANT", "REVOKE")
 MAX_ERRORS = 100
-MAX_LISTED = 5_000  # partition values spelled out in a filter
+LOAD_STATS = "`table` string, rows_loaded bigint, rows_rejected bigint, load_type string, loaded_at timestamp"
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # the default would drop microseconds
 
 
@@ -34,14 +38,18 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite",
-                sort_by: list[str] | None = None) -> None:
+                sort_by: list[str] | None = None, dynamic: bool = False) -> None:
     """Parquet. Rows of one partition value are spread over several writers when they are many:
-    the rebalance hint splits large partitions by size at run time."""
+    the rebalance hint splits large partitions by size at run time.
+
+    Overwriting replaces the whole table, whatever the session says; with ``dynamic`` only the
+    partitions that ``df`` has rows for.
+    """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if sort_by:
         df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -55,28 +63,43 @@ def exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back, for as long as it is needed: its plan runs
+    once, and a lost executor or a repeated step copies finished files."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, "staged")
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace the partitions ``df`` has rows for, also when ``df`` reads the table itself.
+    """Replace the partitions ``df`` has rows for, also when ``df`` reads the table itself."""
+    with staged(df) as rows:
+        write_table(rows, path, partition_by, dynamic=True)
 
-    The rows are written next to the table first: a lost executor or a repeated run then copies
-    finished files and cannot see a half-replaced table.
-    """
-    spark = df.sparkSession
-    staged = shared_dir(spark, "staged")
-    write_table(df, staged, partition_by)
-    # types of partition columns are taken from the plan, not guessed from folder names
-    stored = spark.read.schema(df.schema).parquet(staged)
-    stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
+def _merge_partitions(spark: SparkSession, path: str, good: DataFrame, keys: list[str], column: str) -> None:
+    """Upsert into a partitioned table, touching only partitions that gain, lose or change a row.
 
-def _in_partitions_of(table: DataFrame, rows: DataFrame, column: str) -> DataFrame:
-    """The partitions of the table that ``rows`` fall into: pruned by a list of values while it is
-    short, else by a semi join."""
-    values = rows.select(column).distinct()
-    found = [r[0] for r in values.limit(MAX_LISTED + 1).collect()]
-    if len(found) <= MAX_LISTED:
-        return table.where(F.col(column).isin([v for v in found if v is not None]) | F.col(column).isNull())
-    return table.join(values, column, "left_semi")
+    A key may come back under another partition value: the partitions that hold the keys now
+    are found by a semi join, and one that is left without rows is removed.
+    """
+    table = spark.read.parquet(path)
+    where_now = table.join(good.select(*keys), keys, "left_semi").select(column)
+    touched = good.select(column).unionByName(where_now).distinct().withColumnRenamed(column, "__part")
+    # A null partition is one like any other, so the join must be null-safe.
+    existing = table.join(touched, F.col(column).eqNullSafe(F.col("__part")), "left_semi")
+    with staged(upsert_latest(existing.select(*good.columns), good, keys)) as merged:
+        filled = merged.select(F.col(column).alias("__part")).distinct()
+        emptied = existing.select(column, F.col("_metadata.file_path").alias("file")).join(
+            filled, F.col(column).eqNullSafe(F.col("__part")), "left_anti")
+        folders = [r[0] for r in emptied.select(F.regexp_extract("file", "^(.*)/[^/]*$", 1)).distinct().collect()]
+        write_table(merged, path, [column], dynamic=True)
+    for folder in folders:  # one per partition that has lost its last row
+        remove(spark, unquote(folder))
 
 
 def load_table(
@@ -92,39 +115,41 @@ def load_table(
 ) -> DataFrame:
     """Load rows into ``root/table`` and return the load statistics row.
 
-    ``full`` replaces the table, ``incremental`` upserts by key, so repeating a load adds nothing.
-    Up to ``max_errors`` rows may break the contract; they are left out. Partitions without new
-    rows are not read or written; a key must keep its partition.
+    ``full`` replaces the table, ``incremental`` upserts by key, so repeating a load adds nothing; a
+    key that repeats within a load counts once, by its latest row. Up to ``max_errors`` rows
+    may break the contract; they go to ``root/table_rejected`` with what they broke. The input is
+    computed once, into a staged copy.
     """
     if mode not in ("full", "incremental"):
         raise ValueError(f"unknown load mode: {mode}")
     spark, path = df.sparkSession, f"{root.rstrip('/')}/{identifier(table)}"
-    checked = check_contract(df, contract)
+    began = time.monotonic()
     broken = F.size("violations") > 0
-    counts = checked.agg(F.count_if(~broken).alias("good"), F.count_if(broken).alias("bad")).first()
-    if counts["bad"] > max_errors:
-        raise QualityError(f"{table}: {counts['bad']} bad rows, {max_errors} allowed")
-    good = checked.where(~broken).drop("violations")
-
-    parts = [partition_by] if partition_by else []
-    if mode == "full" or not exists(spark, path):
-        write_table(good, path, parts)
-    else:
-        existing = spark.read.parquet(path)
-        if partition_by:
-            existing = _in_partitions_of(existing, good, partition_by)
-            merged = upsert_latest(existing.select(*df.columns), good, keys)
-            replace_partitions(merged, path, parts)
+    with staged(check_contract(df, contract, values=True)) as checked:
+        counts = checked.agg(F.count_if(~broken).alias("good"), F.count_if(broken).alias("bad")).first()
+        if counts["bad"] > max_errors:
+            raise QualityError(f"{table}: {counts['bad']} bad rows, {max_errors} allowed")
+        if counts["bad"]:
+            rejected = checked.where(broken).withColumn("rejected_at", instant(loaded_at))
+            write_table(rejected, f"{path}_rejected", mode="append")
+        good = top1_per_key(checked.where(~broken).drop("violations"), keys, [F.desc("updated_at")])
+        parts = [partition_by] if partition_by else []
+        if mode == "full" or not exists(spark, path):
+            write_table(good, path, parts)
+        elif partition_by:
+            _merge_partitions(spark, path, good, keys, partition_by)
         else:
-            merged = upsert_latest(existing.select(*df.columns), good, keys)
-            staged = shared_dir(spark, "staged")
-            write_table(merged, staged)
-            write_table(spark.read.schema(df.schema).parquet(staged), path)
-    stats = [(table, counts["good"], counts["bad"], mode, loaded_at)]
-    return spark.createDataFrame(stats, "`table` string, rows_loaded bigint, rows_rejected bigint, load_type string, loaded_at timestamp")
+            existing = spark.read.parquet(path).select(*df.columns)
+            with staged(upsert_latest(existing, good, keys)) as merged:
+                write_table(merged, path)
+    stats = [(table, counts["good"], counts["bad"], mode, loaded_at, round(time.monotonic() - began, 3))]
+    loads = spark.createDataFrame(stats, f"{LOAD_STATS}, duration_seconds double")
+    log_load(loads, f"{root.rstrip('/')}/load_log")
+    return loads.drop("duration_seconds")
 
 
 def log_load(stats: DataFrame, path: str) -> None:
+    """Append to the load log: what was loaded, rejected, when, and how long it took."""
     stats.write.mode("append").json(path)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,24 +13,35 @@ from ledgerlake.functions.stats import clean_double
 from ledgerlake.operators.gold import FLAG, HIGH
 from ledgerlake.operators.ingest import parse_events, split_valid
 from ledgerlake.operators.models import score_fraud
-from ledgerlake.sources.sinks import JSON_TIME
+from ledgerlake.sources.sinks import JSON_TIME, staged
 
 TRIGGER = "60 seconds"
-BATCH_ID = "batch_id"
+STREAM_ID, BATCH_ID = "stream_id", "batch_id"
+
+
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc)
 
 
 def _trigger(writer: DataStreamWriter, once: bool) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str, format: str) -> None:
-    """A micro-batch owns one partition; writing it again after a failure replaces it."""
+def stream_id(df: DataFrame) -> str:
+    """The id of the running stream: kept in its checkpoint, so it outlives restarts and differs for
+    every new checkpoint."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def write_batch(df: DataFrame, batch_id: int, path: str, format: str, stream: str | None = None) -> None:
+    """A micro-batch of a stream owns one partition; writing it again after a failure replaces it. A stream with a
+    new checkpoint counts its batches from 0 again, under an id of its own."""
     (
-        df.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
+        df.withColumns({STREAM_ID: F.lit(stream or stream_id(df)), BATCH_ID: F.lit(batch_id).cast("bigint")})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("timestampFormat", JSON_TIME)
-        .partitionBy(BATCH_ID)
+        .partitionBy(STREAM_ID, BATCH_ID)
         .format(format)
         .save(path)
     )
@@ -39,14 +50,16 @@ def write_batch(df: DataFrame, batch_id: int, path: str, format: str) -> None:
 def stream_ingest(raw: DataFrame, bronze: str, dlq: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Parse raw records into Bronze and the dead-letter table.
 
-    Each sink is a separate job over the micro-batch, which is re-read from its files rather than
-    cached; both are replaced per batch id, so the pair is effectively written once.
+    Each sink is a separate job over the parsed micro-batch; both are replaced per stream and batch, so
+    the pair is effectively written once.
     """
 
     def both(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_valid(parse_events(batch))
-        write_batch(good, batch_id, bronze, "json")
-        write_batch(bad, batch_id, dlq, "json")
+        stream = stream_id(batch)
+        with staged(parse_events(batch)) as parsed:  # parsed once for both sinks
+            good, bad = split_valid(parsed)
+            write_batch(good, batch_id, bronze, "json", stream)
+            write_batch(bad, batch_id, dlq, "json", stream)
 
     writer = raw.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint)
     return _trigger(writer, once).start()
@@ -91,7 +104,7 @@ def stream_gold_hourly(scores: DataFrame, delay: str = "1 hour", flag: float = F
 
 
 def stream_score(features: DataFrame, model, version: str, sink: str, checkpoint: str,
-                 clock: Callable[[], datetime] = datetime.utcnow, once: bool = False) -> StreamingQuery:
+                 clock: Callable[[], datetime] = utc_now, once: bool = False) -> StreamingQuery:
     """Score micro-batches; rows that cannot be scored are answered with ``allow``."""
 
     def score(batch: DataFrame, batch_id: int) -> None:

@@ -96,7 +96,15 @@ def test_hot_entity_is_cut_into_bounded_slices(skewed):
     assert sliced.where("NOT __halo").count() == 2000
 
 
-def test_number_of_cuts_is_bounded(skewed):
-    found, limit = hotkeys.hot_entities(skewed, "customer_id", 1)
-    assert limit >= 2  # 6000 rows over at most MAX_SLICES slices
-    assert found.count() <= hotkeys.MAX_SLICES
+@pytest.mark.parametrize("hot_rows", [1, 50, 700])
+def test_rows_per_task_follow_the_limit_whatever_the_total(skewed, hot_rows):
+    """However small the limit against the total: every entity above it is hot, and its slices keep to it."""
+    found, limit = hotkeys.hot_entities(skewed, "customer_id", hot_rows)
+    counts = {r["customer_id"]: r["count"] for r in skewed.where("customer_id is not null").groupBy("customer_id").count().collect()}
+    assert limit == hot_rows
+    assert {r["customer_id"] for r in found.collect()} == {c for c, n in counts.items() if n > hot_rows}
+    placed = skewed.withColumn("__pos", F.unix_micros("event_time"))
+    sliced = hotkeys._with_halo(placed, "customer_id", "event_id", 0, 0, 60_000_000, 100, found)
+    busiest = max(r["count"] for r in sliced.groupBy("customer_id", "__slice").count().where("customer_id is not null").collect())
+    assert busiest <= max(hot_rows, 100 + 40)  # a minute's rows stay together
+    assert sliced.count() == skewed.count()

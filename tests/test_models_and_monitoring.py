@@ -88,12 +88,12 @@ def test_fingerprint_ignores_order_but_not_content(spark):
     assert a != models.dataset_fingerprint(df.where("id > 0")).first()
 
 
-@pytest.mark.parametrize("one_task", [10**6, 10])
-def test_auc_is_exact(spark, one_task):
+@pytest.mark.parametrize("range_rows", [10**6, 10])
+def test_auc_is_exact(spark, range_rows):
     rng = random.Random(3)
     rows = [(rng.choice([round(rng.random(), 2), rng.random(), 0.5]), int(rng.random() < 0.3)) for _ in range(2000)]
     df = spark.createDataFrame(rows, "s double, y int")
-    got = evaluation.eval_binary(df, "y", "s", one_task=one_task).first()
+    got = evaluation.eval_binary(df, "y", "s", range_rows=range_rows).first()
     want = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="d", numBins=0).evaluate(df.withColumn("d", F.col("y").cast("double")))
     assert got["auc"] == pytest.approx(want, abs=1e-12)
     tp = sum(1 for s, y in rows if s > 0.5 and y)
@@ -112,19 +112,19 @@ def test_running_totals_over_ranges_equal_a_plain_window(spark, group):
     rng = random.Random(5)
     values = sorted({rng.choice([rng.gauss(0, 1), float(rng.randrange(5))]) for _ in range(3000)})
     df = spark.createDataFrame([("g", v, i % 7) for i, v in enumerate(values)], "g string, v double, n int")
-    a = running_totals(df, "v", ["n"], group, one_task=10**6)
-    b = running_totals(df, "v", ["n"], group, one_task=1)
+    a = running_totals(df, "v", ["n"], group, range_rows=10**6)
+    b = running_totals(df, "v", ["n"], group, range_rows=37)
     pick = lambda d: sorted((r["v"], r["cum_n"], r["total_n"]) for r in d.collect())
     assert pick(a) == pick(b)
 
 
-@pytest.mark.parametrize("one_task", [10**6, 5])
-def test_drift(spark, one_task):
+@pytest.mark.parametrize("range_rows", [10**6, 5])
+def test_drift(spark, range_rows):
     rng = np.random.default_rng(0)
     a, b, c = rng.normal(0, 1, 1000), rng.normal(0.5, 1, 1000), rng.normal(0, 1, 1000)
     ref = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, a)] + [(None, float("nan"))], "moved double, same double")
     cur = spark.createDataFrame([(float(x), float(y)) for x, y in zip(b, c)], "moved double, same double")
-    got = {r["column"]: r for r in evaluation.drift_ks(ref, cur, one_task=one_task).collect()}
+    got = {r["column"]: r for r in evaluation.drift_ks(ref, cur, range_rows=range_rows).collect()}
     grid = np.sort(np.concatenate([a, b]))
     d = np.abs(np.searchsorted(np.sort(a), grid, "right") - np.searchsorted(np.sort(b), grid, "right")).max() / 1000
     assert got["moved"]["statistic"] == pytest.approx(d) and got["moved"]["drift_detected"] and got["moved"]["p_value"] < 1e-6

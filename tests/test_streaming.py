@@ -69,7 +69,8 @@ def test_ingest_writes_each_record_once_even_when_a_batch_is_repeated(spark):
     pipelines.stream_ingest(stream, bronze, dlq, checkpoint, once=True).awaitTermination()
     assert (stored(bronze), stored(dlq)) == (good, bad)
     # a batch that is written again replaces its first attempt
-    pipelines.write_batch(spark.range(3).toDF("seq"), 0, dlq, "json")
+    stream = spark.read.json(dlq).first()["stream_id"]
+    pipelines.write_batch(spark.range(3).toDF("seq"), 0, dlq, "json", stream)
     assert stored(dlq) == 3
 
 
