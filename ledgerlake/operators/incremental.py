@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.session import instant
+from ledgerlake.session import instant, stored
 
 EPOCH = datetime(1970, 1, 1)
 
@@ -82,15 +82,31 @@ def upsert_latest(existing: DataFrame, new: DataFrame, keys: list[str], version:
     return top1_per_key(both, keys, [F.desc(version), F.desc("__new")]).drop("__new")
 
 
-def touched_rows(fact: DataFrame, watermark: datetime, bucket: Callable[[Column], Column], col: str = "event_time"
-                 ) -> DataFrame:
+def touched_rows(fact: DataFrame, watermark: datetime, bucket: Callable[[Column], Column], col: str = "event_time",
+                 arrival: str | None = None) -> DataFrame:
     """All rows of the buckets that received a row after the watermark.
 
-    Later buckets hold new rows only, so no join is needed: it is enough to know whether the bucket
+    ``arrival`` names the column that tells when a row came in. With it the watermark is one of arrival,
+    and a row that comes late is aggregated into whatever bucket its event time falls in: the
+    buckets of all new rows are looked up. Without it, rows must come in order of event time.
+    """
+    wm = instant(watermark)
+    if arrival is not None:
+        buckets = stored(fact.where(F.col(arrival) > wm).select(bucket(F.col(col)).alias("__bucket")).distinct(), "touched")
+        first = buckets.agg(F.unix_micros(F.min("__bucket").cast("timestamp"))).first()[0]
+        if first is None:
+            return fact.where(F.lit(False))
+        # The earliest bucket as a literal prunes the scan; the join picks the buckets after it.
+        recent = fact.where(F.col(col) >= instant(EPOCH + timedelta(microseconds=first)))
+        return recent.join(buckets, bucket(F.col(col)) == F.col("__bucket"), "left_semi")
+    return _touched_in_order(fact, wm, bucket, col)
+
+
+def _touched_in_order(fact: DataFrame, wm: Column, bucket: Callable[[Column], Column], col: str) -> DataFrame:
+    """Later buckets hold new rows only, so no join is needed: it is enough to know whether the bucket
     the watermark falls into received any. The lower bound is a literal and prunes partitions and
     row groups.
     """
-    wm = instant(watermark)
     at, first = F.col(col), bucket(wm)
     reopened = fact.where((at > wm) & (bucket(at) == first)).agg((F.count(F.lit(1)) > 0).alias("any"))
     return fact.where((at >= first) & ((bucket(at) > first) | reopened.scalar()))
@@ -102,9 +118,10 @@ def refresh_gold(
     agg: Callable[[DataFrame], DataFrame],
     bucket: Callable[[Column], Column],
     col: str = "event_time",
+    arrival: str | None = None,
 ) -> DataFrame:
     """Complete aggregates of every bucket touched since the watermark; replace these buckets."""
-    return agg(touched_rows(fact, watermark, bucket, col))
+    return agg(touched_rows(fact, watermark, bucket, col, arrival))
 
 
 def merge_buckets(existing: DataFrame, refreshed: DataFrame, keys: list[str]) -> DataFrame:

@@ -30,12 +30,13 @@ class ForestSpec:
 
 
 # Features, tree counts, leaf sizes and thresholds of the three models. Depth is
-# given upstream only for the credit model; the other two grow without a limit there, here to a
-# depth that can be raised to 30.
-FRAUD = ForestSpec(("tx_velocity_1m", "geo_distance_km", "device_entropy"), "is_fraud", 100, 1, 10, 0.5)
+# given upstream only for the credit model; the other two grow without a limit there, here to MLlib's own
+# limit.
+DEEPEST = 30
+FRAUD = ForestSpec(("tx_velocity_1m", "geo_distance_km", "device_entropy"), "is_fraud", 100, 1, DEEPEST, 0.5)
 CREDIT = ForestSpec(("missed_ratio", "last_missed", "balance_volatility", "delinquency_trends"), "is_default",
                     50, 50, 10, 0.5)
-CHURN = ForestSpec(("transaction_decay", "login_inactivity", "complaint_frequency"), "churned", 100, 10, 10, 0.3,
+CHURN = ForestSpec(("transaction_decay", "login_inactivity", "complaint_frequency"), "churned", 100, 10, DEEPEST, 0.3,
                    balanced=True)
 
 

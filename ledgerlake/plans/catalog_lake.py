@@ -1,6 +1,7 @@
 """Scans, ingest, contracts and data quality."""
 
-from datetime import datetime, timedelta
+import time
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -51,11 +52,17 @@ def _(fx):
     return readers.read_labels(fx.spark, path, FRAUD_LABELS)
 
 
-@query("scan_by_mtime", "SELECT seq, customer_id, event_type FROM {crm_events}")
+@query("scan_by_mtime", "SELECT seq, customer_id, event_type FROM {crm_events} WHERE seq % 3 = 0")
 def _(fx):
-    path = bronze_files(fx, "crm_events", "seq", "customer_id", "event_time", "event_type")
-    start = datetime.now() - timedelta(days=1)
-    df = readers.read_modified(fx.spark, path, fx("crm_events").schema, start)
+    """Only the middle one of three batches of files is from the time asked for."""
+    path, times = shared_dir(fx.spark, "bronze"), []
+    for part in (1, 0, 2):
+        rows = fx("crm_events").where(F.col("seq") % 3 == part).select("seq", "customer_id", "event_time", "event_type")
+        time.sleep(1.1)  # some storage keeps whole seconds
+        times.append(datetime.now(timezone.utc))
+        sinks.write_bronze(rows, path)
+    second = timedelta(seconds=1)
+    df = readers.read_modified(fx.spark, path, fx("crm_events").schema, times[1] - second / 2, times[2] - second / 20)
     return df.select("seq", "customer_id", "event_type")
 
 

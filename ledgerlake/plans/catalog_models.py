@@ -41,16 +41,18 @@ def _(fx):
     return report(models.train(train, models.CREDIT), test, models.CREDIT, train)
 
 
-def churn_rows(fx):
-    latest = features.feature_snapshot(silver.silver_churn(fx("crm_events")), "customer_id", "event_time", "seq")
-    return relations.join_labels(latest, fx("churn_labels"), "customer_id")
+def churn_sets(fx):
+    """Features from what is known at the cutoff, labels from what follows; split by the last event before it."""
+    known = fx("crm_events").where(F.col("event_time") < F.lit(CUT).cast("timestamp"))
+    latest = features.feature_snapshot(silver.silver_churn(known), "customer_id", "event_time", "seq")
+    rows = relations.join_labels(latest, fx("churn_labels"), "customer_id")
+    return relations.time_split(rows, "event_time", "2024-01-19 18:00:00")
 
 
 @query("train_churn")
 def _(fx):
-    """The label follows the last event here, so the same customers are used for the report."""
-    rows = churn_rows(fx)
-    return report(models.train(rows, models.CHURN), rows, models.CHURN, rows)
+    train, test = churn_sets(fx)
+    return report(models.train(train, models.CHURN), test, models.CHURN, train)
 
 
 @query(

@@ -151,7 +151,7 @@ VIEWS = {
         SELECT event_id AS seq, ts,
                CASE event_type WHEN 'view' THEN 'CPUUtilization' WHEN 'click' THEN 'MemoryUtilization'
                     WHEN 'error' THEN 'HTTPCode_Target_5XX_Count' WHEN 'purchase' THEN 'IteratorAgeMilliseconds'
-                    ELSE 'Errors' END AS metric,
+                    WHEN 'signup' THEN 'Throttles' ELSE 'Errors' END AS metric,
                CAST(CASE event_type WHEN 'purchase' THEN k * 1000 WHEN 'error' THEN k % 7 ELSE k END AS DOUBLE) AS value
         FROM {events_k}""",
     # scrapes of a counter per kind of event, restarting every day
@@ -183,6 +183,7 @@ VIEWS = {
           ('api-high-memory','MemoryUtilization','Average',300,CAST(85 AS DOUBLE),2),
           ('api-5xx-errors','HTTPCode_Target_5XX_Count','Sum',60,CAST(10 AS DOUBLE),1),
           ('processor-errors','Errors','Sum',300,CAST(5 AS DOUBLE),1),
+          ('processor-throttles','Throttles','Sum',300,CAST(1 AS DOUBLE),1),
           ('stream-iterator-age','IteratorAgeMilliseconds','Maximum',300,CAST(60000 AS DOUBLE),2))
           AS t(alarm, metric, statistic, period_s, threshold, n)""",
     "credit_labels": """

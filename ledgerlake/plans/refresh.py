@@ -23,18 +23,19 @@ class GoldJob:
     agg: Callable[..., DataFrame]
     dq: Callable[[DataFrame], DataFrame]
     bucket: Callable[[Column], Column]
+    arrival: str | None = None  # column that tells when a row came in; null: rows come in order of event time
 
 
-def fraud_job(path: str) -> GoldJob:
-    return GoldJob("fraud_scores", path, AGG_FRAUD, gold.gold_fraud_hourly, quality.dq_fraud, incremental.hour_bucket)
+def fraud_job(path: str, arrival: str | None = None) -> GoldJob:
+    return GoldJob("fraud_scores", path, AGG_FRAUD, gold.gold_fraud_hourly, quality.dq_fraud, incremental.hour_bucket, arrival)
 
 
-def risk_job(path: str) -> GoldJob:
-    return GoldJob("credit_risk", path, AGG_RISK, gold.gold_risk_daily, quality.dq_credit, incremental.day_bucket)
+def risk_job(path: str, arrival: str | None = None) -> GoldJob:
+    return GoldJob("credit_risk", path, AGG_RISK, gold.gold_risk_daily, quality.dq_credit, incremental.day_bucket, arrival)
 
 
-def churn_job(path: str) -> GoldJob:
-    return GoldJob("churn_scores", path, AGG_CHURN, gold.gold_churn_weekly, quality.dq_churn, incremental.week_bucket)
+def churn_job(path: str, arrival: str | None = None) -> GoldJob:
+    return GoldJob("churn_scores", path, AGG_CHURN, gold.gold_churn_weekly, quality.dq_churn, incremental.week_bucket, arrival)
 
 
 def control_table(spark: SparkSession, path: str) -> DataFrame:
@@ -44,12 +45,14 @@ def control_table(spark: SparkSession, path: str) -> DataFrame:
 def _refresh(spark: SparkSession, job: GoldJob, control: DataFrame, root: str, now: datetime):
     fact = spark.read.parquet(job.fact)
     wm = incremental.get_watermark(control, job.source)
-    new = incremental.new_rows(fact, wm)
-    progress = incremental.batch_progress(new, job.source).collect()  # no row or one
+    at = job.arrival or "event_time"
+    new = incremental.new_rows(fact, wm, at)
+    progress = incremental.batch_progress(new, job.source, at).collect()  # no row or one
     if not progress:
         return None, None
     quality.gate(job.dq(new))
-    refreshed = incremental.refresh_gold(fact, wm, lambda df: job.agg(df, batch_ts=now), job.bucket)
+    refreshed = incremental.refresh_gold(fact, wm, lambda df: job.agg(df, batch_ts=now), job.bucket,
+                                         arrival=job.arrival)
     ordered = refreshed.select(*job.contract.columns)
     stats = load_table(ordered, root, job.contract.name, job.contract, list(job.contract.primary_key), loaded_at=now)
     return progress[0], stats
