@@ -172,10 +172,8 @@ def score_to_fact(scored: DataFrame, contract: Contract, renames: dict[str, str]
 
 
 def dataset_fingerprint(df: DataFrame) -> DataFrame:
-    """Content hash independent of row order and partitioning."""
-    h = F.xxhash64(*sorted(df.columns))
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.bit_xor(h).alias("xor_hash"),
-        F.sum(h.cast("decimal(38,0)")).cast("string").alias("sum_hash"),
-    )
+    """Row count and content hash, independent of row order and partitioning: the sum of 60 bits of each row's MD5
+    over its columns by name. Equal rows count as often as they occur."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in sorted(df.columns)]
+    h = F.conv(F.substring(F.md5(F.concat_ws("\x01", *cells)), 1, 15), 16, 10)
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(h.cast("decimal(20,0)")).cast("string").alias("content_hash"))

@@ -59,9 +59,21 @@ def _(fx):
     return rounded(gold.gold_churn_weekly(fx("churn_scores")), DIGITS, "avg_churn_probability")
 
 
-@query("gold_churn_approx", dates=("week",))
+@query(
+    "gold_churn_approx",
+    f"""SELECT CAST(date_trunc('week', event_time) AS DATE) AS week, {SEGMENT} AS risk_segment, true AS near,
+               round(avg(churn_probability), 10) AS avg_churn_probability,
+               count(*) FILTER (WHERE confidence >= 0.8) AS high_confidence_count
+        FROM {{churn_scores}} GROUP BY 1, 2""",
+    dates=("week",),
+)
 def _(fx):
-    return rounded(gold.gold_churn_approx(fx("churn_scores")), DIGITS, "avg_churn_probability")
+    """The sketched count must lie within four standard errors of the exact one."""
+    scores, keys = fx("churn_scores"), ["week", "risk_segment"]
+    exact = gold.gold_churn_weekly(scores).select(*keys, F.col("customer_count").alias("exact"))
+    both = gold.gold_churn_approx(scores).join(exact, keys)
+    near = F.abs(F.col("customer_count") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 4 * 0.02)
+    return rounded(both.withColumn("near", near).drop("customer_count", "exact"), DIGITS, "avg_churn_probability")
 
 
 PERIOD = ("1995-01-01", "1997-12-31")

@@ -64,9 +64,13 @@ def _(fx):
     return rounded(models.class_weights(fx("fraud_labels"), "is_fraud"), 6, "weight")
 
 
-@query("dataset_fingerprint")
+@query(
+    "dataset_fingerprint",
+    """SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(md5(concat_ws(chr(1), customer_id, event_id, transaction_id)), 1, 15) AS BIGINT))
+              AS VARCHAR) AS content_hash FROM {tx_scores}""",
+)
 def _(fx):
-    return models.dataset_fingerprint(fx("tx_scores"))
+    return models.dataset_fingerprint(fx("tx_scores").select("event_id", "transaction_id", "customer_id"))
 
 
 @query(

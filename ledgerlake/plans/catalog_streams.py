@@ -1,7 +1,5 @@
 """Streaming jobs. Each runs over files derived from the given tables until none is left."""
 
-from math import ceil
-
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import models
@@ -11,7 +9,7 @@ from ledgerlake.plans.catalog_features import SILVER_FRAUD, rounded
 from ledgerlake.plans.catalog_gold import DIGITS, FRAUD_HOURLY
 from ledgerlake.plans.catalog_lake import bronze_files, raw_stream
 from ledgerlake.plans.catalog_models import fraud_sets
-from ledgerlake.session import shared_dir, state_partitions
+from ledgerlake.session import shared_dir, state_session
 from ledgerlake.sources import readers
 from ledgerlake.streaming import pipelines, velocity
 
@@ -24,7 +22,7 @@ def run(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-ROWS_PER_ARRIVAL = 2_000_000
+ARRIVALS = 4
 
 
 def arriving(fx, view: str, build, name: str):
@@ -36,16 +34,15 @@ def arriving(fx, view: str, build, name: str):
     spark, df = fx.spark, fx(view)
     src, dst, checkpoint = (shared_dir(spark, d) for d in ("arriving", name, "checkpoint"))
     first, last, n = df.agg(F.min("event_time"), F.max("event_time"), F.count(F.lit(1))).first()
-    arrivals = max(4, ceil(n / ROWS_PER_ARRIVAL))
-    step = (last - first) / arrivals
-    for i in range(arrivals):
+    step = (last - first) / ARRIVALS
+    own = state_session(spark, n)
+    for i in range(ARRIVALS):
         rows = df if i == 0 else df.where(F.col("event_time") >= F.lit(first + i * step))
-        if i < arrivals - 1:
+        if i < ARRIVALS - 1:
             rows = rows.where(F.col("event_time") < F.lit(first + (i + 1) * step))
         rows.write.mode("append").parquet(src)
-        with state_partitions(spark, n):
-            out = build(readers.stream_events(spark, src, df.schema, max_files=100_000, format="parquet"))
-            pipelines.append_stream(out, dst, checkpoint, once=True).awaitTermination()
+        out = build(readers.stream_events(own, src, df.schema, max_files=1_000, format="parquet"))
+        pipelines.append_stream(out, dst, checkpoint, once=True).awaitTermination()
     return spark.read.schema(out.schema).parquet(dst)
 
 

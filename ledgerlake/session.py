@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,18 +40,13 @@ def shuffle_partitions(input_bytes: int, least: int = 200) -> int:
     return max(least, -(-input_bytes // SHUFFLE_BYTES))
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, rows: int, rows_each: int = 500_000, least: int = 8):
-    """Size the state of a stream started inside: a stream keeps its number of state partitions for
-    good and pays for every one of them in every micro-batch, so it follows the data, up to the
-    session's setting."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(before), max(least, -(-rows // rows_each)))))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def state_session(spark: SparkSession, rows: int, rows_each: int = 500_000, least: int = 8) -> SparkSession:
+    """A session for streams whose state holds ``rows`` rows: a stream keeps its number of state partitions for
+    good and pays for every one of them in every micro-batch, so it follows the data. Being a session of its own, it
+    leaves the settings of others alone."""
+    own = configure(spark.newSession())
+    own.conf.set("spark.sql.shuffle.partitions", str(max(least, -(-rows // rows_each))))
+    return own
 
 
 def build_session(app: str = "ledgerlake", master: str | None = None, input_bytes: int | None = None, **conf: str
