@@ -8,19 +8,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.incremental import top1_per_key, union_all
-from ledgerlake.session import instant
+from ledgerlake.session import instant, stored
 
 HISTORY = ("valid_from", "valid_to", "is_current")
+STAMPS = ("created_at", "updated_at")
 
 
-def scd2_initial(src: DataFrame, ts, source: str) -> DataFrame:
-    return src.select(
+def scd2_initial(src: DataFrame, ts, source: str, surrogate: str | None = None, key: str | None = None) -> DataFrame:
+    """The first load of a dimension; with ``surrogate`` every row gets a dense key in order of ``key``."""
+    out = src.select(
         "*",
         instant(ts).alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),
         F.lit(True).alias("is_current"),
         F.lit(source).alias("data_source"),
+        *[instant(ts).alias(c) for c in STAMPS],
     )
+    return out if surrogate is None else assign_keys(out, [key], name=surrogate)
 
 
 def changed_any(tracked: list[str]) -> Column:
@@ -46,9 +50,12 @@ def scd2_apply(
     tracked: list[str] | None = None,
     changed: Column | None = None,
     order: str | None = None,
+    surrogate: str | None = None,
 ) -> DataFrame:
     """The dimension after one source load at ``ts``.
 
+    With ``surrogate``, versions keep their surrogate keys, and new versions get the keys after the largest so far.
+
     New ids are inserted; where ``changed`` holds, the current row is closed and a new one is
     opened; everything else is kept. Ids missing from the source stay open. Only current rows are
     compared, and the history passes by without a shuffle. With ``order``, the last row per id of
@@ -56,7 +63,8 @@ def scd2_apply(
     """
     changed = changed if changed is not None else changed_any(tracked or [])
     now = instant(ts)
-    attributes = [c for c in dim.columns if c not in (*HISTORY, "data_source")]
+    attributes = [c for c in dim.columns if c not in (*HISTORY, *STAMPS, "data_source", surrogate)]
+    named = [surrogate] if surrogate else []
     if order is not None:
         src = top1_per_key(src, [key], [F.desc(order)])
     else:
@@ -74,6 +82,9 @@ def scd2_apply(
         F.when(is_changed, now).otherwise(F.col("d.valid_to")).alias("valid_to"),
         (~is_changed).alias("is_current"),
         F.col("d.data_source").alias("data_source"),
+        F.col("d.created_at").alias("created_at"),
+        F.when(is_changed, now).otherwise(F.col("d.updated_at")).alias("updated_at"),
+        *[F.col(f"d.{c}").alias(c) for c in named],
     )
     opened = F.struct(
         *[F.col(f"s.{c}").cast(dim.schema[c].dataType).alias(c) for c in attributes],
@@ -81,10 +92,19 @@ def scd2_apply(
         F.lit(None).cast("timestamp").alias("valid_to"),
         F.lit(True).alias("is_current"),
         F.lit(source).alias("data_source"),
+        *[now.alias(c) for c in STAMPS],
+        *[F.lit(None).cast("bigint").alias(c) for c in named],
     )
     versions = F.when(is_new, F.array(opened)).when(is_changed, F.array(old, opened)).otherwise(F.array(old))
     out = pairs.select(F.explode(versions).alias("v")).select("v.*")
-    return union_all(dim.where("NOT coalesce(is_current, false)").select(*out.columns), out)
+    whole = union_all(dim.where("NOT coalesce(is_current, false)").select(*out.columns), out)
+    if surrogate is None:
+        return whole
+    # Stored, so that the largest key, the old versions and the new ones come from one run of the plan.
+    whole = stored(whole, "dimension")
+    start = whole.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
+    fresh = whole.where(F.col(surrogate).isNull()).drop(surrogate)
+    return union_all(whole.where(F.col(surrogate).isNotNull()), assign_keys(fresh, [key], start, surrogate))
 
 
 def as_of(fact: DataFrame, dim: DataFrame, key: str, ts: str) -> DataFrame:

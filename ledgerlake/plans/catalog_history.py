@@ -9,7 +9,7 @@ from ledgerlake.plans.catalog import query
 V1, V2 = "2023-01-01 00:00:00", "2024-01-15 00:00:00"
 
 
-def scd2_sql(old: str, new: str, key: str, columns: tuple[str, ...], changed: str, source: str) -> str:
+def scd2_sql(old: str, new: str, key: str, columns: tuple[str, ...], changed: str, source: str, surrogate: str) -> str:
     cols = ", ".join(columns)
     plain = lambda a: ", ".join(f"{a}.{c}" for c in columns)
     return f"""
@@ -17,23 +17,28 @@ def scd2_sql(old: str, new: str, key: str, columns: tuple[str, ...], changed: st
         m AS (SELECT d.{key} AS id, {changed} AS changed FROM d JOIN s ON d.{key} = s.{key})
         SELECT {plain('d')}, TIMESTAMP '{V1}' AS valid_from,
                CASE WHEN m.changed THEN TIMESTAMP '{V2}' END AS valid_to, NOT coalesce(m.changed, false) AS is_current,
-               '{source}' AS data_source
+               '{source}' AS data_source, TIMESTAMP '{V1}' AS created_at,
+               CASE WHEN m.changed THEN TIMESTAMP '{V2}' ELSE TIMESTAMP '{V1}' END AS updated_at,
+               row_number() OVER (ORDER BY d.{key}) AS {surrogate}
         FROM d LEFT JOIN m ON m.id = d.{key}
         UNION ALL
-        SELECT {plain('s')}, TIMESTAMP '{V2}', NULL, true, '{source}'
+        SELECT {plain('s')}, TIMESTAMP '{V2}', NULL, true, '{source}', TIMESTAMP '{V2}', TIMESTAMP '{V2}',
+               (SELECT count(*) FROM d) + row_number() OVER (ORDER BY s.{key})
         FROM s LEFT JOIN m ON m.id = s.{key} WHERE m.id IS NULL OR m.changed"""
 
 
 CUSTOMER_CHANGED = "d.customer_segment IS DISTINCT FROM s.customer_segment OR d.risk_profile IS DISTINCT FROM s.risk_profile"
 ACCOUNT_CHANGED = """d.account_status IS DISTINCT FROM s.account_status
     OR abs(coalesce(d.balance, 0) - coalesce(s.balance, 0)) > 0.01"""
-CUSTOMER_SQL = scd2_sql("customer_src_v1", "customer_src_v2", "customer_id", DIM_CUSTOMER_COLUMNS, CUSTOMER_CHANGED, "crm_system")
+CUSTOMER_SQL = scd2_sql("customer_src_v1", "customer_src_v2", "customer_id", DIM_CUSTOMER_COLUMNS, CUSTOMER_CHANGED, "crm_system",
+                        "customer_key")
 
 
 def dim_customer(fx):
-    dim = dims.scd2_initial(fx("customer_src_v1"), V1, "crm_system")
+    dim = dims.scd2_initial(fx("customer_src_v1"), V1, "crm_system", "customer_key", "customer_id")
     return dims.scd2_apply(
-        dim, fx("customer_src_v2"), "customer_id", V2, "crm_system", tracked=["customer_segment", "risk_profile"]
+        dim, fx("customer_src_v2"), "customer_id", V2, "crm_system", tracked=["customer_segment", "risk_profile"],
+        surrogate="customer_key",
     )
 
 
@@ -44,17 +49,18 @@ def _(fx):
 
 @query(
     "scd2_account",
-    scd2_sql("account_src_v1", "account_src_v2", "account_id", DIM_ACCOUNT_COLUMNS, ACCOUNT_CHANGED, "core_banking"),
+    scd2_sql("account_src_v1", "account_src_v2", "account_id", DIM_ACCOUNT_COLUMNS, ACCOUNT_CHANGED, "core_banking", "account_key"),
 )
 def _(fx):
-    dim = dims.scd2_initial(fx("account_src_v1"), V1, "core_banking")
-    return dims.scd2_apply(dim, fx("account_src_v2"), "account_id", V2, "core_banking", changed=dims.account_changed())
+    dim = dims.scd2_initial(fx("account_src_v1"), V1, "core_banking", "account_key", "account_id")
+    return dims.scd2_apply(dim, fx("account_src_v2"), "account_id", V2, "core_banking", changed=dims.account_changed(),
+                           surrogate="account_key")
 
 
 @query(
     "scd2_as_of",
     "WITH dim AS (" + CUSTOMER_SQL + """)
-    SELECT f.transaction_id, f.customer_id, f.event_time, dim.customer_segment, dim.risk_profile, dim.valid_from
+    SELECT f.transaction_id, f.customer_id, f.event_time, dim.customer_key, dim.customer_segment, dim.risk_profile, dim.valid_from
     FROM {tx_scores} f JOIN dim ON f.customer_id = dim.customer_id
       AND f.event_time >= dim.valid_from AND (dim.valid_to IS NULL OR f.event_time < dim.valid_to)""",
 )
@@ -63,6 +69,7 @@ def _(fx):
         "transaction_id",
         "customer_id",
         "event_time",
+        F.col("dim_customer_key").alias("customer_key"),
         F.col("dim_customer_segment").alias("customer_segment"),
         F.col("dim_risk_profile").alias("risk_profile"),
         F.col("dim_valid_from").alias("valid_from"),

@@ -77,6 +77,19 @@ def test_scd2_takes_the_last_row_of_a_batch_and_null_is_a_value(spark):
     assert sorted((r["id"], r["v"] or "", r["is_current"]) for r in out.collect()) == [("a", "", True), ("b", "", True), ("b", "x", False)]
 
 
+def test_surrogate_keys_stay_over_loads(spark):
+    dim = dimensions.scd2_initial(spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "x")], "id string, v string"), "2023-01-01", "s",
+                                  "id_key", "id")
+    dim = dim.withColumn("is_current", F.when(F.col("id") != "c", F.col("is_current")))  # unknown: history, not lost
+    src = spark.createDataFrame([("a", "y"), ("b", "x"), ("d", "x")], "id string, v string")
+    load = lambda d, ts: dimensions.scd2_apply(d, src, "id", ts, "s", tracked=["v"], surrogate="id_key")
+    once = load(dim, "2024-01-01")
+    assert sorted((r.id, r.v, r.id_key) for r in once.collect()) == [("a", "x", 1), ("a", "y", 4), ("b", "x", 2), ("c", "x", 3), ("d", "x", 5)]
+    assert content(load(once, "2024-02-01")) == content(once)
+    with pytest.raises(ValueError, match="'a' comes 2 times"):
+        dimensions.scd2_apply(dim, src.unionByName(src), "id", "2024-01-01", "s", tracked=["v"])
+
+
 def test_account_balance_tolerance(spark):
     cols = "account_id string, account_status string, balance double"
     dim = dimensions.scd2_initial(spark.createDataFrame([("a", "s", 1.0), ("b", "s", None), ("c", "s", 1.0)], cols), "2023-01-01", "s")
