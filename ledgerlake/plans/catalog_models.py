@@ -7,6 +7,7 @@ from ledgerlake.operators import evaluation, features, models, relations
 from ledgerlake.plans import silver
 from ledgerlake.plans.catalog import query
 from ledgerlake.plans.catalog_features import rounded
+from ledgerlake.session import stored
 
 CUT = "2024-01-20 00:00:00"
 SCORED_AT = "2024-02-01 00:00:00"
@@ -19,7 +20,9 @@ def report(model, test, spec, train):
 
 
 def fraud_sets(fx):
-    rows = relations.join_labels(silver.silver_fraud(fx("tx_events")), fx("fraud_labels"), "transaction_id")
+    # Features are computed once: the label check, the fit and the report all read them.
+    known = stored(silver.silver_fraud(fx("tx_events")), "features")
+    rows = relations.join_labels(known, fx("fraud_labels"), "transaction_id")
     return relations.time_split(rows, "event_time", CUT)
 
 
@@ -31,7 +34,7 @@ def _(fx):
 
 def credit_sets(fx):
     latest = features.feature_snapshot(silver.silver_credit(fx("account_snapshots")), "account_id", "snapshot_date", "seq")
-    rows = models.encode_repayment(relations.join_labels(latest, fx("credit_labels"), "account_id"))
+    rows = models.encode_repayment(relations.join_labels(stored(latest, "features"), fx("credit_labels"), "account_id"))
     return relations.time_split(rows, "snapshot_date", "2001-06-01 00:00:00")
 
 
@@ -45,7 +48,7 @@ def churn_sets(fx):
     """Features from what is known at the cutoff, labels from what follows; split by the last event before it."""
     known = fx("crm_events").where(F.col("event_time") < F.lit(CUT).cast("timestamp"))
     latest = features.feature_snapshot(silver.silver_churn(known), "customer_id", "event_time", "seq")
-    rows = relations.join_labels(latest, fx("churn_labels"), "customer_id")
+    rows = relations.join_labels(stored(latest, "features"), fx("churn_labels"), "customer_id")
     return relations.time_split(rows, "event_time", "2024-01-19 18:00:00")
 
 
