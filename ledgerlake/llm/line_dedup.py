@@ -3,11 +3,11 @@
 Long lines found in many documents (menus, licences, notices) are dropped everywhere but in the
 document with the largest id that holds them. Lines are exploded as keys of 128 hash bits, counted
 by distinct document with partial aggregates, and the positions to drop are joined back to the
-whole texts in one shuffle by document.
+whole texts in one shuffle by row: document and 128 hash bits of the text.
 
 Edge cases: a null or empty text is one empty line; rows that repeat a doc_id count as one document
-and each loses the same lines; rows without a doc_id never count as a document, and all their
-lines of a dropped key go; extra columns are carried along under any name that does not begin with ``__ld_``.
+and each loses its own lines of a dropped key, none if that document keeps them; rows without a doc_id never count as a
+document, and each loses all its lines of a dropped key; extra columns are carried along under any name that does not begin with ``__ld_``.
 """
 
 from __future__ import annotations
@@ -29,15 +29,21 @@ def _lines(text: str) -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n")
 
 
+def _text_hashes(text: str) -> list[Column]:
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return [F.xxhash64(whole).alias("__ld_t1"), F.xxhash64(F.lit(1), whole).alias("__ld_t2")]
+
+
 def keyed_lines(df: DataFrame, text: str, min_chars: int) -> DataFrame:
-    """(doc_id, position, k1, k2) of the lines long enough to count."""
+    """(doc_id, t1, t2, position, k1, k2) of the lines long enough to count; t1 and t2 are hashes of the text."""
     key = F.col("__ld_key")
+    row = ["doc_id", "__ld_t1", "__ld_t2", "__ld_at"]
     return (
-        df.select("doc_id", F.posexplode(_lines(text)).alias("__ld_at", "__ld_line"))
+        df.select("doc_id", *_text_hashes(text), F.posexplode(_lines(text)).alias("__ld_at", "__ld_line"))
         .where(F.length("__ld_line") >= min_chars)
-        .select("doc_id", "__ld_at", line_key(F.col("__ld_line")).alias("__ld_key"))
+        .select(*row, line_key(F.col("__ld_line")).alias("__ld_key"))
         .where(F.length(key) >= min_chars)
-        .select("doc_id", "__ld_at", F.xxhash64(key).alias("__ld_k1"), F.xxhash64(F.lit(1), key).alias("__ld_k2"))
+        .select(*row, F.xxhash64(key).alias("__ld_k1"), F.xxhash64(F.lit(1), key).alias("__ld_k2"))
     )
 
 
@@ -61,10 +67,13 @@ def dedup_lines(df: DataFrame, text: str = "text", min_chars: int = MIN_CHARS, m
     dropped = (
         keys.join(frequent, ["__ld_k1", "__ld_k2"])
         .where(~F.col("doc_id").eqNullSafe(F.col("__ld_keeper")))
-        .groupBy(F.col("doc_id").alias("__ld_doc")).agg(F.array_sort(F.collect_set("__ld_at")).alias("__ld_drop"))
+        .groupBy(F.col("doc_id").alias("__ld_doc"), "__ld_t1", "__ld_t2")
+        .agg(F.array_sort(F.collect_set("__ld_at")).alias("__ld_drop"))
     )
     lines, drop = F.col("__ld_lines"), F.col("__ld_drop")
-    joined = df.join(dropped, F.col("doc_id").eqNullSafe(F.col("__ld_doc")), "left").withColumn("__ld_lines", _lines(text))
+    h1, h2 = _text_hashes(text)
+    same = F.col("doc_id").eqNullSafe(F.col("__ld_doc")) & (h1 == F.col("__ld_t1")) & (h2 == F.col("__ld_t2"))
+    joined = df.join(dropped, same, "left").withColumn("__ld_lines", _lines(text))
     kept = F.when(drop.isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(
         F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop),
                                  lambda p: F.get(lines, p)), "\n"))
@@ -73,4 +82,4 @@ def dedup_lines(df: DataFrame, text: str = "text", min_chars: int = MIN_CHARS, m
         "n_dropped": F.coalesce(F.size(drop), F.lit(0)).cast("long"),
         text: kept,
     })
-    return out.drop("__ld_doc", "__ld_drop", "__ld_lines")
+    return out.drop("__ld_doc", "__ld_t1", "__ld_t2", "__ld_drop", "__ld_lines")
