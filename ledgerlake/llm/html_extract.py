@@ -7,7 +7,8 @@ then taken from the containers on the winning path. A page without that path, or
 text under it, uses its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by
-tag, role and by words of class and id. Both passes parse a page in one scan by a regular expression.
+tag, role and by words of class and id. An element that is only a form or has such a word stays if it wraps the page's main
+text (``wrappers``), and words in names of a state or layout ("has-sidebar") don't count. Both passes parse a page in one scan by a regular expression.
 
 Edge cases: a null or empty page has empty text; a page without any container takes the whole body; unclosed
 elements end with their parent, stray end tags are ignored; a comment or script that never ends takes the rest of
@@ -45,7 +46,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 BLOCK_IN_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main "
                        "nav ol p pre section table ul".split())
 CONTAINERS = frozenset("article body div main section td".split())
-NOISE_TAGS = frozenset("aside button dialog fieldset footer form head header input menu nav option select".split())
+NOISE_TAGS = frozenset("aside button dialog footer head header input menu nav option select".split())
+SOFT_NOISE_TAGS = frozenset("fieldset form".split())
 NOISE_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 NOISE_WORDS = frozenset(
     "ad ads advert advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies "
@@ -54,18 +56,27 @@ NOISE_WORDS = frozenset(
     "sponsored subscribe subscription toolbar widget widgets".split())
 OUTSIDE_NOISE_WORDS = frozenset("header topbar".split())
 GOOD_WORDS = frozenset("article body content entry main post story text".split())
+# Names that only tell a state or layout of the element: no-sidebar, with-ads, comments-open.
+_STATE = re.compile(r"(?:has|have|is|no|not|with|without|show|hide)[-_].*|.*[-_](?:open|opened|closed|enabled|disabled|on|off)", re.I)
+MOST = 0.5  # of the page's text that a wrapper holds
+RARE = 0.05  # of the page's text outside all possible noise, if a wrapper is told by that alone
 KEPT_TAGS = frozenset("article body html main".split())
 SELF_CLOSING = {"li": ("li", ("ul", "ol", "menu")), "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table")),
                 "tr": ("tr", ("table",)), "dd": ("dd", ("dl",)), "dt": ("dt", ("dl",)), "option": ("option", ("select",))}
 
 
 class Node:
-    __slots__ = ("parent", "tag", "label", "noise", "article", "score", "good")
+    __slots__ = ("parent", "tag", "label", "noise", "soft", "article", "score", "good", "named_good")
 
     def __init__(self, parent: Node | None, tag: str, attrs: str):
         self.parent, self.tag, self.score = parent, tag, 0.0
         self.article = (parent is not None and parent.article) or tag == "article"
         self.noise, self.label, self.good = parent is not None and parent.noise, tag, tag in ("article", "main")
+        # The nearest element around, itself included, that is noise unless it wraps the main text.
+        self.soft = parent.soft if parent is not None else None
+        self.named_good = False
+        if tag in SOFT_NOISE_TAGS:
+            self.soft = self
         if tag in NOISE_TAGS and not (tag == "header" and self.article):
             self.noise = True
         if attrs.strip(" /"):
@@ -78,11 +89,15 @@ class Node:
                 self.label = tag + "".join(sorted("." + re.sub(r"\d+", "#", c.lower()) for c in classes))
             if tag not in KEPT_TAGS:
                 style = found.get("style", "").replace(" ", "").lower()
-                if (words & NOISE_WORDS or found.get("role", "").lower() in NOISE_ROLES
-                        or not self.article and words & OUTSIDE_NOISE_WORDS or "hidden" in found
+                if (found.get("role", "").lower() in NOISE_ROLES or "hidden" in found
                         or found.get("aria-hidden") == "true" or "display:none" in style):
                     self.noise = True
-            self.good = self.good or bool(words & GOOD_WORDS)
+                names = [c for c in [*classes, *found.get("id", "").split()] if not _STATE.fullmatch(c)]
+                telling = {w.lower() for w in _WORDS.findall(" ".join(names))}
+                if telling & NOISE_WORDS or not self.article and telling & OUTSIDE_NOISE_WORDS:
+                    self.soft = self
+            self.named_good = bool(words & GOOD_WORDS)
+            self.good = self.good or self.named_good
 
     def path(self) -> str:
         labels, node = [], self
@@ -100,6 +115,39 @@ class Node:
         return False
 
 
+def wrappers(blocks: list[tuple[Node, str, float]]) -> set[Node]:
+    """Possible noise that wraps the page's main text: it holds most of the text, and hardly any text is outside all
+    possible noise, or hardly any of an article or main and it has a good name or holds one."""
+    total = clean = 0.0
+    inside: dict[Node, float] = {}
+    holders: set[Node] = set()
+    clean_main = 0.0
+    for node, text, linked in blocks:
+        worth = len(text) * (1.0 - linked)
+        total += worth
+        if node.soft is None:
+            clean += worth
+        seen, main = node, False
+        while seen is not None:
+            main = main or seen.tag in ("article", "main")
+            if seen.soft is seen:
+                inside[seen] = inside.get(seen, 0.0) + worth
+                if main:
+                    holders.add(seen)
+            seen = seen.parent
+        if main and node.soft is None:
+            clean_main += worth
+    return {n for n, worth in inside.items() if worth > MOST * total and (
+        clean <= RARE * total or clean_main <= RARE * total and (n.named_good or n in holders))}
+
+
+def _is_noise(node: Node, kept: set[Node]) -> bool:
+    soft = node.soft
+    while soft is not None and soft in kept:
+        soft = soft.parent.soft
+    return soft is not None
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, float]]]:
     """(containers, blocks): blocks are (element, text, share of link text) in page order, noise left out."""
     root = Node(None, "html", "")
@@ -168,7 +216,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, float]]]:
             containers.append(node)
     text(len(page))
     flush()
-    return containers, blocks
+    kept = wrappers(blocks)
+    return [n for n in containers if not _is_noise(n, kept)], [b for b in blocks if not _is_noise(b[0], kept)]
 
 
 def score(containers: list[Node], blocks: list[tuple[Node, str, float]]) -> None:
