@@ -3,8 +3,9 @@
 Pages of one host share templates. Every page scores its containers by the text of their paragraphs less that
 of links, and votes with each container's share of the page for its generalised path: tags and classes from
 the body down, digits replaced. Votes are summed per host in Spark with partial aggregates, and the text is
-then taken from the containers on the winning path. A page without that path, or with hardly any of its
-text under it, uses its own best container.
+then taken from the containers on the winning path. A page without that path, or without nearly all of its main
+text under it, uses its own best container; where that shares no text with the path, half as much under the path will do.
+Containers are lifted to the smallest one around them that holds all text of their main, article or outermost container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by
 tag, role and by words of class and id. An element that is only a form or has such a word stays if it wraps the page's main
@@ -28,8 +29,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import store
 
-VOTES = 3  # containers a page votes for
-LEAST_SHARE = 0.3  # of its best container's score that a page must have on the winning path
+NEARLY_ALL = 0.9  # of its own main text that a page must have on the winning path
+APART = 0.5  # the same, where the page's best container shares no text with that path
+LINKED = 0.5  # a block with more link text than that doesn't lift a container
 
 _RAW = "script|style|noscript|template|svg|textarea|iframe|math|object|canvas|title"
 _SCAN = re.compile(
@@ -234,25 +236,52 @@ def score(containers: list[Node], blocks: list[tuple[Node, str, float]]) -> None
             node.score *= 1.5
 
 
-def _lifted(node: Node) -> Node:
-    """The article a container lies in, so that its heading stays with its text."""
+def _worth(blocks: list[tuple[Node, str, float]], inside: set[Node]) -> float:
+    return sum(len(text) * (1.0 - linked) for node, text, linked in blocks if node.within(inside))
+
+
+def _top(node: Node) -> Node:
+    """The outermost main around, else the nearest article, else the outermost container below the body."""
+    main = article = outer = None
     up = node
     while up is not None:
-        if up.tag == "article":
-            return up
+        if up.tag == "main":
+            main = up
+        if up.tag == "article" and article is None:
+            article = up
+        if up.tag in CONTAINERS and up.tag != "body":
+            outer = up
         up = up.parent
-    return node
+    return main or article or outer or node
+
+
+def lift(containers: list[Node], blocks: list[tuple[Node, str, float]]) -> dict[Node, Node]:
+    """Every container with the smallest one around it that holds all blocks of its ``_top`` that aren't links: headings and
+    sections next to the best one stay with it. An article stays whole."""
+    held: dict[Node, int] = {}
+    for node, _, linked in blocks:
+        if linked <= LINKED:
+            while node is not None:
+                held[node] = held.get(node, 0) + 1
+                node = node.parent
+    out = {}
+    for node in containers:
+        top, up = _top(node), node
+        while up is not top and (up.tag not in CONTAINERS or held.get(up, 0) < held.get(top, 0)):
+            up = up.parent
+        out[node] = top if top.tag == "article" else up
+    return out
 
 
 def ranked(page: str) -> tuple[list[Node], list[tuple[Node, str, float]]]:
     """(containers by falling score, blocks)."""
     containers, blocks = parse(page)
     score(containers, blocks)
+    lifted = lift(containers, blocks)
     best: dict[Node, float] = {}
     for node in containers:
         if node.score > 0:
-            up = _lifted(node)
-            best[up] = max(best.get(up, 0.0), node.score)
+            best[lifted[node]] = max(best.get(lifted[node], 0.0), node.score)
     for node, value in best.items():
         node.score = value
     return sorted(best, key=lambda n: -n.score), blocks
@@ -260,8 +289,8 @@ def ranked(page: str) -> tuple[list[Node], list[tuple[Node, str, float]]]:
 
 def votes(page: str) -> list[tuple[str, float]]:
     found, _ = ranked(page)
-    total = sum(n.score for n in found[:VOTES])
-    return [(n.path(), n.score / total) for n in found[:VOTES]]
+    total = sum(n.score for n in found)
+    return [(n.path(), n.score / total) for n in found]
 
 
 def extract(page: str | None, path: str | None) -> str:
@@ -271,10 +300,11 @@ def extract(page: str | None, path: str | None) -> str:
     found, blocks = ranked(page)
     if not found:
         return "\n".join(text for _, text, _ in blocks)
-    chosen = [n for n in found if path is not None and n.path() == path]
-    if sum(n.score for n in chosen) < LEAST_SHARE * found[0].score:
-        chosen = found[:1]
-    inside = set(chosen)
+    inside, own = {n for n in found if path is not None and n.path() == path}, {found[0]}
+    if inside != own:
+        both = any(node.within(inside) and node.within(own) for node, _, _ in blocks)
+        if not inside or _worth(blocks, inside) < (NEARLY_ALL if both else APART) * _worth(blocks, own):
+            inside = own
     return "\n".join(text for node, text, _ in blocks if node.within(inside))
 
 
