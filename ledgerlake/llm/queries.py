@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (embeddings, hard_negatives, html_extract, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup,
-                            toxicity, warc)
+                            tokenizer_alignment, toxicity, warc)
 from ledgerlake.llm.common import prepare, store, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,6 +206,11 @@ SELECT *, NOT base_failed AND {_RULES_SQL} AS kept FROM base
 """
 
 
+@query
+def op11_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenizer_alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query
 def op13_strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
