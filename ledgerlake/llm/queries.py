@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (embeddings, hard_negatives, html_extract, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup,
+from ledgerlake.llm import (class_lm, embeddings, hard_negatives, html_extract, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup,
                             tokenizer_alignment, toxicity, warc)
 from ledgerlake.llm.common import prepare, store, table
 
@@ -211,6 +211,12 @@ def op11_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizer_alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
 
 
+@query
+def op12_brown_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return class_lm.score_documents(table(spark, sf_dir, "documents"), held_out)
+
+
 @query
 def op13_strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
