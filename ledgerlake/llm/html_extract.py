@@ -60,15 +60,16 @@ OUTSIDE_NOISE_WORDS = frozenset("header topbar".split())
 GOOD_WORDS = frozenset("article body content entry main post story text".split())
 # Names that only tell a state or layout of the element: no-sidebar, with-ads, comments-open.
 _STATE = re.compile(r"(?:has|have|is|no|not|with|without|show|hide)[-_].*|.*[-_](?:open|opened|closed|enabled|disabled|on|off)", re.I)
+COMMENT_WORDS = frozenset("comment comments disqus replies respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MOST = 0.5  # of the page's text that a wrapper holds
-RARE = 0.05  # of the page's text outside all possible noise, if a wrapper is told by that alone
 KEPT_TAGS = frozenset("article body html main".split())
 SELF_CLOSING = {"li": ("li", ("ul", "ol", "menu")), "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table")),
                 "tr": ("tr", ("table",)), "dd": ("dd", ("dl",)), "dt": ("dt", ("dl",)), "option": ("option", ("select",))}
 
 
 class Node:
-    __slots__ = ("parent", "tag", "label", "noise", "soft", "article", "score", "good", "named_good")
+    __slots__ = ("parent", "tag", "label", "noise", "soft", "article", "score", "good", "named_good", "comments")
 
     def __init__(self, parent: Node | None, tag: str, attrs: str):
         self.parent, self.tag, self.score = parent, tag, 0.0
@@ -76,7 +77,7 @@ class Node:
         self.noise, self.label, self.good = parent is not None and parent.noise, tag, tag in ("article", "main")
         # The nearest element around, itself included, that is noise unless it wraps the main text.
         self.soft = parent.soft if parent is not None else None
-        self.named_good = False
+        self.named_good = self.comments = False
         if tag in SOFT_NOISE_TAGS:
             self.soft = self
         if tag in NOISE_TAGS and not (tag == "header" and self.article):
@@ -97,8 +98,8 @@ class Node:
                 names = [c for c in [*classes, *found.get("id", "").split()] if not _STATE.fullmatch(c)]
                 telling = {w.lower() for w in _WORDS.findall(" ".join(names))}
                 if telling & NOISE_WORDS or not self.article and telling & OUTSIDE_NOISE_WORDS:
-                    self.soft = self
-            self.named_good = bool(words & GOOD_WORDS)
+                    self.soft, self.comments = self, bool(telling & COMMENT_WORDS)
+            self.named_good = bool(words & GOOD_WORDS) and self.soft is not self
             self.good = self.good or self.named_good
 
     def path(self) -> str:
@@ -117,30 +118,60 @@ class Node:
         return False
 
 
+class _Inside:
+    """What an element of possible noise holds: text, text of paragraphs and headings, text of articles and mains in it."""
+
+    __slots__ = ("text", "written", "main", "headed", "articles")
+
+    def __init__(self):
+        self.text = self.written = self.main = 0.0
+        self.headed, self.articles = False, set()
+
+
 def wrappers(blocks: list[tuple[Node, str, float]]) -> set[Node]:
-    """Possible noise that wraps the page's main text: it holds most of the text, and hardly any text is outside all
-    possible noise, or hardly any of an article or main and it has a good name or holds one."""
-    total = clean = 0.0
-    inside: dict[Node, float] = {}
-    holders: set[Node] = set()
-    clean_main = 0.0
+    """Possible noise that wraps the page's main text. It holds most of the text, and no article, main, element of a good name
+    or text under an h1 stands outside all possible noise. Its share alone never tells: it must have the structure of an article
+    (an h1, or most of its text in an article or main; for a form paragraphs will do), or be the only place with text at all.
+    Reader comments need that structure in any case, and articles of theirs count only where there is one."""
+    total, clean, clean_main, clean_headed = 0.0, 0.0, 0.0, False
+    held: dict[Node, _Inside] = {}
     for node, text, linked in blocks:
-        worth = len(text) * (1.0 - linked)
+        worth, heading = len(text) * (1.0 - linked), node.tag in HEADINGS
         total += worth
-        if node.soft is None:
-            clean += worth
-        seen, main = node, False
+        seen, main, good, article, headed = node, False, False, None, False
         while seen is not None:
-            main = main or seen.tag in ("article", "main")
+            main, good = main or seen.tag in ("article", "main"), good or seen.named_good
+            headed = headed or seen.tag == "h1"
+            if seen.tag == "article":
+                article = seen
             if seen.soft is seen:
-                inside[seen] = inside.get(seen, 0.0) + worth
-                if main:
-                    holders.add(seen)
+                inside = held.setdefault(seen, _Inside())
+                inside.text += worth
+                inside.written += worth if heading or seen is not node and node.tag == "p" else 0.0
+                inside.main += worth if main else 0.0
+                inside.headed = inside.headed or headed
+                if article is not None:
+                    inside.articles.add(article)
             seen = seen.parent
-        if main and node.soft is None:
-            clean_main += worth
-    return {n for n, worth in inside.items() if worth > MOST * total and (
-        clean <= RARE * total or clean_main <= RARE * total and (n.named_good or n in holders))}
+        if node.soft is None:
+            clean += 0.0 if heading else worth
+            clean_main += worth if (main or good) and not heading else 0.0
+            clean_headed = clean_headed or headed
+    if clean_main > 0 or clean_headed and clean > 0:
+        return set()
+
+    def wraps(node: Node, inside: _Inside) -> bool:
+        if inside.text <= MOST * total:
+            return False
+        structured = inside.headed or inside.main > MOST * inside.text
+        if node.comments:
+            return inside.headed or structured and len(inside.articles) <= 1
+        if node.tag in SOFT_NOISE_TAGS:
+            structured = structured or inside.written > MOST * inside.text
+            return structured
+        return structured or clean == 0
+
+    return {n for n, inside in held.items() if wraps(n, inside)}
 
 
 def _is_noise(node: Node, kept: set[Node]) -> bool:

@@ -23,3 +23,37 @@ def test_noise_stays_noise():
     assert extract(page, None) == f"Short text. {TEXT[:90]}".strip()
     page = f"<body><div class='c'><p>{TEXT}</p></div><form><p>Name</p></form><div class='sidebar'><p>side</p></div>"
     assert extract(page, None) == TEXT.strip()
+
+
+SHORT = "One sentence is all there is."
+THREAD = "".join(f"<div class='c{{0}}'><p>Reader {i} has much more to say about this than the page.</p></div>" for i in range(40))
+ARTICLES = THREAD.replace("<div", "<article").replace("</div", "</article")
+
+
+@pytest.mark.parametrize("main", [
+    "<article><p>{}</p></article>", "<div class='post'><h1>T</h1><p>{}</p></div>", "<main><p>{}</p></main>",
+    "<div class='content'><p>{}</p></div>", "<div class='x'><p>{}</p></div>", "<h1>T</h1><p>{}</p>", "<article><h1>T</h1><div class='body'><p>{}</p></div></article>"])
+@pytest.mark.parametrize("thread", [
+    f"<div id='comments'>{THREAD}</div>", f"<section class='comments content'>{THREAD}</section>", f"<section class='comments'>{ARTICLES}</section>",
+    f"<div class='comment-list'><h2>40 comments</h2>{ARTICLES}</div>", f"<div id='disqus_thread'><div class='content'>{THREAD}</div></div>"])
+def test_comments_never_displace_an_article(main, thread):
+    page = f"<body><nav>Menu</nav>{main.format(SHORT)}{thread}<footer>f</footer></body>"
+    text = extract(page, None)
+    assert text.split("\n")[-1] == SHORT and "Reader" not in text
+    page = f"<body><div class='page'>{main.format(SHORT)}{thread}</div></body>"
+    assert extract(page, None).split("\n")[-1] == SHORT
+
+
+@pytest.mark.parametrize("page", [
+    f"<article><p>{SHORT}</p></article><form>" + "<div><label>Name of the applicant and all that</label></div>" * 30 + "</form>",
+    f"<article><p>{SHORT}</p></article><div class='promo'>" + "<p>Buy this and that today.</p>" * 30 + "</div>",
+    f"<div class='text'><p>{SHORT}</p></div><div class='widget'><h2>More</h2>" + "<p>Buy this and that today.</p>" * 30 + "</div>"])
+def test_other_noise_never_displaces_an_article(page):
+    assert extract(f"<body>{page}</body>", None) == SHORT
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='comments-layout'><h1>T</h1><p>{TEXT}</p></div>", f"<p>date</p><div class='sidebar-layout'><article><h1>T</h1><p>{TEXT}</p></article></div>",
+    f"<div id='comments-page'><div class='c'><article><h1>T</h1><p>{TEXT}</p></article></div>{COMMENTS}</div>"])
+def test_wrappers_with_the_structure_of_an_article_stay(page):
+    assert extract(f"<body>{page}</body>", None).endswith(f"T\n{TEXT.strip()}")
