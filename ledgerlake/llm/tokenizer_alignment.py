@@ -33,6 +33,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -40,11 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import partitions, store
+from ledgerlake.llm.packing import WordCache, crowded
 
 CHUNK = 1 << 15
 FAN_IN = 8
 FREQUENT = 1 << 18
 TOKENIZED_AT_ONCE = 1 << 20  # bytes of text
+CACHED_WORDS = 400_000
 PAIRS_AT_ONCE = 1 << 21  # different links a task holds before it hands on their counts
 
 
@@ -55,16 +58,39 @@ def _bytes_of_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class PlainWords(WordCache):
+    """Ids of texts that begin with a space, word by word from a bounded cache; strings of special tokens are plain text.
+    White space that stands at an end or in a run goes to the tokenizer with its whole text."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.tokenizer.encode_special_tokens = True
+        self.fast = None  # it would know special tokens
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.words) > CACHED_WORDS:  # words met early are the frequent ones
+            self.words = dict(islice(self.words.items(), CACHED_WORDS // 4))
+        cut = [None if "\0" in t or crowded(t[1:]) else t.replace(" ", "\0 ").split("\0")[1:] for t in texts]
+        new: dict[str, None] = {}
+        for words in cut:
+            if words is not None:
+                new.update(dict.fromkeys(set(words).difference(self.words)))
+        self._learn(list(new))
+        whole = iter(self._encode([t for t, words in zip(texts, cut) if words is None]))
+        of, kind = self.words.__getitem__, f"<u{self.width}"
+        coded = (next(whole) if words is None else b"".join(map(of, words)) for words in cut)
+        return [np.frombuffer(x, kind).astype(np.int64) for x in coded]
+
+
 class Vocabularies:
     """Both tokenizers with the bytes of their tokens."""
 
     def __init__(self, first: str, second: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(first)
-        self.a.encode_special_tokens = True
+        self.words = PlainWords(first)
+        self.a = self.words.tokenizer
         self.b = SentencePieceProcessor(model_file=second)
         byte_of = _bytes_of_characters()
         size = self.a.get_vocab_size(with_added_tokens=True)
@@ -88,11 +114,10 @@ class Vocabularies:
                 size += len(bodies[to])
                 to += 1
             texts = [b.decode() for b in bodies[at:to]]
-            a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
             b = self.b.encode([t[1:] for t in texts], num_threads=1)
-            for body, i, j in zip(bodies[at:to], a, b):
-                same = b"".join(map(self.a_bytes.__getitem__, i)) == body == b"".join(map(self.b_bytes.__getitem__, j))
-                out.append((np.array(i, np.int64), np.array(j, np.int64)) if same else None)
+            for body, i, j in zip(bodies[at:to], self.words.ids(texts), b):
+                same = b"".join(map(self.a_bytes.__getitem__, i.tolist())) == body == b"".join(map(self.b_bytes.__getitem__, j))
+                out.append((i, np.array(j, np.int64)) if same else None)
             at = to
         return out
 
