@@ -94,7 +94,8 @@ def _mask(segment: tuple[int, int]) -> int:
 
 
 def chain_keys(fps: DataFrame, max_bits: int) -> DataFrame:
-    """(key, side, fp): side 0 with exact keys, side 1 with them and those one bit off."""
+    """(key, start, side, fp): the two segments from ``start`` on, side 0 with exact keys, side 1 with them and those
+    one bit off."""
     m = max_bits + 1
     segments = _segments(m)
 
@@ -104,16 +105,14 @@ def chain_keys(fps: DataFrame, max_bits: int) -> DataFrame:
             out = []
             for i in range(m):
                 first, second = segments[i], segments[(i + 1) % m]
-                # A key is the two segments where they stand, under the number of the start; the
-                # bits between are free, so the number goes over a segment that is not in the key.
-                free = segments[(i + 2) % m][0]
-                base = fp & np.uint64(_mask(first) | _mask(second)) | np.uint64(i << free)
+                base = fp & np.uint64(_mask(first) | _mask(second))
                 turned = [base] + [base ^ np.uint64(1 << (second[0] + j)) for j in range(second[1])]
-                out.append(pd.DataFrame({"key": base.view(np.int64), "side": np.int8(0), "fp": batch["fp"]}))
-                out += [pd.DataFrame({"key": k.view(np.int64), "side": np.int8(1), "fp": batch["fp"]}) for k in turned]
-            yield pd.concat(out, ignore_index=True)
+                part = {"start": np.int8(i), "fp": batch["fp"]}
+                out.append(pd.DataFrame({"key": base.view(np.int64), "side": np.int8(0), **part}))
+                out += [pd.DataFrame({"key": k.view(np.int64), "side": np.int8(1), **part}) for k in turned]
+            yield pd.concat(out, ignore_index=True)[["key", "start", "side", "fp"]]
 
-    return fps.select("fp").mapInPandas(run, "key bigint, side tinyint, fp bigint")
+    return fps.select("fp").mapInPandas(run, "key bigint, start tinyint, side tinyint, fp bigint")
 
 
 class _Forest:
@@ -186,19 +185,19 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_key: int = HOT_KEY)
     of ``max_bits`` or fewer differing bits."""
     spark = fps.sparkSession
     m = max_bits + 1
-    segments = _segments(m)
     rows = chain_keys(fps, max_bits)
     # Keys with more exact rows than a cell takes. There are at most m / hot_key of them per
     # fingerprint; as a stored table the planner knows its size, and broadcasts only a small one.
-    hot = store(rows.where("side = 0").groupBy("key").count().where(F.col("count") > hot_key)
-                .select("key", F.ceil(F.col("count") / hot_key).cast("int").alias("parts")), "hot-keys")
+    hot = store(rows.where("side = 0").groupBy("key", "start").count().where(F.col("count") > hot_key)
+                .select("key", "start", F.ceil(F.col("count") / hot_key).cast("int").alias("parts")), "hot-keys")
     part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     other = F.sequence(F.lit(0), F.col("parts") - 1)
     cells = F.when(F.col("parts").isNull(), F.array(F.lit(0))).when(
         F.col("side") == 0, F.transform(other, lambda j: part * F.col("parts") + j)
     ).otherwise(F.transform(other, lambda i: i * F.col("parts") + part))
-    rows = rows.join(hot, "key", "left").select("key", "side", "fp", F.explode(cells).alias("cell"))
-    rows = rows.repartition(partitions(spark), "key", "cell").sortWithinPartitions("key", "cell", "side")
+    group = ["key", "start", "cell"]
+    rows = rows.join(hot, ["key", "start"], "left").select("key", "start", "side", "fp", F.explode(cells).alias("cell"))
+    rows = rows.repartition(partitions(spark), *group).sortWithinPartitions(*group, "side")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Whole groups at a time: the last group of a batch may go on in the next."""
@@ -206,14 +205,10 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_key: int = HOT_KEY)
 
         def done(chunk: pd.DataFrame) -> pd.DataFrame:
             fp = chunk["fp"].to_numpy().view(np.uint64)
-            # Group by key and cell; rows are sorted, so a running number tells groups apart.
-            k, c = chunk["key"].to_numpy(), chunk["cell"].to_numpy()
-            new = np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])])
-            starts = np.zeros(len(k), np.int64)
-            for i in range(m):
-                outside = ~np.uint64(_mask(segments[i]) | _mask(segments[(i + 1) % m]))
-                number = np.uint64(i << segments[(i + 2) % m][0])
-                starts[(k.view(np.uint64) & outside) == number] = i
+            # Rows are sorted, so a running number tells groups apart.
+            k, starts, c = (chunk[x].to_numpy() for x in group)
+            new = np.concatenate([[True], (k[1:] != k[:-1]) | (starts[1:] != starts[:-1]) | (c[1:] != c[:-1])])
+            starts = starts.astype(np.int64)
             nodes, node = np.unique(fp, return_inverse=True)
             forest = _Forest(nodes)
             _compare(np.cumsum(new), chunk["side"].to_numpy(), fp, m, max_bits, forest, node, starts)
@@ -223,9 +218,8 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_key: int = HOT_KEY)
 
         for batch in batches:
             if held and len(batch):
-                k, c = batch["key"].to_numpy(), batch["cell"].to_numpy()
                 last = held[-1].iloc[-1]
-                same = (k == last["key"]) & (c == last["cell"])
+                same = np.logical_and.reduce([batch[x].to_numpy() == last[x] for x in group])
                 cut = len(batch) if same.all() else int(np.argmin(same))
                 held.append(batch.iloc[:cut])
                 batch = batch.iloc[cut:]

@@ -28,7 +28,7 @@ def test_matches_sql(spark, con, name):
 
 def test_all_are_registered():
     known = entry.queries()
-    assert {re.match(r"op(\d+)_", n)[1] for n in known if re.match(r"op\d+_", n)} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in known if re.match(r"op\d+_", n)} == {str(n) for n in range(1, 14)}
     assert "pipeline" in known
 
 
@@ -121,19 +121,37 @@ def test_op7(spark):
     assert short in ([], [max(places)])
 
 
-def test_op8_recall(spark):
-    """All pairs by brute force over the copies of check_h; the op's own SQL covers the small tables."""
-    sf = "/root/testdata/check_h"
-    rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
-    v = np.array([r.embedding for r in rows], float)
+def planted_vectors(rng, n, dim=64):
+    """Random vectors of a few labels, with pairs and clusters at 0.93 to 0.95 and just below."""
+    v = rng.standard_normal((n, dim))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    label = rng.integers(0, 4, n)
+    for i in range(0, n - 6, 6):  # five at a stated cosine of the first of every six
+        for j in range(1, 6):
+            side = rng.standard_normal(dim)
+            side -= side @ v[i] * v[i]
+            cosine = rng.uniform(0.93, 0.95) if j < 4 else rng.uniform(0.90, 0.9299)
+            v[i + j] = cosine * v[i] + (1 - cosine ** 2) ** 0.5 * side / np.linalg.norm(side)
+        label[i: i + 6] = label[i]
+    return v * rng.uniform(0.1, 9, n)[:, None], label
+
+
+def test_op8_recall(llm, tmp_path):
+    """All pairs by brute force over several thousand vectors, most of them right at the threshold."""
+    rng = np.random.default_rng(12)
+    v, label = planted_vectors(rng, 6000)
+    rows = [(i, x.tolist(), int(l)) for i, (x, l) in enumerate(zip(v.astype(np.float32), label))]
+    llm.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    v = v.astype(np.float32).astype(float)
     v /= np.linalg.norm(v, axis=1)[:, None]
-    label = np.array([r.label for r in rows])
     close = (v @ v.T >= 0.93) & (label[:, None] == label)
     np.fill_diagonal(close, False)
-    got = {r.vec_id: r for r in QUERIES["op8_hyperplane_embeddings"](spark, sf).collect()}
-    n = np.array([got[r.vec_id].n_links for r in rows])
-    assert (n <= close.sum(1)).all()
+    got = {r.vec_id: r for r in QUERIES["op8_hyperplane_embeddings"](llm, str(tmp_path)).collect()}
+    n = np.array([got[i].n_links for i in range(len(v))])
+    assert close.sum() > 5000 and (n <= close.sum(1)).all()
     assert n.sum() >= 0.99 * close.sum()
+    component = least_reachable(list(range(len(v))), lambda x: np.flatnonzero(close[x]).tolist())
+    assert np.mean([got[i].component_id == c for i, c in enumerate(component)]) > 0.98
 
 
 def test_op9(spark):
