@@ -59,7 +59,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch["text"]:
                 seen.update(_words(text))
-                if len(seen) > HELD:
+                if len(seen) > HELD // 4:
                     yield frame()
                     seen.clear()
         if seen:
@@ -115,16 +115,15 @@ def neighbours(docs: DataFrame) -> DataFrame:
     shards = partitions(docs.sparkSession)
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def out(keys: list[np.ndarray], counts: list[np.ndarray]) -> Iterator[pd.DataFrame]:
-            key, n = _merged(keys, counts)
-            left, right = key >> 16, key & 0xFFFF
-            key, n = np.concatenate([left << 17 | right, right << 17 | 1 << 16 | left]), np.concatenate([n, n])
-            shard = (key >> 17) % shards
-            order = np.lexsort((key, shard))
-            key, n, shard = key[order], n[order], shard[order]
-            cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
-            yield pd.DataFrame([(int(shard[i]), _planes(np.diff(key[i:j], prepend=0)), _planes(n[i:j]))
-                                for i, j in zip(cuts[:-1], cuts[1:])], columns=["shard", "keys", "counts"])
+        def out(pair: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
+            for side in (0, 1):
+                word, other = (pair >> 16, pair & 0xFFFF) if side == 0 else (pair & 0xFFFF, pair >> 16)
+                shard = word % shards
+                order = np.argsort(shard << 33 | word << 17 | other)
+                key, shard, count = (word << 17 | side << 16 | other)[order], shard[order], n[order]
+                cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
+                yield pd.DataFrame([(int(shard[i]), _planes(np.diff(key[i:j], prepend=0)), _planes(count[i:j]))
+                                    for i, j in zip(cuts[:-1], cuts[1:])], columns=["shard", "keys", "counts"])
 
         keys, counts, size = [], [], 0
         for batch in batches:
@@ -137,14 +136,14 @@ def neighbours(docs: DataFrame) -> DataFrame:
             keys.append(key)
             counts.append(n.astype(np.int64))
             size += len(key)
-            if size > 4 * HELD:
+            if size > HELD:
                 key, n = _merged(keys, counts)
                 keys, counts, size = [key], [n], len(key)
-                if size > 2 * HELD:
-                    yield from out(keys, counts)
+                if size > HELD // 2:
+                    yield from out(key, n)
                     keys, counts, size = [], [], 0
         if size:
-            yield from out(keys, counts)
+            yield from out(*_merged(keys, counts))
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def out(shard: int, key: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
