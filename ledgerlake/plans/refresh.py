@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contracts import AGG_CHURN, AGG_FRAUD, AGG_RISK, CDC_CONTROL, Contract
 from ledgerlake.operators import gold, incremental, quality
-from ledgerlake.sources.sinks import exists, load_table, staged, write_table
+from ledgerlake.operators.operations import SMALL_FILES, maintain
+from ledgerlake.sources.publish import publish_table, recover
+from ledgerlake.sources.sinks import LOAD_STATS, exists, load_unlogged, log_load
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,7 @@ def churn_job(path: str, arrival: str | None = None) -> GoldJob:
 
 
 def control_table(spark: SparkSession, path: str) -> DataFrame:
+    recover(spark, path)
     return spark.read.schema(CDC_CONTROL).parquet(path) if exists(spark, path) else spark.createDataFrame([], CDC_CONTROL)
 
 
@@ -54,25 +57,32 @@ def _refresh(spark: SparkSession, job: GoldJob, control: DataFrame, root: str, n
     refreshed = incremental.refresh_gold(fact, wm, lambda df: job.agg(df, batch_ts=now), job.bucket,
                                          arrival=job.arrival)
     ordered = refreshed.select(*job.contract.columns)
-    stats = load_table(ordered, root, job.contract.name, job.contract, list(job.contract.primary_key), loaded_at=now)
+    stats = load_unlogged(ordered, root, job.contract.name, job.contract, list(job.contract.primary_key), loaded_at=now)
     return progress[0], stats
 
 
-def warehouse_refresh(spark: SparkSession, jobs: list[GoldJob], root: str, now: datetime) -> DataFrame:
-    """Refresh every Gold table, then advance the watermarks of those that were written.
+def warehouse_refresh(spark: SparkSession, jobs: list[GoldJob], root: str, now: datetime, least_files: int = SMALL_FILES
+                      ) -> DataFrame:
+    """Refresh every Gold table, advance the watermarks of those that were written, then maintain the tables.
 
-    The three refreshes are independent and run side by side. A run that fails before the last
-    step leaves the watermark where it was, so the next run repeats the work with the same result.
+    The three refreshes are independent and run side by side; their lines go to the load log together. A run that
+    fails before the watermarks move leaves them where they were, so the next run repeats the work with
+    the same result. Maintenance comes last and only joins small files of refreshed tables.
     """
-    control_path = f"{root.rstrip('/')}/cdc_control"
+    root = root.rstrip("/")
+    control_path = f"{root}/cdc_control"
     control = control_table(spark, control_path)
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         done = list(pool.map(lambda j: _refresh(spark, j, control, root, now), jobs))
     progress = [p for p, _ in done if p is not None]
+    loads = [s for _, s in done if s is not None]
+    empty = spark.createDataFrame([], f"{LOAD_STATS}, duration_seconds double")
+    stats = incremental.union_all(empty, *loads)
     if progress:
+        log_load(stats.coalesce(1), f"{root}/load_log")
         update = spark.createDataFrame(progress, "table_name string, __ts timestamp, __n bigint")
-        with staged(incremental.advance_with(control, update, now)) as moved:
-            write_table(moved, control_path)
-    stats = [s for _, s in done if s is not None]
-    empty = "`table` string, rows_loaded bigint, rows_rejected bigint, load_type string, loaded_at timestamp"
-    return incremental.union_all(spark.createDataFrame([], empty), *stats).orderBy("table")
+        publish_table(incremental.advance_with(control, update, now), control_path)
+        for job, (moved, _) in zip(jobs, done):
+            if moved is not None:
+                maintain(spark, f"{root}/{job.contract.name}", least_files=least_files)
+    return stats.drop("duration_seconds").orderBy("table")

@@ -7,7 +7,6 @@ import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,7 @@ from ledgerlake.contracts import AUDIT, Contract
 from ledgerlake.operators.incremental import top1_per_key, upsert_latest
 from ledgerlake.operators.quality import QualityError, check_contract
 from ledgerlake.session import instant, remove, shared_dir
+from ledgerlake.sources.publish import publish_partitions, publish_table, read_folders, recover
 
 # Statement keywords that are refused as table names.
 RESERVED = ("SELECT", "DROP", "DELETE", "INSERT", "UPDATE", "EXEC", "EXECUTE", "ALTER", "CREATE", "TRUNCATE",
@@ -63,6 +63,12 @@ def exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def exists_json(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder of JSON Lines; an empty one counts, a missing one does not."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 @contextmanager
 def staged(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` written to the shared folder and read back, for as long as it is needed: its plan runs
@@ -77,8 +83,7 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace the partitions ``df`` has rows for, also when ``df`` reads the table itself."""
-    with staged(df) as rows:
-        write_table(rows, path, partition_by, dynamic=True)
+    publish_partitions(df, path, partition_by)
 
 
 def _merge_partitions(spark: SparkSession, path: str, good: DataFrame, keys: list[str], column: str) -> None:
@@ -92,14 +97,8 @@ def _merge_partitions(spark: SparkSession, path: str, good: DataFrame, keys: lis
     touched = good.select(column).unionByName(where_now).distinct().withColumnRenamed(column, "__part")
     # A null partition is one like any other, so the join must be null-safe.
     existing = table.join(touched, F.col(column).eqNullSafe(F.col("__part")), "left_semi")
-    with staged(upsert_latest(existing.select(*good.columns), good, keys)) as merged:
-        filled = merged.select(F.col(column).alias("__part")).distinct()
-        emptied = existing.select(column, F.col("_metadata.file_path").alias("file")).join(
-            filled, F.col(column).eqNullSafe(F.col("__part")), "left_anti")
-        folders = [r[0] for r in emptied.select(F.regexp_extract("file", "^(.*)/[^/]*$", 1)).distinct().collect()]
-        write_table(merged, path, [column], dynamic=True)
-    for folder in folders:  # one per partition that has lost its last row
-        remove(spark, unquote(folder))
+    merged = upsert_latest(existing.select(*good.columns), good, keys)
+    publish_partitions(merged, path, [column], read_folders(existing, path))
 
 
 def load_table(
@@ -118,11 +117,22 @@ def load_table(
     ``full`` replaces the table, ``incremental`` upserts by key, so repeating a load adds nothing; a
     key that repeats within a load counts once, by its latest row. Up to ``max_errors`` rows
     may break the contract; they go to ``root/table_rejected`` with what they broke. The input is
-    computed once, into a staged copy.
+    computed once, into a staged copy, and the table is published whole: a load that fails at any
+    point leaves the old rows, or the new ones once they are complete.
     """
+    loads = load_unlogged(df, root, table, contract, keys, mode, partition_by, loaded_at, max_errors)
+    log_load(loads, f"{root.rstrip('/')}/load_log")
+    return loads.drop("duration_seconds")
+
+
+def load_unlogged(df: DataFrame, root: str, table: str, contract: Contract, keys: list[str], mode: str = "incremental",
+                  partition_by: str | None = None, loaded_at: datetime | None = None, max_errors: int = MAX_ERRORS) -> DataFrame:
+    """``load_table`` without its line in the load log, which loads that run side by side must write together: a
+    folder takes one appending job at a time. The row returned has the duration, as the log does."""
     if mode not in ("full", "incremental"):
         raise ValueError(f"unknown load mode: {mode}")
     spark, path = df.sparkSession, f"{root.rstrip('/')}/{identifier(table)}"
+    recover(spark, path)
     began = time.monotonic()
     broken = F.size("violations") > 0
     with staged(check_contract(df, contract, values=True)) as checked:
@@ -135,17 +145,13 @@ def load_table(
         good = top1_per_key(checked.where(~broken).drop("violations"), keys, [F.desc("updated_at")])
         parts = [partition_by] if partition_by else []
         if mode == "full" or not exists(spark, path):
-            write_table(good, path, parts)
+            publish_table(good, path, parts)
         elif partition_by:
             _merge_partitions(spark, path, good, keys, partition_by)
         else:
-            existing = spark.read.parquet(path).select(*df.columns)
-            with staged(upsert_latest(existing, good, keys)) as merged:
-                write_table(merged, path)
+            publish_table(upsert_latest(spark.read.parquet(path).select(*df.columns), good, keys), path)
     stats = [(table, counts["good"], counts["bad"], mode, loaded_at, round(time.monotonic() - began, 3))]
-    loads = spark.createDataFrame(stats, f"{LOAD_STATS}, duration_seconds double")
-    log_load(loads, f"{root.rstrip('/')}/load_log")
-    return loads.drop("duration_seconds")
+    return spark.createDataFrame(stats, f"{LOAD_STATS}, duration_seconds double")
 
 
 def log_load(stats: DataFrame, path: str) -> None:
