@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.stats import clean_double, ks_p_value
+from ledgerlake.functions.stats import EXACT_SIZE, clean_double, ks_test_p
 from ledgerlake.operators.cumulative import RANGE_ROWS, running_totals
 from ledgerlake.operators.incremental import union_all
 
@@ -84,8 +84,9 @@ def _value_counts(df: DataFrame, cols: list[str], side: str) -> DataFrame:
 
 
 def drift_ks(reference: DataFrame, current: DataFrame, cols: list[str] | None = None, alpha: float = ALPHA,
-             range_rows: int = RANGE_ROWS) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov per shared column: ``(column, statistic, p_value, drift_detected)``."""
+             range_rows: int = RANGE_ROWS, exact_size: int = EXACT_SIZE) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov per shared column: ``(column, statistic, p_value, drift_detected)``; the p-value is
+    exact for samples of up to ``exact_size`` values."""
     cols = cols or [c for c in reference.columns if c in current.columns]
     both = union_all(_value_counts(reference, cols, "ref"), _value_counts(current, cols, "cur"))
     per_value = both.groupBy("column", "v").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
@@ -94,7 +95,7 @@ def drift_ks(reference: DataFrame, current: DataFrame, cols: list[str] | None =
     worst = ranked.groupBy("column").agg(
         F.max(gap).alias("statistic"), F.max("total_n_ref").alias("t_ref"), F.max("total_n_cur").alias("t_cur")
     )
-    p = ks_p_value(F.col("statistic"), F.col("t_ref").cast("double"), F.col("t_cur").cast("double"))
+    p = ks_test_p(F.col("statistic"), F.col("t_ref").cast("double"), F.col("t_cur").cast("double"), exact_size)
     return worst.withColumn("p_value", p).select(
         "column", "statistic", "p_value", (F.col("p_value") < alpha).alias("drift_detected")
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.gold import billing_total
 from ledgerlake.operators.incremental import union_all
 from ledgerlake.operators.relations import join_slo
-from ledgerlake.session import instant
+from ledgerlake.session import instant, stored
+from ledgerlake.sources.publish import folder_of, table_files
 
 # Metrics where a lower value is better, metrics whose breach is always critical,
 # and the deviations from the objective that count as critical and as a warning.
@@ -26,6 +27,15 @@ def freshness(df: DataFrame, ts: str, now) -> DataFrame:
     return df.agg(F.coalesce(age, F.lit(float("inf"))).alias("freshness_minutes"))
 
 
+def file_freshness(spark: SparkSession, path: str, now, by_folder: bool = False) -> DataFrame:
+    """Minutes since the newest file of a table was written, of each of its partition folders or of all; infinity for an
+    empty table. From the file listing alone: no file is opened."""
+    files = table_files(spark, path)
+    if by_folder:
+        return freshness(files.groupBy(folder_of(F.col("file")).alias("folder")), "modified", now)
+    return freshness(files, "modified", now)
+
+
 def stream_latency(arrivals: DataFrame, period: str = "5 minutes", ts: str = "event_time", latency: str = "latency_ms",
                    delivered: str = "delivered") -> DataFrame:
     """Per period: largest and 99th-percentile latency, and the share delivered in percent.
@@ -201,36 +211,58 @@ def rate_limit(requests: DataFrame, rpm: int = 100, client: str = "client_id", m
     return out.withColumn("accepted", F.col("__cut").isNull() | (by <= F.col("__cut"))).drop("__cut", "__client", "__minute")
 
 
+BLOCK = 1024  # of a key's seconds, in spans of the time to live, that one task sorts
+
+
+def _successors(seconds: DataFrame, keys: list[str], at: str, ttl: int, block: int) -> DataFrame:
+    """``seconds`` with ``__next``, the first second of the key more than ``ttl`` later, and ``__start``, whether none is at
+    most ``ttl`` earlier. ``__next`` is null after a pause too: what follows one is a start.
+
+    Time is cut into blocks; a block also gets the seconds around it that its own can look at, so however many
+    a key has, a task sorts the different seconds of one block.
+    """
+    width = block * ttl
+    home = F.floor(F.col(at) / width)
+    first, last = F.floor((F.col(at) - 2 * ttl) / width), F.floor((F.col(at) + ttl) / width)
+    copies = seconds.select("*", F.explode(F.sequence(first, last)).alias("__block")).withColumn("__own", F.col("__block") == home)
+    w = Window.partitionBy(*keys, "__block").orderBy(at)
+    return copies.select(
+        "*",
+        F.min(at).over(w.rangeBetween(ttl + 1, 2 * ttl)).alias("__next"),
+        F.max(at).over(w.rangeBetween(-ttl, -1)).isNull().alias("__start"),
+    ).where("__own").drop("__own", "__block")
+
+
+def _reached(linked: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """``(keys, at)`` of all that is reached from the starts over ``__next``, by doubling: jumps of 1, 2, 4, ... links are
+    joined from each other while there are any, then taken from the longest to the shortest."""
+    jumps = [stored(linked.where("__next IS NOT NULL").select(*keys, at, "__next"), "jumps")]
+    while not jumps[-1].isEmpty():
+        further = jumps[-1].select(*keys, F.col(at).alias("__next"), F.col("__next").alias("__far"))
+        jumps.append(stored(jumps[-1].join(further, [*keys, "__next"]).select(*keys, at, F.col("__far").alias("__next")), "jumps"))
+    found = linked.where("__start").select(*keys, at)
+    for jump in reversed(jumps[:-1]):
+        more = found.join(jump, [*keys, at]).select(*keys, F.col("__next").alias(at))
+        found = stored(found.unionByName(more), "reached")  # each is reached by one way only
+    return found
+
+
 def replay_guard(requests: DataFrame, skew: int = 300, ttl: int = 300, client: str = "client_id", nonce: str = "nonce",
-                 at: str = "req_sec", skew_col: str = "skew_sec", tie: str = "seq") -> DataFrame:
+                 at: str = "req_sec", skew_col: str = "skew_sec", tie: str = "seq", block: int = BLOCK) -> DataFrame:
     """Add ``verdict``: skewed, replayed or accepted.
 
-    A nonce is refused within ``ttl`` seconds of its last *accepted* use. Of all requests of one
-    nonce only the distinct seconds matter, and a pause longer than ``ttl`` always starts afresh;
-    the fold therefore runs over the distinct seconds of one uninterrupted run.
+    A nonce is refused within ``ttl`` seconds of its last *accepted* use. Of all requests of one nonce only the different
+    seconds matter. The second after an accepted one is the first more than ``ttl`` later, so accepted are those that these
+    links reach from the first second of each run without a pause: no key and no run is ever held in one row
+    or sorted in one task. Requests without a client or nonce are never accepted.
     """
     checked = requests.withColumn("__ok", F.abs(F.col(skew_col)) <= skew)
     keys = [client, nonce]
-    seconds = checked.where("__ok").groupBy(*keys, at).agg(F.min(tie).alias("__first"))
-    w = Window.partitionBy(*keys).orderBy(at)
-    pause = F.col(at) - F.lag(at).over(w) > ttl
-    runs = seconds.withColumn("__new", F.coalesce(pause, F.lit(True)).cast("int")).withColumn("__run", F.sum("__new").over(w))
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("taken"))
-
-    def step(acc: Column, t: Column) -> Column:
-        free = acc["last"].isNull() | (t - acc["last"] > ttl)
-        return F.when(
-            free, F.struct(t.alias("last"), F.concat(acc["taken"], F.array(t)).alias("taken"))
-        ).otherwise(acc)
-
-    times = F.array_sort(F.collect_list(F.col(at).cast("bigint")))
-    taken = runs.groupBy(*keys, "__run").agg(F.aggregate(times, start, step)["taken"].alias("t"))
-    winners = (
-        taken.select(*keys, F.explode("t").alias(at))
-        .withColumn(at, F.col(at).cast(requests.schema[at].dataType))
-        .join(seconds, [*keys, at])
-        .select(*keys, at, F.col("__first").alias(tie), F.lit(True).alias("__win"))
-    )
+    usable = checked.where(F.col("__ok") & F.col(client).isNotNull() & F.col(nonce).isNotNull())
+    seconds = stored(usable.groupBy(*keys, F.col(at).cast("bigint").alias(at)).agg(F.min(tie).alias("__first")), "seconds")
+    reached = _reached(stored(_successors(seconds.drop("__first"), keys, at, ttl, block), "successors"), keys, at)
+    winners = reached.join(seconds, [*keys, at]).select(
+        *keys, F.col(at).cast(requests.schema[at].dataType).alias(at), F.col("__first").alias(tie), F.lit(True).alias("__win"))
     verdict = (
         F.when(~F.col("__ok"), "skewed").when(F.col("__win"), "accepted").otherwise("replayed")
     )

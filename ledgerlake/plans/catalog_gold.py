@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlake.contracts import FACT_FRAUD
@@ -263,9 +264,22 @@ def _(fx):
     return fx("customer").select("c_custkey", "c_name").join(seen, "c_custkey", "left_anti")
 
 
-@query("sort_entity_time", "SELECT customer_id, event_time, seq, event_type FROM {crm_events}")
+@query(
+    "sort_entity_time",
+    """SELECT customer_id, event_time, seq, event_type, row_number() OVER (ORDER BY customer_id, event_time, seq) - 1 AS place
+       FROM {crm_events}""",
+)
 def _(fx):
-    return relations.sort_entity_time(fx("crm_events"), "customer_id", "event_time", "seq")
+    """Written in order and read back file by file: every row's place in the files is its place in the order."""
+    path = shared_dir(fx.spark, "sorted")
+    relations.sort_entity_time(fx("crm_events"), "customer_id", "event_time", "seq").write.parquet(path)
+    files = fx.spark.read.parquet(path).select(
+        "customer_id", "event_time", "seq", "event_type", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("i"))
+    # One row for each file, in the order of their numbers.
+    sizes = files.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
+    return files.join(begins, "file").withColumn("place", F.col("begin") + F.col("i")).drop("file", "i", "begin")
 
 
 @query(

@@ -190,15 +190,20 @@ def ks_sql(ref: str, cur: str, cols: dict[str, str]) -> str:
       p AS (SELECT *, (en + 0.12 + 0.11 / en) * d AS lam FROM l),
       r AS (SELECT "column", d, CASE WHEN lam < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * list_sum(list_transform(range(1, 101),
              lambda i: (CASE WHEN i % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * i * i * lam * lam))))) END AS p FROM p)
-      SELECT "column", round(d, 6) AS statistic, round(p, 6) AS p_value, p < 0.05 AS drift_detected FROM r"""
+      SELECT "column", round(d, 6) AS statistic, round(p, 2) AS p_near, p < 0.05 AS drift_detected FROM r"""
+
+
+def near(found):
+    """The exact p-value to the digits that it shares with the series the check computes."""
+    return rounded(rounded(found, 6, "statistic").withColumn("p_near", F.round("p_value", 2)).drop("p_value"), 2, "p_near")
 
 
 @query("drift_ks", ks_sql("drift_reference", "drift_current", {"value": "value", "k": "k"}))
 def _(fx):
-    return rounded(evaluation.drift_ks(fx("drift_reference"), fx("drift_current")), 6, "statistic", "p_value")
+    return near(evaluation.drift_ks(fx("drift_reference"), fx("drift_current")))
 
 
 @query("drift_predictions", ks_sql("tx_scores", "dirty_scores", {"fraud_score": "fraud_score"}))
 def _(fx):
     found = evaluation.drift_predictions(fx("tx_scores"), fx("dirty_scores"), "fraud_score")
-    return rounded(found, 6, "statistic", "p_value")
+    return near(found)

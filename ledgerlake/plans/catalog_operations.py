@@ -7,14 +7,14 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import functions as F
 
 from ledgerlake.contracts import BRONZE_CHURN, FACT_FRAUD
-from ledgerlake.operators import evaluation, gold, monitoring, operations, quality, relations
+from ledgerlake.operators import evaluation, features, gold, monitoring, operations, quality, relations
 from ledgerlake.operators.ingest import parse_events, split_valid
 from ledgerlake.plans import refresh, silver
 from ledgerlake.plans.catalog import query
 from ledgerlake.plans.catalog_features import COMPLAINTS, DECAY, INACTIVITY, SILVER_FRAUD, rounded
 from ledgerlake.plans.catalog_lake import bronze_files, raw_stream
 from ledgerlake.session import shared_dir
-from ledgerlake.sources import sinks
+from ledgerlake.sources import readers, sinks
 
 NOW = "2024-02-01 00:00:00"
 BILLING_PERIOD = ("1996-01-01", "1996-01-30")
@@ -27,6 +27,17 @@ def _(fx):
     return rounded(monitoring.freshness(fx("tx_events"), "event_time", NOW), 6, "freshness_minutes")
 
 
+@query("file_freshness", "SELECT event_type AS folder, count(*) AS rows, true AS fresh FROM {tx_events} GROUP BY 1")
+def _(fx):
+    """Partitions written just now are fresh by the time of their files, whatever the time of their events."""
+    path = shared_dir(fx.spark, "bronze")
+    fx("tx_events").write.partitionBy("event_type").parquet(path)
+    ages = monitoring.file_freshness(fx.spark, path, datetime.now().astimezone(), by_folder=True)
+    ages = ages.select(F.regexp_extract("folder", "=(.*)$", 1).alias("folder"), (F.abs("freshness_minutes") < 60).alias("fresh"))
+    rows = fx.spark.read.parquet(path).groupBy(F.col("event_type").alias("folder")).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(ages, "folder")
+
+
 FIVE_MIN = "time_bucket(INTERVAL '5 minutes', event_time)"
 LATENCY = f"""SELECT {FIVE_MIN} AS window_start, max(latency_ms) AS max_latency_ms,
     round(quantile_cont(latency_ms, 0.99), 6) AS p99_latency_ms, round(sum(delivered) * 100.0 / count(*), 6) AS success_rate,
@@ -258,17 +269,23 @@ def _(fx):
 
 @query("bronze_replay", "SELECT event_id, min(seq) AS seq FROM {tx_deliveries} GROUP BY 1")
 def _(fx):
+    """Replayed twice: the second run finds every event emitted already."""
     path = bronze_files(fx, "tx_deliveries", "seq", "event_id", "event_time", "value")
     target = shared_dir(fx.spark, "replayed")
     schema = fx("tx_deliveries").schema
     start = datetime.now() - timedelta(hours=1)
-    operations.bronze_replay(fx.spark, path, schema, start, target=target, order="seq")
+    for _ in range(2):
+        operations.bronze_replay(fx.spark, path, schema, start, target=target, order="seq")
     return fx.spark.read.schema(schema).json(target).select("event_id", "seq")
 
 
 @query("backfill_silver", f"SELECT * FROM ({SILVER_FRAUD}) s WHERE CAST(event_time AS DATE) = DATE '2024-01-17'")
 def _(fx):
-    rows = operations.backfill_silver(fx("tx_events"), silver.silver_fraud, "event_time", date(2024, 1, 17))
+    path = shared_dir(fx.spark, "bronze")
+    fx("tx_events").repartitionByRange(8, "event_time").write.parquet(path)
+    rows = operations.backfill_silver(
+        fx.spark.read.parquet(path), silver.silver_fraud, "event_time", date(2024, 1, 17),
+        timedelta(seconds=features.VELOCITY_SECONDS), features.DEVICE_ROWS - 1, "customer_id", "event_id")
     return rounded(rows, 6, "geo_distance_km", "device_entropy")
 
 
@@ -328,14 +345,13 @@ def _(fx):
 
 @query(
     "audit_append",
-    """SELECT CAST(ts AS DATE) AS date, action, count(*) AS events FROM {audit_events} GROUP BY 1, 2""",
+    """SELECT CAST(ts AS DATE) AS date, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp, action, resource, "user" FROM {audit_events}""",
     dates=("date",),
 )
 def _(fx):
     path = shared_dir(fx.spark, "audit")
     sinks.audit_append(fx("audit_events"), path)
-    logged = fx.spark.read.schema("action string, date date").json(path)
-    return logged.groupBy("date", "action").agg(F.count(F.lit(1)).alias("events"))
+    return readers.read_audit(fx.spark, path).select("date", "timestamp", "action", "resource", "user")
 
 
 @query(

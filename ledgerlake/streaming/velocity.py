@@ -1,108 +1,104 @@
-"""Fraud features on a stream: state per customer carries over file and batch boundaries."""
+"""Fraud features on a stream, late events included, by the windows of the batch build.
+
+Each micro-batch is joined by a *carry*: of every customer the rows of the allowed delay and a minute before it, and the
+last few rows before those. That is all the windows of a row can look back on as long as it is no later than the
+delay, so the features of ``silver_fraud`` over carry and batch are those over the whole history. The carry is a table in
+shared storage, one version per micro-batch; nothing is kept in Python or in one task, and a hot customer's rows are
+sliced as in the batch build.
+
+* A late event gets the features it would have had in time, and rows written earlier that it changes (a minute after it,
+  or among the next few of its customer) are written again. ``current_features`` takes the newest version of every event.
+* The watermark is the newest event time less the delay. Events behind it go to a side table, for ``backfill_silver``.
+* A customer's last rows are dropped ``ttl`` after them; an event after that has no predecessor.
+* A micro-batch that is repeated starts from the carry before it and replaces what it has written. An event that is
+  delivered again while it is carried counts once.
+"""
 
 from __future__ import annotations
 
-import sys
-from collections import Counter
-from collections.abc import Iterator
-from math import log2
-from typing import Any
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from ledgerlake.functions.geo import EARTH_RADIUS_KM
-from ledgerlake.operators.features import DEVICE_ROWS, MICROS, VELOCITY_SECONDS
-
-# The processor travels to the executors by value, so they need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-STATE = "lat double, lon double, devices array<string>, times array<bigint>"
-OUTPUT = (
-    "customer_id string, transaction_id string, event_time timestamp, tx_velocity_1m bigint, "
-    "geo_distance_km double, device_entropy double"
-)
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def _distance_km(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
-    """Distance between consecutive points; NaN where a coordinate is missing."""
-    phi, lam = np.radians(lat), np.radians(lon)
-    a = np.sin(np.diff(phi) / 2) ** 2 + np.cos(phi[:-1]) * np.cos(phi[1:]) * np.sin(np.diff(lam) / 2) ** 2
-    return 2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(a, 1.0)))
-
-
-def _entropy(devices: list[str]) -> float:
-    n = len(devices)
-    return sum(-c / n * log2(c / n) for c in Counter(devices).values()) + 0.0
-
-
-class CustomerState(StatefulProcessor):
-    """Last location, last few devices and the event times of the last minute: bounded per customer."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", STATE)
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        # The rows of one customer in one micro-batch, which the trigger bounds.
-        parts = list(rows)
-        batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        batch = batch.iloc[np.lexsort((batch["event_id"].to_numpy(), batch["event_time"].to_numpy()))]
-        lat, lon, devices, times = np.nan, np.nan, [], np.empty(0, dtype="int64")
-        if self.seen.exists():
-            old_lat, old_lon, old_devices, old_times = self.seen.get()
-            lat = np.nan if old_lat is None else old_lat
-            lon = np.nan if old_lon is None else old_lon
-            devices, times = list(old_devices), np.asarray(list(old_times), dtype="int64")
-
-        now = batch["event_time"].to_numpy("datetime64[us]").astype("int64")
-        window = VELOCITY_SECONDS * MICROS
-        all_times = np.sort(np.concatenate([times, now]))
-        velocity = np.searchsorted(all_times, now, "right") - np.searchsorted(all_times, now - window, "right")
-
-        lats = np.concatenate([[lat], batch["latitude"].to_numpy("float64", na_value=np.nan)])
-        lons = np.concatenate([[lon], batch["longitude"].to_numpy("float64", na_value=np.nan)])
-        distance = np.nan_to_num(_distance_km(lats, lons), nan=0.0)
-
-        trail = devices + [d or "" for d in batch["device_id"].tolist()]
-        ends = range(len(devices) + 1, len(trail) + 1)
-        entropy = [_entropy(trail[max(0, e - DEVICE_ROWS) : e]) for e in ends]
-
-        keep = all_times[all_times > all_times[-1] - window]
-        self.seen.update(
-            (
-                None if np.isnan(lats[-1]) else float(lats[-1]),
-                None if np.isnan(lons[-1]) else float(lons[-1]),
-                trail[-(DEVICE_ROWS - 1) :],
-                [int(t) for t in keep],
-            )
-        )
-        yield pd.DataFrame(
-            {
-                "customer_id": key[0],
-                "transaction_id": batch["transaction_id"].to_numpy(),
-                "event_time": batch["event_time"].to_numpy(),
-                "tx_velocity_1m": velocity.astype("int64"),
-                "geo_distance_km": distance,
-                "device_entropy": entropy,
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
-
-def use_state_store(spark: SparkSession) -> None:
-    """Arbitrary state needs the RocksDB store (state on local disk, changelog in the checkpoint)."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-
-
-def stream_velocity(events: DataFrame) -> DataFrame:
-    """The three fraud features of ``silver_fraud`` on a stream of events in time order."""
-    use_state_store(events.sparkSession)
-    return events.groupBy("customer_id").transformWithStateInPandas(
-        statefulProcessor=CustomerState(), outputStructType=OUTPUT, outputMode="append", timeMode="none"
-    )
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ledgerlake.operators.features import DEVICE_ROWS, HOT_ROWS, MICROS, VELOCITY_SECONDS, fraud_features
+from ledgerlake.operators.incremental import top1_per_key
+from ledgerlake.session import remove
+from ledgerlake.sources.publish import Area
+from ledgerlake.sources.sinks import staged
+from ledgerlake.streaming.pipelines import BATCH_ID, _trigger, stream_id, write_batch
+
+FEATURES = ("tx_velocity_1m", "geo_distance_km", "device_entropy")
+INPUT = ("event_id", "transaction_id", "customer_id", "event_time", "device_id", "latitude", "longitude")
+DELAY, TTL = timedelta(hours=1), timedelta(days=90)
+
+
+def _micros(span: timedelta) -> int:
+    return span // timedelta(microseconds=1)
+
+
+def _carried(rows: DataFrame, newest: int, delay: timedelta, ttl: timedelta) -> DataFrame:
+    """What later batches can look back on, given the newest event time in microseconds."""
+    at, edge = F.unix_micros("event_time"), newest - _micros(delay) - VELOCITY_SECONDS * MICROS
+    last = Window.partitionBy("customer_id").orderBy(F.desc("event_time"), F.desc("event_id"))
+    before = rows.where((at <= edge) & (at > newest - _micros(ttl)) & F.col("customer_id").isNotNull())
+    tail = before.withColumn("__r", F.row_number().over(last)).where(F.col("__r") < DEVICE_ROWS).drop("__r")
+    return rows.where(at > edge).unionByName(tail)
+
+
+def _process(batch: DataFrame, batch_id: int, sink: str, state: str, delay: timedelta, ttl: timedelta, hot_rows: int) -> None:
+    spark, stream = batch.sparkSession, stream_id(batch)
+    area = Area(spark, f"{state.rstrip('/')}/carry")
+    before, after = (f"{area.table}-{stream}-{i}" for i in (batch_id - 1, batch_id))
+    old = spark.read.parquet(before) if area.exists(before) else None
+    new = batch.select(*INPUT)
+    if old is None:
+        mark = None
+    else:
+        mark = old.agg(F.unix_micros(F.max("event_time"))).first()[0]
+        mark = None if mark is None else mark - _micros(delay)
+        seen = (F.col("n.event_id").eqNullSafe(F.col("o.event_id"))) & (F.col("n.event_time") == F.col("o.event_time")) & (
+            F.col("n.customer_id").eqNullSafe(F.col("o.customer_id")))
+        new = new.alias("n").join(old.alias("o"), seen, "left_anti")
+    # An event without a time belongs to no window; it goes to the side table as well.
+    in_time = F.col("event_time").isNotNull() & (F.lit(True) if mark is None else F.unix_micros("event_time") >= mark)
+    none = [F.lit(None).cast(t).alias(f"old_{c}") for c, t in zip(FEATURES, ("bigint", "double", "double"))]
+    fresh = new.where(in_time).select("*", *none, F.lit(True).alias("fresh"))
+    both = fresh if old is None else fresh.unionByName(old.withColumn("fresh", F.lit(False)))
+    write_batch(new.where(~in_time), batch_id, f"{sink.rstrip('/')}_late", "parquet", stream)
+    with staged(fraud_features(both, hot_rows=hot_rows)) as rows:
+        # The oldest carried rows have lost their own history: what was written for them stands.
+        whole = F.lit(True) if mark is None else F.unix_micros("event_time") >= mark
+        value = {c: F.when(whole, F.col(c)).otherwise(F.col(f"old_{c}")) for c in FEATURES}
+        rows = rows.withColumns(value)
+        same = [F.col(c).eqNullSafe(F.col(f"old_{c}")) for c in FEATURES]
+        changed = F.col("fresh") | ~(same[0] & same[1] & same[2])
+        out = rows.where(changed).select("customer_id", "transaction_id", "event_id", "event_time", *FEATURES)
+        write_batch(out, batch_id, sink, "parquet", stream)
+        newest = rows.agg(F.unix_micros(F.max("event_time"))).first()[0]
+        kept = rows.select(*INPUT, *[F.col(c).alias(f"old_{c}") for c in FEATURES])
+        if newest is not None:
+            kept = _carried(kept, newest, delay, ttl)
+        kept.write.mode("overwrite").parquet(after)
+    remove(spark, f"{area.table}-{stream}-{batch_id - 2}")  # the one before is needed if this batch is repeated
+
+
+def stream_velocity(events: DataFrame, sink: str, checkpoint: str, delay: timedelta = DELAY, ttl: timedelta = TTL,
+                    once: bool = False, hot_rows: int = HOT_ROWS) -> StreamingQuery:
+    """Write the three fraud features of a stream of events to ``sink``, those behind the watermark to ``sink_late``.
+
+    The carry lies beside the checkpoint, as it belongs to it."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        _process(batch, batch_id, sink, f"{checkpoint.rstrip('/')}_carry", delay, ttl, hot_rows)
+
+    writer = events.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return _trigger(writer, once).start()
+
+
+def current_features(spark: SparkSession, sink: str) -> DataFrame:
+    """The newest version of every event's features."""
+    rows = spark.read.parquet(sink)
+    latest = top1_per_key(rows, ["customer_id", "event_id", "transaction_id", "event_time"], [F.desc(BATCH_ID)])
+    return latest.select("customer_id", "transaction_id", "event_id", "event_time", *FEATURES)

@@ -1,7 +1,8 @@
 import math
+import os
 import random
 from collections import defaultdict
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pytest
@@ -213,3 +214,73 @@ def test_rate_limit_against_brute_force(spark):
         used[c, m] += 1
         want[seq] = used[c, m] <= 20
     assert {r["seq"]: r["accepted"] for r in monitoring.rate_limit(df, rpm=20).collect()} == want
+
+
+@pytest.mark.parametrize("block", [1, 3, 1024])
+def test_replay_guard_of_long_runs(spark, block):
+    """Runs without a pause, ties, nulls and several keys, cut into blocks of any length."""
+    rng = random.Random(2)
+    rows = []
+    for key in ("a", "b", "c", None):
+        t = -2000
+        for _ in range(400):
+            t += rng.choice([0, 1, 40, 150, 299, 300, 301, 900])
+            rows.append((len(rows), key, "n", t, rng.choice([0, 0, 0, 301])))
+    df = spark.createDataFrame(rows, "seq bigint, client_id string, nonce string, req_sec bigint, skew_sec int")
+    last, want = {}, {}
+    for seq, key, _, t, skew in sorted(rows, key=lambda r: (r[3], r[0])):
+        free = key is not None and (key not in last or t - last[key] > 300)
+        want[seq] = "skewed" if skew > 300 else "accepted" if free else "replayed"
+        if want[seq] == "accepted":
+            last[key] = t
+    assert {r.seq: r.verdict for r in monitoring.replay_guard(df, block=block).collect()} == want
+
+
+def test_replay_guard_of_a_million_seconds(spark):
+    """One nonce used every second for eleven days: accepted is every 301st, and no plan collects a group in a row."""
+    df = spark.range(1_000_000).select(
+        F.col("id").alias("seq"), F.lit("c").alias("client_id"), F.lit("n").alias("nonce"), F.col("id").alias("req_sec"), F.lit(0).alias("skew_sec"))
+    out = monitoring.replay_guard(df)
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    found = out.groupBy("verdict").agg(F.count("*").alias("n"), F.sum((F.col("seq") % 301 == 0).cast("int")).alias("m")).collect()
+    assert {(r.verdict, r.n, r.m) for r in found} == {("accepted", 3323, 3323), ("replayed", 1_000_000 - 3323, 0)}
+
+
+def test_exact_p_value_counts_interleavings():
+    """Against the share of all orders of two samples whose statistic is as large; no formula in common."""
+    from itertools import combinations
+    from math import comb
+
+    from ledgerlake.functions.stats import ks_exact
+
+    for n1, n2 in ((1, 1), (2, 3), (4, 4), (5, 7), (6, 3)):
+        found = []
+        for places in combinations(range(n1 + n2), n1):
+            a = b = worst = 0
+            for i in range(n1 + n2):
+                a, b = (a + 1, b) if i in places else (a, b + 1)
+                worst = max(worst, abs(a * n2 - b * n1))
+            found.append(worst)
+        for d in {*found, 0}:
+            want = sum(x >= d for x in found) / comb(n1 + n2, n1)
+            assert ks_exact(d / (n1 * n2), n1, n2) == pytest.approx(want, abs=1e-12)
+    assert ks_exact(0.05, 4000, 5000) == pytest.approx(2.8e-5, rel=0.2)  # the series says 2.9e-5
+
+
+def test_small_samples_get_the_exact_p_value(spark):
+    ref = spark.createDataFrame([(float(i),) for i in range(5)], "v double")
+    cur = spark.createDataFrame([(i + 3.5,) for i in range(4)], "v double")
+    got = evaluation.drift_ks(ref, cur).first()
+    assert got.statistic == pytest.approx(0.8) and got.p_value == pytest.approx(10 / 126)
+    assert evaluation.drift_ks(ref, cur, exact_size=3).first().p_value != pytest.approx(10 / 126)
+
+
+def test_file_freshness_opens_no_file(spark, tmp_path):
+    path = tmp_path / "t"
+    path.mkdir()
+    (path / "part-0.parquet").write_bytes(b"not a parquet file")  # reading it would fail
+    os.utime(path / "part-0.parquet", (1_700_000_000, 1_700_000_000))
+    now = datetime.fromtimestamp(1_700_000_600, timezone.utc)
+    assert monitoring.file_freshness(spark, str(path), now).first()[0] == pytest.approx(10.0)
+    (path / "part-0.parquet").unlink()
+    assert monitoring.file_freshness(spark, str(path), now).first()[0] == float("inf")

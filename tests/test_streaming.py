@@ -1,8 +1,10 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
 
 from ledgerlake.operators import gold
+from ledgerlake.plans import silver
 from ledgerlake.plans.fixtures import Fixtures
 from ledgerlake.session import shared_dir
 from ledgerlake.sources import readers, sinks
@@ -74,9 +76,35 @@ def test_ingest_writes_each_record_once_even_when_a_batch_is_repeated(spark):
     assert stored(dlq) == 3
 
 
+EVENT = "event_id bigint, transaction_id string, customer_id string, event_time timestamp, device_id string, latitude double, longitude double"
+
+
+class VelocityFeed:
+    """Deliveries of events to ``stream_velocity``, a run after each."""
+
+    def __init__(self, spark, **how):
+        self.spark, self.how = spark, how
+        self.src, self.sink, self.checkpoint = (shared_dir(spark, d) for d in ("src", "features", "checkpoint"))
+
+    def deliver(self, rows):
+        self.spark.createDataFrame(rows, EVENT).coalesce(2).write.mode("append").parquet(self.src)
+        return self.run()
+
+    def run(self):
+        stream = readers.stream_events(self.spark, self.src, self.spark.read.parquet(self.src).schema, format="parquet")
+        velocity.stream_velocity(stream, self.sink, self.checkpoint, once=True, **self.how).awaitTermination()
+        return velocity.current_features(self.spark, self.sink)
+
+    def late(self):
+        return sorted(r.event_id for r in self.spark.read.schema(EVENT).parquet(f"{self.sink}_late").collect())
+
+
+def features_of(df):
+    return {r.event_id: (r.tx_velocity_1m, round(r.geo_distance_km or 0, 6), round(r.device_entropy or 0, 6)) for r in df.collect()}
+
+
 def test_velocity_crosses_file_and_restart_boundaries(spark):
-    cols = "event_id bigint, transaction_id string, customer_id string, event_time timestamp, device_id string, latitude double, longitude double"
-    feed = Feed(spark, cols, velocity.stream_velocity)
+    feed = VelocityFeed(spark)
     at = lambda s: T0 + timedelta(seconds=s)
     feed.deliver([(1, "t1", "c", at(0), "a", 0.0, 0.0), (2, "t2", "c", at(30), None, None, None)])
     got = feed.deliver([(3, "t3", "c", at(59), "b", 0.0, 1.0), (4, "t4", "c", at(60), "b", 0.0, 2.0), (5, "t5", "d", at(60), "b", 0.0, 2.0)])
@@ -87,6 +115,46 @@ def test_velocity_crosses_file_and_restart_boundaries(spark):
     assert rows["t4"]["device_entropy"] == pytest.approx(1.5)
 
 
+@pytest.mark.parametrize("hot_rows", [2_000_000, 25])
+def test_late_and_repeated_events_give_the_batch_result(spark, hot_rows):
+    """Events of three hours in random order within 40 minutes, some twice, in six deliveries."""
+    rng = random.Random(5)
+    events = []
+    for i in range(240):
+        at = T0 + timedelta(seconds=rng.randrange(10_800), microseconds=rng.randrange(10**6))
+        events.append((i, f"t{i}", rng.choice(["hot", "hot", "b", "c", None]), at, rng.choice("xyz"), rng.uniform(-80, 80), rng.uniform(-170, 170)))
+    arrival = sorted(events, key=lambda e: e[3] + timedelta(seconds=rng.randrange(2_400)))
+    feed = VelocityFeed(spark, delay=timedelta(minutes=40), hot_rows=hot_rows)
+    for i in range(6):
+        again = rng.sample(arrival[max(0, 40 * i - 20): 40 * i], 3) if i else []
+        got = feed.deliver(arrival[40 * i: 40 * (i + 1)] + again)
+    want = silver.silver_fraud(spark.createDataFrame(events, EVENT)).join(spark.createDataFrame(events, EVENT).select("transaction_id", "event_id"), "transaction_id")
+    assert features_of(got) == features_of(want) and got.count() == 240
+    assert feed.late() == []
+
+
+def test_events_behind_the_watermark_and_expired_customers(spark):
+    feed = VelocityFeed(spark, delay=timedelta(minutes=10), ttl=timedelta(days=1))
+    at = lambda **k: T0 + timedelta(**k)
+    feed.deliver([(1, "t1", "a", at(), "x", 0.0, 0.0), (2, "t2", "b", at(minutes=30), "x", 0.0, 0.0)])
+    got = feed.deliver([(3, "t3", "a", at(minutes=15), "x", 0.0, 9.0), (4, "t4", "b", at(days=2), "x", 0.0, 1.0), (5, "t5", "b", None, "x", 0.0, 1.0)])
+    assert feed.late() == [3, 5] and set(features_of(got)) == {1, 2, 4} and features_of(got)[4][1] > 100
+    got = features_of(feed.deliver([(6, "t6", "a", at(days=2), "x", 0.0, 5.0), (7, "t7", "b", at(days=2, seconds=5), "x", 0.0, 1.0)]))
+    assert got[6] == (1, 0.0, 0.0) and got[7] == (2, 0.0, 0.0)  # the rows of "a" have expired, those of "b" have not
+    assert features_of(feed.run()) == got
+
+
+def test_a_repeated_velocity_batch_replaces_its_first_attempt(spark):
+    batch = lambda rows: spark.createDataFrame(rows, EVENT)
+    sink, state = shared_dir(spark, "sink"), shared_dir(spark, "state")
+    how = (sink, state, timedelta(hours=1), timedelta(days=9), 1000)
+    velocity._process(batch([(1, "t1", "a", T0, "x", 0.0, 0.0)]), 0, *how)
+    for _ in range(2):
+        velocity._process(batch([(2, "t2", "a", T0 + timedelta(seconds=5), "x", 0.0, 1.0)]), 1, *how)
+    got = features_of(velocity.current_features(spark, sink))
+    assert got[2][0] == 2 and len(got) == 2 and spark.read.parquet(sink).count() == 2
+
+
 def test_microseconds_survive_json(spark):
     path, t = shared_dir(spark, "json"), datetime(2024, 1, 1, 0, 0, 0, 123456)
     df = spark.createDataFrame([(t,)], "event_time timestamp")
