@@ -42,7 +42,9 @@ CLASSES = 126
 END, UNKNOWN, SIDES = 126, 127, 128  # classes of their own, and how many there are
 ONCE = 0x80  # marks a word that occurs once in training, in a class sequence
 ROUNDS = 8
-HELD = 1 << 20  # different words, or pairs of them, that a task holds before it hands on their counts
+HELD = 1 << 19  # different words, or pairs of them, that a task holds before it hands on their counts
+SLICE = 1 << 18  # tokens whose pairs are counted at a time
+PIECE = 1 << 18  # pairs in a row of the neighbour table, about
 BLOCK = 1 << 13  # neighbour counts that are tried on all classes at a time
 
 
@@ -59,7 +61,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch["text"]:
                 seen.update(_words(text))
-                if len(seen) > HELD // 4:
+                if len(seen) > HELD // 2:
                     yield frame()
                     seen.clear()
         if seen:
@@ -127,21 +129,21 @@ def neighbours(docs: DataFrame) -> DataFrame:
 
         keys, counts, size = [], [], 0
         for batch in batches:
-            if not len(batch):
-                continue
-            line = np.frombuffer(np.uint16(END_CODE).tobytes() + b"".join(batch["codes"]), np.uint16).astype(np.int64)
-            left, right = line[:-1], line[1:]
-            both = (left != OTHER) & (right != OTHER)
-            key, n = np.unique(left[both] << 16 | right[both], return_counts=True)
-            keys.append(key)
-            counts.append(n.astype(np.int64))
-            size += len(key)
-            if size > HELD:
-                key, n = _merged(keys, counts)
-                keys, counts, size = [key], [n], len(key)
-                if size > HELD // 2:
-                    yield from out(key, n)
-                    keys, counts, size = [], [], 0
+            codes = np.frombuffer(np.uint16(END_CODE).tobytes() + b"".join(batch["codes"]), np.uint16)
+            for at in range(0, len(codes) - 1, SLICE):
+                line = codes[at: at + SLICE + 1].astype(np.int64)
+                left, right = line[:-1], line[1:]
+                both = (left != OTHER) & (right != OTHER)
+                key, n = np.unique(left[both] << 16 | right[both], return_counts=True)
+                keys.append(key)
+                counts.append(n.astype(np.int64))
+                size += len(key)
+                if size > HELD:
+                    key, n = _merged(keys, counts)
+                    keys, counts, size = [key], [n], len(key)
+                    if size > HELD // 2:
+                        yield from out(key, n)
+                        keys, counts, size = [], [], 0
         if size:
             yield from out(*_merged(keys, counts))
 
@@ -149,18 +151,25 @@ def neighbours(docs: DataFrame) -> DataFrame:
         def out(shard: int, key: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
             word, at = key >> 17, 0
             while at < len(key):  # cut where a word ends
-                to = int(np.searchsorted(word, word[min(at + HELD, len(key)) - 1], "right"))
+                to = int(np.searchsorted(word, word[min(at + PIECE, len(key)) - 1], "right"))
                 yield pd.DataFrame({"shard": [shard], "keys": [_planes(np.diff(key[at:to], prepend=0))], "counts": [_planes(n[at:to])]})
                 at = to
 
-        shard, key, n = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        shard, keys, counts, size = None, [], [], 0
         for batch in batches:
             for r in batch.itertuples(index=False):
                 if r.shard != shard:
-                    yield from out(shard, key, n)
-                    shard, key, n = r.shard, key[:0], n[:0]
-                key, n = _merged([key, np.cumsum(_flat(r.keys, "<i8"))], [n, _flat(r.counts, "<i8")])
-        yield from out(shard, key, n)
+                    if keys:
+                        yield from out(shard, *_merged(keys, counts))
+                    shard, keys, counts, size = r.shard, [], [], 0
+                keys.append(np.cumsum(_flat(r.keys, "<i8")))
+                counts.append(_flat(r.counts, "<i8"))
+                size += len(keys[-1])
+                if size > 2 * HELD:
+                    key, n = _merged(keys, counts)
+                    keys, counts, size = [key], [n], min(len(key), HELD)  # merged again after as many more
+        if keys:
+            yield from out(shard, *_merged(keys, counts))
 
     schema = "shard bigint, keys binary, counts binary"
     found = docs.where("not held_out").select("codes").mapInPandas(pairs, schema)
@@ -210,16 +219,21 @@ class Gains:
                     value[k] = _xlogx(x) - _xlogx(np.maximum(x - r, 0))
                 starts = np.flatnonzero(np.concatenate([[True], o[1:] != o[:-1]]))
                 gain[o[starts]] += np.add.reduceat(value, starts, axis=0)
-            sums = np.bincount(owner[mine], count[mine], n)[:, None]
-            total = np.repeat(self.totals[s][None], n, 0)
-            if current is not None:
-                total[np.arange(n), current] = np.maximum(total[np.arange(n), current] - sums[:, 0], 0)
-            gain -= _xlogx(total + sums) - _xlogx(total)
+            sums = np.bincount(owner[mine], count[mine], n)
+            for at in range(0, n, BLOCK):
+                more = sums[at: at + BLOCK, None]
+                total = np.repeat(self.totals[s][None], len(more), 0)
+                if current is not None:
+                    k = np.arange(len(more)), current[at: at + BLOCK]
+                    total[k] = np.maximum(total[k] - more[:, 0], 0)
+                gain[at: at + BLOCK] -= _xlogx(total + more) - _xlogx(total)
         # Words decide at the same time, so an empty class would draw words of all kinds at once.
-        closed = np.repeat((self.totals[0] + self.totals[1] == 0)[None], n, 0)
+        empty = np.flatnonzero(self.totals[0] + self.totals[1] == 0)
+        own = None if current is None else gain[np.arange(n), current]
+        gain[:, empty] = -np.inf
         if current is not None:
-            closed[np.arange(n), current] = False
-        return np.argmax(np.where(closed, -np.inf, gain)[:, :CLASSES], axis=1).astype(np.uint8)
+            gain[np.arange(n), current] = own
+        return np.argmax(gain[:, :CLASSES], axis=1).astype(np.uint8)
 
 
 def _entries(r) -> tuple[np.ndarray, ...]:
