@@ -13,7 +13,8 @@ text (``wrappers``), and words in names of a state or layout ("has-sidebar") don
 
 Edge cases: a null or empty page has empty text; a page without any container takes the whole body; unclosed
 elements end with their parent, stray end tags are ignored; a comment or script that never ends takes the rest of
-the page; a null url is a host of its own; rows that repeat a page_id are pages of their own; extra columns are
+the page; a null url is a host of its own; rows that repeat a page_id are pages of their own; an empty
+table gives no row; pages of any length are read whole; extra columns are
 carried along.
 """
 

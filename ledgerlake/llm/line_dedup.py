@@ -7,7 +7,8 @@ whole texts in one shuffle by row: document and 128 hash bits of the text.
 
 Edge cases: a null or empty text is one empty line; rows that repeat a doc_id count as one document
 and each loses its own lines of a dropped key, none if that document keeps them; rows without a doc_id never count as a
-document, and each loses all its lines of a dropped key; extra columns are carried along under any name that does not begin with ``__ld_``.
+document, and each loses all its lines of a dropped key; an empty table
+gives no row; texts of any length are split whole; extra columns are carried along under any name that does not begin with ``__ld_``.
 """
 
 from __future__ import annotations

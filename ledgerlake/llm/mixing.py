@@ -8,7 +8,7 @@ is a hash of seed and doc_id.
 
 Edge cases: a null text has no words and is never taken; the null source is a source of its own and
 comes last; an empty table gives an empty mix; sources of no words get target 0; rows that repeat a
-doc_id are separate rows with adjoining places in the order. Helper columns begin with ``__mx_``.
+doc_id are separate rows with adjoining places in the order; texts of any length are counted whole. Helper columns begin with ``__mx_``.
 """
 
 from __future__ import annotations

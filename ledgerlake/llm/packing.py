@@ -11,7 +11,7 @@ once. Words repeat, so each worker keeps the ids of words it has met (a bounded
 tokenizer for new ones only.
 
 Edge cases: a null or empty text has the end id only; equal texts share a key and follow each other by
-row number; rows that repeat a doc_id are packed one by one; an empty table gives no piece; extra
+row number; rows that repeat a doc_id are packed one by one; an empty table gives no piece; texts of any length are encoded whole; extra
 columns are ignored.
 """
 

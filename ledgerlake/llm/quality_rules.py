@@ -6,8 +6,11 @@ user function, no shuffle, one pass over the table.
 
 Edge cases: a null or blank text has no words and fails; a text of one line has no repeated line;
 extra columns are carried along, and helper columns have names that no input uses (``__qr_``).
-Repeated rows are judged one by one. The window key is a 64-bit hash chained over three words; two
-different windows of one text share it with a probability below 1e-9 for a million words.
+Repeated rows are judged one by one; an empty table gives no row; texts of any length are judged whole. The window key is a
+64-bit hash chained over three words. Windows are sorted by its leading bits, as many as the positions leave (47 for a hundred
+thousand words, 44 for a million), and compared by all 64: where two different windows share the leading bits, equal ones may be
+parted and a repetition missed. That some pair of a text does has a probability of n^2 / 2^(65 - bits of n): below 4e-5 for a
+hundred thousand words, about 0.03 for a million.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ and not n^2. A key with very many fingerprints is dealt over a square of cells.
 
 Edge cases: a null, empty or blank text has fingerprint 0 and is linked like any other; fewer words
 than a shingle make one shingle of them all; rows that repeat a doc_id are rows of their own;
-rows without a doc_id are kept and never name a component, unless no row of it has an id (then null).
+rows without a doc_id are kept and never name a component, unless no row of it has an id (then null); an empty
+table gives no row; texts of any length are read whole; extra columns are ignored.
 """
 
 from __future__ import annotations

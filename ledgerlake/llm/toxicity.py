@@ -12,7 +12,7 @@ The decision threshold of a category is the one of best F1 over the out-of-fold
 Edge cases: a null, empty or blank text scores on its measures alone; a null label leaves its row out of that
 category's fit; repeated labels of a document count once, by their maximum; a category without both classes in the
 sample gets its base rate as probability and flags nothing; rows without a doc_id are scored and never train;
-extra columns are ignored.
+an empty table gives no row; texts of any length are scored whole; extra columns are ignored.
 """
 
 from __future__ import annotations
