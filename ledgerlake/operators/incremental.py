@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.session import instant, stored
+from ledgerlake.sources.publish import Area, table_files
 
 EPOCH = datetime(1970, 1, 1)
 
@@ -92,16 +93,21 @@ def touched_rows(fact: DataFrame, watermark: datetime, bucket: Callable[[Column]
     """
     wm = instant(watermark)
     if arrival is not None:
-        buckets = stored(fact.where(F.col(arrival) > wm).select(bucket(F.col(col)).alias("__bucket")).distinct(), "touched")
-        first = buckets.agg(F.unix_micros(F.min("__bucket").cast("timestamp"))).first()[0]
-        if first is None:
-            return fact.where(F.lit(False))
-        # The earliest bucket as a literal prunes the scan; the join picks the buckets after it.
-        recent = fact.where(F.col(col) >= instant(EPOCH + timedelta(microseconds=first)))
-        return recent.join(buckets, bucket(F.col(col)) == F.col("__bucket"), "left_semi")
+        return reopened_rows(fact, fact.where(F.col(arrival) > wm), bucket, col)
     return _touched_in_order(fact, wm, bucket, col)
 
 
+def reopened_rows(fact: DataFrame, new: DataFrame, bucket: Callable[[Column], Column], col: str = "event_time") -> DataFrame:
+    """All rows of the buckets that the rows of ``new`` fall into."""
+    buckets = stored(new.select(bucket(F.col(col)).alias("__bucket")).distinct(), "touched")
+    first = buckets.agg(F.unix_micros(F.min("__bucket").cast("timestamp"))).first()[0]
+    if first is None:
+        return fact.where(F.lit(False))
+    # The earliest bucket as a literal prunes the scan; the join picks the buckets after it.
+    recent = fact.where(F.col(col) >= instant(EPOCH + timedelta(microseconds=first)))
+    return recent.join(buckets, bucket(F.col(col)) == F.col("__bucket"), "left_semi")
+
+
 def _touched_in_order(fact: DataFrame, wm: Column, bucket: Callable[[Column], Column], col: str) -> DataFrame:
     """Later buckets hold new rows only, so no join is needed: it is enough to know whether the bucket
     the watermark falls into received any. The lower bound is a literal and prunes partitions and
@@ -139,3 +145,29 @@ def day_bucket(c: Column) -> Column:
 
 def week_bucket(c: Column) -> Column:
     return F.date_trunc("week", c)
+
+
+# --- progress by files ------------------------------------------------------------------
+
+LEDGER = "file string, run string"
+
+
+def new_files(spark: SparkSession, path: str, ledger: str) -> list[str]:
+    """Files of the table at ``path``, relative to it, that no committed run has processed: those of the runs since the last
+    one. From the listing alone, so a row that lands late under an old instant is found as surely as any other."""
+    files = table_files(spark, path).where(F.col("file").rlike(r"(^|/)[^/_.][^/]*$"))
+    if Area(spark, ledger).exists(ledger):
+        files = files.join(spark.read.schema(LEDGER).parquet(ledger), "file", "left_anti")
+    return sorted(r.file for r in files.select("file").collect())
+
+
+def rows_of_files(spark: SparkSession, path: str, files: list[str]) -> DataFrame:
+    """The rows of these files, with the table's partition columns; no other file is opened."""
+    root = path.rstrip("/")
+    return spark.read.schema(spark.read.parquet(root).schema).option("basePath", root).parquet(*(f"{root}/{f}" for f in files))
+
+
+def commit_files(spark: SparkSession, ledger: str, files: list[str], run: str) -> None:
+    """Record the files as processed, as the last step of a run; recording a run again replaces what it recorded."""
+    rows = spark.createDataFrame([(f,) for f in files], "file string")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{ledger.rstrip('/')}/run={run}")

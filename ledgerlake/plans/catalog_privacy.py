@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import privacy
 from ledgerlake.plans.catalog import query
-from ledgerlake.plans.migration import encrypt_migrate
+from ledgerlake.plans.migration import encrypt_migrate, encrypted_files, migration_status
 from ledgerlake.session import shared_dir
+from ledgerlake.sources.publish import row_file
 
 SALT = "pepper"
 KEY = bytes(range(32))  # a job parameter in real use
@@ -133,3 +134,18 @@ def _(fx):
     src, dst, progress = (shared_dir(fx.spark, d) for d in ("plain", "sealed", "progress"))
     fx("tx_scores").write.parquet(src)
     return encrypt_migrate(fx.spark, src, dst, "silver", "fraud", KEY, progress)
+
+
+@query("migration_status", "SELECT event_id % 4 AS part, count(*) AS rows, 2 * count(*) AS encrypted, true AS done FROM {tx_scores} GROUP BY 1")
+def _(fx):
+    """One folder of files for each part: all done, and every personal value of each part encrypted."""
+    spark = fx.spark
+    src, dst, progress = (shared_dir(spark, d) for d in ("plain", "sealed", "progress"))
+    fx("tx_scores").withColumn("part", F.col("event_id") % 4).write.parquet(src)
+    encrypt_migrate(spark, src, dst, "silver", "fraud", KEY, progress, max_files=2)
+    done = migration_status(spark, src, progress).agg(F.bool_and(F.col("state") == "done").alias("done"))
+    files = encrypted_files(spark, dst, "silver", "fraud").where("plain = 0")
+    rows = spark.read.parquet(dst).select("part", row_file(spark, dst).alias("file"))
+    # Files hold several parts: a part's rows count their two values where their file has no plain one.
+    found = rows.join(files.select("file"), "file").groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    return found.withColumns({"encrypted": 2 * F.col("rows"), "done": done.scalar()})

@@ -26,6 +26,7 @@ class GoldJob:
     dq: Callable[[DataFrame], DataFrame]
     bucket: Callable[[Column], Column]
     arrival: str | None = None  # column that tells when a row came in; null: rows come in order of event time
+    by_files: bool = False  # new rows are those of files that no run has processed, whatever their instants
 
 
 def fraud_job(path: str, arrival: str | None = None) -> GoldJob:
@@ -45,20 +46,33 @@ def control_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CDC_CONTROL).parquet(path) if exists(spark, path) else spark.createDataFrame([], CDC_CONTROL)
 
 
+def _ledger(root: str, job: GoldJob) -> str:
+    return f"{root}/processed_files/{job.source}"
+
+
 def _refresh(spark: SparkSession, job: GoldJob, control: DataFrame, root: str, now: datetime):
-    fact = spark.read.parquet(job.fact)
-    wm = incremental.get_watermark(control, job.source)
+    """(progress row, load statistics, files read), or nothing to do."""
+    fact, files = spark.read.parquet(job.fact), []
     at = job.arrival or "event_time"
-    new = incremental.new_rows(fact, wm, at)
+    if job.by_files:
+        files = incremental.new_files(spark, job.fact, _ledger(root, job))
+        if not files:
+            return None, None, files
+        new = incremental.rows_of_files(spark, job.fact, files)
+    else:
+        wm = incremental.get_watermark(control, job.source)
+        new = incremental.new_rows(fact, wm, at)
     progress = incremental.batch_progress(new, job.source, at).collect()  # no row or one
     if not progress:
-        return None, None
+        return None, None, files
     quality.gate(job.dq(new))
-    refreshed = incremental.refresh_gold(fact, wm, lambda df: job.agg(df, batch_ts=now), job.bucket,
-                                         arrival=job.arrival)
+    if job.by_files:
+        refreshed = job.agg(incremental.reopened_rows(fact, new, job.bucket), batch_ts=now)
+    else:
+        refreshed = incremental.refresh_gold(fact, wm, lambda df: job.agg(df, batch_ts=now), job.bucket, arrival=job.arrival)
     ordered = refreshed.select(*job.contract.columns)
     stats = load_unlogged(ordered, root, job.contract.name, job.contract, list(job.contract.primary_key), loaded_at=now)
-    return progress[0], stats
+    return progress[0], stats, files
 
 
 def warehouse_refresh(spark: SparkSession, jobs: list[GoldJob], root: str, now: datetime, least_files: int = SMALL_FILES
@@ -74,15 +88,17 @@ def warehouse_refresh(spark: SparkSession, jobs: list[GoldJob], root: str, now:
     control = control_table(spark, control_path)
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         done = list(pool.map(lambda j: _refresh(spark, j, control, root, now), jobs))
-    progress = [p for p, _ in done if p is not None]
-    loads = [s for _, s in done if s is not None]
+    progress = [p for p, _, _ in done if p is not None]
+    loads = [s for _, s, _ in done if s is not None]
     empty = spark.createDataFrame([], f"{LOAD_STATS}, duration_seconds double")
     stats = incremental.union_all(empty, *loads)
     if progress:
         log_load(stats.coalesce(1), f"{root}/load_log")
         update = spark.createDataFrame(progress, "table_name string, __ts timestamp, __n bigint")
         publish_table(incremental.advance_with(control, update, now), control_path)
-        for job, (moved, _) in zip(jobs, done):
+        for job, (moved, _, files) in zip(jobs, done):
+            if files:
+                incremental.commit_files(spark, _ledger(root, job), files, now.strftime("%Y%m%d%H%M%S%f"))
             if moved is not None:
                 maintain(spark, f"{root}/{job.contract.name}", least_files=least_files)
     return stats.drop("duration_seconds").orderBy("table")

@@ -151,7 +151,7 @@ def relative(spark: SparkSession, table: str, file: str) -> str:
     return full[len(root) + 1:]
 
 
-def _inside(spark: SparkSession, table: str, file: Column) -> Column:
+def inside(spark: SparkSession, table: str, file: Column) -> Column:
     return F.regexp_extract(file, rf"\Q{_root(spark, table)}\E/(.*)$", 1)
 
 
@@ -161,13 +161,13 @@ def folder_of(file: Column) -> Column:
 
 def row_file(spark: SparkSession, table: str) -> Column:
     """The file, relative to the table, that a row of it comes from. The metadata column holds an escaped URI."""
-    return _inside(spark, table, F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+    return inside(spark, table, F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
 
 
 def table_files(spark: SparkSession, path: str) -> DataFrame:
     """(file, bytes, modified) of every data file of a table, relative to it, from the listing alone: no file is opened."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return listed.select(_inside(spark, path, F.col("path")).alias("file"), F.col("length").alias("bytes"),
+    return listed.select(inside(spark, path, F.col("path")).alias("file"), F.col("length").alias("bytes"),
                          F.col("modificationTime").alias("modified"))
 
 

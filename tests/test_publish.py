@@ -1,5 +1,6 @@
 """Whatever step of a publication fails, the table has all of its old rows or all of its new ones."""
 
+import dataclasses
 import glob
 import os
 from datetime import date, datetime, timedelta
@@ -224,3 +225,51 @@ def test_backfill_by_rank_equals_the_full_build_and_reads_what_it_needs(spark, t
     assert {r.account_id: r["count"] for r in early} == {"a": 11}  # the others are served by the 90 days
     none = operations.day_with_last_rows(table, "snapshot_date", date(2030, 1, 1), 11, "account_id", "seq")
     assert none.count() == 0
+
+
+def test_a_row_of_the_watermark_instant_that_lands_later_reaches_gold(spark):
+    """Progress by instants skips it, progress by files does not; a run that stops before its last step is repeated."""
+    stamp = datetime(2024, 1, 2)
+
+    def fact(name, *ids):
+        rows = [(f"t{i}", "c", 0.5, stamp, stamp) for i in ids]
+        cols = "transaction_id string, customer_id string, fraud_score double, event_time timestamp, ingested_at timestamp"
+        spark.createDataFrame(rows, cols).coalesce(1).write.mode("append").parquet(name)
+
+    for by_files, want in ((False, 2), (True, 3)):
+        root, path = shared_dir(spark, "warehouse"), shared_dir(spark, "fact")
+        job = dataclasses.replace(refresh.fraud_job(path, "ingested_at"), by_files=by_files)
+        fact(path, 1, 2)
+        refresh.warehouse_refresh(spark, [job], root, stamp)
+        fact(path, 3)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(refresh.incremental, "commit_files", lambda *a: (_ for _ in ()).throw(Stopped()))
+            try:
+                refresh.warehouse_refresh(spark, [job], root, stamp + timedelta(hours=1))
+            except Stopped:
+                pass
+        refresh.warehouse_refresh(spark, [job], root, stamp + timedelta(hours=2))
+        assert spark.read.parquet(f"{root}/{job.contract.name}").first().total_transactions == want
+        assert refresh.warehouse_refresh(spark, [job], root, stamp + timedelta(hours=3)).count() == 0
+
+
+def test_an_interrupted_migration_reports_what_is_left(spark):
+    from ledgerlake.plans.migration import encrypt_migrate, encrypted_files, migration_status
+
+    src, dst, progress = (shared_dir(spark, d) for d in ("plain", "sealed", "progress"))
+    key, cols = bytes(range(32)), "customer_id string, transaction_id string, v int"
+    assert publish.Area(spark, src).exists(src) is False
+    spark.createDataFrame([("c1", "t1", 1), ("c2", None, 2)], cols).coalesce(1).write.parquet(src)
+    first = set(files(src))
+    assert {r.state for r in migration_status(spark, src, progress).collect()} == {"pending"}
+    encrypt_migrate(spark, src, dst, "silver", "fraud", key, progress, max_files=1)
+    assert {r.state for r in migration_status(spark, src, progress).collect()} == {"done"}
+    with open(f"{src}/part-zzz-broken.parquet", "wb") as f:
+        f.write(b"PAR1 not parquet")
+    with pytest.raises(Exception):
+        encrypt_migrate(spark, src, dst, "silver", "fraud", key, progress, max_files=1)
+    with open(f"{src}/part-zzzz-later.parquet", "wb") as f:
+        f.write(b"PAR1 neither")
+    states = {r.file: r.state for r in migration_status(spark, src, progress).collect()}
+    assert states == {**dict.fromkeys(first, "done"), "part-zzz-broken.parquet": "failed", "part-zzzz-later.parquet": "pending"}
+    assert [(r.rows, r.encrypted, r.plain) for r in encrypted_files(spark, dst, "silver", "fraud").collect()] == [(2, 3, 0)]
