@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import discard, partitions, store
+from ledgerlake.llm.common import discard, most_frequent, partitions, store
 
 FREQUENT = 65_534
 END_CODE, OTHER = 0, 65_535  # frequent words have the numbers between
@@ -42,8 +42,8 @@ CLASSES = 126
 END, UNKNOWN, SIDES = 126, 127, 128  # classes of their own, and how many there are
 ONCE = 0x80  # marks a word that occurs once in training, in a class sequence
 ROUNDS = 8
-HELD = 1 << 19  # different words, or pairs of them, that a task holds before it hands on their counts
-SLICE = 1 << 18  # tokens whose pairs are counted at a time
+HELD = 3 << 17  # different words, or pairs of them, that a task holds before it hands on their counts
+SLICE = 1 << 17  # tokens whose pairs are counted at a time
 PIECE = 1 << 18  # pairs in a row of the neighbour table, about
 BLOCK = 1 << 13  # neighbour counts that are tried on all classes at a time
 
@@ -477,7 +477,8 @@ def scored(lines: DataFrame, pairs: np.ndarray) -> DataFrame:
 
 
 def frequent_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    return [(bytes(r.word), r.n) for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+    found = ((bytes(r.word), r.n) for r in most_frequent(counts, "n", most).collect())
+    return sorted(found, key=lambda x: (-x[1], x[0]))
 
 
 def score_documents(docs: DataFrame, held_out: Column, text: str = "text", frequent: int = FREQUENT, rounds: int = ROUNDS) -> DataFrame:

@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import partitions, store
+from ledgerlake.llm.common import most_frequent, partitions, store
 from ledgerlake.llm.packing import WordCache, crowded
 
 CHUNK = 1 << 15
@@ -416,7 +416,7 @@ def align_documents(docs: DataFrame, first: str, second: str, text: str = "text"
     spark = docs.sparkSession
     found = aligned(docs, first, second, text, chunk, fan_in)
     counts = store(link_counts(found, vocabularies(first, second).base), "counted-links")
-    top = counts.orderBy(F.desc("count"), "link").limit(frequent).toPandas().sort_values("link")
+    top = most_frequent(counts, "count", frequent).toPandas().sort_values("link")
     table = spark.sparkContext.broadcast((top["link"].to_numpy(np.int64), top["count"].to_numpy(np.int64), top["best"].to_numpy(bool)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
