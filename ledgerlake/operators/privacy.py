@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,18 +107,23 @@ def _json_value(text: Column, inner: str) -> Column:
     return F.get_json_object(text, f"$.{inner}")
 
 
-def _change_json(text: Column, inner: str, change) -> Column:
-    """The JSON object with one field changed and its other fields as they are. A text that is no
-    object, or has no such field or a null there, stays what it is."""
-    value = _json_value(text, inner)
-    fields = F.from_json(text, "map<string,variant>")
-    # The field is taken out of the map and put back as text, so the other values keep their types.
-    others = F.map_filter(F.transform_values(fields, lambda k, v: F.to_json(v)), lambda k, v: k != inner)
-    put = F.map_concat(others, F.create_map(F.lit(inner), F.to_json(F.struct(change(value).alias("v")))))
-    body = F.array_join(F.transform(F.map_entries(put), lambda e: F.concat(
-        F.lit('"'), F.replace(F.replace(e["key"], F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('":'),
-        F.when(e["key"] == inner, F.regexp_extract(e["value"], r'^\{"v":(.*)\}$', 1)).otherwise(e["value"]))), ",")
-    return F.when(value.isNull() | fields.isNull(), text).otherwise(F.concat(F.lit("{"), body, F.lit("}")))
+def _change_json(text: Column, inners: list[str], change) -> Column:
+    """The JSON object with some fields changed and its other fields as they are. A text that is no
+    object, or has no such field or only nulls there, stays what it is."""
+    # One struct for each text: what the lambda takes from it is parsed once, however often it is used.
+    values = [_json_value(text, inner).alias(f"f{i}") for i, inner in enumerate(inners)]
+    parsed = F.array(F.struct(F.from_json(text, "map<string,variant>").alias("all"), *values))
+
+    def changed(p: Column) -> Column:
+        def put(k: Column, v: Column) -> Column:
+            for i, inner in enumerate(inners):
+                v = F.when((k == inner) & p[f"f{i}"].isNotNull(), change(p[f"f{i}"]).cast("variant")).otherwise(v)
+            return v
+
+        present = reduce(or_, (p[f"f{i}"].isNotNull() for i in range(len(inners))))
+        return F.when(p["all"].isNotNull() & present, F.to_json(F.transform_values(p["all"], put))).otherwise(text)
+
+    return F.get(F.transform(parsed, changed), F.lit(0))
 
 
 def located(df: DataFrame, name: str) -> str:
@@ -138,6 +146,7 @@ def field_value(df: DataFrame, name: str) -> Column | None:
 
 
 def _apply(df: DataFrame, fields, change, strict: bool) -> DataFrame:
+    in_json: dict[str, list[str]] = {}
     for name in fields:
         name = located(df, name)
         top, _, inner = name.partition(".")
@@ -150,8 +159,8 @@ def _apply(df: DataFrame, fields, change, strict: bool) -> DataFrame:
         elif isinstance(df.schema[top].dataType, T.StructType):
             df = df.withColumn(top, F.col(top).withField(inner, change(F.col(name))))
         else:
-            df = df.withColumn(top, _change_json(F.col(top), inner, change))
-    return df
+            in_json.setdefault(top, []).append(inner)
+    return df.withColumns({top: _change_json(F.col(top), list(dict.fromkeys(inners)), change) for top, inners in in_json.items()})
 
 
 def encrypt_fields(df: DataFrame, fields, key: bytes, enabled: bool = True, strict: bool = True) -> DataFrame:

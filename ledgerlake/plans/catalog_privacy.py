@@ -99,7 +99,9 @@ def _(fx):
 )
 def _(fx):
     """Bronze fraud keeps its personal data in a JSON text: sealed there, then opened again."""
-    bronze = fx("events_k").select(
+    # Ciphers cost far more than a shuffle, and a file of few row groups would keep few cores busy.
+    spread = fx("events_k").repartition(int(fx.spark.conf.get("spark.sql.shuffle.partitions")))
+    bronze = spread.select(
         F.col("event_id").alias("seq"), F.concat(F.lit("e"), "event_id").alias("event_id"),
         F.to_json(F.struct(F.concat(F.lit("c"), "user_id").alias("customer_id"), F.concat(F.lit("t"), "event_id").alias("transaction_id"),
                            F.concat(F.lit("d"), F.col("event_id") % 4).alias("device_id"), "value")).alias("payload"))

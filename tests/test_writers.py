@@ -1,5 +1,6 @@
 """Loads, archives and stream sinks must not lose, repeat or overwrite rows."""
 
+import json
 from datetime import datetime
 
 import pytest
@@ -111,6 +112,22 @@ def test_fields_inside_a_json_payload_are_sealed(spark):
         privacy.encrypt_fields(df.select(F.lit(1).alias("x")), fields, key)
 
 
+def test_fields_inside_a_json_payload_are_changed_in_one_pass(spark):
+    """Odd objects keep their form, an unreadable value leaves valid JSON, and each text is parsed once for all its fields."""
+    fields, key = privacy.pii_fields("bronze", "fraud"), bytes(range(32))
+    texts = ['{"a": 1}', '{"customer_id":null, "a": 1}', "{}", "[1]", '{"customer_id":"c\\n\\"1","device_id":7,"n":null,"q\\"":"ü"}']
+    df = spark.createDataFrame([(t,) for t in texts], "payload string")
+    sealed = privacy.encrypt_fields(df, fields, key)
+    got = [r.payload for r in sealed.collect()]
+    assert got[:4] == texts[:4] and json.loads(got[4])["device_id"].startswith("ENC:")
+    opened = [r.payload for r in privacy.decrypt_fields(sealed, fields, key).collect()]
+    assert opened[:4] == texts[:4] and json.loads(opened[4]) == {**json.loads(texts[4]), "device_id": "7"}
+    lost = json.loads(privacy.decrypt_fields(sealed, fields, bytes(32)).collect()[4]["payload"])
+    assert lost == {**json.loads(texts[4]), "customer_id": None, "device_id": None}
+    plan = sealed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def test_naive_instants_are_utc(spark):
     stamp = spark.range(1).select(F.unix_micros(instant(datetime(2024, 1, 1, 5)))).first()[0]
     assert stamp == 1704085200000000
