@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerlake.contracts import Contract
 from ledgerlake.functions.stats import clean_double
 from ledgerlake.operators.gold import churn_segment
-from ledgerlake.session import instant
+from ledgerlake.session import instant, stored
 
 
 @dataclass(frozen=True)
@@ -66,22 +72,103 @@ def _complete(features: tuple[str, ...]) -> Column:
     return ok
 
 
+BINS = 32  # of a feature: what MLlib's own trees look at
+FITS = 8  # trees grown at the same time
+
+
+def _edges(rows: DataFrame, features: tuple[str, ...]) -> list[list[float]]:
+    """Where each feature is cut: between its values if they are few, else at quantiles of all rows."""
+    every = rows.approxQuantile(list(features), [i / BINS for i in range(1, BINS)], 1 / (BINS * BINS))
+    out = []
+    for c, quantiles in zip(features, every):
+        values = sorted(r[0] for r in rows.select(F.col(c).cast("double")).distinct().limit(BINS + 1).collect())
+        if len(values) <= BINS:
+            cuts = {(x + y) / 2 for x, y in zip(values, values[1:])}
+        else:
+            cuts = {math.nextafter(q, math.inf) for q in quantiles}  # a value is below its own cut
+        out.append([-math.inf, *(sorted(cuts) or [0.0]), math.inf])
+    return out
+
+
+def _buckets(features: tuple[str, ...]) -> list[str]:
+    return [f"__bucket_{c}" for c in features]
+
+
+def _bagged(cells: DataFrame, columns: list[str], trees: int, seed: int) -> DataFrame:
+    """``cells`` with how often each tree's bootstrap draws their rows: ``n`` rows together are drawn a Poisson number of
+    times with mean ``n``. Draws depend on the seed and the cell alone."""
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys = batch[columns].to_numpy(np.int64).tolist()
+            bags = [np.random.default_rng([seed, *k]).poisson(n, trees) for k, n in zip(keys, batch["n"])]
+            yield batch.drop(columns="n").assign(bags=bags)
+
+    return cells.mapInPandas(draw, ", ".join(f"`{c}` double" for c in columns) + ", bags array<bigint>")
+
+
+def _forest(trees: list[RandomForestClassificationModel]) -> RandomForestClassificationModel:
+    """One forest of forests with one tree each; MLlib joins no models, so its constructor is called."""
+    context = SparkContext.getOrCreate()
+    classes = context._jvm.org.apache.spark.ml.classification
+    each = context._gateway.new_array(classes.DecisionTreeClassificationModel, len(trees))
+    for i, t in enumerate(trees):
+        each[i] = t._java_obj.trees()[0]
+    joined = classes.RandomForestClassificationModel(trees[0].uid, each, trees[0].numFeatures, trees[0].numClasses)
+    joined.set(joined.getParam("numTrees"), len(trees))
+    return RandomForestClassificationModel(joined).setFeaturesCol("features_vector")
+
+
+def train_counted(rows: DataFrame, spec: ForestSpec) -> PipelineModel:
+    """The forest of complete rows with a ``__label``, grown on counts. Trees see features by ``BINS`` bins only, so rows
+    alike in bins and label are one cell with a count, and each tree's bootstrap draws counts of cells. The number of cells does
+    not grow with the rows; these are read to find the bins and to count."""
+    buckets = _buckets(spec.features)
+    bucketizer = Bucketizer(inputCols=list(spec.features), outputCols=buckets, splitsArray=_edges(rows, spec.features), handleInvalid="keep")
+    # "keep" lets scoring see incomplete rows, which it must answer rather than drop
+    assembler = VectorAssembler(inputCols=buckets, outputCol="features_vector", handleInvalid="keep")
+    columns = [*buckets, "__label"]
+    cells = bucketizer.transform(rows).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    bagged = assembler.transform(stored(_bagged(cells, columns, spec.trees, spec.seed), "cells")).select("features_vector", "__label", "bags")
+    bagged = bagged.persist()
+    drawn = bagged.select(*[F.coalesce(F.sum(F.col("bags")[i]), F.lit(0)) for i in range(spec.trees)]).first()
+
+    def grow(i: int) -> RandomForestClassificationModel:
+        # MLlib counts a cell as one row, so the least number of rows in a leaf is asked of their weight.
+        enough = drawn[i] >= 2 * spec.min_leaf
+        tree = RandomForestClassifier(
+            featuresCol="features_vector", labelCol="__label", weightCol="__weight", numTrees=1, bootstrap=False,
+            maxBins=256,  # every bin is found among up to 256 ** 2 cells
+            maxDepth=spec.max_depth if enough else 0, minInstancesPerNode=1,
+            minWeightFractionPerNode=(spec.min_leaf - 0.5) / drawn[i] if enough else 0.0,
+            featureSubsetStrategy="sqrt", seed=spec.seed + i)
+        return tree.fit(bagged.select("features_vector", "__label", F.col("bags")[i].cast("double").alias("__weight")))
+
+    try:
+        with ThreadPoolExecutor(FITS) as pool:
+            trees = list(pool.map(grow, range(spec.trees)))
+    finally:
+        bagged.unpersist()
+    return PipelineModel(stages=[bucketizer, assembler, _forest(trees)])
+
+
 def train(df: DataFrame, spec: ForestSpec) -> PipelineModel:
     """Fit on the complete rows. All passes are distributed; only the trees come to the driver."""
     rows = df.where(_complete(spec.features) & F.col(spec.label).isNotNull())
     rows = rows.withColumn("__label", F.col(spec.label).cast("double"))
+    if not spec.balanced:
+        return train_counted(rows.select(*spec.features, "__label"), spec)
+    # Weights of classes are no counts of rows, of which a leaf must hold so many: these forests are grown on rows.
     forest = RandomForestClassifier(
         featuresCol="features_vector", labelCol="__label", numTrees=spec.trees, maxDepth=spec.max_depth,
         minInstancesPerNode=spec.min_leaf, featureSubsetStrategy="sqrt", seed=spec.seed,
     )
-    if spec.balanced:
-        weights = class_weights(rows, "__label").select("__label", F.col("weight").alias("__weight"))
-        rows = rows.join(F.broadcast(weights), "__label")  # one row per class
-        forest = forest.setWeightCol("__weight")
+    weights = class_weights(rows, "__label").select("__label", F.col("weight").alias("__weight"))
+    rows = rows.join(F.broadcast(weights), "__label")  # one row per class
+    forest = forest.setWeightCol("__weight")
     # "keep" lets scoring see incomplete rows, which it must answer rather than drop
     assembler = VectorAssembler(inputCols=list(spec.features), outputCol="features_vector", handleInvalid="keep")
-    columns = [*spec.features, "__label"] + (["__weight"] if spec.balanced else [])
-    return Pipeline(stages=[assembler, forest]).fit(rows.select(*columns))
+    return Pipeline(stages=[assembler, forest]).fit(rows.select(*spec.features, "__label", "__weight"))
 
 
 def save_model(model: PipelineModel, root: str, version: str) -> str:
@@ -99,7 +186,7 @@ def probability(model: PipelineModel, df: DataFrame, spec: ForestSpec, out: str)
     p = vector_to_array(F.col("probability"))
     scored = model.transform(df)
     return scored.withColumn(out, F.when(_complete(spec.features), F.get(p, F.lit(1)))).drop(
-        "features_vector", "rawPrediction", "probability", "prediction"
+        "features_vector", "rawPrediction", "probability", "prediction", *_buckets(spec.features)
     )
 
 

@@ -76,6 +76,33 @@ def test_models_survive_a_save(spark, tmp_path):
     assert pick(model) == pick(again)
 
 
+def test_forests_grow_on_counts(spark, monkeypatch):
+    """What a fit reads does not grow with the rows, and each cell is scored as most of its rows are."""
+    read, fit = [], models.RandomForestClassifier.fit
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", lambda self, df: read.append(df.count()) or fit(self, df))
+    rows = spark.range(40_000).select(
+        (F.col("id") % 2).cast("double").alias("tx_velocity_1m"), (F.col("id") % 5).cast("double").alias("geo_distance_km"),
+        (F.col("id") % 3 / 7).alias("device_entropy"),
+        ((F.pmod(F.hash("id"), F.lit(10)) == 0) != ((F.col("id") % 5 + F.col("id") % 2) % 2 == 0)).cast("int").alias("is_fraud"))
+    spec = models.ForestSpec(models.FRAUD.features, "is_fraud", 9, 1, models.DEEPEST, 0.5)
+    model = models.train(rows, spec)
+    assert len(read) == 9 and max(read) <= 2 * 30 and model.stages[-1].getNumTrees == 9
+    shares = models.probability(model, rows, spec, "p").groupBy(*spec.features).agg(F.avg("is_fraud").alias("share"), F.max("p").alias("p")).collect()
+    assert len(shares) == 30 and all((r.share > 0.5) == (r.p > 0.5) for r in shares)
+    assert models.train(rows.repartition(5), spec).stages[-1].toDebugString.count("Predict") == model.stages[-1].toDebugString.count("Predict")
+
+
+def test_leaves_hold_so_many_rows_and_gaps_have_no_score(spark):
+    rows = spark.range(300).select(F.col("id").cast("double").alias("tx_velocity_1m"), F.lit(1.0).alias("geo_distance_km"),
+                                   F.lit(0.5).alias("device_entropy"), (F.col("id") < 40).cast("int").alias("is_fraud"))
+    spec = models.ForestSpec(models.FRAUD.features, "is_fraud", 5, 100, 30, 0.5)
+    assert all(t.numNodes <= 5 for t in models.train(rows, spec).stages[-1].trees)
+    alone = models.train(rows, models.ForestSpec(models.FRAUD.features, "is_fraud", 5, 200, 30, 0.5))
+    assert all(t.numNodes == 1 for t in alone.stages[-1].trees)
+    gaps = rows.select(F.lit(None).cast("double").alias("tx_velocity_1m"), "geo_distance_km", F.lit(float("nan")).alias("device_entropy"))
+    assert models.probability(alone, gaps, spec, "p").where("p IS NULL").count() == 300
+
+
 def test_balanced_training_weights_the_classes(spark):
     df = spark.createDataFrame([(1,)] * 3 + [(0,)] * 9 + [(None,)], "churned int")
     w = {r["churned"]: r["weight"] for r in models.class_weights(df, "churned").collect()}
