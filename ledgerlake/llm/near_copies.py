@@ -9,12 +9,17 @@ corpus: a rare shingle that shares a bucket goes later than it need, which chang
 
 * Texts are shingled twice: once to count shingles, once to store each text's first shingles in the final order.
   Copies of a text within a task are recognised at once and store none; equal texts of different tasks are linked by two hashes.
+* Fingerprints of the same shingles, the operator of ``simhash``, come first: those within its bits, found by its pigeonring chains, are
+  compared as whole sets, and what is similar is connected. That finds the closest copies, not all: at the least similarity
+  fingerprints differ in about 10 bits, which is no selective key.
+* What follows finds all others. First shingles that no other, unconnected text has are dropped after one pass over all.
 * Of the texts with one shingle, in windows of sizes that could be similar, the one of the least seeded hash is the *hub* of those
   not connected with it. Each text is compared with the hub it shares most first shingles with, which connects large groups
   by one comparison a text. This is done again with other hubs, for the texts that still meet unconnected ones,
   as long as it connects any, ``TURNS`` times at most.
 * All pairs with a common first shingle that are not connected then and were not compared follow, if the sizes of their
-  sets and the places of their common shingles leave room for the similarity.
+  sets, the places of their common shingles and two bitmaps leave room for the similarity. A bitmap has the parity of how many shingles
+  fall on each bit, so that two differ in no more bits than the sets have shingles apart: no pair is lost by it.
 * A comparison takes whole sets. Texts travel once to their hub's task, not once a pair.
 
 Shingles of more than ``PART`` texts are dealt over several tasks: first with a hub in each and then among these hubs, later
@@ -45,6 +50,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import components, discard, partitions, store
+from ledgerlake.llm.simhash import majority, near_links
 
 SHINGLE = 5
 LEAST = 0.8
@@ -54,7 +60,8 @@ BUCKETS = 1 << BITS
 PART = 2048  # texts of one shingle, or of one hub, that a task gets
 HELD = 1 << 18  # pairs a task holds before it hands them on
 PAIRS = 1 << 18  # pairs tried at a time
-TURNS = 3  # of hubs before all pairs that are left
+TURNS = 2  # of hubs, after the fingerprints and before all pairs that are left
+BITMAP = 512  # bits, a multiple of 64
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -74,6 +81,12 @@ def first_length(n: int, least: float) -> int:
     return n - math.ceil(least * n - 1e-9) + 1
 
 
+def parities(found: np.ndarray) -> bytes:
+    """Of how many hashes fall on each bit of a bitmap."""
+    counts = np.bincount((found % np.uint64(BITMAP)).astype(np.int64), minlength=BITMAP)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
+
+
 def _numbered(docs: DataFrame, text: str) -> DataFrame:
     """(rid, doc_id, text, k1, k2): rows with a number and two hashes of the text."""
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("rid"))
@@ -136,26 +149,32 @@ def frequencies(rows: DataFrame, shingle: int, hot: int) -> Frequencies:
 
 
 def signatures(rows: DataFrame, shingle: int, least: float, order: Broadcast) -> DataFrame:
-    """(rid, doc_id, k1, k2, n, tokens): the size of each text's set and its first shingles in the common order; none for
-    a copy of an earlier text of the task."""
+    """(rid, doc_id, k1, k2, n, tokens, fp, bitmap): the size of each text's set, its first shingles in the common order, its
+    fingerprint and parities; none for a copy of an earlier text of the task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = set()
         for batch in batches:
-            sizes, tokens = [], []
+            sizes, tokens, fps, bitmaps = [], [], [], []
             for key, text in zip(zip(batch["k1"], batch["k2"]), batch["text"]):
                 if key in seen:
                     sizes.append(0)
                     tokens.append(None)
+                    fps.append(0)
+                    bitmaps.append(None)
                     continue
                 seen.add(key)
-                found = order.value.ordered(shingles(text, shingle))
+                found = shingles(text, shingle)
+                fps.append(majority(found))
+                bitmaps.append(parities(found))
+                found = order.value.ordered(found)
                 sizes.append(len(found))
                 tokens.append(found[: first_length(len(found), least)].tobytes())
-            yield batch.drop(columns="text").assign(doc_id=batch["doc_id"].astype("Int64"), n=np.array(sizes, np.int32), tokens=tokens)
+            yield batch.drop(columns="text").assign(doc_id=batch["doc_id"].astype("Int64"), n=np.array(sizes, np.int32), tokens=tokens,
+                                                    fp=np.array(fps, np.uint64).view(np.int64), bitmap=bitmaps)
 
     rows = rows.select("rid", F.col("doc_id").cast("bigint").alias("doc_id"), "k1", "k2", "text")
-    return rows.mapInPandas(run, "rid bigint, doc_id bigint, k1 bigint, k2 bigint, n int, tokens binary")
+    return rows.mapInPandas(run, "rid bigint, doc_id bigint, k1 bigint, k2 bigint, n int, tokens binary, fp bigint, bitmap binary")
 
 
 def _whole(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -182,9 +201,8 @@ def _groups(rows: pd.DataFrame, keys: list[str], least: int = 2) -> list[tuple[i
     return list(zip(edges[many].tolist(), edges[many + 1].tolist()))
 
 
-def _tokens(sigs: DataFrame, order: Broadcast, square: bool) -> DataFrame:
-    """(token, way, cell, rid, n, at, root) of the first shingles. A shingle of many texts has as many ways as it takes; with
-    ``square`` its rows go to the cells of a triangle of pairs of ways instead."""
+def _shared(sigs: DataFrame, order: Broadcast) -> DataFrame:
+    """(token, rid, n, at): the first shingles that texts of different roots have in common, and all those of many texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -193,12 +211,35 @@ def _tokens(sigs: DataFrame, order: Broadcast, square: bool) -> DataFrame:
             counts = np.array([len(t) // 8 for t in batch["tokens"]])
             token = np.frombuffer(b"".join(batch["tokens"]), np.uint64)
             of = np.repeat(np.arange(len(batch)), counts)
-            rid, total = batch["rid"].to_numpy()[of], order.value.ways(token)
-            way = (_mixed(rid, 0) % total.astype(np.uint64)).astype(np.int64)
-            out = pd.DataFrame({
+            rid = batch["rid"].to_numpy()[of]
+            yield pd.DataFrame({
                 "token": token.view(np.int64), "rid": rid, "n": batch["n"].to_numpy()[of],
                 "at": (np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.int32),
-                "root": batch["root"].to_numpy()[of], "way": way.astype(np.int32)})
+                "root": batch["root"].to_numpy()[of], "way": _way(rid, order.value.ways(token)).astype(np.int32)})
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _whole(batches, ["token", "way"]):
+            token, way, root = (rows[c].to_numpy() for c in ("token", "way", "root"))
+            first = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (way[1:] != way[:-1])]))
+            use = np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)
+            use |= order.value.ways(token[first].view(np.uint64)) > 1  # their other roots may be in another task
+            yield rows.loc[np.repeat(use, np.diff(np.append(first, len(rows)))), ["token", "rid", "n", "at"]]
+
+    schema = "token bigint, rid bigint, n int, at int"
+    found = sigs.select("rid", "n", "tokens", "root").mapInPandas(run, schema + ", root bigint, way int")
+    found = found.repartition(partitions(sigs.sparkSession), "token", "way").sortWithinPartitions("token", "way")
+    return found.mapInPandas(keep, schema)
+
+
+def _dealt(shared: DataFrame, order: Broadcast, square: bool) -> DataFrame:
+    """``shared`` with (way, cell), dealt and sorted. A shingle of many texts has as many ways as it takes; with
+    ``square`` its rows go to the cells of a triangle of pairs of ways instead."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            total = order.value.ways(batch["token"].to_numpy().view(np.uint64))
+            way = _way(batch["rid"].to_numpy(), total)
+            out = batch.assign(way=way.astype(np.int32))
             if square:
                 repeat = np.repeat(np.arange(len(out)), total)
                 other = np.arange(len(repeat)) - np.repeat(np.cumsum(total) - total, total)
@@ -207,9 +248,13 @@ def _tokens(sigs: DataFrame, order: Broadcast, square: bool) -> DataFrame:
             else:
                 yield out.assign(cell=way)
 
-    schema = "token bigint, rid bigint, n int, at int, root bigint, way int, cell bigint"
-    found = sigs.select("rid", "n", "tokens", "root").mapInPandas(run, schema)
-    return found.repartition(partitions(sigs.sparkSession), "token", "cell").sortWithinPartitions("token", "cell", "n", "rid")
+    kinds = ", ".join(f"{c} {t}" for c, t in shared.dtypes)
+    found = shared.mapInPandas(run, f"{kinds}, way int, cell bigint")
+    return found.repartition(partitions(shared.sparkSession), "token", "cell").sortWithinPartitions("token", "cell", "n", "rid")
+
+
+def _way(rid: np.ndarray, total: np.ndarray) -> np.ndarray:
+    return (_mixed(rid, 0) % total.astype(np.uint64)).astype(np.int64)
 
 
 def _mixed(rid: np.ndarray, turn: int) -> np.ndarray:
@@ -226,21 +271,18 @@ def _counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _stars(rows: DataFrame, least: float, order: Broadcast | None, turn: int) -> DataFrame:
     """From sorted (token, cell, rid, n, root): (hub, rid, common) pairs of different roots; for shingles of several ways rows
-    (null, rid, n, token, root) of the hubs; and rows (null, rid) with common -1 of all that meet another root."""
+    (null, rid, n, token, root) of the hubs."""
     columns = ("hub", "rid", "common", "token", "root")
 
     def frame(hub, rid, common, token=0, root=0) -> pd.DataFrame:
         return pd.DataFrame(dict(zip(columns, (pd.array(hub, "Int64"), rid, common, token, root))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, met, held = [], [], 0
+        found, held = [], 0
 
-        def out() -> Iterator[pd.DataFrame]:
-            if found:
-                pairs, common = _counted(np.concatenate(found))
-                yield frame(pairs[:, 0], pairs[:, 1], common)
-            rid = np.unique(np.concatenate(met))
-            yield frame([None] * len(rid), rid, np.int64(-1))
+        def out() -> pd.DataFrame:
+            pairs, common = _counted(np.concatenate(found))
+            return frame(pairs[:, 0], pairs[:, 1], common)
 
         for rows in _whole(batches, ["token", "cell"]):
             token, rid, n, root = (rows[c].to_numpy() for c in ("token", "rid", "n", "root"))
@@ -252,8 +294,6 @@ def _stars(rows: DataFrame, least: float, order: Broadcast | None, turn: int) ->
                     continue
                 if not wide[i] and (root[i:j] == root[i]).all():
                     continue
-                met.append(rid[i:j])  # of a shingle of several ways the other roots may be in another
-                held += j - i
                 while i < j:
                     to = i + int(np.searchsorted(n[i:j], math.floor(n[i] / least + 1e-9), "right"))
                     hub = i + int(np.argmin(rank[i:to]))
@@ -267,17 +307,17 @@ def _stars(rows: DataFrame, least: float, order: Broadcast | None, turn: int) ->
             if inner:
                 yield frame([None] * len(inner), rid[inner], n[inner].astype(np.int64), token[inner], root[inner])
             if held > HELD:
-                yield from out()
-                found, met, held = [], [], 0
+                yield out()
+                found, held = [], 0
         if held:
-            yield from out()
+            yield out()
 
     return rows.mapInPandas(run, "hub bigint, rid bigint, common bigint, token bigint, root bigint")
 
 
 def _pairs(rows: DataFrame, least: float) -> DataFrame:
     """(a, b, common, m, n) of the pairs of different roots with a common first shingle and room for the similarity, from
-    sorted (token, cell, way, rid, n, at, root)."""
+    sorted (token, cell, way, rid, n, at, root, bitmap)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
@@ -289,6 +329,7 @@ def _pairs(rows: DataFrame, least: float) -> DataFrame:
 
         for rows in _whole(batches, ["token", "cell"]):
             rid, root, n, at, way = (rows[c].to_numpy(np.int64) for c in ("rid", "root", "n", "at", "way"))
+            bits = np.frombuffer(b"".join(rows["bitmap"]), np.uint64).reshape(-1, BITMAP // 64)
             for i, j in _groups(rows, ["token", "cell"]):
                 r = root[i:j]
                 if (r == r[0]).all():
@@ -311,6 +352,10 @@ def _pairs(rows: DataFrame, least: float) -> DataFrame:
                     most = np.minimum(at[x], at[y]) + np.minimum(n[x] - at[x], n[y] - at[y])
                     ok &= most * (1 + least) >= least * (n[x] + n[y]) - 1e-6
                     x, y = x[ok], y[ok]
+                    # The sets are at least as many shingles apart as their bitmaps are bits.
+                    apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+                    ok = apart * (1 + least) <= (1 - least) * (n[x] + n[y]) + 1e-6
+                    x, y = x[ok], y[ok]
                     low, high = np.minimum(rid[x], rid[y]), np.maximum(rid[x], rid[y])
                     held.append(np.stack([low, high, np.minimum(n[x], n[y]), np.maximum(n[x], n[y])], axis=1))
                     size += len(x)
@@ -397,6 +442,16 @@ def _rooted(sigs: DataFrame, links: DataFrame) -> DataFrame:
     return sigs.select("rid").join(found, F.col("rid") == F.col("node"), "left").select("rid", F.coalesce("component", "rid").alias("root"))
 
 
+def _close(active: DataFrame) -> DataFrame:
+    """(hub, rid) of texts whose fingerprints are equal or connected by the links of ``simhash``: one text stands for each
+    fingerprint."""
+    heads = store(active.groupBy("fp").agg(F.min("rid").alias("hub")), "fingerprints")
+    equal = active.join(heads, "fp").where("rid != hub").select("hub", "rid")
+    a, b = heads.select(F.col("fp").alias("a"), "hub"), heads.select(F.col("fp").alias("b"), F.col("hub").alias("rid"))
+    linked = near_links(heads.select("fp")).distinct().join(a, "a").join(b, "b").select("hub", "rid")
+    return equal.unionByName(linked)
+
+
 def near_copies(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, least: float = LEAST, hot: int = HOT) -> DataFrame:
     """(doc_id, k1, k2, component_id, kept) of every row of ``docs``; k1 and k2 are ``text_keys`` of its text."""
     rows = _numbered(docs, text)
@@ -408,44 +463,46 @@ def near_copies(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, lea
     copies = store(sigs.select("rid", "k1", "k2").join(equal, ["k1", "k2"]).where("rid != a").select("a", F.col("rid").alias("b")), "copies")
     copied = copies.select(F.col("b").alias("rid"))
 
-    links, tried, roots = copies, [], None
-    active = sigs.where("tokens is not null").join(copied, "rid", "left_anti").select("rid", "n", "tokens")  # copies need no comparison
+    active = sigs.where("tokens is not null").join(copied, "rid", "left_anti")  # copies need no comparison
+    tried, close = [], store(_close(active), "near-fingerprints")
+    links = copies
+    if not close.isEmpty():
+        tried.append(close.select(F.least("hub", "rid").alias("a"), F.greatest("hub", "rid").alias("b")))
+        links = links.unionByName(_similar(close, sigs, rows, shingle, least))
+    roots = store(_rooted(sigs, links), "roots")
+    _release(docs)
+    shared = store(_shared(active.join(roots, "rid"), order), "shared-shingles")
+    _release(docs)
     for turn in range(TURNS):
-        rooted = active.withColumn("root", F.col("rid")) if roots is None else active.join(roots, "rid")
-        stars = store(_stars(_tokens(rooted, order, False), least, order, turn), "stars")
+        stars = store(_stars(_dealt(shared.join(roots, "rid"), order, False), least, order, turn), "stars")
         near = stars.where("hub is not null")
         # The hubs of the ways of one shingle, among themselves.
-        hubs = stars.where("hub is null and common >= 0").select(
+        hubs = stars.where("hub is null").select(
             "token", "rid", F.col("common").cast("int").alias("n"), "root", F.lit(0).cast("long").alias("cell"))
-        met = stars
         if not hubs.isEmpty():
             hubs = hubs.repartition(partitions(docs.sparkSession), "token").sortWithinPartitions("token", "cell", "n", "rid")
-            among = store(_stars(hubs, least, None, turn), "stars")
-            near, met = near.unionByName(among.where("hub is not null")), stars.unionByName(among)
+            near = near.unionByName(_stars(hubs, least, None, turn).where("hub is not null"))
         common = near.groupBy("rid", "hub").agg(F.sum("common").alias("common"))
         best = common.groupBy("rid").agg(F.max(F.struct("common", "hub"))["hub"].alias("hub")).select("hub", "rid")
         if tried:
             best = best.join(union(tried), (F.least("hub", "rid") == F.col("a")) & (F.greatest("hub", "rid") == F.col("b")), "left_anti")
         best = store(best, "best-hubs")
-        # Only these are looked at again; what meets its own root alone has nothing left to compare.
-        active = store(active.join(met.where("hub is null and common = -1").select("rid").distinct(), "rid", "left_semi"), "active")
         discard(stars)
         _release(docs)
         if best.isEmpty():
             break
         tried.append(best.select(F.least("hub", "rid").alias("a"), F.greatest("hub", "rid").alias("b")))
         new = _similar(best, sigs, rows, shingle, least)
-        connected = not new.isEmpty()
-        if connected or roots is None:
-            links = links.unionByName(new)
-            roots = store(_rooted(sigs, links), "roots")
-        _release(docs)
-        if not connected:
+        if new.isEmpty():
             break
-    roots = roots if roots is not None else store(_rooted(sigs, links), "roots")
-    others = _pairs(_tokens(active.join(roots, "rid"), order, True), least)
+        links = links.unionByName(new)
+        roots = store(_rooted(sigs, links), "roots")
+        _release(docs)
+    left = shared.join(roots, "rid").join(sigs.select("rid", "bitmap"), "rid")
+    others = _pairs(_dealt(left, order, True), least)
     others = others.join(union(tried), ["a", "b"], "left_anti") if tried else others
     others = store(others.select(F.col("a").alias("hub"), F.col("b").alias("rid")), "candidates")
+    discard(shared)
     _release(docs)
     if not others.isEmpty():
         links = links.unionByName(_similar(others, sigs, rows, shingle, least))

@@ -73,6 +73,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return sum(1 << j for j in np.flatnonzero(2 * counts > len(starts)).tolist())
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of given hashes."""
+    return sum(1 << j for j in np.flatnonzero(2 * _bit_counts(hashes) > len(hashes)).tolist())
+
+
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed long of the same bits."""
 

@@ -91,3 +91,26 @@ def test_first_shingles_are_enough():
         k = near_copies.first_length(n, 0.8)
         assert k == n - -(-4 * n // 5) + 1
     assert len(near_copies.shingles("a b c d e f")) == 2 and np.array_equal(near_copies.shingles("A  b"), near_copies.shingles("a b"))
+
+
+def test_fingerprints_come_first(llm, monkeypatch):
+    """Close copies are found by the fingerprints' chains, before any first shingle is looked at."""
+    words = [f"w{i}" for i in range(2000)]
+    rows = [(i, edited(random.Random(i), words, 1)) for i in range(6)] + [(9, "other text " * 9)]
+    seen, close = [], near_copies._close
+    monkeypatch.setattr(near_copies, "_close", lambda active: seen.append(close(active)) or seen[0])
+    found = near_copies.near_copies(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {**dict.fromkeys(range(6), 0), 9: 9}
+    pairs = [(r.hub, r.rid) for r in seen[0].collect()]
+    nodes = sorted({x for p in pairs for x in p})
+    assert len(nodes) == 6 and len(set(least_reachable(nodes, lambda x: [
+        nodes.index(b if a == nodes[x] else a) for a, b in pairs if nodes[x] in (a, b)]))) == 1
+
+
+def test_bitmaps_differ_in_no_more_bits_than_sets_are_apart():
+    rng = np.random.default_rng(5)
+    for n, d in ((1, 0), (3, 2), (400, 40), (400, 300), (5000, 900)):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[d // 2:], rng.integers(0, 1 << 63, d, dtype=np.uint64)]))
+        bits = [np.unpackbits(np.frombuffer(near_copies.parities(x), np.uint8)) for x in (a, b)]
+        assert (bits[0] != bits[1]).sum() <= len(np.setxor1d(a, b))
