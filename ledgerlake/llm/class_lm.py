@@ -45,6 +45,8 @@ ROUNDS = 8
 HELD = 3 << 17  # different words, or pairs of them, that a task holds before it hands on their counts
 SLICE = 1 << 17  # tokens whose pairs are counted at a time
 PIECE = 1 << 18  # pairs in a row of the neighbour table, about
+CODED = 256  # documents that a task codes at a time
+HANDED = 1 << 15  # words of documents that a task hands on at a time
 BLOCK = 1 << 13  # neighbour counts that are tried on all classes at a time
 
 
@@ -77,18 +79,20 @@ def coded(docs: DataFrame, words: list[bytes]) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get = known.value.get
-        for batch in batches:
-            codes, ats, others = [], [], []
-            for text in batch["text"]:
-                ws = _words(text)
-                row = np.array([get(w, OTHER) for w in ws] + [END_CODE], np.uint16)
-                own: dict[bytes, int] = {}
-                at = [own.setdefault(ws[i], len(own)) for i in np.flatnonzero(row == OTHER).tolist()]
-                codes.append(row.tobytes())
-                ats.append(np.array(at, np.uint32).tobytes())
-                others.append(list(own))
-            yield pd.DataFrame({"row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "held_out": batch["held_out"],
-                                "codes": codes, "at": ats, "others": others})
+        for whole in batches:
+            for first in range(0, len(whole), CODED):
+                batch = whole.iloc[first: first + CODED]
+                codes, ats, others = [], [], []
+                for text in batch["text"]:
+                    ws = _words(text)
+                    row = np.array([get(w, OTHER) for w in ws] + [END_CODE], np.uint16)
+                    own: dict[bytes, int] = {}
+                    at = [own.setdefault(ws[i], len(own)) for i in np.flatnonzero(row == OTHER).tolist()]
+                    codes.append(row.tobytes())
+                    ats.append(np.array(at, np.uint32).tobytes())
+                    others.append(list(own))
+                yield pd.DataFrame({"row": batch["row"].to_numpy(), "doc_id": batch["doc_id"].astype("Int64").array,
+                                    "held_out": batch["held_out"].to_numpy(), "codes": codes, "at": ats, "others": others})
 
     return docs.mapInPandas(run, "row bigint, doc_id bigint, held_out boolean, codes binary, at binary, others array<binary>")
 
@@ -309,8 +313,13 @@ def other_words(docs: DataFrame, classes: np.ndarray, matrix: np.ndarray) -> Dat
 
     def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """For training documents with the numbers left and right of each occurrence."""
+        words, rows, ks, ns, contexts = [], [], [], [], []
+
+        def out() -> pd.DataFrame:
+            return pd.DataFrame({"word": words, "row": np.concatenate(rows), "k": np.concatenate(ks), "n": np.concatenate(ns),
+                                 "near": contexts})
+
         for batch in batches:
-            words, rows, ks, ns, contexts = [], [], [], [], []
             for r in batch.itertuples(index=False):
                 size = len(r.others)
                 if not size:
@@ -321,21 +330,23 @@ def other_words(docs: DataFrame, classes: np.ndarray, matrix: np.ndarray) -> Dat
                 if r.held_out:
                     ns.append(np.zeros(size, np.int32))
                     contexts.extend([b""] * size)
-                    continue
-                codes, at = np.frombuffer(r.codes, np.uint16), np.frombuffer(r.at, np.uint32)
-                place = np.flatnonzero(codes == OTHER)
-                order = np.argsort(at, kind="stable")
-                place = place[order]
-                left = np.where(place > 0, codes[place - 1], END_CODE)
-                both = np.stack([left, codes[place + 1]], axis=1).astype(np.uint16)
-                n = np.bincount(at, minlength=size)
-                ends = np.cumsum(n) * 4
-                data = both.tobytes()
-                ns.append(n.astype(np.int32))
-                contexts.extend(map(data.__getitem__, map(slice, (ends - n * 4).tolist(), ends.tolist())))
-            if words:
-                yield pd.DataFrame({"word": words, "row": np.concatenate(rows), "k": np.concatenate(ks), "n": np.concatenate(ns),
-                                    "near": contexts})
+                else:
+                    codes, at = np.frombuffer(r.codes, np.uint16), np.frombuffer(r.at, np.uint32)
+                    place = np.flatnonzero(codes == OTHER)
+                    order = np.argsort(at, kind="stable")
+                    place = place[order]
+                    left = np.where(place > 0, codes[place - 1], END_CODE)
+                    both = np.stack([left, codes[place + 1]], axis=1).astype(np.uint16)
+                    n = np.bincount(at, minlength=size)
+                    ends = np.cumsum(n) * 4
+                    data = both.tobytes()
+                    ns.append(n.astype(np.int32))
+                    contexts.extend(map(data.__getitem__, map(slice, (ends - n * 4).tolist(), ends.tolist())))
+                if len(words) > HANDED:
+                    yield out()
+                    words, rows, ks, ns, contexts = [], [], [], [], []
+        if words:
+            yield out()
 
     def classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, gains = state.value[0], Gains(state.value[1])
