@@ -46,7 +46,8 @@ from ledgerlake.llm.packing import WordCache, crowded
 CHUNK = 1 << 15
 FAN_IN = 8
 FREQUENT = 1 << 18
-TOKENIZED_AT_ONCE = 1 << 20  # bytes of text
+TOKENIZED_AT_ONCE = 1 << 18  # bytes of text
+ALIGNED_AT_ONCE, READ_AT_ONCE = 128, 8  # whole texts, and ranges of long ones
 CACHED_WORDS = 400_000
 PAIRS_AT_ONCE = 1 << 21  # different links a task holds before it hands on their counts
 
@@ -310,8 +311,8 @@ def _short(docs: DataFrame, first: str, second: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = vocabularies(first, second)
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                rows = batch.iloc[at: at + 512]
+            for at in range(0, len(batch), ALIGNED_AT_ONCE):
+                rows = batch.iloc[at: at + ALIGNED_AT_ONCE]
                 usable = [i for i, t in enumerate(rows["text"]) if t]
                 coded = v.encode([b" " + rows["text"].iat[i].encode() for i in usable])
                 kept = [(i, ids) for i, ids in zip(usable, coded) if ids is not None]
@@ -338,8 +339,8 @@ def _long(docs: DataFrame, first: str, second: str, chunk: int, most_bytes: int,
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = vocabularies(first, second)
         for batch in batches:
-            for at in range(0, len(batch), 32):
-                rows = batch.iloc[at: at + 32]
+            for at in range(0, len(batch), READ_AT_ONCE):
+                rows = batch.iloc[at: at + READ_AT_ONCE]
                 pieces = zip(map(bytes, rows["body"]), rows["begin"].tolist(), rows["start"].tolist(), rows["end"].tolist())
                 yield _packed(rows, fragments(v, pieces))
 
