@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.contracts import Contract
@@ -73,7 +73,8 @@ def _complete(features: tuple[str, ...]) -> Column:
 
 
 BINS = 32  # of a feature: what MLlib's own trees look at
-FITS = 8  # trees grown at the same time
+FITS = 16  # trees grown at the same time
+CELLS_AT_ONCE = 1 << 16  # in a task of a fit: a tree is many short jobs, and different trees run beside each other
 
 
 def _edges(rows: DataFrame, features: tuple[str, ...]) -> list[list[float]]:
@@ -123,32 +124,33 @@ def train_counted(rows: DataFrame, spec: ForestSpec) -> PipelineModel:
     """The forest of complete rows with a ``__label``, grown on counts. Trees see features by ``BINS`` bins only, so rows
     alike in bins and label are one cell with a count, and each tree's bootstrap draws counts of cells. The number of cells does
     not grow with the rows; these are read to find the bins and to count."""
+    rows = stored(rows, "training-rows")  # read for the bins of each feature and for the counts
     buckets = _buckets(spec.features)
     bucketizer = Bucketizer(inputCols=list(spec.features), outputCols=buckets, splitsArray=_edges(rows, spec.features), handleInvalid="keep")
     # "keep" lets scoring see incomplete rows, which it must answer rather than drop
     assembler = VectorAssembler(inputCols=buckets, outputCol="features_vector", handleInvalid="keep")
-    columns = [*buckets, "__label"]
+    columns, weights = [*buckets, "__label"], [f"__weight_{i}" for i in range(spec.trees)]
     cells = bucketizer.transform(rows).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    bagged = assembler.transform(stored(_bagged(cells, columns, spec.trees, spec.seed), "cells")).select("features_vector", "__label", "bags")
-    bagged = bagged.persist()
-    drawn = bagged.select(*[F.coalesce(F.sum(F.col("bags")[i]), F.lit(0)) for i in range(spec.trees)]).first()
+    # A column for each tree, so that a fit reads its own alone.
+    drawn = [F.col("bags")[i].cast("double").alias(w) for i, w in enumerate(weights)]
+    bagged = stored(_bagged(cells, columns, spec.trees, spec.seed).select(*columns, *drawn), "cells")
+    n_cells, *draws = bagged.select(F.count(F.lit(1)), *[F.coalesce(F.sum(w), F.lit(0.0)) for w in weights]).first()
+    parts = -(-n_cells // CELLS_AT_ONCE) or 1
 
     def grow(i: int) -> RandomForestClassificationModel:
         # MLlib counts a cell as one row, so the least number of rows in a leaf is asked of their weight.
-        enough = drawn[i] >= 2 * spec.min_leaf
+        enough = draws[i] >= 2 * spec.min_leaf
         tree = RandomForestClassifier(
             featuresCol="features_vector", labelCol="__label", weightCol="__weight", numTrees=1, bootstrap=False,
             maxBins=256,  # every bin is found among up to 256 ** 2 cells
             maxDepth=spec.max_depth if enough else 0, minInstancesPerNode=1,
-            minWeightFractionPerNode=(spec.min_leaf - 0.5) / drawn[i] if enough else 0.0,
+            minWeightFractionPerNode=(spec.min_leaf - 0.5) / draws[i] if enough else 0.0,
             featureSubsetStrategy="sqrt", seed=spec.seed + i)
-        return tree.fit(bagged.select("features_vector", "__label", F.col("bags")[i].cast("double").alias("__weight")))
+        own = bagged.select(*columns, F.col(weights[i]).alias("__weight"))
+        return tree.fit(assembler.transform(own).select("features_vector", "__label", "__weight").coalesce(parts))
 
-    try:
-        with ThreadPoolExecutor(FITS) as pool:
-            trees = list(pool.map(grow, range(spec.trees)))
-    finally:
-        bagged.unpersist()
+    with ThreadPoolExecutor(FITS) as pool:
+        trees = list(pool.map(grow, range(spec.trees)))
     return PipelineModel(stages=[bucketizer, assembler, _forest(trees)])
 
 
@@ -181,12 +183,38 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def probability(model: PipelineModel, df: DataFrame, spec: ForestSpec, out: str) -> DataFrame:
-    """Add the probability of the positive class; null where a feature is missing."""
+SCORED_AT_ONCE = 1 << 12  # cells that a task scores; it reads the whole forest
+
+
+def cell_scores(model: PipelineModel, spec: ForestSpec) -> DataFrame | None:
+    """What a forest on bins gives each of its cells, as a stored table: ``BINS`` to the power of the features are the most
+    there are, however many rows will be scored. None for a forest on rows."""
+    if not isinstance(model.stages[0], Bucketizer):
+        return None
+    spark, buckets = SparkSession.active(), _buckets(spec.features)
+    sizes = [len(edges) - 1 for edges in model.stages[0].getSplitsArray()]
+    total = math.prod(sizes)
+    cells, step = spark.range(0, total, 1, -(-total // SCORED_AT_ONCE)), 1
+    for bucket, size in zip(buckets, sizes):
+        cells = cells.withColumn(bucket, F.expr(f"CAST((id DIV {step}) % {size} AS DOUBLE)"))
+        step *= size
+    scored = PipelineModel(stages=model.stages[1:]).transform(cells)
+    return stored(scored.select(*buckets, F.get(vector_to_array(F.col("probability")), F.lit(1)).alias("__p")), "cell-scores")
+
+
+def probability(model: PipelineModel, df: DataFrame, spec: ForestSpec, out: str, cells: DataFrame | None = None) -> DataFrame:
+    """Add the probability of the positive class; null where a feature is missing. Forests on bins score their cells once
+    and rows look their cell up, so no task over rows holds a forest; ``cells`` are those scores, where they are at hand."""
+    if cells is None:
+        cells = cell_scores(model, spec)
+    if cells is not None:
+        # A row for each cell at most. Incomplete rows have none.
+        scored = model.stages[0].transform(df).join(F.broadcast(cells), _buckets(spec.features), "left")
+        return scored.withColumn(out, F.when(_complete(spec.features), F.col("__p"))).drop("__p", *_buckets(spec.features))
     p = vector_to_array(F.col("probability"))
     scored = model.transform(df)
     return scored.withColumn(out, F.when(_complete(spec.features), F.get(p, F.lit(1)))).drop(
-        "features_vector", "rawPrediction", "probability", "prediction", *_buckets(spec.features)
+        "features_vector", "rawPrediction", "probability", "prediction"
     )
 
 
@@ -214,8 +242,8 @@ def _stamped(df: DataFrame, version: str, scored_at) -> DataFrame:
     return df.withColumns({"model_version": F.lit(version), "scored_at": instant(scored_at)})
 
 
-def score_fraud(features: DataFrame, model: PipelineModel, version: str, scored_at) -> DataFrame:
-    scored = decide(probability(model, features, FRAUD, "fraud_score"))
+def score_fraud(features: DataFrame, model: PipelineModel, version: str, scored_at, cells: DataFrame | None = None) -> DataFrame:
+    scored = decide(probability(model, features, FRAUD, "fraud_score", cells))
     return _stamped(scored, version, scored_at).select(
         "transaction_id", "fraud_score", "decision", "error", "model_version", "scored_at"
     )

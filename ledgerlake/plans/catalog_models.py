@@ -19,16 +19,19 @@ def report(model, test, spec, train):
     return evaluation.eval_binary(scored, spec.label, "p", spec.threshold).withColumn("train_size", F.lit(train.count()))
 
 
-def fraud_sets(fx):
-    # Features are computed once: the label check, the fit and the report all read them.
-    known = stored(silver.silver_fraud(fx("tx_events")), "features")
+def fraud_features(fx):
+    # Features are computed once: the label check, the fit, the report and scoring all read them.
+    return stored(silver.silver_fraud(fx("tx_events")), "features")
+
+
+def fraud_sets(fx, known):
     rows = relations.join_labels(known, fx("fraud_labels"), "transaction_id")
     return relations.time_split(rows, "event_time", CUT)
 
 
 @query("train_fraud")
 def _(fx):
-    train, test = fraud_sets(fx)
+    train, test = fraud_sets(fx, fraud_features(fx))
     return report(models.train(train, models.FRAUD), test, models.FRAUD, train)
 
 
@@ -90,9 +93,9 @@ def _(fx):
 @query("score_fraud_model", "SELECT event_id, transaction_id FROM {tx_events}")
 def _(fx):
     """Train, then score every transaction; the check covers that each one gets an answer."""
-    train, _ = fraud_sets(fx)
+    rows = fraud_features(fx)
+    train, _ = fraud_sets(fx, rows)
     model = models.train(train, models.FRAUD)
-    rows = silver.silver_fraud(fx("tx_events"))
     scored = models.score_fraud(rows, model, "fraud_v1", SCORED_AT).where("decision IN ('allow', 'challenge', 'block')")
     return scored.select(F.substr("transaction_id", F.lit(4)).cast("bigint").alias("event_id"), "transaction_id")
 

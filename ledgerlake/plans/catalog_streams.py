@@ -124,11 +124,11 @@ def _(fx):
 @query("stream_score", "SELECT transaction_id FROM {tx_events}")
 def _(fx):
     """Every streamed transaction is answered once."""
-    train, _ = fraud_sets(fx)
-    model = models.train(train, models.FRAUD)
     src, sink, checkpoint = (shared_dir(fx.spark, d) for d in ("features", "decisions", "checkpoint"))
     rows = silver.silver_fraud(fx("tx_events"))
     rows.write.parquet(src)
+    train, _ = fraud_sets(fx, fx.spark.read.schema(rows.schema).parquet(src))
+    model = models.train(train, models.FRAUD)
     stream = readers.stream_events(fx.spark, src, rows.schema, max_files=2, format="parquet")
     pipelines.stream_score(stream, model, "fraud_v1", sink, checkpoint, once=True).awaitTermination()
     return fx.spark.read.parquet(sink).where("decision IN ('allow', 'challenge', 'block')").select("transaction_id")

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ledgerlake.functions.stats import clean_double
 from ledgerlake.operators.gold import FLAG, HIGH
 from ledgerlake.operators.ingest import parse_events, split_valid
-from ledgerlake.operators.models import score_fraud
+from ledgerlake.operators.models import FRAUD, cell_scores, score_fraud
 from ledgerlake.sources.sinks import JSON_TIME, staged
 
 TRIGGER = "60 seconds"
@@ -106,9 +106,10 @@ def stream_gold_hourly(scores: DataFrame, delay: str = "1 hour", flag: float = F
 def stream_score(features: DataFrame, model, version: str, sink: str, checkpoint: str,
                  clock: Callable[[], datetime] = utc_now, once: bool = False) -> StreamingQuery:
     """Score micro-batches; rows that cannot be scored are answered with ``allow``."""
+    cells = cell_scores(model, FRAUD)  # once for the stream
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        write_batch(score_fraud(batch, model, version, clock()), batch_id, sink, "parquet")
+        write_batch(score_fraud(batch, model, version, clock(), cells), batch_id, sink, "parquet")
 
     writer = features.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
     return _trigger(writer, once).start()

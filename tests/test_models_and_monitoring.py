@@ -103,6 +103,28 @@ def test_leaves_hold_so_many_rows_and_gaps_have_no_score(spark):
     assert models.probability(alone, gaps, spec, "p").where("p IS NULL").count() == 300
 
 
+def test_rows_are_scored_by_their_cells(spark, monkeypatch):
+    """A forest sees its cells, whatever the number of rows, and every row gets what the forest would give it."""
+    rows = spark.range(20_000).select(
+        F.concat(F.lit("t"), "id").alias("transaction_id"), F.pmod(F.hash("id"), F.lit(7)).cast("double").alias("tx_velocity_1m"),
+        F.when(F.col("id") % 11 > 0, F.pmod(F.hash("id", F.lit(1)), F.lit(20_000)) / 3).alias("geo_distance_km"),
+        F.when(F.col("id") % 13 > 0, F.col("id") % 3 / 7).otherwise(F.lit(float("nan"))).alias("device_entropy"),
+        (F.pmod(F.hash("id"), F.lit(7)) + F.pmod(F.hash("id", F.lit(2)), F.lit(5)) > 6).cast("int").alias("is_fraud"))
+    spec = models.ForestSpec(models.FRAUD.features, "is_fraud", 5, 1, models.DEEPEST, 0.5)
+    model = models.train(rows, spec)
+    p = F.get(models.vector_to_array(F.col("probability")), F.lit(1))
+    want = {r[0]: r[1] for r in model.transform(rows).where("geo_distance_km IS NOT NULL AND NOT isnan(device_entropy)")
+            .select("transaction_id", p).collect()}
+    read, transform = [], models.PipelineModel.transform
+    monkeypatch.setattr(models.PipelineModel, "transform", lambda self, df: read.append(df.count()) or transform(self, df))
+    got = {r[0]: r[1] for r in models.probability(model, rows, spec, "p").select("transaction_id", "p").collect()}
+    assert len(read) == 1 and read[0] <= 7 * 32 * 3
+    assert len(got) == 20_000 and {k: v for k, v in got.items() if v is not None} == want
+    cells = models.cell_scores(model, spec)
+    read.clear()
+    assert models.score_fraud(rows, model, "v", T0, cells).count() == 20_000 and not read
+
+
 def test_balanced_training_weights_the_classes(spark):
     df = spark.createDataFrame([(1,)] * 3 + [(0,)] * 9 + [(None,)], "churned int")
     w = {r["churned"]: r["weight"] for r in models.class_weights(df, "churned").collect()}
