@@ -28,6 +28,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -48,6 +49,7 @@ PIECE = 1 << 18  # pairs in a row of the neighbour table, about
 CODED = 256  # documents that a task codes at a time
 HANDED = 1 << 15  # words of documents that a task hands on at a time
 BLOCK = 1 << 13  # neighbour counts that are tried on all classes at a time
+STEP = 1 << 16  # classes of lines that are counted or scored at a time
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -85,7 +87,9 @@ def coded(docs: DataFrame, words: list[bytes]) -> DataFrame:
                 codes, ats, others = [], [], []
                 for text in batch["text"]:
                     ws = _words(text)
-                    row = np.array([get(w, OTHER) for w in ws] + [END_CODE], np.uint16)
+                    row = np.empty(len(ws) + 1, np.uint16)
+                    row[:-1] = np.fromiter(map(get, ws, repeat(OTHER)), np.uint16, len(ws))
+                    row[-1] = END_CODE
                     own: dict[bytes, int] = {}
                     at = [own.setdefault(ws[i], len(own)) for i in np.flatnonzero(row == OTHER).tolist()]
                     codes.append(row.tobytes())
@@ -187,23 +191,26 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
 class Gains:
     """What the log likelihood gains if a word joins a class, given the counts of class pairs."""
 
-    SMALL = 4  # up to this count gains are looked up
+    SMALL = 16  # up to this count gains are looked up
 
     def __init__(self, matrix: np.ndarray):
         self.matrix = matrix.astype(np.float64)
         self.sides = [np.ascontiguousarray(self.matrix.T), self.matrix]  # by the neighbour's class: right, left
         self.totals = [self.matrix.sum(1), self.matrix.sum(0)]
-        self.small = [[_xlogx(m + r) - _xlogx(m) for r in range(self.SMALL + 1)] for m in self.sides]
+        self.now = [_xlogx(m) for m in self.sides]
+        self.small = [np.stack([_xlogx(m + r) - x for r in range(self.SMALL + 1)]) for m, x in zip(self.sides, self.now)]
 
     def best(self, n: int, owner: np.ndarray, side: np.ndarray, near: np.ndarray, count: np.ndarray,
              current: np.ndarray | None = None) -> np.ndarray:
         """The best class of each of ``n`` words with neighbours (owner, side, class, count); ``current`` classes, where
         given, are without the word before it is tried on them."""
         key = (owner * 2 + side) * SIDES + near
-        order = np.argsort(key, kind="stable")
-        key, count = key[order], count[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        key, count = key[first], (np.add.reduceat(count, first) if len(first) else count)
+        if 2 * SIDES * n <= 4 * len(key):  # the sums of all keys are then no larger than what a sort takes
+            sums = np.bincount(key, count, 2 * SIDES * n)  # whole numbers, exact below 2 ** 53
+            key = np.flatnonzero(sums)
+            count = sums[key].astype(np.int64)
+        else:
+            key, count = _merged([key], [count])
         owner, side, near = key // (2 * SIDES), key // SIDES % 2, key % SIDES
         gain = np.zeros((n, SIDES))
         for s in (0, 1):
@@ -211,12 +218,9 @@ class Gains:
             for at in range(0, len(mine), BLOCK):
                 i = mine[at: at + BLOCK]
                 o, d, r = owner[i], near[i], count[i]
-                value = np.empty((len(i), SIDES))
-                for c in range(1, self.SMALL + 1):
-                    value[r == c] = self.small[s][c][d[r == c]]
-                big = r > self.SMALL
-                x = self.sides[s][d[big]]
-                value[big] = _xlogx(x + r[big, None]) - _xlogx(x)
+                value = self.small[s][np.minimum(r, self.SMALL), d]
+                big = np.flatnonzero(r > self.SMALL)
+                value[big] = _xlogx(self.sides[s][d[big]] + r[big, None]) - self.now[s][d[big]]
                 if current is not None:
                     k = np.arange(len(i)), current[o]
                     x = self.sides[s][d, current[o]]
@@ -256,7 +260,7 @@ def class_pairs(near: DataFrame, classes: np.ndarray) -> np.ndarray:
                 word, side, other, n = _entries(r)
                 right = side == 0
                 at = table.value[word[right]].astype(np.int64) * SIDES + table.value[other[right]]
-                np.add.at(cells, at, n[right])
+                cells += np.bincount(at, n[right], SIDES * SIDES).astype(np.int64)  # exact below 2 ** 53
         at = np.flatnonzero(cells)
         yield pd.DataFrame({"cell": at, "n": cells[at]})
 
@@ -288,7 +292,9 @@ def exchange(near: DataFrame, classes: np.ndarray, rounds: int = ROUNDS) -> np.n
                 for r in batch.itertuples(index=False):
                     word, side, other, n = _entries(r)
                     move = (word != END_CODE) & (_half(word) == half)
-                    ids, owner = np.unique(word[move], return_inverse=True)
+                    mine = word[move]  # sorted
+                    first = np.diff(mine, prepend=-1) != 0
+                    ids, owner = mine[first], np.cumsum(first) - 1
                     best = gains.best(len(ids), owner, side[move], now[other[move]].astype(np.int64), n[move], now[ids].astype(np.int64))
                     changed = best != now[ids]
                     yield pd.DataFrame({"word": ids[changed], "to": best[changed].astype(np.int16)})
@@ -429,32 +435,34 @@ def resolved(docs: DataFrame, others: DataFrame, counts: Counts, classes: np.nda
                                    "line binary")
 
 
-def _lines(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All lines of a batch: marked classes, the ones before them, and the document of each."""
-    sizes = np.array([len(x) for x in batch["line"]], np.int64)
-    now = np.frombuffer(b"".join(batch["line"]), np.uint8)
-    before = np.concatenate([[END], now[:-1]]).astype(np.uint8)
-    before[np.cumsum(sizes) - sizes] = END  # a text begins as if after an end
-    return now, before, np.repeat(np.arange(len(batch)), sizes)
+def _steps(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The lines of a batch, ``STEP`` classes at a time: marked classes, the ones before them, and the document of each."""
+    ends = np.cumsum([len(x) for x in batch["line"]])
+    line = np.frombuffer(b"".join(batch["line"]), np.uint8)
+    begins = np.append(0, ends[:-1])  # a line holds one class at least
+    for at in range(0, len(line), STEP):
+        now = line[at: at + STEP]
+        before = np.append(line[at - 1] if at else END, now[:-1]).astype(np.uint8)
+        low, high = np.searchsorted(begins, [at, at + STEP])
+        before[begins[low:high] - at] = END  # a text begins as if after an end
+        yield now, before, np.searchsorted(ends, np.arange(at, at + len(now)), "right")
 
 
 def transitions(lines: DataFrame) -> np.ndarray:
     """Counts of class pairs in training. The last column counts words that occur once, the last row what follows them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cells = np.zeros((SIDES, SIDES), np.int64)
+        cells = np.zeros(SIDES * SIDES, np.int64)
         for batch in batches:
-            if not len(batch):
-                continue
-            now, before, _ = _lines(batch)
-            once, after_once = now >= ONCE, before >= ONCE
-            now, before = now & 0x7F, before & 0x7F
-            np.add.at(cells, (before, now), 1)
-            np.add.at(cells, (before[once], UNKNOWN), 1)
-            np.add.at(cells, (UNKNOWN, now[after_once]), 1)
-            np.add.at(cells, (UNKNOWN, np.full(int((once & after_once).sum()), UNKNOWN)), 1)
-        at = np.flatnonzero(cells.ravel())
-        yield pd.DataFrame({"cell": at, "n": cells.ravel()[at]})
+            for now, before, _ in _steps(batch):
+                once, after_once = now >= ONCE, before >= ONCE
+                now, before = (now & 0x7F).astype(np.int64), (before & 0x7F).astype(np.int64)
+                cells += np.bincount(before * SIDES + now, minlength=SIDES * SIDES)
+                cells += np.bincount(before[once] * SIDES + UNKNOWN, minlength=SIDES * SIDES)
+                cells += np.bincount(UNKNOWN * SIDES + now[after_once], minlength=SIDES * SIDES)
+                cells[UNKNOWN * SIDES + UNKNOWN] += int((once & after_once).sum())
+        at = np.flatnonzero(cells)
+        yield pd.DataFrame({"cell": at, "n": cells[at]})
 
     return _summed_cells(lines.where("not held_out").select("line").mapInPandas(run, "cell bigint, n bigint"))
 
@@ -479,9 +487,12 @@ def scored(lines: DataFrame, pairs: np.ndarray) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            now, before, owner = _lines(batch)
-            now, before = now & 0x7F, before & 0x7F
-            parts = np.bincount(owner, step[before, now] - size[now], len(batch))
+            parts = np.zeros(len(batch))
+            for now, before, owner in _steps(batch):
+                now, before = now & 0x7F, before & 0x7F
+                first = owner[0]
+                found = np.bincount(owner - first, step[before, now] - size[now])
+                parts[first: first + len(found)] += found
             yield batch.drop(columns=["line", "emission"]).astype({"doc_id": "Int64"}).assign(score=parts + batch["emission"])
 
     return lines.mapInPandas(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")

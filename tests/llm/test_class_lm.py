@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +153,22 @@ def test_nothing_to_learn_from(llm):
     rows = lm.score_documents(df, F.col("test")).collect()
     assert {(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in rows} == {(3, 0, 0, 0.0), (1, 0, 0, 0.0)}
     assert lm.score_documents(df.where("doc_id < 0"), F.col("test")).count() == 0
+
+
+def test_lines_are_read_in_short_steps(monkeypatch):
+    """However many classes a batch holds, few are widened at a time; contexts go on over steps and end with a text."""
+    monkeypatch.setattr(lm, "STEP", 5)
+    lines = [[3], [1, 2 | lm.ONCE, 0], [4, 5, 6, 7, 8, 9, 10, 11, 12, 13], [9, 9], [7]]
+    steps = list(lm._steps(pd.DataFrame({"line": [bytes(x) for x in lines]})))
+    assert max(len(now) for now, _, _ in steps) == 5
+    got = [tuple(map(int, x)) for step in steps for x in zip(*step)]
+    assert got == [(now, before, i) for i, x in enumerate(lines) for before, now in zip([lm.END, *x], x)]
+
+
+def test_gains_by_sums_and_by_sorting_agree():
+    rng = np.random.default_rng(3)
+    gains, n = lm.Gains(rng.integers(0, 40, (lm.SIDES, lm.SIDES))), 300
+    owner = np.sort(rng.integers(0, 3, n))
+    side, near, count = rng.integers(0, 2, n), rng.integers(0, lm.CLASSES, n), rng.integers(1, 60, n)
+    dense = gains.best(3, owner, side, near, count)
+    assert (gains.best(600, owner, side, near, count)[:3] == dense).all()
