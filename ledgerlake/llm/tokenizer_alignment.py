@@ -41,14 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import most_frequent, partitions, store
-from ledgerlake.llm.packing import WordCache, crowded
+from ledgerlake.llm.packing import WordCache, crowded, id_width
 
 CHUNK = 1 << 15
 FAN_IN = 8
 FREQUENT = 1 << 18
 TOKENIZED_AT_ONCE = 1 << 18  # bytes of text
 ALIGNED_AT_ONCE, READ_AT_ONCE = 128, 8  # whole texts, and ranges of long ones
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000  # by each tokenizer
 PAIRS_AT_ONCE = 1 << 21  # different links a task holds before it hands on their counts
 
 
@@ -68,21 +68,41 @@ class PlainWords(WordCache):
         self.tokenizer.encode_special_tokens = True
         self.fast = None  # it would know special tokens
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+    def ids(self, texts: list[str], cut: list[list[str] | None]) -> list[np.ndarray]:
+        """Of texts and their words; None where a text is encoded whole."""
         if len(self.words) > CACHED_WORDS:  # words met early are the frequent ones
             self.words = dict(islice(self.words.items(), CACHED_WORDS // 4))
-        cut = [None if "\0" in t or crowded(t[1:]) else t.replace(" ", "\0 ").split("\0")[1:] for t in texts]
-        new: dict[str, None] = {}
-        for words in cut:
-            if words is not None:
-                new.update(dict.fromkeys(set(words).difference(self.words)))
-        self._learn(list(new))
+        self._learn(_unknown(cut, self.words))
         whole = iter(self._encode([t for t, words in zip(texts, cut) if words is None]))
         of, kind = self.words.__getitem__, f"<u{self.width}"
         coded = (next(whole) if words is None else b"".join(map(of, words)) for words in cut)
         return [np.frombuffer(x, kind).astype(np.int64) for x in coded]
 
 
+class PieceWords(PlainWords):
+    """The same for pieces. Merges never cross to the space before the next word, as no piece holds a space after another
+    character, so a word has the same pieces alone as in its text."""
+
+    def __init__(self, processor):
+        self.processor, self.words = processor, {}
+        self.width = id_width(processor.get_piece_size())
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        kind = f"<u{self.width}"
+        return [np.array(x, kind).tobytes() for x in self.processor.encode([t[1:] for t in texts], num_threads=1)]
+
+    def _learn(self, new: list[str]) -> None:
+        self.words.update(zip(new, self._encode(new)))
+
+
+def _unknown(cut: list[list[str] | None], known: dict[str, bytes]) -> list[str]:
+    new: dict[str, None] = {}
+    for words in cut:
+        if words is not None:
+            new.update(dict.fromkeys(set(words).difference(known)))
+    return list(new)
+
+
 class Vocabularies:
     """Both tokenizers with the bytes of their tokens."""
 
@@ -102,6 +122,7 @@ class Vocabularies:
         self.a_length, self.b_length = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.base = len(pieces)  # a link is its first id times this plus its second id
         self.cuttable = not any(re.search("[^▁]▁", p) for p in pieces)
+        self.pieces = PieceWords(self.b)
         # How ids are written in groups: before another id, before the other tokenizer's or the next group, at the end.
         self.written = [f"{i}{c}" for i in range(size) for c in ",|"] + [f"{i}{c}" for i in range(self.base) for c in (",", ";", "")]
         self.b_written = 2 * size
@@ -115,10 +136,12 @@ class Vocabularies:
                 size += len(bodies[to])
                 to += 1
             texts = [b.decode() for b in bodies[at:to]]
-            b = self.b.encode([t[1:] for t in texts], num_threads=1)
-            for body, i, j in zip(bodies[at:to], self.words.ids(texts), b):
-                same = b"".join(map(self.a_bytes.__getitem__, i.tolist())) == body == b"".join(map(self.b_bytes.__getitem__, j))
-                out.append((i, np.array(j, np.int64)) if same else None)
+            cut = [None if "\0" in t or crowded(t[1:]) else t.replace(" ", "\0 ").split("\0")[1:] for t in texts]
+            # A text's own "▁" could be merged with the space after it.
+            b_cut = [words if self.cuttable and words and "▁" not in t else None for t, words in zip(texts, cut)]
+            for body, i, j in zip(bodies[at:to], self.words.ids(texts, cut), self.pieces.ids(texts, b_cut)):
+                same = b"".join(map(self.a_bytes.__getitem__, i.tolist())) == body == b"".join(map(self.b_bytes.__getitem__, j.tolist()))
+                out.append((i, j) if same else None)
             at = to
         return out
 

@@ -123,3 +123,17 @@ def test_composition_is_associative():
 
     assert len({repr(fold(list(parts))) for _ in range(5)}) == 1
     assert [s for s, *_ in cuts[1:]] == [e for _, e, *_ in cuts[:-1]] and cuts[-1][1] == len(body)
+
+
+def test_pieces_of_known_words_are_looked_up():
+    """Words have the same pieces alone as in their text, and are encoded once."""
+    v = ta.Vocabularies(A, B)
+    texts = ["the cat sat", "the cat's cat sat", "a▁ b the", "a  cat", " cat", "cat ", "x\u00a0y cat", "\u200b cat", "日本 語 cat", "<s> cat </s>", "e \u0301a",
+             "a\tb c\nd", "ﬁ ½ cat", "🙂 cat🙂"]
+    got = v.encode([b" " + t.encode() for t in texts])
+    for t, found in zip(texts, got):
+        a, b = tokens(t)
+        assert (found is None) == (not b) and (found is None or ([i for i, _ in a], [i for i, _ in b]) == tuple(x.tolist() for x in found))
+    read, encode = [], v.pieces._encode
+    v.pieces._encode = lambda t: read.extend(t) or encode(t)
+    assert v.encode([b" sat the cat new"])[0] is not None and read == [" new"]
