@@ -65,7 +65,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch["text"]:
                 seen.update(_words(text))
-                if len(seen) > HELD // 2:
+                if len(seen) > HELD // 3:
                     yield frame()
                     seen.clear()
         if seen:
@@ -173,9 +173,9 @@ def neighbours(docs: DataFrame) -> DataFrame:
                 keys.append(np.cumsum(_flat(r.keys, "<i8")))
                 counts.append(_flat(r.counts, "<i8"))
                 size += len(keys[-1])
-                if size > 2 * HELD:
+                if size > HELD:
                     key, n = _merged(keys, counts)
-                    keys, counts, size = [key], [n], min(len(key), HELD)  # merged again after as many more
+                    keys, counts, size = [key], [n], min(len(key), HELD // 2)  # merged again after as many more
         if keys:
             yield from out(shard, *_merged(keys, counts))
 
