@@ -5,13 +5,14 @@ clustering moves a word to the class that raises the likelihood of the training
 other words.
 
 * Word counts are exact and cover all training documents. The ``FREQUENT`` words of the highest counts, a list of bounded
-  size, get numbers, and documents are stored as numbers; other words stand in each document's own list.
+  size, get numbers, and documents are stored as numbers, some hundred to a row (a block, of training or of held-out ones); other
+  words stand in each block's own list.
 * Neighbour counts of the frequent words are gathered once, dealt by word, and stored; each round of
   exchange maps over that table without a shuffle: all words of one half move at once, against the class counts of
   the round before (a 128 x 128 table), then those of the other half.
 * Every other word takes the class that its neighbours in all training documents ask for, by the same measure, in one
-  shuffle by word, which also gives its count; no such word can be a hot key, as frequent words are not among them.
-  Counts and classes come back to the documents in one join by row.
+  shuffle by buckets of words, which also gives its count; no such word can be a hot key, as frequent words are not among them, and
+  the number of buckets follows that of these words. Counts and classes come back to the blocks in one join.
 * Transitions are counted over the class sequences of all training documents, and smoothed: a class c
   is followed by an unknown word as often as by a word that occurs once in training (such a word would be unknown without
   this occurrence), and what follows an unknown word is what follows such words; known classes
@@ -25,13 +26,16 @@ of the smaller number, and a class without words stays empty. Without training d
 
 from __future__ import annotations
 
-from collections import Counter
+import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,59 +50,90 @@ ROUNDS = 8
 HELD = 3 << 17  # different words, or pairs of them, that a task holds before it hands on their counts
 SLICE = 1 << 17  # tokens whose pairs are counted at a time
 PIECE = 1 << 18  # pairs in a row of the neighbour table, about
-CODED = 256  # documents that a task codes at a time
-HANDED = 1 << 15  # words of documents that a task hands on at a time
+CODED, BLOCK_BYTES = 256, 1 << 19  # documents of a block at most, and the bytes of text after which it ends
+BUCKET = 1 << 19  # words of blocks that are classified together, about
+WORDS = 1 << 12  # words that are tried on all classes at a time
+UNSEEN = 255  # in place of the class of a neighbour that is not frequent
 BLOCK = 1 << 13  # neighbour counts that are tried on all classes at a time
 STEP = 1 << 16  # classes of lines that are counted or scored at a time
 
 
-def _words(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
+def _words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of the texts one after the other, and where those of each text begin, and the last ones end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "")))
+    words, starts = lists.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+    full = pc.greater(pc.binary_length(words), 0)  # blanks at an end of a text leave an empty one
+    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    return words.filter(full).cast(pa.binary()), before[starts]
+
+
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    found = pa.concat_tables(tables).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return found.select(["word", "n_sum"]).rename_columns(["word", "n"])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) of the texts."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter[bytes] = Counter()
-        frame = lambda: pd.DataFrame({"word": list(seen), "n": np.fromiter(seen.values(), np.int64, len(seen))})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for batch in batches:
-            for text in batch["text"]:
-                seen.update(_words(text))
-                if len(seen) > HELD // 3:
-                    yield frame()
-                    seen.clear()
-        if seen:
-            yield frame()
+            found = _words(batch["text"])[0].value_counts()
+            held.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
+            if sum(map(len, held)) > HELD:
+                held = [_summed(held)]
+                if len(held[0]) > HELD // 2:
+                    yield from held[0].to_batches(max_chunksize=HELD // 4)
+                    held = []
+        if held:
+            yield from _summed(held).to_batches(max_chunksize=HELD // 4)
 
-    return docs.select("text").mapInPandas(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _lists(starts: np.ndarray, values: pa.Array | np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values if isinstance(values, pa.Array) else pa.array(values))
 
 
 def coded(docs: DataFrame, words: list[bytes]) -> DataFrame:
-    """(row, doc_id, held_out, codes, at, others) of ``docs (row, doc_id, held_out, text)``: numbers of the words and the
-    end; for each word that is not frequent the place in ``others``, the document's different ones."""
+    """(row, held_out, doc_id, sizes, codes, at, others) of ``docs (row, doc_id, held_out, text)``, some documents to a row,
+    which has the number of the first: their ids and numbers of tokens; numbers of the words, and the end after each
+    document; for each word that is not frequent the place in ``others``, the different ones of these documents."""
     known = docs.sparkSession.sparkContext.broadcast({w: i + 1 for i, w in enumerate(words)})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = known.value.get
-        for whole in batches:
-            for first in range(0, len(whole), CODED):
-                batch = whole.iloc[first: first + CODED]
-                codes, ats, others = [], [], []
-                for text in batch["text"]:
-                    ws = _words(text)
-                    row = np.empty(len(ws) + 1, np.uint16)
-                    row[:-1] = np.fromiter(map(get, ws, repeat(OTHER)), np.uint16, len(ws))
-                    row[-1] = END_CODE
-                    own: dict[bytes, int] = {}
-                    at = [own.setdefault(ws[i], len(own)) for i in np.flatnonzero(row == OTHER).tolist()]
-                    codes.append(row.tobytes())
-                    ats.append(np.array(at, np.uint32).tobytes())
-                    others.append(list(own))
-                yield pd.DataFrame({"row": batch["row"].to_numpy(), "doc_id": batch["doc_id"].astype("Int64").array,
-                                    "held_out": batch["held_out"].to_numpy(), "codes": codes, "at": ats, "others": others})
-
-    return docs.mapInPandas(run, "row bigint, doc_id bigint, held_out boolean, codes binary, at binary, others array<binary>")
+    def block(docs: pa.RecordBatch) -> pa.RecordBatch:
+        words, starts = _words(docs["text"])
+        found = words.dictionary_encode()
+        different = found.dictionary
+        code = np.fromiter(map(known.value.get, different.to_numpy(zero_copy_only=False), repeat(OTHER)), np.uint16, len(different))
+        index = found.indices.to_numpy()
+        sizes = np.diff(starts) + 1
+        codes = np.full(len(index) + len(docs), END_CODE, np.uint16)
+        is_word = np.ones(len(codes), bool)
+        is_word[np.cumsum(sizes) - 1] = False
+        codes[is_word] = code[index]
+        other = code == OTHER
+        at = (np.cumsum(other) - 1).astype(np.uint32)[index[other[index]]]
+        others = different.filter(pa.array(other))
+        return pa.RecordBatch.from_pydict({
+            "row": docs["row"][:1], "held_out": docs["held_out"][:1], "doc_id": _lists([0, len(docs)], docs["doc_id"]),
+            "sizes": _lists([0, len(docs)], sizes.astype(np.int64)), "codes": pa.array([codes.tobytes()], pa.binary()),
+            "at": pa.array([at.tobytes()], pa.binary()), "others": _lists([0, len(others)], others)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for held_out in (False, True):
+                docs = batch.filter(pc.equal(batch["held_out"], held_out))
+                bytes_ = np.cumsum(pc.fill_null(pc.binary_length(docs["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+                first = 0
+                while first < len(docs):
+                    before = bytes_[first - 1] if first else 0
+                    end = min(int(np.searchsorted(bytes_, before + BLOCK_BYTES)) + 1, first + CODED, len(docs))
+                    yield block(docs.slice(first, end - first))
+                    first = end
+
+    return docs.select("row", "doc_id", "held_out", "text").mapInArrow(
+        run, "row bigint, held_out boolean, doc_id array<bigint>, sizes array<bigint>, codes binary, at binary, others array<binary>")
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -111,6 +146,19 @@ def _flat(x: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def _packed(word: np.ndarray, other: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    """Sorted pairs and their counts, of four bytes where that is enough."""
+    key = (word << 16 | other).astype(np.uint32)
+    small = not len(n) or n.max() < 2**32
+    return _planes(np.diff(key, prepend=np.uint32(0))), _planes(n.astype(np.uint32 if small else np.int64))
+
+
+def _entries(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, neighbours and counts."""
+    key = np.cumsum(_flat(keys, "<u4"), dtype=np.uint32)
+    return key >> 16, key & 0xFFFF, _flat(counts, "<u4" if len(counts) == len(keys) else "<i8")
+
+
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     key, n = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(key, kind="stable")
@@ -120,8 +168,8 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """(shard, keys, counts): how often frequent words stand next to each other. A key is word << 17 | side << 16 |
-    neighbour, side 0 for the neighbour to the right; all keys of a word are in one row."""
+    """(half, right, right_n, left, left_n): how often frequent words stand next to each other: pairs of a word and its neighbour to the
+    right, and to the left, each with their counts. All pairs of a word are in one row, with words of the same half."""
     shards = partitions(docs.sparkSession)
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,19 +204,24 @@ def neighbours(docs: DataFrame) -> DataFrame:
             yield from out(*_merged(keys, counts))
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def out(shard: int, key: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
-            word, at = key >> 17, 0
-            while at < len(key):  # cut where a word ends
-                to = int(np.searchsorted(word, word[min(at + PIECE, len(key)) - 1], "right"))
-                yield pd.DataFrame({"shard": [shard], "keys": [_planes(np.diff(key[at:to], prepend=0))], "counts": [_planes(n[at:to])]})
-                at = to
+        def out(key: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
+            for half in (0, 1):
+                use = _half(key >> 17) == half
+                mine, count, at = key[use], n[use], 0
+                word, side, other = mine >> 17, mine >> 16 & 1, mine & 0xFFFF
+                while at < len(mine):  # cut where a word ends
+                    to = int(np.searchsorted(word, word[min(at + PIECE, len(mine)) - 1], "right"))
+                    sides = [at + np.flatnonzero(side[at:to] == s) for s in (0, 1)]
+                    packed = [_packed(word[i], other[i], count[i]) for i in sides]
+                    yield pd.DataFrame([(half, *packed[0], *packed[1])], columns=["half", "right", "right_n", "left", "left_n"])
+                    at = to
 
         shard, keys, counts, size = None, [], [], 0
         for batch in batches:
             for r in batch.itertuples(index=False):
                 if r.shard != shard:
                     if keys:
-                        yield from out(shard, *_merged(keys, counts))
+                        yield from out(*_merged(keys, counts))
                     shard, keys, counts, size = r.shard, [], [], 0
                 keys.append(np.cumsum(_flat(r.keys, "<i8")))
                 counts.append(_flat(r.counts, "<i8"))
@@ -177,11 +230,11 @@ def neighbours(docs: DataFrame) -> DataFrame:
                     key, n = _merged(keys, counts)
                     keys, counts, size = [key], [n], min(len(key), HELD // 2)  # merged again after as many more
         if keys:
-            yield from out(shard, *_merged(keys, counts))
+            yield from out(*_merged(keys, counts))
 
-    schema = "shard bigint, keys binary, counts binary"
-    found = docs.where("not held_out").select("codes").mapInPandas(pairs, schema)
-    return found.repartition(shards, "shard").sortWithinPartitions("shard").mapInPandas(merge, schema)
+    found = docs.where("not held_out").select("codes").mapInPandas(pairs, "shard bigint, keys binary, counts binary")
+    found = found.repartition(shards, "shard").sortWithinPartitions("shard")
+    return found.mapInPandas(merge, "half int, right binary, right_n binary, left binary, left_n binary")
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -227,14 +280,19 @@ class Gains:
                     value[k] = _xlogx(x) - _xlogx(np.maximum(x - r, 0))
                 starts = np.flatnonzero(np.concatenate([[True], o[1:] != o[:-1]]))
                 gain[o[starts]] += np.add.reduceat(value, starts, axis=0)
-            sums = np.bincount(owner[mine], count[mine], n)
-            for at in range(0, n, BLOCK):
-                more = sums[at: at + BLOCK, None]
-                total = np.repeat(self.totals[s][None], len(more), 0)
-                if current is not None:
-                    k = np.arange(len(more)), current[at: at + BLOCK]
-                    total[k] = np.maximum(total[k] - more[:, 0], 0)
-                gain[at: at + BLOCK] -= _xlogx(total + more) - _xlogx(total)
+            sums, total = np.bincount(owner[mine], count[mine], n), self.totals[s]
+            different, which = np.unique(sums, return_inverse=True)
+            for at in range(0, len(different), BLOCK):
+                change = _xlogx(total + different[at: at + BLOCK, None]) - _xlogx(total)
+                of = np.flatnonzero((which >= at) & (which < at + BLOCK))
+                for i in range(0, len(of), BLOCK):
+                    o = of[i: i + BLOCK]
+                    less = change[which[o] - at]
+                    if current is not None:
+                        k, x = (np.arange(len(o)), current[o]), total[current[o]]
+                        without = np.maximum(x - sums[o], 0)
+                        less[k] = _xlogx(without + sums[o]) - _xlogx(without)
+                    gain[o] -= less
         # Words decide at the same time, so an empty class would draw words of all kinds at once.
         empty = np.flatnonzero(self.totals[0] + self.totals[1] == 0)
         own = None if current is None else gain[np.arange(n), current]
@@ -244,11 +302,6 @@ class Gains:
         return np.argmax(gain[:, :CLASSES], axis=1).astype(np.uint8)
 
 
-def _entries(r) -> tuple[np.ndarray, ...]:
-    key = np.cumsum(_flat(r.keys, "<i8"))
-    return key >> 17, key >> 16 & 1, key & 0xFFFF, _flat(r.counts, "<i8")
-
-
 def class_pairs(near: DataFrame, classes: np.ndarray) -> np.ndarray:
     """Counts of class pairs of frequent words."""
     table = near.sparkSession.sparkContext.broadcast(classes)
@@ -257,14 +310,13 @@ def class_pairs(near: DataFrame, classes: np.ndarray) -> np.ndarray:
         cells = np.zeros(SIDES * SIDES, np.int64)
         for batch in batches:
             for r in batch.itertuples(index=False):
-                word, side, other, n = _entries(r)
-                right = side == 0
-                at = table.value[word[right]].astype(np.int64) * SIDES + table.value[other[right]]
-                cells += np.bincount(at, n[right], SIDES * SIDES).astype(np.int64)  # exact below 2 ** 53
+                word, other, n = _entries(r.right, r.right_n)
+                at = table.value[word].astype(np.int64) * SIDES + table.value[other]
+                cells += np.bincount(at, n, SIDES * SIDES).astype(np.int64)  # exact below 2 ** 53
         at = np.flatnonzero(cells)
         yield pd.DataFrame({"cell": at, "n": cells[at]})
 
-    return _summed_cells(near.mapInPandas(run, "cell bigint, n bigint"))
+    return _summed_cells(near.select("right", "right_n").mapInPandas(run, "cell bigint, n bigint"))
 
 
 def _summed_cells(cells: DataFrame) -> np.ndarray:
@@ -283,23 +335,27 @@ def exchange(near: DataFrame, classes: np.ndarray, rounds: int = ROUNDS) -> np.n
     """Classes of the frequent words after the given number of rounds."""
     context = near.sparkSession.sparkContext
     for at in range(rounds):
-        state = context.broadcast((classes, class_pairs(near, classes), at % 2))
+        state = context.broadcast((classes, class_pairs(near, classes)))
 
         def run(batches: Iterator[pd.DataFrame], state=state) -> Iterator[pd.DataFrame]:
-            now, matrix, half = state.value
+            now, matrix = state.value
             gains = Gains(matrix)
             for batch in batches:
                 for r in batch.itertuples(index=False):
-                    word, side, other, n = _entries(r)
-                    move = (word != END_CODE) & (_half(word) == half)
-                    mine = word[move]  # sorted
-                    first = np.diff(mine, prepend=-1) != 0
-                    ids, owner = mine[first], np.cumsum(first) - 1
-                    best = gains.best(len(ids), owner, side[move], now[other[move]].astype(np.int64), n[move], now[ids].astype(np.int64))
+                    pairs = [_entries(r.right, r.right_n), _entries(r.left, r.left_n)]
+                    word, other, n = (np.concatenate(x) for x in zip(*pairs))
+                    side = np.repeat([0, 1], [len(x[0]) for x in pairs])
+                    if not word.all():  # the end stays
+                        word, other, n, side = (x[word != END_CODE] for x in (word, other, n, side))
+                    here = np.zeros(OTHER, bool)
+                    here[word] = True
+                    ids, owner = np.flatnonzero(here), (np.cumsum(here) - 1)[word]
+                    best = gains.best(len(ids), owner, side, now[other].astype(np.int64), n, now[ids].astype(np.int64))
                     changed = best != now[ids]
                     yield pd.DataFrame({"word": ids[changed], "to": best[changed].astype(np.int16)})
 
-        moved = near.mapInPandas(run, "word bigint, to smallint").toPandas()  # a row for each frequent word at most
+        moving = near.where(F.col("half") == at % 2)
+        moved = moving.mapInPandas(run, "word bigint, to smallint").toPandas()  # a row for each frequent word at most
         classes = classes.copy()
         classes[moved["word"]] = moved["to"]
         if not len(moved) and at % 2:
@@ -312,82 +368,116 @@ def _half(word: np.ndarray) -> np.ndarray:
     return (word * 2654435761 >> 15) & 1
 
 
-def other_words(docs: DataFrame, classes: np.ndarray, matrix: np.ndarray) -> DataFrame:
-    """(row, k, n, class) of the k-th other word of each document: its count in training and its class."""
-    spark = docs.sparkSession
-    state = spark.sparkContext.broadcast((classes, matrix))
+def buckets_of(docs: DataFrame, words: int) -> int:
+    """How many buckets the ``words`` tokens that are not frequent are dealt to: a multiple of the tasks."""
+    tasks = partitions(docs.sparkSession)
+    return tasks * max(1, math.ceil(words / (tasks * BUCKET)))
 
-    def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """For training documents with the numbers left and right of each occurrence."""
-        words, rows, ks, ns, contexts = [], [], [], [], []
 
-        def out() -> pd.DataFrame:
-            return pd.DataFrame({"word": words, "row": np.concatenate(rows), "k": np.concatenate(ks), "n": np.concatenate(ns),
-                                 "near": contexts})
+def _hosts(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
+    """(bucket, row, k, others, n, near): other words of a block of documents that fall into a bucket, their places in the block's list,
+    counts in training and the classes left and right of each occurrence."""
+    table = np.full(OTHER + 1, UNSEEN, np.uint8)
+    table[:len(classes)] = classes
+    state = docs.sparkSession.sparkContext.broadcast(table)
 
+    def block(r: dict, others: pa.Array) -> pa.RecordBatch:
+        size = len(others)
+        bucket = np.fromiter(map(zlib.crc32, others.to_numpy(zero_copy_only=False)), np.uint32, size) % buckets
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        if r["held_out"]:
+            n, near = np.zeros(size, np.int32), b""
+        else:
+            codes, at = np.frombuffer(r["codes"], np.uint16), np.frombuffer(r["at"], np.uint32)
+            rank = np.empty(size, np.int64)
+            rank[order] = np.arange(size)
+            rank = rank[at]
+            place = np.flatnonzero(codes == OTHER)[np.argsort(rank, kind="stable")]
+            left = np.where(place > 0, codes[place - 1], END_CODE)
+            near = np.stack([state.value[left], state.value[codes[place + 1]]], axis=1).tobytes()
+            n = np.bincount(rank, minlength=size).astype(np.int32)
+        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+        ends = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])[cuts] * 2
+        return pa.RecordBatch.from_pydict({
+            "bucket": pa.array(bucket[cuts[:-1]], pa.int32()), "row": pa.array(np.full(len(cuts) - 1, r["row"])),
+            "k": _lists(cuts, order.astype(np.int32)), "others": _lists(cuts, others.take(pa.array(order))), "n": _lists(cuts, n),
+            "near": pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(near)])})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                size = len(r.others)
-                if not size:
-                    continue
-                words.extend(r.others)
-                rows.append(np.full(size, r.row))
-                ks.append(np.arange(size, dtype=np.int32))
-                if r.held_out:
-                    ns.append(np.zeros(size, np.int32))
-                    contexts.extend([b""] * size)
-                else:
-                    codes, at = np.frombuffer(r.codes, np.uint16), np.frombuffer(r.at, np.uint32)
-                    place = np.flatnonzero(codes == OTHER)
-                    order = np.argsort(at, kind="stable")
-                    place = place[order]
-                    left = np.where(place > 0, codes[place - 1], END_CODE)
-                    both = np.stack([left, codes[place + 1]], axis=1).astype(np.uint16)
-                    n = np.bincount(at, minlength=size)
-                    ends = np.cumsum(n) * 4
-                    data = both.tobytes()
-                    ns.append(n.astype(np.int32))
-                    contexts.extend(map(data.__getitem__, map(slice, (ends - n * 4).tolist(), ends.tolist())))
-                if len(words) > HANDED:
-                    yield out()
-                    words, rows, ks, ns, contexts = [], [], [], [], []
-        if words:
-            yield out()
-
-    def classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, gains = state.value[0], Gains(state.value[1])
-
-        def out(rows: pd.DataFrame) -> pd.DataFrame:
-            owner, words = pd.factorize(rows["word"])
-            seen = rows["n"].to_numpy(np.int64)
-            total = np.zeros(len(words), np.int64)
-            np.add.at(total, owner, seen)
-            near = np.frombuffer(b"".join(rows["near"]), np.uint16).reshape(-1, 2)
-            of = np.repeat(owner, seen)
-            code, of, side = near.T.ravel(), np.concatenate([of, of]), np.repeat([1, 0], len(of))
-            use = code != OTHER
-            best = gains.best(len(words), of[use], side[use], now[code[use]].astype(np.int64), np.ones(int(use.sum()), np.int64))
-            best = np.where(total > 0, best, UNKNOWN)
-            return pd.DataFrame({"row": rows["row"].to_numpy(), "k": rows["k"].to_numpy(), "n": total[owner],
-                                 "class": best[owner].astype(np.int16)})
-
-        held: list[pd.DataFrame] = []
+            for r, others in zip(batch.select(["row", "held_out", "codes", "at"]).to_pylist(), batch["others"]):
+                if len(others.values):
+                    yield block(r, others.values)
+
+    return docs.select("row", "held_out", "codes", "at", "others").mapInArrow(
+        run, "bucket int, row bigint, k array<int>, others array<binary>, n array<int>, near binary")
+
+
+def answers(docs: DataFrame, classes: np.ndarray, matrix: np.ndarray, words: int) -> DataFrame:
+    """(row, k, n, class), lists of the other words of each block that fell into a bucket: their counts in training and their classes.
+    ``words`` is about how many tokens are not frequent."""
+    state, buckets = docs.sparkSession.sparkContext.broadcast(matrix), buckets_of(docs, words)
+
+    def best_of(gains: Gains, owner: np.ndarray, total: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Classes of words from the (left, right) classes of their occurrences, ``owner`` being the word of each."""
+        best = np.full(len(total), UNKNOWN, np.uint8)
+
+        def tried(n: int, of: np.ndarray, near: np.ndarray) -> np.ndarray:
+            code, of, side = near.T.ravel().astype(np.int64), np.concatenate([of, of]), np.repeat([1, 0], len(of))
+            use = code != UNSEEN
+            return gains.best(n, of[use], side[use], code[use], np.ones(int(use.sum()), np.int64))
+
+        once = total[owner] == 1  # words between the same two classes ask for the same one
+        pair, which = np.unique(near[once].astype(np.int64) @ [256, 1], return_inverse=True)
+        alike = [tried(len(p), np.arange(len(p)), np.stack([p >> 8, p & 0xFF], axis=1)) for p in np.split(pair, range(WORDS, len(pair), WORDS))]
+        best[owner[once]] = np.concatenate(alike)[which]
+        more = np.flatnonzero(~once)
+        more = more[np.argsort(owner[more], kind="stable")]
+        ids = np.flatnonzero(total > 1)
+        ends = np.concatenate([[0], np.cumsum(total[ids])])
+        for at in range(0, len(ids), WORDS):
+            mine = ids[at: at + WORDS]
+            i = more[ends[at]: ends[at + len(mine)]]
+            best[mine] = tried(len(mine), np.repeat(np.arange(len(mine)), total[mine]), near[i])
+        return best
+
+    def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gains = Gains(state.value)
+
+        def out(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = pa.concat_arrays([x["others"].flatten() for x in parts]).dictionary_encode()
+            owner = found.indices.to_numpy()
+            n = np.concatenate([x["n"].flatten().to_numpy() for x in parts])
+            total = np.bincount(owner, n, len(found.dictionary)).astype(np.int64)
+            near = np.frombuffer(b"".join(y for x in parts for y in x["near"].to_pylist()), np.uint8).reshape(-1, 2)
+            best, at = best_of(gains, np.repeat(owner, n), total, near), 0
+            for x in parts:
+                starts = np.concatenate([[0], np.cumsum(pc.list_value_length(x["k"]).to_numpy())])
+                mine = owner[at: at + starts[-1]]
+                at += starts[-1]
+                yield pa.RecordBatch.from_pydict({"row": x["row"], "k": _lists(starts, x["k"].flatten()), "n": _lists(starts, total[mine]),
+                                                  "class": _lists(starts, best[mine].astype(np.int16))})
+
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if not len(batch):
-                continue
-            open_ = (batch["word"] == batch["word"].iat[-1]).to_numpy()
-            cut = int(np.argmax(open_))  # the last word may go on in the next batch
-            if cut or (held and held[-1]["word"].iat[-1] != batch["word"].iat[0]):
-                yield out(pd.concat([*held, batch.iloc[:cut]], ignore_index=True))
-                held = []
-            held.append(batch.iloc[cut:])
+            bucket = batch["bucket"].to_numpy()
+            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else []
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                if held and held[-1]["bucket"][0].as_py() != bucket[i]:
+                    yield from out(held)
+                    held = []
+                held.append(batch.slice(i, j - i))
         if held:
-            yield out(pd.concat(held, ignore_index=True))
+            yield from out(held)
+
+    found = _hosts(docs, classes, buckets).repartitionById(partitions(docs.sparkSession), "bucket").sortWithinPartitions("bucket")
+    return found.mapInArrow(classify, "row bigint, k array<int>, n array<bigint>, class array<smallint>")
+
 
-    found = docs.select("row", "held_out", "codes", "at", "others").mapInPandas(
-        occurrences, "word binary, row bigint, k int, n int, near binary")
-    found = found.repartition(partitions(spark), "word").sortWithinPartitions("word")
-    return found.mapInPandas(classify, "row bigint, k int, n bigint, class smallint")
+def other_words(docs: DataFrame, classes: np.ndarray, matrix: np.ndarray, words: int = 0) -> DataFrame:
+    """(row, k, n, class) of the k-th other word of each block of documents: its count in training and its class."""
+    return answers(docs, classes, matrix, words).selectExpr("row", "inline(arrays_zip(k, n, class))")
 
 
 @dataclass
@@ -401,38 +491,39 @@ class Counts:
 
 def resolved(docs: DataFrame, others: DataFrame, counts: Counts, classes: np.ndarray) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, base_score, emission, line): per document the base score, the sum of the
-    logarithms of its words' counts, and its line of classes."""
+    logarithms of its words' counts, and its line of classes. ``others`` are the ``answers`` to these ``docs``."""
     state = docs.sparkSession.sparkContext.broadcast((counts, classes))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(block: pa.Table, own: pa.Table) -> pa.Table:
         counts, classes = state.value
-        for batch in batches:
-            out = []
-            for r in batch.itertuples(index=False):
-                codes, at = np.frombuffer(r.codes, np.uint16), np.frombuffer(r.at, np.uint32)
-                other = np.flatnonzero(codes == OTHER)
-                codes = np.where(codes == OTHER, END_CODE, codes)
-                n, line = counts.frequent[codes], classes[codes]
-                if len(other):
-                    ks = np.asarray(r.k, np.int64)
-                    own_n, own_class = np.empty(len(ks), np.int64), np.empty(len(ks), np.uint8)
-                    own_n[ks], own_class[ks] = r.n, r[-1]
-                    n[other], line[other] = own_n[at], own_class[at]
-                known = n > 0
-                line[~known] = UNKNOWN
-                base = np.log10((n + 1) / (counts.tokens + counts.different + 1)).sum()
-                emission = np.log10(n[known]).sum()
-                once = n == 1
-                once[-1] = False  # the end is never unknown once it was seen
-                out.append((r.doc_id, r.held_out, len(n), int(known.sum()), base, emission, (line | once * np.uint8(ONCE)).tobytes()))
-            frame = pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "emission", "line"])
-            yield frame.astype({"doc_id": "Int64"})
-
-    lists = others.groupBy("row").agg(F.collect_list(F.struct("k", "n", "class")).alias("own"))
-    joined = docs.drop("others").join(lists, "row", "left").select(
-        "doc_id", "held_out", "codes", "at", *(F.col(f"own.{c}").alias(a) for c, a in (("k", "k"), ("n", "n"), ("class", "c"))))
-    return joined.mapInPandas(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, emission double, "
-                                   "line binary")
+        r = block.select(["held_out", "codes", "at"]).to_pylist()[0]
+        doc_id, sizes = (pc.list_flatten(block[c]).combine_chunks() for c in ("doc_id", "sizes"))
+        sizes = sizes.to_numpy()
+        codes, at = np.frombuffer(r["codes"], np.uint16), np.frombuffer(r["at"], np.uint32)
+        other = np.flatnonzero(codes == OTHER)
+        codes = np.where(codes == OTHER, END_CODE, codes)
+        n, line = counts.frequent[codes], classes[codes]
+        if len(other):
+            ks, own_n, own_class = (pc.list_flatten(own[c]).to_numpy() for c in ("k", "n", "class"))
+            place = np.empty(len(ks), np.int64)
+            place[ks] = np.arange(len(ks))
+            n[other], line[other] = own_n[place[at]], own_class[place[at]]
+        known = n > 0
+        line[~known] = UNKNOWN
+        ends = np.cumsum(sizes)
+        starts = ends - sizes  # a document holds one token at least, its end
+        base = np.add.reduceat(np.log10((n + 1) / (counts.tokens + counts.different + 1)), starts)
+        emission = np.add.reduceat(np.log10(np.maximum(n, 1)), starts)
+        once = n == 1
+        once[ends - 1] = False  # the end is never unknown once it was seen
+        line = line | once * np.uint8(ONCE)
+        offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32))
+        return pa.table({"doc_id": doc_id, "held_out": pa.repeat(r["held_out"], len(sizes)), "n_tokens": sizes,
+                         "n_known": np.add.reduceat(known.astype(np.int64), starts), "base_score": base, "emission": emission,
+                         "line": pa.Array.from_buffers(pa.binary(), len(sizes), [None, offsets, pa.py_buffer(line)])})
+
+    return docs.drop("others").groupBy("row").cogroup(others.groupBy("row")).applyInArrow(
+        run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, emission double, line binary")
 
 
 def _steps(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -520,7 +611,8 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", frequ
     classes = exchange(near, first_classes(len(top)), rounds)
     matrix = class_pairs(near, classes)
     discard(near)
-    lines = store(resolved(texts, other_words(texts, classes, matrix), counts, classes), "class-lines")
+    rest = total.n - sum(n for _, n in top)  # without held-out documents, whose share is the caller's
+    lines = store(resolved(texts, answers(texts, classes, matrix, rest), counts, classes), "class-lines")
     discard(texts)
     found = scored(lines, transitions(lines))
     return found.withColumns({"train_tokens": F.lit(counts.tokens).cast("long"),

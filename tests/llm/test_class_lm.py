@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +173,50 @@ def test_gains_by_sums_and_by_sorting_agree():
     side, near, count = rng.integers(0, 2, n), rng.integers(0, lm.CLASSES, n), rng.integers(1, 60, n)
     dense = gains.best(3, owner, side, near, count)
     assert (gains.best(600, owner, side, near, count)[:3] == dense).all()
+
+
+def test_words_and_where_they_begin():
+    texts = [" A b\x0bc\x1cD\x85 \n", "", None, " \t", "É Ä　Ö", "x"]
+    got, starts = lm._words(pa.array(texts))
+    got = [w.decode() for w in got.to_pylist()]
+    assert [got[i:j] for i, j in zip(starts[:-1], starts[1:])] == [words(t) for t in texts]
+
+
+def test_pairs_of_words_are_packed_whole():
+    for counts in ([1, 2**32 - 1, 3], [2**32, 1, 2**40], []):
+        word, other = np.array([0, 7, 65534])[:len(counts)], np.array([65534, 0, 65534])[:len(counts)]
+        got = lm._entries(*lm._packed(word, other, np.array(counts, np.int64)))
+        assert [x.tolist() for x in got] == [word.tolist(), other.tolist(), counts]
+
+
+def test_other_words_travel_in_blocks_and_buckets(llm):
+    """Documents share rows, and so do the words asked for; each gets the count and the class that its occurrences ask for."""
+    found = llm.read.parquet(f"{TINY}/documents.parquet").limit(150).collect()
+    rows = [(i, r.text, i % 5 == 1) for i, r in enumerate(found)] + [(900, "once never twice", False), (901, "unseen", True)]
+    df = llm.createDataFrame(rows, SCHEMA).repartition(2).select("doc_id", F.col("test").alias("held_out"), "text",
+                                                                   F.monotonically_increasing_id().alias("row"))
+    top = lm.frequent_words(lm.word_counts(df.where("not held_out")), 80)
+    texts = store(lm.coded(df, [w for w, _ in top]), "test")
+    near = store(lm.neighbours(texts), "test")
+    classes = lm.exchange(near, lm.first_classes(len(top)), 2)
+    matrix = lm.class_pairs(near, classes)
+    assert texts.count() < len(rows) / 5
+    assert sorted(i for r in texts.collect() for i in r.doc_id) == sorted(i for i, _, _ in rows)
+    packed = lm.answers(texts, classes, matrix, 0)
+    assert packed.count() <= texts.count() * lm.buckets_of(texts, 0) and packed.count() < lm.other_words(texts, classes, matrix).count() / 5
+
+    class_of = {w.decode(): int(c) for (w, _), c in zip(top, classes[1:])} | {None: lm.END}
+    contexts, gains = collections.defaultdict(list), lm.Gains(matrix)
+    for _, text, out in rows:
+        line = [None, *words(text), None]
+        for i, w in enumerate(line[1:-1], 1):
+            if w not in class_of:
+                contexts[w] += [] if out else [(s, class_of[x]) for s, x in ((1, line[i - 1]), (0, line[i + 1])) if x in class_of]
+    count = collections.Counter(w for _, text, out in rows if not out for w in words(text))
+    want = {w: (count[w], int(gains.best(1, np.zeros(len(c), np.int64), *np.array(c, np.int64).reshape(-1, 2).T, np.ones(len(c), np.int64))[0])
+                if count[w] else lm.UNKNOWN) for w, c in contexts.items()}
+    others = {r.row: r.others for r in texts.collect()}
+    for tokens in (0, 40 << 20):  # the more there are, the more buckets
+        got = [(bytes(others[r.row][r.k]).decode(), (r.n, r["class"])) for r in lm.other_words(texts, classes, matrix, tokens).collect()]
+        assert dict(got) == want and len(got) == sum(map(len, others.values()))
+    assert lm.buckets_of(texts, 40 << 20) > lm.buckets_of(texts, 0)
