@@ -54,7 +54,7 @@ CODED, BLOCK_BYTES = 256, 1 << 19  # documents of a block at most, and the bytes
 BUCKET = 1 << 19  # words of blocks that are classified together, about
 WORDS = 1 << 12  # words that are tried on all classes at a time
 UNSEEN = 255  # in place of the class of a neighbour that is not frequent
-BLOCK = 1 << 13  # neighbour counts that are tried on all classes at a time
+BLOCK = 1 << 12  # neighbour counts that are tried on all classes at a time
 STEP = 1 << 16  # classes of lines that are counted or scored at a time
 
 
@@ -170,18 +170,19 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 def neighbours(docs: DataFrame) -> DataFrame:
     """(half, right, right_n, left, left_n): how often frequent words stand next to each other: pairs of a word and its neighbour to the
     right, and to the left, each with their counts. All pairs of a word are in one row, with words of the same half."""
-    shards = partitions(docs.sparkSession)
+    tasks = partitions(docs.sparkSession)
+    shards = 2 * tasks  # a task merges one after the other
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def out(pair: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
             for side in (0, 1):
                 word, other = (pair >> 16, pair & 0xFFFF) if side == 0 else (pair & 0xFFFF, pair >> 16)
                 shard = word % shards
-                order = np.argsort(shard << 33 | word << 17 | other)
-                key, shard, count = (word << 17 | side << 16 | other)[order], shard[order], n[order]
+                order = np.argsort(shard << 32 | word << 16 | other)
+                word, other, shard, count = word[order], other[order], shard[order], n[order]
                 cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
-                yield pd.DataFrame([(int(shard[i]), _planes(np.diff(key[i:j], prepend=0)), _planes(count[i:j]))
-                                    for i, j in zip(cuts[:-1], cuts[1:])], columns=["shard", "keys", "counts"])
+                yield pd.DataFrame([(int(shard[i]), side, *_packed(word[i:j], other[i:j], count[i:j]))
+                                    for i, j in zip(cuts[:-1], cuts[1:])], columns=["shard", "side", "keys", "counts"])
 
         keys, counts, size = [], [], 0
         for batch in batches:
@@ -205,16 +206,16 @@ def neighbours(docs: DataFrame) -> DataFrame:
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def out(key: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
-            for half in (0, 1):
-                use = _half(key >> 17) == half
-                mine, count, at = key[use], n[use], 0
-                word, side, other = mine >> 17, mine >> 16 & 1, mine & 0xFFFF
-                while at < len(mine):  # cut where a word ends
-                    to = int(np.searchsorted(word, word[min(at + PIECE, len(mine)) - 1], "right"))
-                    sides = [at + np.flatnonzero(side[at:to] == s) for s in (0, 1)]
-                    packed = [_packed(word[i], other[i], count[i]) for i in sides]
-                    yield pd.DataFrame([(half, *packed[0], *packed[1])], columns=["half", "right", "right_n", "left", "left_n"])
-                    at = to
+            at = 0
+            while at < len(key):  # cut where a word ends
+                to = int(np.searchsorted(key, (key[min(at + PIECE, len(key)) - 1] >> 17) + 1 << 17))
+                mine, count = key[at:to], n[at:to]
+                half, side, at = _half(mine >> 17), mine >> 16 & 1, to
+                for h in (0, 1):
+                    sides = [np.flatnonzero((half == h) & (side == s)) for s in (0, 1)]
+                    packed = [_packed(mine[i] >> 17, mine[i] & 0xFFFF, count[i]) for i in sides]
+                    if len(sides[0]) + len(sides[1]):
+                        yield pd.DataFrame([(h, *packed[0], *packed[1])], columns=["half", "right", "right_n", "left", "left_n"])
 
         shard, keys, counts, size = None, [], [], 0
         for batch in batches:
@@ -223,8 +224,9 @@ def neighbours(docs: DataFrame) -> DataFrame:
                     if keys:
                         yield from out(*_merged(keys, counts))
                     shard, keys, counts, size = r.shard, [], [], 0
-                keys.append(np.cumsum(_flat(r.keys, "<i8")))
-                counts.append(_flat(r.counts, "<i8"))
+                word, other, n = _entries(r.keys, r.counts)
+                keys.append(word.astype(np.int64) << 17 | r.side << 16 | other)
+                counts.append(n.astype(np.int64))
                 size += len(keys[-1])
                 if size > HELD:
                     key, n = _merged(keys, counts)
@@ -232,8 +234,8 @@ def neighbours(docs: DataFrame) -> DataFrame:
         if keys:
             yield from out(*_merged(keys, counts))
 
-    found = docs.where("not held_out").select("codes").mapInPandas(pairs, "shard bigint, keys binary, counts binary")
-    found = found.repartition(shards, "shard").sortWithinPartitions("shard")
+    found = docs.where("not held_out").select("codes").mapInPandas(pairs, "shard int, side int, keys binary, counts binary")
+    found = found.repartitionById(tasks, "shard").sortWithinPartitions("shard")
     return found.mapInPandas(merge, "half int, right binary, right_n binary, left binary, left_n binary")
 
 
