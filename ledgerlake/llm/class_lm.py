@@ -51,6 +51,7 @@ HELD = 3 << 17  # different words, or pairs of them, that a task holds before it
 SLICE = 1 << 17  # tokens whose pairs are counted at a time
 PIECE = 1 << 18  # pairs in a row of the neighbour table, about
 CODED, BLOCK_BYTES = 256, 1 << 19  # documents of a block at most, and the bytes of text after which it ends
+SHARD = 1 << 21  # tokens whose neighbour counts are merged together, about
 BUCKET = 1 << 19  # words of blocks that are classified together, about
 WORDS = 1 << 12  # words that are tried on all classes at a time
 UNSEEN = 255  # in place of the class of a neighbour that is not frequent
@@ -167,11 +168,17 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """(half, right, right_n, left, left_n): how often frequent words stand next to each other: pairs of a word and its neighbour to the
-    right, and to the left, each with their counts. All pairs of a word are in one row, with words of the same half."""
+def dealt(docs: DataFrame, tokens: int, most: int) -> int:
+    """How many parts tokens are dealt to if a part should hold ``most``, about: a multiple of the tasks."""
     tasks = partitions(docs.sparkSession)
-    shards = 2 * tasks  # a task merges one after the other
+    return tasks * max(1, math.ceil(tokens / (tasks * most)))
+
+
+def neighbours(docs: DataFrame, tokens: int = 0) -> DataFrame:
+    """(half, right, right_n, left, left_n): how often frequent words stand next to each other: pairs of a word and its neighbour to the
+    right, and to the left, each with their counts. All pairs of a word are in one row, with words of the same half. A task merges
+    shards of words one after the other, the more of them the more ``tokens`` there are."""
+    tasks, shards = partitions(docs.sparkSession), dealt(docs, tokens, SHARD)
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def out(pair: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
@@ -370,12 +377,6 @@ def _half(word: np.ndarray) -> np.ndarray:
     return (word * 2654435761 >> 15) & 1
 
 
-def buckets_of(docs: DataFrame, words: int) -> int:
-    """How many buckets the ``words`` tokens that are not frequent are dealt to: a multiple of the tasks."""
-    tasks = partitions(docs.sparkSession)
-    return tasks * max(1, math.ceil(words / (tasks * BUCKET)))
-
-
 def _hosts(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
     """(bucket, row, k, others, n, near): other words of a block of documents that fall into a bucket, their places in the block's list,
     counts in training and the classes left and right of each occurrence."""
@@ -419,7 +420,7 @@ def _hosts(docs: DataFrame, classes: np.ndarray, buckets: int) -> DataFrame:
 def answers(docs: DataFrame, classes: np.ndarray, matrix: np.ndarray, words: int) -> DataFrame:
     """(row, k, n, class), lists of the other words of each block that fell into a bucket: their counts in training and their classes.
     ``words`` is about how many tokens are not frequent."""
-    state, buckets = docs.sparkSession.sparkContext.broadcast(matrix), buckets_of(docs, words)
+    state, buckets = docs.sparkSession.sparkContext.broadcast(matrix), dealt(docs, words, BUCKET)
 
     def best_of(gains: Gains, owner: np.ndarray, total: np.ndarray, near: np.ndarray) -> np.ndarray:
         """Classes of words from the (left, right) classes of their occurrences, ``owner`` being the word of each."""
@@ -609,7 +610,7 @@ def score_documents(docs: DataFrame, held_out: Column, text: str = "text", frequ
     counts = Counts(np.array([n_docs, *(n for _, n in top)], np.int64), total.n + n_docs, total.v + (n_docs > 0))
 
     texts = store(coded(rows, [w for w, _ in top]), "coded")
-    near = store(neighbours(texts), "neighbours")
+    near = store(neighbours(texts, counts.tokens), "neighbours")
     classes = exchange(near, first_classes(len(top)), rounds)
     matrix = class_pairs(near, classes)
     discard(near)

@@ -200,10 +200,13 @@ def test_other_words_travel_in_blocks_and_buckets(llm):
     near = store(lm.neighbours(texts), "test")
     classes = lm.exchange(near, lm.first_classes(len(top)), 2)
     matrix = lm.class_pairs(near, classes)
+    finer = store(lm.neighbours(texts, 400 << 20), "test")
+    assert finer.count() > near.count() and (lm.class_pairs(finer, classes) == matrix).all()
+    assert (lm.exchange(finer, lm.first_classes(len(top)), 2) == classes).all()
     assert texts.count() < len(rows) / 5
     assert sorted(i for r in texts.collect() for i in r.doc_id) == sorted(i for i, _, _ in rows)
     packed = lm.answers(texts, classes, matrix, 0)
-    assert packed.count() <= texts.count() * lm.buckets_of(texts, 0) and packed.count() < lm.other_words(texts, classes, matrix).count() / 5
+    assert packed.count() <= texts.count() * lm.dealt(texts, 0, lm.BUCKET) and packed.count() < lm.other_words(texts, classes, matrix).count() / 5
 
     class_of = {w.decode(): int(c) for (w, _), c in zip(top, classes[1:])} | {None: lm.END}
     contexts, gains = collections.defaultdict(list), lm.Gains(matrix)
@@ -219,4 +222,4 @@ def test_other_words_travel_in_blocks_and_buckets(llm):
     for tokens in (0, 40 << 20):  # the more there are, the more buckets
         got = [(bytes(others[r.row][r.k]).decode(), (r.n, r["class"])) for r in lm.other_words(texts, classes, matrix, tokens).collect()]
         assert dict(got) == want and len(got) == sum(map(len, others.values()))
-    assert lm.buckets_of(texts, 40 << 20) > lm.buckets_of(texts, 0)
+    assert lm.dealt(texts, 40 << 20, lm.BUCKET) > lm.dealt(texts, 0, lm.BUCKET)
